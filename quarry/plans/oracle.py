@@ -33,3 +33,47 @@ WITH l AS (SELECT unnest(regexp_split_to_array(text, '\r\n|\n|\r')) AS line FROM
            FROM l)
 SELECT word, count(*)::BIGINT AS cnt FROM (SELECT unnest(words) AS word FROM w) GROUP BY word
 """
+
+# strict URL host (F6); RE2 lacks the leading control-character trim, the tables have none
+_HOST = r"'(?i)^(?:https?|ftp)://(?:[^/?#]*@)?([^/?#:@]*)'"
+_HOSTS = f"""
+hosts AS (SELECT CASE WHEN regexp_matches(url, {_HOST}) THEN regexp_extract(url, {_HOST}, 1) END AS host
+          FROM pages),
+counts AS (SELECT host, count(*)::BIGINT AS hits FROM hosts WHERE host IS NOT NULL GROUP BY host)
+"""
+
+ORACLE["host_counts"] = f"WITH {_HOSTS} SELECT host, hits FROM counts"
+
+ORACLE["host_percent"] = f"""WITH {_HOSTS}
+SELECT host, hits, round(hits * 100.0 / sum(hits) OVER (), 6)::DOUBLE AS percent FROM counts"""
+
+ORACLE["host_counts_tagged"] = f"WITH {_HOSTS} SELECT 'H:' || host AS key, hits::FLOAT AS value FROM counts"
+
+ORACLE["malformed_url_count"] = f"""
+WITH u AS (SELECT url FROM pages UNION ALL SELECT substr(url, 8) FROM pages),
+h AS (SELECT CASE WHEN regexp_matches(url, {_HOST}) THEN regexp_extract(url, {_HOST}, 1) END AS host FROM u)
+SELECT count(*)::BIGINT AS urls, count(*) FILTER (WHERE host IS NULL)::BIGINT AS malformed_urls,
+       count(DISTINCT host)::BIGINT AS hosts FROM h
+"""
+
+_CLICKS = f"""
+n AS (SELECT count(*) AS n FROM pages),
+clicks AS (SELECT e.event_type AS query, p.url FROM events e CROSS JOIN n JOIN pages p ON p.page_id = e.event_id % n.n),
+pairs AS (SELECT host, query, count(*)::BIGINT AS clicks
+          FROM (SELECT CASE WHEN regexp_matches(url, {_HOST}) THEN regexp_extract(url, {_HOST}, 1) END AS host, query
+                FROM clicks) WHERE host IS NOT NULL GROUP BY host, query),
+best AS (SELECT host, query, clicks FROM
+           (SELECT *, row_number() OVER (PARTITION BY host ORDER BY clicks DESC, query) AS rn FROM pairs)
+         WHERE rn = 1)
+"""
+
+ORACLE["top_query_per_host"] = f"WITH {_CLICKS} SELECT host, query, clicks FROM best"
+ORACLE["top_query_per_host_min"] = f"WITH {_CLICKS} SELECT host, query, clicks FROM best WHERE clicks >= 30"
+ORACLE["top_query_per_host_as_written"] = f"""WITH {_CLICKS}
+SELECT host, CASE WHEN clicks < 30 THEN '' ELSE query END AS query,
+       CASE WHEN clicks < 30 THEN 29 ELSE clicks END::BIGINT AS clicks FROM best"""
+
+ORACLE["host_bucket_sorted"] = f"""WITH {_HOSTS}
+SELECT host, CASE WHEN ascii(host) < 97 THEN 0 WHEN ascii(host) > 122 THEN 34
+                  ELSE floor((ascii(host) - 97) / 26.0 * 35)::INTEGER END AS bucket
+FROM counts"""

@@ -44,3 +44,56 @@ def q_word_count(spark, sf_dir):
 @register("word_count_ws")
 def q_word_count_ws(spark, sf_dir):
     return text_ops.word_count_ws(table(spark, sf_dir, "conversations").select("text"))
+
+
+# ---------------------------------------------------------------- hosts
+from quarry.operators import hosts as host_ops  # noqa: E402
+from quarry.plans import derived  # noqa: E402
+
+MIN_CLICKS = 30
+
+
+def _page_urls(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("url")
+
+
+@register("host_counts")
+def q_host_counts(spark, sf_dir):
+    return host_ops.host_counts(_page_urls(spark, sf_dir))
+
+
+@register("host_percent")
+def q_host_percent(spark, sf_dir):
+    return host_ops.host_percent(_page_urls(spark, sf_dir))
+
+
+@register("host_counts_tagged")
+def q_host_counts_tagged(spark, sf_dir):
+    return host_ops.host_counts_tagged(_page_urls(spark, sf_dir))
+
+
+@register("malformed_url_count")
+def q_malformed_url_count(spark, sf_dir):
+    return host_ops.url_quality(derived.bad_urls(spark, sf_dir))
+
+
+@register("top_query_per_host")
+def q_top_query_per_host(spark, sf_dir):
+    return host_ops.top_query_per_host(derived.clicks(spark, sf_dir))
+
+
+@register("top_query_per_host_min")
+def q_top_query_per_host_min(spark, sf_dir):
+    return host_ops.top_query_per_host(derived.clicks(spark, sf_dir), min_clicks=MIN_CLICKS)
+
+
+@register("top_query_per_host_as_written")
+def q_top_query_per_host_as_written(spark, sf_dir):
+    return host_ops.top_query_per_host(derived.clicks(spark, sf_dir), min_clicks=MIN_CLICKS,
+                                       emit_below_threshold=True)
+
+
+@register("host_bucket_sorted")
+def q_host_bucket_sorted(spark, sf_dir):
+    hosts = host_ops.host_counts(_page_urls(spark, sf_dir)).select("host")
+    return host_ops.range_sorted_by_host(hosts).withColumn("bucket", host_ops.first_char_bucket("host"))
