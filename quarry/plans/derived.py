@@ -53,3 +53,24 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.dayofmonth("l_shipdate").alias("day"),
         F.when(F.col("l_returnflag") == SENTINEL_FLAG, F.lit(MISSING_F))
          .otherwise(F.col("l_quantity")).cast("float").alias("max_f"))
+
+
+def readings_c(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather readings with the maximum converted to Celsius (``max_c``)."""
+    from quarry.functions.weather import to_celsius
+
+    w = weather(spark, sf_dir)
+    return w.select("station", "year", "month", "day", to_celsius("max_f").alias("max_c"))
+
+
+def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station file rows as strings (usaf, lat, lon, name) from ``supplier``.
+
+    A negative account balance stands for a station without coordinates.
+    """
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    return s.select(
+        F.lpad(F.col("s_suppkey").cast("string"), 6, "0").alias("usaf"),
+        F.when(F.col("s_acctbal") < 0, F.lit("")).otherwise(F.col("s_acctbal").cast("string")).alias("lat"),
+        (F.col("s_nationkey") * 7 - 90).cast("string").alias("lon"),
+        F.col("s_name").alias("name"))

@@ -77,3 +77,31 @@ ORACLE["host_bucket_sorted"] = f"""WITH {_HOSTS}
 SELECT host, CASE WHEN ascii(host) < 97 THEN 0 WHEN ascii(host) > 122 THEN 34
                   ELSE floor((ascii(host) - 97) / 26.0 * 35)::INTEGER END AS bucket
 FROM counts"""
+
+_READINGS = """
+r AS (SELECT l_suppkey AS station, year(l_shipdate)::INTEGER AS year, month(l_shipdate)::INTEGER AS month,
+             day(l_shipdate)::INTEGER AS day,
+             CAST(CAST((CAST(CASE WHEN l_returnflag = 'A' THEN 9999.9 ELSE l_quantity END AS FLOAT) - 32::FLOAT)
+                       * 5::FLOAT AS FLOAT) / 9 AS FLOAT) AS max_c
+      FROM lineitem),
+v AS (SELECT * FROM r WHERE abs(max_c - 5537.72::FLOAT) > 1),
+hot AS (SELECT station, day, month, year, max_c,
+               printf('%d:%02d.%02d', station, day, month) AS key, printf('%.1fC (%d)', max_c, year) AS value
+        FROM (SELECT *, row_number() OVER (PARTITION BY station, day, month ORDER BY max_c DESC, year) AS rn FROM v)
+        WHERE rn = 1),
+st AS (SELECT lpad(s_suppkey::VARCHAR, 6, '0') AS usaf,
+              CASE WHEN s_acctbal < 0 THEN '' ELSE s_acctbal::VARCHAR END AS lat,
+              (s_nationkey * 7 - 90)::VARCHAR AS lon, s_name AS name FROM supplier),
+ust AS (SELECT usaf::INTEGER AS station, lat::DOUBLE AS lat, lon::DOUBLE AS lon, name FROM st
+        WHERE usaf <> '999999' AND lat <> '' AND lon <> '')
+"""
+
+ORACLE["hottest_year_per_station_day"] = f"WITH {_READINGS} SELECT * FROM hot"
+ORACLE["weather_skipped"] = f"""WITH {_READINGS}
+SELECT count(*)::BIGINT AS readings, count(*) FILTER (WHERE NOT abs(max_c - 5537.72::FLOAT) > 1)::BIGINT AS skipped FROM r"""
+ORACLE["station_label_join"] = f"""WITH {_READINGS}
+SELECT h.station, h.key, printf('%.4f, %.4f, %s (%s)', u.lat, u.lon, u.name, h.value) AS label
+FROM hot h JOIN ust u ON h.station = u.station"""
+ORACLE["station_missing"] = f"""WITH {_READINGS}
+SELECT station, key FROM hot h WHERE NOT EXISTS (SELECT 1 FROM ust u WHERE u.station = h.station)"""
+ORACLE["on_this_day"] = f"WITH {_READINGS} SELECT key, value FROM hot WHERE day = 9 AND month = 3"

@@ -97,3 +97,38 @@ def q_top_query_per_host_as_written(spark, sf_dir):
 def q_host_bucket_sorted(spark, sf_dir):
     hosts = host_ops.host_counts(_page_urls(spark, sf_dir)).select("host")
     return host_ops.range_sorted_by_host(hosts).withColumn("bucket", host_ops.first_char_bucket("host"))
+
+
+# ---------------------------------------------------------------- weather
+from quarry.operators import weather as weather_ops  # noqa: E402
+
+ON_THIS_DAY = (9, 3)  # 9 March
+
+
+def _hottest(spark, sf_dir):
+    return weather_ops.hottest_year(derived.readings_c(spark, sf_dir))
+
+
+@register("hottest_year_per_station_day")
+def q_hottest_year(spark, sf_dir):
+    return _hottest(spark, sf_dir)
+
+
+@register("weather_skipped")
+def q_weather_skipped(spark, sf_dir):
+    return weather_ops.skipped_readings(derived.readings_c(spark, sf_dir))
+
+
+@register("station_label_join")
+def q_station_label_join(spark, sf_dir):
+    return weather_ops.station_labels(_hottest(spark, sf_dir), derived.stations(spark, sf_dir))
+
+
+@register("station_missing")
+def q_station_missing(spark, sf_dir):
+    return weather_ops.stations_missing(_hottest(spark, sf_dir), derived.stations(spark, sf_dir))
+
+
+@register("on_this_day")
+def q_on_this_day(spark, sf_dir):
+    return weather_ops.on_this_day(_hottest(spark, sf_dir), *ON_THIS_DAY)
