@@ -26,3 +26,42 @@ def salted(df: DataFrame, salts: int, seed_col: str | None = None) -> DataFrame:
 def replicated(df: DataFrame, salts: int) -> DataFrame:
     """Copy every row once per salt value (the small side of a salted join)."""
     return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+
+def hot_keys(big: DataFrame, key: str, hot_fraction: float) -> DataFrame:
+    """Keys holding more than ``hot_fraction`` of ``big``'s rows -> (key).
+
+    At most ``1 / hot_fraction`` keys can qualify, so the result has a proven
+    size bound and may be broadcast.  Counting is a partial aggregate.
+    """
+    per_key = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = big.agg(F.count(F.lit(1)).alias("_total"))
+    return (per_key.crossJoin(F.broadcast(total))
+            .filter(F.col("_n") > F.col("_total") * F.lit(hot_fraction))
+            .select(key))
+
+
+def skew_safe_join(big: DataFrame, small: DataFrame, key: str, how: str = "left",
+                   salts: int = 32, hot_fraction: float = 0.01,
+                   max_broadcast_rows: int | None = 2_000_000) -> DataFrame:
+    """Equi-join ``big`` (many rows per key) to ``small`` (one row per key).
+
+    1. ``small`` within ``max_broadcast_rows`` (counted): broadcast hash join,
+       no shuffle of ``big`` at all.
+    2. Otherwise a shuffle join in which only the hot keys are split: rows of
+       ``big`` whose key is hot get a salt from a row hash, and the matching
+       ``small`` rows are copied once per salt.  Cold keys keep salt 0, so the
+       small side grows by at most ``salts / hot_fraction`` rows.
+    """
+    if max_broadcast_rows is not None and small.count() <= max_broadcast_rows:
+        return big.join(F.broadcast(small), key, how)
+    hot = F.broadcast(hot_keys(big, key, hot_fraction).withColumn("_hot", F.lit(True)))
+    b = (big.join(hot, key, "left")
+         .withColumn("salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
+                     .otherwise(F.lit(0)).cast("int"))
+         .drop("_hot"))
+    s = (small.join(hot, key, "left")
+         .withColumn("salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                       .otherwise(F.array(F.lit(0)))))
+         .drop("_hot"))
+    return b.join(s, [key, "salt"], how).drop("salt")

@@ -74,3 +74,41 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("s_acctbal") < 0, F.lit("")).otherwise(F.col("s_acctbal").cast("string")).alias("lat"),
         (F.col("s_nationkey") * 7 - 90).cast("string").alias("lon"),
         F.col("s_name").alias("name"))
+
+
+# Robots texts handed to sites, chosen per host by the first hex
+# digit of md5(host); choice 0 means the site has no robots row.
+ROBOTS_TEXTS = [
+    None,
+    "Disallow: /en",
+    "Disallow: *.html$\nDisallow: /fr/",
+    "Disallow: *#top$",
+    "Disallow: /es/\nDisallow: *utm_source=feed$\nDisallow: /de/1$",
+    "",
+    "User-agent: *\nDisallow: *page=2",
+]
+SECOND_ROBOTS = "Disallow: /"   # extra row (site = bare host) for hosts with choice 1
+
+
+def pages_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed page table (row_key, url, disabled): disabled = 'Y' when md5(url)'s 2nd hex digit < '6'."""
+    from quarry.functions.url import row_key
+
+    p = table(spark, sf_dir, "pages").select("url")
+    rk = row_key("url")
+    return p.select(rk.alias("row_key"), "url",
+                    F.when(F.substring(rk, 2, 1) < "6", F.lit("Y")).alias("disabled"))
+
+
+def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Site table (site, robots) for every host of ``pages``."""
+    from quarry.functions.url import lenient_host
+
+    hosts = table(spark, sf_dir, "pages").select(lenient_host("url").alias("host")).distinct()
+    choice = F.pmod(F.ascii(F.substring(F.md5(F.col("host").cast("binary")), 1, 1)), F.lit(len(ROBOTS_TEXTS)))
+    texts = F.array(*[F.lit(t).cast("string") for t in ROBOTS_TEXTS])
+    main = hosts.select(F.concat(F.lit("http://"), F.col("host"), F.lit("/")).alias("site"),
+                        F.element_at(texts, (choice + 1).cast("int")).alias("robots"), choice.alias("choice"))
+    extra = main.filter(F.col("choice") == 1).select(
+        F.regexp_extract("site", r"^http://([^/]*)/$", 1).alias("site"), F.lit(SECOND_ROBOTS).alias("robots"))
+    return main.select("site", "robots").unionByName(extra)

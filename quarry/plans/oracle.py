@@ -105,3 +105,49 @@ FROM hot h JOIN ust u ON h.station = u.station"""
 ORACLE["station_missing"] = f"""WITH {_READINGS}
 SELECT station, key FROM hot h WHERE NOT EXISTS (SELECT 1 FROM ust u WHERE u.station = h.station)"""
 ORACLE["on_this_day"] = f"WITH {_READINGS} SELECT key, value FROM hot WHERE day = 9 AND month = 3"
+
+_ROBOTS = r"""
+pg AS (SELECT md5(url) AS row_key, url,
+              CASE WHEN substr(md5(url), 2, 1) < '6' THEN 'Y' END AS disabled,
+              regexp_replace(url, '^.*?://', '') AS rest FROM pages),
+pp AS (SELECT row_key, url, disabled, split_part(rest, '/', 1) AS host,
+              CASE WHEN strpos(rest, '/') = 0 THEN ''
+                   WHEN starts_with(substr(rest, strpos(rest, '/') + 1), '/') THEN substr(rest, strpos(rest, '/') + 1)
+                   ELSE '/' || substr(rest, strpos(rest, '/') + 1) END AS path FROM pg),
+hs AS (SELECT DISTINCT host FROM pp),
+ch AS (SELECT host, ascii(substr(md5(host), 1, 1)) % 7 AS c FROM hs),
+si AS (SELECT 'http://' || host || '/' AS site, host,
+              CASE c WHEN 0 THEN NULL WHEN 1 THEN 'Disallow: /en'
+                     WHEN 2 THEN 'Disallow: *.html$' || chr(10) || 'Disallow: /fr/'
+                     WHEN 3 THEN 'Disallow: *#top$'
+                     WHEN 4 THEN 'Disallow: /es/' || chr(10) || 'Disallow: *utm_source=feed$' || chr(10) || 'Disallow: /de/1$'
+                     WHEN 5 THEN '' ELSE 'User-agent: *' || chr(10) || 'Disallow: *page=2' END AS robots
+       FROM ch
+       UNION ALL SELECT host AS site, host, 'Disallow: /' AS robots FROM ch WHERE c = 1),
+one AS (SELECT host, arg_min(robots, site) AS robots FROM si WHERE robots IS NOT NULL GROUP BY host),
+rl AS (SELECT host, substr(line, 11) AS t
+       FROM (SELECT host, unnest(string_split(robots, chr(10))) AS line FROM one)
+       WHERE starts_with(line, 'Disallow: ')),
+rb AS (SELECT host, t, CASE WHEN starts_with(t, '*') THEN substr(t, 2) ELSE t END AS b FROM rl),
+rk AS (SELECT host,
+              CASE WHEN starts_with(t, '/') THEN CASE WHEN ends_with(t, '$') THEN 'exact' ELSE 'prefix' END
+                   WHEN starts_with(t, '*') THEN CASE WHEN ends_with(t, '$') THEN 'suffix' ELSE 'contains' END
+                   WHEN ends_with(t, '$') THEN 'suffix' ELSE 'exact' END AS kind,
+              CASE WHEN ends_with(t, '$') THEN substr(b, 1, length(b) - 1) ELSE b END AS lit FROM rb),
+st AS (SELECT row_key, url, disabled IS NOT NULL AS was,
+              EXISTS (SELECT 1 FROM rk WHERE rk.host = pp.host AND
+                        CASE kind WHEN 'prefix' THEN starts_with(path, lit) WHEN 'exact' THEN path = lit
+                                  WHEN 'contains' THEN contains(path, lit) ELSE ends_with(path, lit) END) AS dis,
+              disabled
+       FROM pp)
+"""
+
+ORACLE["robots_status_changes"] = f"""WITH {_ROBOTS}
+SELECT row_key, url, CASE WHEN dis AND NOT was THEN 'put' ELSE 'delete' END AS op
+FROM st WHERE dis <> was"""
+ORACLE["robots_reconciled"] = f"WITH {_ROBOTS} SELECT row_key, url, CASE WHEN dis THEN 'Y' END AS disabled FROM st"
+ORACLE["robots_reconciled_salted"] = ORACLE["robots_reconciled"]
+ORACLE["keyed_upsert_delete"] = ORACLE["robots_reconciled"]
+ORACLE["first_per_key"] = r"""
+SELECT split_part(regexp_replace(url, '^.*?://', ''), '/', 1) AS host, arg_min(url, page_id) AS url
+FROM pages GROUP BY 1"""

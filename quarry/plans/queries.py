@@ -132,3 +132,40 @@ def q_station_missing(spark, sf_dir):
 @register("on_this_day")
 def q_on_this_day(spark, sf_dir):
     return weather_ops.on_this_day(_hottest(spark, sf_dir), *ON_THIS_DAY)
+
+
+# ---------------------------------------------------------------- robots + keyed table
+from quarry.operators import keyed as keyed_ops  # noqa: E402
+from quarry.operators import robots as robots_ops  # noqa: E402
+
+
+@register("robots_status_changes")
+def q_robots_status_changes(spark, sf_dir):
+    return robots_ops.status_changes(derived.pages_table(spark, sf_dir), derived.sites(spark, sf_dir))
+
+
+@register("robots_reconciled")
+def q_robots_reconciled(spark, sf_dir):
+    return robots_ops.reconciled(derived.pages_table(spark, sf_dir), derived.sites(spark, sf_dir))
+
+
+@register("robots_reconciled_salted")
+def q_robots_reconciled_salted(spark, sf_dir):
+    """Same result with the broadcast disabled: exercises the hot-host salted shuffle join."""
+    return robots_ops.reconciled(derived.pages_table(spark, sf_dir), derived.sites(spark, sf_dir),
+                                 max_broadcast_rows=None, salts=4, hot_fraction=0.05)
+
+
+@register("keyed_upsert_delete")
+def q_keyed_upsert_delete(spark, sf_dir):
+    base = derived.pages_table(spark, sf_dir)
+    changes = robots_ops.changes_as_cells(robots_ops.status_changes(base, derived.sites(spark, sf_dir)))
+    return keyed_ops.merge_cells(base, changes, "disabled")
+
+
+@register("first_per_key")
+def q_first_per_key(spark, sf_dir):
+    from quarry.functions.url import lenient_host
+
+    p = table(spark, sf_dir, "pages").select(lenient_host("url").alias("host"), "url", "page_id")
+    return keyed_ops.first_per_key(p, "host", "url", order_col="page_id")
