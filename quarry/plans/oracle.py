@@ -151,3 +151,56 @@ ORACLE["keyed_upsert_delete"] = ORACLE["robots_reconciled"]
 ORACLE["first_per_key"] = r"""
 SELECT split_part(regexp_replace(url, '^.*?://', ''), '/', 1) AS host, arg_min(url, page_id) AS url
 FROM pages GROUP BY 1"""
+
+_EDGES = """
+e AS (SELECT l_suppkey AS src, l_partkey + 50 AS dst FROM lineitem),
+nodes AS (SELECT src AS id FROM e UNION SELECT dst FROM e),
+nn AS (SELECT count(*)::DOUBLE AS n FROM nodes)
+"""
+
+ORACLE["edges_distinct"] = f"WITH {_EDGES} SELECT DISTINCT src, dst FROM e"
+ORACLE["graph_nodes"] = f"WITH {_EDGES} SELECT id FROM nodes"
+ORACLE["dangling_nodes"] = f"WITH {_EDGES} SELECT id FROM nodes WHERE id NOT IN (SELECT src FROM e)"
+ORACLE["adjacency_list"] = f"""WITH {_EDGES},
+m AS (SELECT src, dst, count(*)::BIGINT AS mult FROM e GROUP BY src, dst)
+SELECT src, dst, mult, sum(mult) OVER (PARTITION BY src)::BIGINT AS outdeg FROM m"""
+
+
+def _pagerank_sql(variant: str, dangling: str, iterations: int, tail: str = "") -> str:
+    """A chain of CTEs, one group per iteration (same formulas as the Spark operator)."""
+    multi = variant == "multi"
+    m = ("SELECT src, dst, count(*)::DOUBLE AS mult FROM e GROUP BY src, dst" if multi
+         else "SELECT DISTINCT src, dst, 1.0::DOUBLE AS mult FROM e")
+    parts = [_EDGES.strip(),
+             f"m AS ({m})",
+             "deg AS (SELECT src, sum(mult) AS outdeg FROM m GROUP BY src)",
+             "w AS (SELECT m.src, m.dst, m.mult / deg.outdeg AS w FROM m JOIN deg USING (src))",
+             "nd AS (SELECT id, id IN (SELECT src FROM deg) AS has_out FROM nodes)",
+             "r0 AS (SELECT id, has_out, 1.0::DOUBLE / n AS pr FROM nd, nn" + (" WHERE has_out)" if multi else ")"),
+             "l0 AS (SELECT 0.0::DOUBLE AS l)"]
+    for k in range(1, iterations + 1):
+        p = k - 1
+        if multi:
+            parts.append(f"c{k} AS (SELECT id, has_out, pr + l / n AS cur FROM r{p}, l{p}, nn)")
+        else:
+            parts.append(f"c{k} AS (SELECT nd.id, nd.has_out, coalesce(r.pr, 0.0) + l / n AS cur "
+                         f"FROM nd LEFT JOIN r{p} r USING (id), l{p}, nn)")
+        if dangling == "redistribute":
+            parts.append(f"l{k} AS (SELECT coalesce(sum(cur) FILTER (WHERE NOT has_out), 0.0)::DOUBLE AS l FROM c{k})")
+        else:
+            parts.append(f"l{k} AS (SELECT 0.0::DOUBLE AS l)")
+        parts.append(f"s{k} AS (SELECT w.dst AS id, sum(w.w * c.cur) AS s FROM w JOIN c{k} c ON w.src = c.id "
+                     f"WHERE c.has_out GROUP BY w.dst)")
+        ids = f"(SELECT id FROM r{p} UNION SELECT id FROM s{k})" if multi else f"(SELECT id FROM s{k})"
+        parts.append(f"r{k} AS (SELECT u.id, nd.has_out, "
+                     f"(1.0::DOUBLE - 0.85::DOUBLE) / n + 0.85::DOUBLE * coalesce(s.s, 0.0) AS pr "
+                     f"FROM {ids} u JOIN nd USING (id) LEFT JOIN s{k} s USING (id), nn)")
+    n = iterations
+    parts.append(f"fin AS (SELECT id, round(pr + l / n, 8) AS pr FROM r{n}, l{n}, nn)")
+    return "WITH " + ",\n".join(parts) + "\nSELECT id, pr FROM fin " + tail
+
+
+ORACLE["pagerank_multi"] = _pagerank_sql("multi", "redistribute", 3)
+ORACLE["pagerank_set"] = _pagerank_sql("set", "redistribute", 3)
+ORACLE["pagerank_set_ignore_dangling"] = _pagerank_sql("set", "ignore", 3)
+ORACLE["pagerank_top_k"] = _pagerank_sql("set", "redistribute", 3, "ORDER BY pr DESC, id LIMIT 11")

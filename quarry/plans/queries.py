@@ -169,3 +169,55 @@ def q_first_per_key(spark, sf_dir):
 
     p = table(spark, sf_dir, "pages").select(lenient_host("url").alias("host"), "url", "page_id")
     return keyed_ops.first_per_key(p, "host", "url", order_col="page_id")
+
+
+# ---------------------------------------------------------------- graph + PageRank
+from quarry.operators import graph as graph_ops  # noqa: E402
+
+PR_ITERATIONS = 3
+PR_DIGITS = 8
+
+
+@register("edges_distinct")
+def q_edges_distinct(spark, sf_dir):
+    return graph_ops.edges_distinct(derived.edges(spark, sf_dir))
+
+
+@register("adjacency_list")
+def q_adjacency_list(spark, sf_dir):
+    return graph_ops.adjacency(derived.edges(spark, sf_dir))
+
+
+@register("graph_nodes")
+def q_graph_nodes(spark, sf_dir):
+    return graph_ops.graph_nodes(derived.edges(spark, sf_dir))
+
+
+@register("dangling_nodes")
+def q_dangling_nodes(spark, sf_dir):
+    return graph_ops.dangling_nodes(derived.edges(spark, sf_dir))
+
+
+def _pagerank(spark, sf_dir, variant, dangling="redistribute", iterations=PR_ITERATIONS):
+    return graph_ops.pagerank(derived.edges(spark, sf_dir), iterations=iterations, variant=variant,
+                              dangling=dangling, digits=PR_DIGITS).ranks
+
+
+@register("pagerank_multi")
+def q_pagerank_multi(spark, sf_dir):
+    return _pagerank(spark, sf_dir, "multi")
+
+
+@register("pagerank_set")
+def q_pagerank_set(spark, sf_dir):
+    return _pagerank(spark, sf_dir, "set")
+
+
+@register("pagerank_set_ignore_dangling")
+def q_pagerank_set_ignore(spark, sf_dir):
+    return _pagerank(spark, sf_dir, "set", "ignore")
+
+
+@register("pagerank_top_k")
+def q_pagerank_top_k(spark, sf_dir):
+    return graph_ops.top_k(_pagerank(spark, sf_dir, "set"))
