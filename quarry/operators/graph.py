@@ -20,11 +20,13 @@ read once.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.joins import hot_keys, skew_safe_join
 from quarry.session import checkpoint_dir
 
 # Fixed values of the reference's PageRank: damping factor and iteration count.
@@ -81,20 +83,49 @@ class PageRankResult:
     n_nodes: float
 
 
-def _weighted_edges(edges: DataFrame, multi: bool, parts: int) -> DataFrame:
-    """(src, dst, w): w = multiplicity / out-degree (multi) or 1 / distinct out-degree (set)."""
+@contextmanager
+def _static_plan(spark):
+    """Run a checkpoint with adaptive execution off, so the written RDD keeps its hash
+    partitioning (an adaptive plan reports unknown partitioning and later joins would
+    re-shuffle the checkpoint).  Skew inside the iteration is handled by salting instead."""
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def _checkpointed(df: DataFrame, parts: int, *keys: str) -> DataFrame:
+    with _static_plan(df.sparkSession):
+        return df.repartition(parts, *keys).checkpoint()
+
+
+def _weighted_edges(edges: DataFrame, multi: bool, salts: int, hot_fraction: float):
+    """-> (w, deg, hot): salted weighted edges (src, salt, dst, w), out-degrees (src, outdeg)
+    and the hot sources (src) holding more than ``hot_fraction`` of the edges.
+
+    ``w`` = multiplicity / out-degree (multi) or 1 / distinct out-degree (set).  Edges
+    of a hot source are spread over ``salts`` buckets by a hash of ``dst``.
+    """
     if multi:
         m = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("mult"))
     else:
         m = edges.select("src", "dst").distinct().withColumn("mult", F.lit(1.0))
     deg = m.groupBy("src").agg(F.sum("mult").alias("outdeg"))
-    w = m.join(deg, "src").select("src", "dst", (F.col("mult") / F.col("outdeg")).alias("w"))
-    return w.repartition(parts, "src")
+    hot = hot_keys(m, "src", hot_fraction).withColumn("hot", F.lit(True))
+    w = (skew_safe_join(m, deg, "src", "inner", salts=salts, hot_fraction=hot_fraction)
+         .join(F.broadcast(hot), "src", "left")
+         .select("src",
+                 F.when(F.col("hot"), F.pmod(F.xxhash64("dst"), F.lit(salts))).otherwise(F.lit(0))
+                  .cast("int").alias("salt"),
+                 "dst", (F.col("mult") / F.col("outdeg")).alias("w")))
+    return w, deg, hot
 
 
 def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DAMPING,
              n_nodes: float | None = None, variant: str = "set", dangling: str = "redistribute",
-             partitions: int | None = None, digits: int | None = None) -> PageRankResult:
+             digits: int | None = None, salts: int = 32, hot_fraction: float = 0.001) -> PageRankResult:
     """PageRank with the dangling mass added back after damping (undamped, as the reference does).
 
     ``variant='multi'`` (X9, chained-job semantics): duplicate edges count;
@@ -106,53 +137,57 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
 
     ``n_nodes`` defaults to the number of distinct nodes.  Scores are
     ``pr + L/N`` of the last step, optionally rounded to ``digits``.
+    Sources holding more than ``hot_fraction`` of the edges (at most
+    ``1/hot_fraction`` of them) are split over ``salts`` partitions.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     multi = variant == "multi"
     redistribute = dangling == "redistribute"
     e = edges.select(F.col("src").cast("long"), F.col("dst").cast("long"))
 
-    w = _weighted_edges(e, multi, parts).checkpoint()
-    out_ids = w.select(F.col("src").alias("id")).distinct().withColumn("has_out", F.lit(True))
-    nodes = (graph_nodes(e).join(out_ids, "id", "left")
-             .select("id", F.coalesce("has_out", F.lit(False)).alias("has_out"))
-             .repartition(parts, "id").checkpoint())
+    w, deg, hot = _weighted_edges(e, multi, salts, hot_fraction)
+    w = _checkpointed(w, parts, "src", "salt")
+    hot = F.broadcast(hot.checkpoint())  # at most 1/hot_fraction rows
+    nodes = (graph_nodes(e).join(deg.select(F.col("src").alias("id"), F.lit(True).alias("has_out")), "id", "left")
+             .select("id", F.coalesce("has_out", F.lit(False)).alias("has_out")))
+    nodes = _checkpointed(nodes, parts, "id")
     if n_nodes is None:
         n_nodes = float(nodes.count())
     N = float(n_nodes)
     base = (1.0 - damping) / N
 
-    if multi:
-        ranks = nodes.filter("has_out").select("id", "has_out", F.lit(1.0 / N).alias("pr"))
-    else:
-        ranks = nodes.select("id", "has_out", F.lit(1.0 / N).alias("pr"))
-    ranks = ranks.repartition(parts, "id").checkpoint()
+    start = nodes.filter("has_out") if multi else nodes
+    ranks = _checkpointed(start.select("id", "has_out", F.lit(1.0 / N).alias("pr")), parts, "id")
     leaked = 0.0
 
     for _ in range(iterations):
-        share = leaked / N
+        share = F.lit(leaked / N)
         if multi:
-            cur = ranks.select("id", "has_out", (F.col("pr") + F.lit(share)).alias("cur"))
+            cur = ranks.select("id", "has_out", (F.col("pr") + share).alias("cur"))
         else:  # every node passes on its rank (0 once it has none) plus L/N
             cur = (nodes.join(ranks.select("id", "pr"), "id", "left")
-                   .select("id", "has_out", (F.coalesce("pr", F.lit(0.0)) + F.lit(share)).alias("cur")))
-        contrib = (w.join(cur.filter("has_out").select(F.col("id").alias("src"), "cur"), "src")
+                   .select("id", "has_out", (F.coalesce("pr", F.lit(0.0)) + share).alias("cur")))
+        sent = (cur.filter("has_out").select(F.col("id").alias("src"), "cur")
+                .join(hot, "src", "left")
+                .select("src", "cur", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                                .otherwise(F.array(F.lit(0)))).alias("salt")))
+        contrib = (w.join(sent, ["src", "salt"])
                    .groupBy("dst").agg(F.sum(F.col("w") * F.col("cur")).alias("s"))
                    .withColumnRenamed("dst", "id"))
         if multi:  # rows that existed stay (their structure reaches the reducer), new targets join
-            nxt = (ranks.select("id", "has_out").join(contrib, "id", "full_outer")
-                   .select("id", F.coalesce("s", F.lit(0.0)).alias("s")))
+            got = (ranks.select("id", F.lit(0.0).alias("s")).unionByName(contrib)
+                   .groupBy("id").agg(F.sum("s").alias("s")))
         else:      # only nodes that received something keep a rank
-            nxt = contrib
-        nxt = (nxt.join(nodes, "id")
+            got = contrib
+        nxt = (got.join(nodes, "id")
                .select("id", "has_out", (F.lit(base) + F.lit(damping) * F.col("s")).alias("pr")))
         new_leaked = 0.0
         if redistribute:
             row = cur.filter(~F.col("has_out")).agg(F.sum("cur").alias("l")).first()
             new_leaked = float(row["l"] or 0.0)
-        ranks = nxt.checkpoint()
+        ranks = _checkpointed(nxt, parts, "id")
         leaked = new_leaked
 
     score = F.col("pr") + F.lit(leaked / N)

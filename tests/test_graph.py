@@ -29,7 +29,7 @@ def edges(spark):
 @pytest.mark.parametrize("key", sorted(GOLDEN))
 def test_pagerank_golden(edges, key):
     variant, dangling, n = key
-    res = G.pagerank(edges, iterations=n, n_nodes=5, variant=variant, dangling=dangling, partitions=3)
+    res = G.pagerank(edges, iterations=n, n_nodes=5, variant=variant, dangling=dangling, salts=3, hot_fraction=0.2)
     got = {r["id"]: r["pr"] for r in res.ranks.collect()}
     assert set(got) == set(GOLDEN[key])
     for k, v in GOLDEN[key].items():
