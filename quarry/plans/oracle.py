@@ -204,3 +204,17 @@ ORACLE["pagerank_multi"] = _pagerank_sql("multi", "redistribute", 3)
 ORACLE["pagerank_set"] = _pagerank_sql("set", "redistribute", 3)
 ORACLE["pagerank_set_ignore_dangling"] = _pagerank_sql("set", "ignore", 3)
 ORACLE["pagerank_top_k"] = _pagerank_sql("set", "redistribute", 3, "ORDER BY pr DESC, id LIMIT 11")
+
+# round trips through the file layouts equal the job on the table itself
+ORACLE["fixed_records"] = "SELECT vec_id, embedding FROM embeddings"
+ORACLE["indexed_chunks_doc_frequency"] = ORACLE["doc_frequency"]
+ORACLE["proto_docs"] = """
+SELECT 'doc://' || doc_id AS url, lang AS body, length(text)::BIGINT AS n_chars FROM documents WHERE lang <> 'es'"""
+ORACLE["bulk_sorted_load"] = r"""
+SELECT 'doc://' || doc_id AS row_key,
+       (length(text) + length(regexp_replace(text, '[^\x{10000}-\x{10FFFF}]', '', 'g')))::INTEGER AS size,
+       md5(text) AS text_md5
+FROM documents WHERE lang <> 'es'"""
+ORACLE["kv_lines"] = ORACLE["top_query_per_host"]
+ORACLE["edge_lines"] = ORACLE["edges_distinct"]
+ORACLE["fixed_width_weather"] = ORACLE["hottest_year_per_station_day"]

@@ -221,3 +221,11 @@ def q_pagerank_set_ignore(spark, sf_dir):
 @register("pagerank_top_k")
 def q_pagerank_top_k(spark, sf_dir):
     return graph_ops.top_k(_pagerank(spark, sf_dir, "set"))
+
+
+# ---------------------------------------------------------------- file layouts
+from quarry.plans import files as file_plans  # noqa: E402
+
+for _name in ("fixed_records", "indexed_chunks_doc_frequency", "proto_docs", "bulk_sorted_load",
+              "kv_lines", "edge_lines", "fixed_width_weather"):
+    register(_name)(getattr(file_plans, _name))
