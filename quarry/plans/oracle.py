@@ -218,3 +218,13 @@ FROM documents WHERE lang <> 'es'"""
 ORACLE["kv_lines"] = ORACLE["top_query_per_host"]
 ORACLE["edge_lines"] = ORACLE["edges_distinct"]
 ORACLE["fixed_width_weather"] = ORACLE["hottest_year_per_station_day"]
+
+ORACLE["term_frequency_sized"] = r"""
+SELECT term, count(*)::BIGINT AS term_count
+FROM (SELECT unnest(list_transform(regexp_extract_all(text, '\p{L}+'), lambda x: lower(x))) AS term
+      FROM documents WHERE n_chars BETWEEN 9216 AND 10240)
+GROUP BY term
+"""
+ORACLE["document_size_check"] = """
+SELECT count(*)::BIGINT AS documents, count(*) FILTER (WHERE NOT n_chars BETWEEN 9216 AND 10240)::BIGINT AS out_of_range
+FROM documents"""

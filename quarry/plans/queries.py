@@ -229,3 +229,28 @@ from quarry.plans import files as file_plans  # noqa: E402
 for _name in ("fixed_records", "indexed_chunks_doc_frequency", "proto_docs", "bulk_sorted_load",
               "kv_lines", "edge_lines", "fixed_width_weather"):
     register(_name)(getattr(file_plans, _name))
+
+
+# ---------------------------------------------------------------- sized term frequency (A4 + P9)
+SIZE_RANGE = (9 * 1024, 10 * 1024)  # the reference's 9-10 KiB check
+
+
+@register("term_frequency_sized")
+def q_term_frequency_sized(spark, sf_dir):
+    """A4 over documents whose stored size lies in the range (pushed to the Parquet scan)."""
+    from pyspark.sql import functions as F
+
+    lo, hi = SIZE_RANGE
+    docs = table(spark, sf_dir, "documents").filter(F.col("n_chars").between(lo, hi)).select("text")
+    return text_ops.term_frequency(docs)
+
+
+@register("document_size_check")
+def q_document_size_check(spark, sf_dir):
+    """P8 + A18: counts (not drops) documents outside the size range."""
+    from pyspark.sql import functions as F
+
+    lo, hi = SIZE_RANGE
+    d = table(spark, sf_dir, "documents").select("n_chars")
+    return d.agg(F.count(F.lit(1)).alias("documents"),
+                 F.count_if(~F.col("n_chars").between(lo, hi)).alias("out_of_range"))

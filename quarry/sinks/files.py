@@ -185,6 +185,6 @@ def read_current(spark, table_dir: str) -> DataFrame:
     from quarry.sources.fsutil import resolve
 
     fs, p = resolve(f"{table_dir.rstrip('/')}/_CURRENT")
-    with fs.open_input_stream(p) as f:
+    with fs.open_input_stream(p, compression=None) as f:
         version = f.read().decode().strip()
     return spark.read.parquet(f"{table_dir.rstrip('/')}/{version}")

@@ -103,7 +103,7 @@ class _Reader(DataSourceReader):
         if not part.path:
             return
         fs, p = resolve(part.path)
-        raw = fs.open_input_stream(p)
+        raw = fs.open_input_stream(p, compression=None)
         stream = gzip.GzipFile(fileobj=raw) if p.endswith(".gz") else raw
         rows = ([], [], [])
 

@@ -64,7 +64,7 @@ def write_atomic(path: str, data_chunks) -> int:
     fs.create_dir(posixpath.dirname(p), recursive=True)
     tmp = posixpath.join(posixpath.dirname(p), f"_tmp-{uuid.uuid4().hex}-{posixpath.basename(p)}")
     n = 0
-    with fs.open_output_stream(tmp) as f:
+    with fs.open_output_stream(tmp, compression=None) as f:
         for c in data_chunks:
             f.write(c)
             n += len(c)
