@@ -26,7 +26,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.joins import hot_keys, skew_safe_join
 from quarry.session import checkpoint_dir
 
 # Fixed values of the reference's PageRank: damping factor and iteration count.
@@ -97,30 +96,42 @@ def _static_plan(spark):
 
 
 def _checkpointed(df: DataFrame, parts: int, *keys: str) -> DataFrame:
+    """Reliable checkpoint, hash-partitioned on ``keys``.  Columns are re-aliased first so
+    the checkpoint gets fresh attribute ids and can be joined with plans it came from."""
+    fresh = df.select(*[F.col(c).alias(c) for c in df.columns])
     with _static_plan(df.sparkSession):
-        return df.repartition(parts, *keys).checkpoint()
+        return fresh.repartition(parts, *keys).checkpoint()
 
 
-def _weighted_edges(edges: DataFrame, multi: bool, salts: int, hot_fraction: float):
-    """-> (w, deg, hot): salted weighted edges (src, salt, dst, w), out-degrees (src, outdeg)
-    and the hot sources (src) holding more than ``hot_fraction`` of the edges.
+def _weighted_edges(edges: DataFrame, multi: bool, salts: int, hot_fraction: float, parts: int):
+    """-> (w, deg, hot): salted weighted edges (src, salt, dst, w) hash-partitioned on
+    (src, salt) and checkpointed; out-degrees (src, outdeg, n_rows) checkpointed on src;
+    the hot sources (src, hot) holding more than ``hot_fraction`` of the edge rows.
 
-    ``w`` = multiplicity / out-degree (multi) or 1 / distinct out-degree (set).  Edges
-    of a hot source are spread over ``salts`` buckets by a hash of ``dst``.
+    ``w`` = multiplicity / out-degree (multi) or 1 / distinct out-degree (set).  The
+    rows of a hot source are spread over ``salts`` buckets by a hash of ``dst``;
+    the same salt places them in the edge layout and joins them to their degree
+    (the degree row of a hot source is copied once per salt).
     """
     if multi:
         m = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("mult"))
     else:
         m = edges.select("src", "dst").distinct().withColumn("mult", F.lit(1.0))
-    deg = m.groupBy("src").agg(F.sum("mult").alias("outdeg"))
-    hot = hot_keys(m, "src", hot_fraction).withColumn("hot", F.lit(True))
-    w = (skew_safe_join(m, deg, "src", "inner", salts=salts, hot_fraction=hot_fraction)
-         .join(F.broadcast(hot), "src", "left")
-         .select("src",
-                 F.when(F.col("hot"), F.pmod(F.xxhash64("dst"), F.lit(salts))).otherwise(F.lit(0))
-                  .cast("int").alias("salt"),
-                 "dst", (F.col("mult") / F.col("outdeg")).alias("w")))
-    return w, deg, hot
+    deg = _checkpointed(m.groupBy("src").agg(F.sum("mult").alias("outdeg"), F.count(F.lit(1)).alias("n_rows")),
+                        parts, "src")
+    total = deg.agg(F.sum("n_rows").alias("total"))
+    hot = (deg.crossJoin(F.broadcast(total)).filter(F.col("n_rows") > F.col("total") * F.lit(hot_fraction))
+           .select(F.col("src").alias("src"), F.lit(True).alias("hot"))).checkpoint()  # <= 1/hot_fraction rows
+    hot_b = F.broadcast(hot)
+    ms = (m.join(hot_b, "src", "left")
+          .withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("dst"), F.lit(salts)))
+                      .otherwise(F.lit(0)).cast("int")))
+    ds = (deg.join(hot_b, "src", "left")
+          .withColumn("salt", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                        .otherwise(F.array(F.lit(0))))))
+    w = (ms.join(ds.select("src", "salt", "outdeg"), ["src", "salt"])
+         .select("src", "salt", "dst", (F.col("mult") / F.col("outdeg")).alias("w")))
+    return _checkpointed(w, parts, "src", "salt"), deg, hot
 
 
 def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DAMPING,
@@ -147,9 +158,8 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
     redistribute = dangling == "redistribute"
     e = edges.select(F.col("src").cast("long"), F.col("dst").cast("long"))
 
-    w, deg, hot = _weighted_edges(e, multi, salts, hot_fraction)
-    w = _checkpointed(w, parts, "src", "salt")
-    hot = F.broadcast(hot.checkpoint())  # at most 1/hot_fraction rows
+    w, deg, hot = _weighted_edges(e, multi, salts, hot_fraction, parts)
+    hot = F.broadcast(hot)
     nodes = (graph_nodes(e).join(deg.select(F.col("src").alias("id"), F.lit(True).alias("has_out")), "id", "left")
              .select("id", F.coalesce("has_out", F.lit(False)).alias("has_out")))
     nodes = _checkpointed(nodes, parts, "id")
@@ -176,13 +186,14 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
         contrib = (w.join(sent, ["src", "salt"])
                    .groupBy("dst").agg(F.sum(F.col("w") * F.col("cur")).alias("s"))
                    .withColumnRenamed("dst", "id"))
+        # nodes, ranks and contrib are all hash-partitioned on the node id: no shuffle here
+        j = nodes.join(contrib, "id", "left")
         if multi:  # rows that existed stay (their structure reaches the reducer), new targets join
-            got = (ranks.select("id", F.lit(0.0).alias("s")).unionByName(contrib)
-                   .groupBy("id").agg(F.sum("s").alias("s")))
+            j = j.join(ranks.select("id", F.lit(True).alias("had")), "id", "left")
+            j = j.filter(F.col("had").isNotNull() | F.col("s").isNotNull())
         else:      # only nodes that received something keep a rank
-            got = contrib
-        nxt = (got.join(nodes, "id")
-               .select("id", "has_out", (F.lit(base) + F.lit(damping) * F.col("s")).alias("pr")))
+            j = j.filter(F.col("s").isNotNull())
+        nxt = j.select("id", "has_out", (F.lit(base) + F.lit(damping) * F.coalesce("s", F.lit(0.0))).alias("pr"))
         new_leaked = 0.0
         if redistribute:
             row = cur.filter(~F.col("has_out")).agg(F.sum("cur").alias("l")).first()
