@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.operators import text as text_ops
+from quarry.session import ensure_importable
 from quarry.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,8 +19,14 @@ REGISTRY: dict[str, Query] = {}
 
 
 def register(name: str):
+    """Add a query to the registry; the registered callable first ships the package to workers."""
     def deco(fn: Query) -> Query:
-        REGISTRY[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ensure_importable(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = run.__qualname__ = f"query_{name}"
+        run.__doc__ = fn.__doc__
+        REGISTRY[name] = run
         return fn
     return deco
 

@@ -66,3 +66,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ensure_importable(spark: SparkSession) -> None:
+    """Ship this package to the Python workers once per application (``addPyFile``).
+
+    Readers, writers and pandas UDFs run module functions of ``quarry`` inside
+    tasks; workers must import it whatever their working directory.  When the
+    package was already shipped (``--py-files``) the extra copy is harmless.
+    """
+    import zipfile
+
+    import quarry
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(quarry.__file__))
+    root = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="quarry-pyfiles-"), "quarry.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)

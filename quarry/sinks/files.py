@@ -22,6 +22,9 @@ _RESULT = "path string, rows long, bytes long"
 
 def _per_partition(df: DataFrame, out_dir: str, name: str, write_fn) -> dict:
     """Run ``write_fn(batches, path) -> (rows, bytes)`` once per partition; return totals."""
+    from quarry.session import ensure_importable
+
+    ensure_importable(df.sparkSession)
     out_dir = out_dir.rstrip("/")
 
     def run(batches):

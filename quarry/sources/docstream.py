@@ -143,5 +143,8 @@ class DocStreamSource(DataSource):
 
 
 def read_docstream(spark, path: str):
+    from quarry.session import ensure_importable
+
+    ensure_importable(spark)
     spark.dataSource.register(DocStreamSource)
     return spark.read.format("quarry_docstream").option("path", path).load()

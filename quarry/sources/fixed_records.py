@@ -89,6 +89,9 @@ class FixedRecordsSource(DataSource):
 
 
 def register(spark) -> None:
+    from quarry.session import ensure_importable
+
+    ensure_importable(spark)
     spark.dataSource.register(FixedRecordsSource)
 
 

@@ -81,6 +81,9 @@ def _inflate_ranges(batches):
 
 def chunk_index(spark: SparkSession, path: str, bytes_per_split: int = DEFAULT_BYTES_PER_SPLIT) -> DataFrame:
     """The chunk table (path, chunk_no, offset, size, bin) of every archive under ``path``."""
+    from quarry.session import ensure_importable
+
+    ensure_importable(spark)
     idx = (spark.read.format("binaryFile").option("pathGlobFilter", "*" + IDX_SUFFIX)
            .load(path).select("path", "content"))
     return idx.mapInPandas(_explode_index(bytes_per_split), CHUNK_SCHEMA)
