@@ -163,8 +163,10 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
     nodes = (graph_nodes(e).join(deg.select(F.col("src").alias("id"), F.lit(True).alias("has_out")), "id", "left")
              .select("id", F.coalesce("has_out", F.lit(False)).alias("has_out")))
     nodes = _checkpointed(nodes, parts, "id")
+    counts = nodes.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("has_out")).alias("d")).first()
+    n_dangling = int(counts["d"])
     if n_nodes is None:
-        n_nodes = float(nodes.count())
+        n_nodes = float(counts["n"])
     N = float(n_nodes)
     base = (1.0 - damping) / N
 
@@ -195,9 +197,10 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
             j = j.filter(F.col("s").isNotNull())
         nxt = j.select("id", "has_out", (F.lit(base) + F.lit(damping) * F.coalesce("s", F.lit(0.0))).alias("pr"))
         new_leaked = 0.0
-        if redistribute:
-            row = cur.filter(~F.col("has_out")).agg(F.sum("cur").alias("l")).first()
-            new_leaked = float(row["l"] or 0.0)
+        if redistribute:  # sum of cur over dangling senders, from the checkpoint alone (no join)
+            row = ranks.filter(~F.col("has_out")).agg(F.sum("pr").alias("s"), F.count(F.lit(1)).alias("n")).first()
+            senders = row["n"] if multi else n_dangling
+            new_leaked = float(row["s"] or 0.0) + senders * leaked / N
         ranks = _checkpointed(nxt, parts, "id")
         leaked = new_leaked
 
