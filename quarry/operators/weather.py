@@ -75,3 +75,17 @@ def stations_missing(hottest: DataFrame, stations: DataFrame, max_broadcast_rows
 def on_this_day(hottest: DataFrame, day: int, month: int) -> DataFrame:
     """P12 (D16): results of one calendar day, given explicitly rather than read from the clock."""
     return hottest.filter((F.col("day") == day) & (F.col("month") == month)).select("key", "value")
+
+
+def parse_result_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
+    """Input side of J1: result lines ``station:dd.MM<TAB>value`` -> (station, key, value).
+
+    F25: the first whitespace field is the key, the other fields joined by one space
+    are the value; the station id is the number before ``:``.
+    """
+    from quarry.functions.text import first_field_rest
+
+    key, rest = first_field_rest(line_col)
+    return (lines.select(key.alias("key"), rest.alias("value"))
+            .select(F.split("key", ":")[0].try_cast("int").alias("station"), "key", "value")
+            .filter(F.col("station").isNotNull()))
