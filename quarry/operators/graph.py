@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.joins import skew_safe_join
 from quarry.session import checkpoint_dir
 
 # Fixed values of the reference's PageRank: damping factor and iteration count.
@@ -61,7 +62,8 @@ def graph_nodes(edges: DataFrame) -> DataFrame:
 
 def dangling_nodes(edges: DataFrame) -> DataFrame:
     """A14 (structure): nodes without out-links -> (id)."""
-    return graph_nodes(edges).join(edges.select(F.col("src").alias("id")), "id", "left_anti")
+    sources = edges.select(F.col("src").alias("id")).distinct()  # partial-aggregated: a hot source is one row
+    return graph_nodes(edges).join(sources, "id", "left_anti")
 
 
 def adjacency(edges: DataFrame) -> DataFrame:
@@ -72,7 +74,7 @@ def adjacency(edges: DataFrame) -> DataFrame:
     """
     m = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
     deg = m.groupBy("src").agg(F.sum("mult").alias("outdeg"))
-    return m.join(deg, "src")
+    return skew_safe_join(m, deg, "src", "inner").select("src", "dst", "mult", "outdeg")
 
 
 @dataclass

@@ -35,7 +35,7 @@ def hot_keys(big: DataFrame, key: str, hot_fraction: float) -> DataFrame:
     size bound and may be broadcast.  Counting is a partial aggregate.
     """
     per_key = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = big.agg(F.count(F.lit(1)).alias("_total"))
+    total = per_key.agg(F.sum("_n").alias("_total"))  # same aggregate, its exchange is reused
     return (per_key.crossJoin(F.broadcast(total))
             .filter(F.col("_n") > F.col("_total") * F.lit(hot_fraction))
             .select(key))
