@@ -98,11 +98,10 @@ def _static_plan(spark):
 
 
 def _checkpointed(df: DataFrame, parts: int, *keys: str) -> DataFrame:
-    """Reliable checkpoint, hash-partitioned on ``keys``.  Columns are re-aliased first so
-    the checkpoint gets fresh attribute ids and can be joined with plans it came from."""
-    fresh = df.select(*[F.col(c).alias(c) for c in df.columns])
+    """Reliable checkpoint, hash-partitioned on ``keys`` (the partitioning is kept by the
+    checkpoint, so later joins on ``keys`` need no exchange on this side)."""
     with _static_plan(df.sparkSession):
-        return fresh.repartition(parts, *keys).checkpoint()
+        return df.repartition(parts, *keys).checkpoint()
 
 
 def _weighted_edges(edges: DataFrame, multi: bool, salts: int, hot_fraction: float, parts: int):
@@ -121,14 +120,16 @@ def _weighted_edges(edges: DataFrame, multi: bool, salts: int, hot_fraction: flo
         m = edges.select("src", "dst").distinct().withColumn("mult", F.lit(1.0))
     deg = _checkpointed(m.groupBy("src").agg(F.sum("mult").alias("outdeg"), F.count(F.lit(1)).alias("n_rows")),
                         parts, "src")
-    total = deg.agg(F.sum("n_rows").alias("total"))
-    hot = (deg.crossJoin(F.broadcast(total)).filter(F.col("n_rows") > F.col("total") * F.lit(hot_fraction))
+    # fresh attribute ids: the checkpoint carries the ids of ``m``, which it is joined back to
+    degf = deg.select(*[F.col(c).alias(c) for c in deg.columns])
+    total = degf.agg(F.sum("n_rows").alias("total"))
+    hot = (degf.crossJoin(F.broadcast(total)).filter(F.col("n_rows") > F.col("total") * F.lit(hot_fraction))
            .select(F.col("src").alias("src"), F.lit(True).alias("hot"))).checkpoint()  # <= 1/hot_fraction rows
     hot_b = F.broadcast(hot)
     ms = (m.join(hot_b, "src", "left")
           .withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("dst"), F.lit(salts)))
                       .otherwise(F.lit(0)).cast("int")))
-    ds = (deg.join(hot_b, "src", "left")
+    ds = (degf.join(hot_b, "src", "left")
           .withColumn("salt", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
                                         .otherwise(F.array(F.lit(0))))))
     w = (ms.join(ds.select("src", "salt", "outdeg"), ["src", "salt"])

@@ -6,15 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast only after counting it: at most ``max_rows`` rows.
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
-    Above the bound the side stays a normal relation and the planner uses a
-    shuffle join (with AQE skew splitting).  The count is one cheap job over
-    a dimension-sized input.
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """One aggregate over ``df``: at most ``max_rows`` rows and about ``max_bytes`` of data
+    (the length of each row as JSON, an over-estimate of its in-memory size for text)."""
+    r = df.agg(F.count(F.lit(1)).alias("n"),
+               F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b")).first()
+    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only after measuring it (rows and bytes, one cheap job over a
+    dimension-sized input).  Above the bound the side stays a normal relation and the planner
+    uses a shuffle join (with AQE skew splitting)."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
 def salted(df: DataFrame, salts: int, seed_col: str | None = None) -> DataFrame:
@@ -46,14 +53,14 @@ def skew_safe_join(big: DataFrame, small: DataFrame, key: str, how: str = "left"
                    max_broadcast_rows: int | None = 2_000_000) -> DataFrame:
     """Equi-join ``big`` (many rows per key) to ``small`` (one row per key).
 
-    1. ``small`` within ``max_broadcast_rows`` (counted): broadcast hash join,
+    1. ``small`` within ``max_broadcast_rows`` and 64 MiB (measured): broadcast hash join,
        no shuffle of ``big`` at all.
     2. Otherwise a shuffle join in which only the hot keys are split: rows of
        ``big`` whose key is hot get a salt from a row hash, and the matching
        ``small`` rows are copied once per salt.  Cold keys keep salt 0, so the
        small side grows by at most ``salts / hot_fraction`` rows.
     """
-    if max_broadcast_rows is not None and small.count() <= max_broadcast_rows:
+    if max_broadcast_rows is not None and fits_broadcast(small, max_broadcast_rows):
         return big.join(F.broadcast(small), key, how)
     hot = F.broadcast(hot_keys(big, key, hot_fraction).withColumn("_hot", F.lit(True)))
     b = (big.join(hot, key, "left")
