@@ -20,6 +20,8 @@ LENGTH_PREFIX = struct.Struct("=i")
 URL_FIELD, BODY_FIELD, TEXT_FIELD = 1, 2, 3
 LEN_DELIMITED = 2
 SCHEMA = "url string, body string, text string"
+MAX_BATCH_ROWS = 4096
+MAX_BATCH_BYTES = 32 * 1024 * 1024
 
 
 def _varint(buf: bytes, i: int) -> tuple[int, int]:
@@ -106,6 +108,7 @@ class _Reader(DataSourceReader):
         raw = fs.open_input_stream(p, compression=None)
         stream = gzip.GzipFile(fileobj=raw) if p.endswith(".gz") else raw
         rows = ([], [], [])
+        buffered = 0
 
         def flush():
             batch = pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in rows],
@@ -122,8 +125,10 @@ class _Reader(DataSourceReader):
                 (size,) = LENGTH_PREFIX.unpack(head)
                 for c, v in zip(rows, decode_document(stream.read(size))):
                     c.append(v)
-                if len(rows[0]) >= 4096:
+                buffered += size
+                if len(rows[0]) >= MAX_BATCH_ROWS or buffered >= MAX_BATCH_BYTES:
                     yield flush()
+                    buffered = 0
             if rows[0]:
                 yield flush()
         finally:

@@ -50,13 +50,19 @@ def _explode_index(bytes_per_split: int):
     return run
 
 
+FLUSH_BYTES = 32 * 1024 * 1024   # emit a result frame once this much text is buffered
+
+
 def _inflate_ranges(batches):
     import zlib
 
     from quarry.sources.fsutil import resolve
 
+    def empty():
+        return {"path": [], "chunk_no": [], "offset": [], "text": [], "error": []}
+
     for pdf in batches:
-        out = {"path": [], "chunk_no": [], "offset": [], "text": [], "error": []}
+        out, buffered = empty(), 0
         pdf = pdf.sort_values(["path", "offset"])
         for path, grp in pdf.groupby("path", sort=False):
             fs, p = resolve(path)
@@ -76,7 +82,12 @@ def _inflate_ranges(batches):
                     out["offset"].append(int(off))
                     out["text"].append(text)
                     out["error"].append(err)
-        yield pd.DataFrame(out)
+                    buffered += len(text or "")
+                    if buffered >= FLUSH_BYTES:
+                        yield pd.DataFrame(out)
+                        out, buffered = empty(), 0
+        if out["path"]:
+            yield pd.DataFrame(out)
 
 
 def chunk_index(spark: SparkSession, path: str, bytes_per_split: int = DEFAULT_BYTES_PER_SPLIT) -> DataFrame:

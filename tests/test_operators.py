@@ -111,3 +111,12 @@ def test_skew_safe_join_matches_plain_join(spark):
         got = sorted(tuple(r) for r in skew_safe_join(big, small, "k", "left", salts=4, hot_fraction=0.1,
                                                       max_broadcast_rows=mb).collect())
         assert got == plain
+
+
+def test_fits_broadcast_checks_rows_and_bytes(spark):
+    from quarry.operators.joins import fits_broadcast
+
+    df = spark.createDataFrame([("k", "x" * 1000)] * 10, "k string, v string")
+    assert fits_broadcast(df, 10)
+    assert not fits_broadcast(df, 9)
+    assert not fits_broadcast(df, 10, max_bytes=5000)
