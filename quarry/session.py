@@ -38,6 +38,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect client."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no driver-side context
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -45,7 +53,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     together with the executor that wrote it.  Only a local-mode session
     (tests, the bench) gets a private folder under the system temp dir.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the server")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -82,8 +95,8 @@ def ensure_importable(spark: SparkSession) -> None:
 
     import quarry
 
-    sc = spark.sparkContext
-    app = sc.applicationId
+    sc = _context(spark)
+    app = sc.applicationId if sc is not None else f"connect-{spark.session_id}"
     if app in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(quarry.__file__))
@@ -95,5 +108,8 @@ def ensure_importable(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(zpath)
+    if sc is not None:
+        sc.addPyFile(zpath)
+    else:
+        spark.addArtifacts(zpath, pyfile=True)
     _SHIPPED.add(app)
