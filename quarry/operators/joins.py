@@ -24,17 +24,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MA
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
-def salted(df: DataFrame, salts: int, seed_col: str | None = None) -> DataFrame:
-    """Add ``salt`` in [0, salts): hash of ``seed_col`` (deterministic) or of the whole row."""
-    basis = F.col(seed_col) if seed_col else F.struct(*df.columns)
-    return df.withColumn("salt", F.pmod(F.xxhash64(basis), F.lit(salts)).cast("int"))
-
-
-def replicated(df: DataFrame, salts: int) -> DataFrame:
-    """Copy every row once per salt value (the small side of a salted join)."""
-    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-
-
 def hot_keys(big: DataFrame, key: str, hot_fraction: float) -> DataFrame:
     """Keys holding more than ``hot_fraction`` of ``big``'s rows -> (key).
 
@@ -64,11 +53,11 @@ def skew_safe_join(big: DataFrame, small: DataFrame, key: str, how: str = "left"
         return big.join(F.broadcast(small), key, how)
     hot = F.broadcast(hot_keys(big, key, hot_fraction).withColumn("_hot", F.lit(True)))
     b = (big.join(hot, key, "left")
-         .withColumn("salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
+         .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
                      .otherwise(F.lit(0)).cast("int"))
          .drop("_hot"))
     s = (small.join(hot, key, "left")
-         .withColumn("salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+         .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
                                        .otherwise(F.array(F.lit(0)))))
          .drop("_hot"))
-    return b.join(s, [key, "salt"], how).drop("salt")
+    return b.join(s, [key, "_salt"], how).drop("_salt")

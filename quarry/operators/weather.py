@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import weather as W
-from quarry.operators.joins import broadcast_if_small
+from quarry.operators.joins import skew_safe_join
 
 # The station file's placeholder id, and the label line format.
 UNKNOWN_STATION = "999999"
@@ -58,18 +58,26 @@ def usable_stations(stations: DataFrame) -> DataFrame:
     return one.select("station", "info.lat", "info.lon", "info.name")
 
 
-def station_labels(hottest: DataFrame, stations: DataFrame, max_broadcast_rows: int = 5_000_000) -> DataFrame:
-    """J1 + K9: label line ``lat, lon, name (value)`` for results whose station is known."""
-    st = broadcast_if_small(usable_stations(stations), max_broadcast_rows)
-    j = hottest.select("station", "key", "value").join(st, "station", "inner")
+def station_labels(hottest: DataFrame, stations: DataFrame, max_broadcast_rows: int = 5_000_000,
+                   **join_opts) -> DataFrame:
+    """J1 + K9: label line ``lat, lon, name (value)`` for results whose station is known.
+
+    Stations are broadcast after a size check; beyond it, a shuffle join that
+    salts stations holding a large share of the results (``skew_safe_join``).
+    """
+    st = usable_stations(stations)
+    j = skew_safe_join(hottest.select("station", "key", "value"), st, "station", "inner",
+                       max_broadcast_rows=max_broadcast_rows, **join_opts)
     return j.select("station", "key",
                     F.format_string(LABEL_FORMAT, "lat", "lon", "name", "value").alias("label"))
 
 
-def stations_missing(hottest: DataFrame, stations: DataFrame, max_broadcast_rows: int = 5_000_000) -> DataFrame:
+def stations_missing(hottest: DataFrame, stations: DataFrame, max_broadcast_rows: int = 5_000_000,
+                     **join_opts) -> DataFrame:
     """Results whose station has no usable row -> (station, key)."""
-    st = broadcast_if_small(usable_stations(stations).select("station"), max_broadcast_rows)
-    return hottest.select("station", "key").join(st, "station", "left_anti")
+    st = usable_stations(stations).select("station")
+    return skew_safe_join(hottest.select("station", "key"), st, "station", "left_anti",
+                          max_broadcast_rows=max_broadcast_rows, **join_opts)
 
 
 def on_this_day(hottest: DataFrame, day: int, month: int) -> DataFrame:

@@ -55,9 +55,10 @@ def test_station_labels_and_missing(spark):
     st = spark.createDataFrame([("100001", "10.5", "20.25", "ONE", 1), ("100001", "11.0", "21.0", "ONE-B", 2),
                                 ("100002", "", "1", "NOLAT", 1), ("999999", "1", "1", "X", 1)],
                                "usaf string, lat string, lon string, name string, ord int")
-    lab = [tuple(r) for r in WE.station_labels(hot, st).collect()]
-    assert lab == [(100001, "100001:09.03", "11.0000, 21.0000, ONE-B (21.0C (2014))")]  # last duplicate wins
-    assert [r.station for r in WE.stations_missing(hot, st).collect()] == [100002]
+    for opts in ({}, {"max_broadcast_rows": None, "salts": 3, "hot_fraction": 0.3}):
+        lab = [tuple(r) for r in WE.station_labels(hot, st, **opts).collect()]
+        assert lab == [(100001, "100001:09.03", "11.0000, 21.0000, ONE-B (21.0C (2014))")]  # last duplicate wins
+        assert [r.station for r in WE.stations_missing(hot, st, **opts).collect()] == [100002]
 
 
 def test_word_counts(spark):
@@ -106,11 +107,12 @@ def test_skew_safe_join_matches_plain_join(spark):
     big = spark.createDataFrame([("hot", i) for i in range(60)] + [(f"k{i}", i) for i in range(20)], "k string, v int")
     small = spark.createDataFrame([("hot", "H")] + [(f"k{i}", f"S{i}") for i in range(0, 20, 2)], "k string, s string")
     assert [r.k for r in hot_keys(big, "k", 0.1).collect()] == ["hot"]
-    plain = sorted(tuple(r) for r in big.join(small, "k", "left").collect())
-    for mb in (None, 1000):
-        got = sorted(tuple(r) for r in skew_safe_join(big, small, "k", "left", salts=4, hot_fraction=0.1,
-                                                      max_broadcast_rows=mb).collect())
-        assert got == plain
+    for how in ("left", "inner", "left_anti", "left_semi"):
+        plain = sorted(tuple(r) for r in big.join(small, "k", how).collect())
+        for mb in (None, 1000):
+            got = sorted(tuple(r) for r in skew_safe_join(big, small, "k", how, salts=4, hot_fraction=0.1,
+                                                          max_broadcast_rows=mb).collect())
+            assert got == plain, (how, mb)
 
 
 def test_fits_broadcast_checks_rows_and_bytes(spark):
