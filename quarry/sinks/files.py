@@ -49,12 +49,12 @@ def write_fixed_records(df: DataFrame, col: str, out_dir: str, record_bytes: int
 
         def chunks():
             for pdf in batches:
-                for b in pdf[col]:
-                    b = bytes(b)
-                    if len(b) != record_bytes:
-                        raise ValueError(f"record of {len(b)} bytes, expected {record_bytes}")
-                    count[0] += 1
-                    yield b
+                recs = pdf[col].tolist()
+                bad = [len(b) for b in recs if len(b) != record_bytes]
+                if bad:
+                    raise ValueError(f"record of {bad[0]} bytes, expected {record_bytes}")
+                count[0] += len(recs)
+                yield b"".join(bytes(b) for b in recs)
         n = write_atomic(path + ".bin", chunks())
         return count[0], n
 
