@@ -20,6 +20,30 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings sized for a given input and cluster so that partitions fit in executor memory.
+
+    * shuffle partitions: about ``target_partition_bytes`` of input each (at least
+      two waves of tasks), AQE then coalesces small ones and splits skewed ones;
+    * file splits of ``min(target, 512 MiB)`` for the scans;
+    * skew: a partition is skewed above 5x the median and 512 MiB.
+    For 100 TB on 1000 x 8 cores this gives ~400k shuffle partitions of 256 MiB.
+    """
+    slots = executors * cores_per_executor
+    partitions = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    split = min(target_partition_bytes, 512 * 1024 * 1024)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionNum": str(slots),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "quarry", extra: dict | None = None) -> SparkSession:
     """Return the active session, or build one (local only when no master is given)."""

@@ -56,3 +56,12 @@ def test_observed_counters(spark):
                        MalformedUrls=F.count_if(F.col("h").isNull()))
     d2.collect()
     assert obs.get["MalformedUrls"] == 1
+
+
+def test_scale_conf():
+    from quarry.session import scale_conf
+
+    c = scale_conf(100 * 1024**4, 1000, 8)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    small = scale_conf(1024, 2, 4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
