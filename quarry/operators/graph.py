@@ -85,29 +85,37 @@ class PageRankResult:
 
 
 @contextmanager
-def _static_plan(spark):
-    """Run a checkpoint with adaptive execution off, so the written RDD keeps its hash
-    partitioning (an adaptive plan reports unknown partitioning and later joins would
-    re-shuffle the checkpoint).  Skew inside the iteration is handled by salting instead."""
-    old = spark.conf.get("spark.sql.adaptive.enabled")
+def _static_plan(spark, parts: int | None = None):
+    """Run a checkpoint with adaptive execution off (and every exchange on ``parts``
+    partitions), so the written RDD keeps its hash partitioning: an adaptive plan reports
+    unknown partitioning and later joins would re-shuffle the checkpoint.  Skew inside the
+    iteration is handled by salting instead."""
+    keys = ["spark.sql.adaptive.enabled"] + (["spark.sql.shuffle.partitions"] if parts else [])
+    old = {k: spark.conf.get(k) for k in keys}
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    if parts:
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     try:
         yield
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", old)
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def _checkpointed(df: DataFrame, parts: int, *keys: str) -> DataFrame:
     """Reliable checkpoint, hash-partitioned on ``keys`` (the partitioning is kept by the
     checkpoint, so later joins on ``keys`` need no exchange on this side)."""
-    with _static_plan(df.sparkSession):
+    with _static_plan(df.sparkSession, parts):
         return df.repartition(parts, *keys).checkpoint()
 
 
-def _weighted_edges(edges: DataFrame, multi: bool, salts: int, hot_fraction: float, parts: int):
-    """-> (w, deg, hot): salted weighted edges (src, salt, dst, w) hash-partitioned on
-    (src, salt) and checkpointed; out-degrees (src, outdeg, n_rows) checkpointed on src;
+def _weighted_edges(edges: DataFrame, multi: bool, salts: int, hot_fraction: float,
+                    partitions: int | None, rows_per_partition: int):
+    """-> (w, deg, hot, parts): salted weighted edges (src, salt, dst, w) hash-partitioned on
+    (src, salt) into ``parts`` partitions and checkpointed; out-degrees (src, outdeg, n_rows);
     the hot sources (src, hot) holding more than ``hot_fraction`` of the edge rows.
+    ``parts`` is ``partitions`` or sized from the edge count (``rows_per_partition`` each,
+    at least the cluster's parallelism).
 
     ``w`` = multiplicity / out-degree (multi) or 1 / distinct out-degree (set).  The
     rows of a hot source are spread over ``salts`` buckets by a hash of ``dst``;
@@ -118,12 +126,12 @@ def _weighted_edges(edges: DataFrame, multi: bool, salts: int, hot_fraction: flo
         m = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("mult"))
     else:
         m = edges.select("src", "dst").distinct().withColumn("mult", F.lit(1.0))
-    deg = _checkpointed(m.groupBy("src").agg(F.sum("mult").alias("outdeg"), F.count(F.lit(1)).alias("n_rows")),
-                        parts, "src")
+    deg = m.groupBy("src").agg(F.sum("mult").alias("outdeg"), F.count(F.lit(1)).alias("n_rows")).checkpoint()
     # fresh attribute ids: the checkpoint carries the ids of ``m``, which it is joined back to
     degf = deg.select(*[F.col(c).alias(c) for c in deg.columns])
-    total = degf.agg(F.sum("n_rows").alias("total"))
-    hot = (degf.crossJoin(F.broadcast(total)).filter(F.col("n_rows") > F.col("total") * F.lit(hot_fraction))
+    total = int(degf.agg(F.sum("n_rows").alias("t")).first()["t"] or 0)
+    parts = partitions or max(_parallelism(edges.sparkSession), -(-total // rows_per_partition))
+    hot = (degf.filter(F.col("n_rows") > F.lit(total * hot_fraction))
            .select(F.col("src").alias("src"), F.lit(True).alias("hot"))).checkpoint()  # <= 1/hot_fraction rows
     hot_b = F.broadcast(hot)
     ms = (m.join(hot_b, "src", "left")
@@ -134,12 +142,20 @@ def _weighted_edges(edges: DataFrame, multi: bool, salts: int, hot_fraction: flo
                                         .otherwise(F.array(F.lit(0))))))
     w = (ms.join(ds.select("src", "salt", "outdeg"), ["src", "salt"])
          .select("src", "salt", "dst", (F.col("mult") / F.col("outdeg")).alias("w")))
-    return _checkpointed(w, parts, "src", "salt"), deg, hot
+    return _checkpointed(w, parts, "src", "salt"), deg, hot, parts
+
+
+def _parallelism(spark) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect: no driver-side context
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DAMPING,
              n_nodes: float | None = None, variant: str = "set", dangling: str = "redistribute",
-             digits: int | None = None, salts: int = 32, hot_fraction: float = 0.001) -> PageRankResult:
+             digits: int | None = None, salts: int = 32, hot_fraction: float = 0.001,
+             partitions: int | None = None, rows_per_partition: int = 4_000_000) -> PageRankResult:
     """PageRank with the dangling mass added back after damping (undamped, as the reference does).
 
     ``variant='multi'`` (X9, chained-job semantics): duplicate edges count;
@@ -152,16 +168,17 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
     ``n_nodes`` defaults to the number of distinct nodes.  Scores are
     ``pr + L/N`` of the last step, optionally rounded to ``digits``.
     Sources holding more than ``hot_fraction`` of the edges (at most
-    ``1/hot_fraction`` of them) are split over ``salts`` partitions.
+    ``1/hot_fraction`` of them) are split over ``salts`` partitions.  The
+    iteration runs on ``partitions`` hash partitions, by default one per
+    ``rows_per_partition`` edge rows (at least the cluster's parallelism).
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     multi = variant == "multi"
     redistribute = dangling == "redistribute"
     e = edges.select(F.col("src").cast("long"), F.col("dst").cast("long"))
 
-    w, deg, hot = _weighted_edges(e, multi, salts, hot_fraction, parts)
+    w, deg, hot, parts = _weighted_edges(e, multi, salts, hot_fraction, partitions, rows_per_partition)
     hot = F.broadcast(hot)
     nodes = (graph_nodes(e).join(deg.select(F.col("src").alias("id"), F.lit(True).alias("has_out")), "id", "left")
              .select("id", F.coalesce("has_out", F.lit(False)).alias("has_out")))
