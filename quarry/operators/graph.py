@@ -179,9 +179,12 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
     e = edges.select(F.col("src").cast("long"), F.col("dst").cast("long"))
 
     w, deg, hot, parts = _weighted_edges(e, multi, salts, hot_fraction, partitions, rows_per_partition)
-    hot = F.broadcast(hot)
-    nodes = (graph_nodes(e).join(deg.select(F.col("src").alias("id"), F.lit(True).alias("has_out")), "id", "left")
-             .select("id", F.coalesce("has_out", F.lit(False)).alias("has_out")))
+    # node rows carry their flags (has out-links, hot source) so iterations need no extra join
+    nodes = (graph_nodes(e)
+             .join(deg.select(F.col("src").alias("id"), F.lit(True).alias("has_out")), "id", "left")
+             .join(F.broadcast(hot.select(F.col("src").alias("id"), "hot")), "id", "left")
+             .select("id", F.coalesce("has_out", F.lit(False)).alias("has_out"),
+                     F.coalesce("hot", F.lit(False)).alias("hot")))
     nodes = _checkpointed(nodes, parts, "id")
     counts = nodes.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("has_out")).alias("d")).first()
     n_dangling = int(counts["d"])
@@ -191,20 +194,20 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
     base = (1.0 - damping) / N
 
     start = nodes.filter("has_out") if multi else nodes
-    ranks = _checkpointed(start.select("id", "has_out", F.lit(1.0 / N).alias("pr")), parts, "id")
+    ranks = _checkpointed(start.select("id", "has_out", "hot", F.lit(1.0 / N).alias("pr")), parts, "id")
     leaked = 0.0
 
     for _ in range(iterations):
         share = F.lit(leaked / N)
         if multi:
-            cur = ranks.select("id", "has_out", (F.col("pr") + share).alias("cur"))
+            cur = ranks.select("id", "has_out", "hot", (F.col("pr") + share).alias("cur"))
         else:  # every node passes on its rank (0 once it has none) plus L/N
             cur = (nodes.join(ranks.select("id", "pr"), "id", "left")
-                   .select("id", "has_out", (F.coalesce("pr", F.lit(0.0)) + share).alias("cur")))
-        sent = (cur.filter("has_out").select(F.col("id").alias("src"), "cur")
-                .join(hot, "src", "left")
-                .select("src", "cur", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                                .otherwise(F.array(F.lit(0)))).alias("salt")))
+                   .select("id", "has_out", "hot", (F.coalesce("pr", F.lit(0.0)) + share).alias("cur")))
+        sent = (cur.filter("has_out")
+                .select(F.col("id").alias("src"), "cur",
+                        F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                  .otherwise(F.array(F.lit(0)))).alias("salt")))
         contrib = (w.join(sent, ["src", "salt"])
                    .groupBy("dst").agg(F.sum(F.col("w") * F.col("cur")).alias("s"))
                    .withColumnRenamed("dst", "id"))
@@ -215,7 +218,8 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
             j = j.filter(F.col("had").isNotNull() | F.col("s").isNotNull())
         else:      # only nodes that received something keep a rank
             j = j.filter(F.col("s").isNotNull())
-        nxt = j.select("id", "has_out", (F.lit(base) + F.lit(damping) * F.coalesce("s", F.lit(0.0))).alias("pr"))
+        nxt = j.select("id", "has_out", "hot",
+                       (F.lit(base) + F.lit(damping) * F.coalesce("s", F.lit(0.0))).alias("pr"))
         new_leaked = 0.0
         if redistribute:  # sum of cur over dangling senders, from the checkpoint alone (no join)
             row = ranks.filter(~F.col("has_out")).agg(F.sum("pr").alias("s"), F.count(F.lit(1)).alias("n")).first()
