@@ -112,9 +112,13 @@ def ensure_importable(spark: SparkSession) -> None:
     """Ship this package to the Python workers once per application (``addPyFile``).
 
     Readers, writers and pandas UDFs run module functions of ``quarry`` inside
-    tasks; workers must import it whatever their working directory.  When the
-    package was already shipped (``--py-files``) the extra copy is harmless.
+    tasks; workers must import it whatever their working directory.  The zip is
+    built in memory and written to the shared checkpoint folder, from where
+    Spark distributes it.  When the package was already shipped
+    (``--py-files``) the extra copy is harmless.
     """
+    import hashlib
+    import io
     import zipfile
 
     import quarry
@@ -125,15 +129,24 @@ def ensure_importable(spark: SparkSession) -> None:
         return
     pkg_dir = os.path.dirname(os.path.abspath(quarry.__file__))
     root = os.path.dirname(pkg_dir)
-    zpath = os.path.join(tempfile.mkdtemp(prefix="quarry-pyfiles-"), "quarry.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
-        for dirpath, _, files in os.walk(pkg_dir):
-            for f in files:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in sorted(os.walk(pkg_dir)):
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, root))
+    data = buf.getvalue()
     if sc is not None:
-        sc.addPyFile(zpath)
-    else:
+        from quarry.sources.fsutil import write_atomic
+
+        digest = hashlib.sha1(data).hexdigest()[:12]
+        target = f"{checkpoint_dir(spark).rstrip('/')}/pyfiles/{digest}/quarry.zip"
+        write_atomic(target, [data])
+        sc.addPyFile(target)
+    else:  # Spark Connect: upload as a session artifact
+        zpath = os.path.join(tempfile.mkdtemp(prefix="quarry-pyfiles-"), "quarry.zip")
+        with open(zpath, "wb") as f:
+            f.write(data)
         spark.addArtifacts(zpath, pyfile=True)
     _SHIPPED.add(app)
