@@ -119,15 +119,32 @@ def pagerank(spark, inp, out, iterations=20, variant="set", dangling="redistribu
         .write.mode("overwrite").text(out.rstrip("/") + "/top")
 
 
-def bulkload(spark, inp, table_dir):
-    """S11 + K5: ``url<TAB>base64(text)`` lines -> keyed table (row_key, text, size), range-sorted."""
+def _url_docs(spark, inp):
+    """``url<TAB>base64(text)`` lines -> one row per url (row_key, text, size); a url seen
+    twice keeps its smallest text (A15, D6), so row keys stay unique."""
     from quarry.functions.text import utf16_length
-    from quarry.sinks.files import write_version
+    from quarry.operators.keyed import first_per_key
     from quarry.sources.text import parse_url_base64
 
-    docs = parse_url_base64(spark.read.text(inp))
-    write_version(docs.select(F.col("url").alias("row_key"), "text", utf16_length("text").alias("size")),
-                  table_dir)
+    docs = first_per_key(parse_url_base64(spark.read.text(inp)), "url", "text")
+    return docs.select(F.col("url").alias("row_key"), "text", utf16_length("text").alias("size"))
+
+
+def bulkload(spark, inp, table_dir):
+    """S11 + K5: ``url<TAB>base64(text)`` lines -> a new keyed table version, range-sorted by key."""
+    from quarry.sinks.files import write_version
+
+    write_version(_url_docs(spark, inp), table_dir)
+
+
+def tableput(spark, inp, table_dir):
+    """S11 + A15 + K3: put ``url<TAB>base64(text)`` documents into an existing keyed table
+    (new keys inserted, existing rows updated) and publish the next version."""
+    from quarry.operators.keyed import upsert_rows
+    from quarry.sinks.files import read_current, write_version
+
+    base = read_current(spark, table_dir)
+    write_version(upsert_rows(base, _url_docs(spark, inp)), table_dir)
 
 
 def docs2tsv(spark, inp, out):
@@ -184,6 +201,7 @@ def main(argv=None) -> int:
     job("pagerank", "inp", "out", iterations=(int, 20), variant=(str, "set"), dangling=(str, "redistribute"),
         top=(int, 11), nodes=(float, None), comment_rule=(str, None), resplit=(int, None))
     job("bulkload", "inp", "table_dir")
+    job("tableput", "inp", "table_dir")
     job("docs2tsv", "inp", "out")
     job("tablewordcount", "table_dir", "out", min_size=(int, None), max_size=(int, None))
     job("records2base64", "inp", "out", record_bytes=(int, None))
@@ -194,7 +212,7 @@ def main(argv=None) -> int:
 
 
 JOBS = {f.__name__: f for f in (wordcount, docfreq, hostpercents, seo, weather, fixstatus, pagerank,
-                                bulkload, docs2tsv, tablewordcount, records2base64)}
+                                bulkload, tableput, docs2tsv, tablewordcount, records2base64)}
 
 
 if __name__ == "__main__":

@@ -48,3 +48,20 @@ def first_per_key(df: DataFrame, key_col: str, value_col: str, order_col: str |
     """
     agg = F.min_by(value_col, order_col) if order_col else F.min(value_col)
     return df.groupBy(key_col).agg(agg.alias(value_col))
+
+
+def upsert_rows(base: DataFrame, rows: DataFrame, key_col: str = "row_key") -> DataFrame:
+    """K3 for whole rows: put every non-NULL cell of ``rows`` (one row per key), keep the
+    other cells, insert new keys.  Columns missing from ``rows`` are kept as they are."""
+    new_cols = [c for c in rows.columns if c != key_col]
+    r = rows.select(key_col, *[F.col(c).alias(f"_new_{c}") for c in new_cols])
+    j = base.join(r, key_col, "full_outer")
+    out = []
+    for c in base.columns:
+        if c == key_col:
+            continue
+        if c in new_cols:
+            out.append(F.coalesce(F.col(f"_new_{c}"), F.col(c)).cast(base.schema[c].dataType).alias(c))
+        else:
+            out.append(F.col(c))
+    return j.select(key_col, *out)

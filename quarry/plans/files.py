@@ -65,15 +65,16 @@ def proto_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bulk_sorted_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S10 -> K11 -> S11 -> K5: stream to ``url<TAB>base64`` lines, parse, load a keyed table
-    range-sorted by key, publish it, read it back -> (row_key, size, text_md5)."""
+    """S10 -> K11 -> S11 -> A15 -> K5: stream to ``url<TAB>base64`` lines, parse, one row per
+    url, load a keyed table range-sorted by key, publish it, read it back -> (row_key, size, text_md5)."""
     from quarry.functions.text import utf16_length
+    from quarry.operators.keyed import first_per_key
 
     base = scratch_path(spark, "bulk")
     docs = _docstream(spark, sf_dir, compress=False).repartition(8)
     lines = docs.filter(F.col("text").isNotNull()).select(sinks.url_base64_line("url", "text").alias("value"))
     lines.write.mode("overwrite").text(base + "/lines")
-    parsed = text_src.parse_url_base64(spark.read.text(base + "/lines"))
+    parsed = first_per_key(text_src.parse_url_base64(spark.read.text(base + "/lines")), "url", "text")
     loaded = parsed.select(F.col("url").alias("row_key"), "text", utf16_length("text").alias("size"))
     sinks.write_version(loaded, base + "/table", "row_key")
     t = sinks.read_current(spark, base + "/table")

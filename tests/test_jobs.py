@@ -91,3 +91,17 @@ def test_docfreq_docs2tsv_records_jobs(spark, tmp_dir):
     write_fixed_records(recs, "r", f"{tmp_dir}/recs", 4)
     jobs.main(["records2base64", "--record-bytes", "4", f"{tmp_dir}/recs", f"{tmp_dir}/b64"])
     assert _read(spark, f"{tmp_dir}/b64") == ["YWJjZA==", "d3h5eg=="]
+
+
+def test_tableput_dedupes_and_upserts(spark, tmp_dir):
+    import base64
+
+    from quarry.sinks.files import read_current
+
+    enc = lambda t: base64.b64encode(t.encode()).decode()
+    _write(f"{tmp_dir}/t1/a.txt", [f"http://u/1\t{enc('one')}", f"http://u/2\t{enc('two')}"])
+    jobs.main(["bulkload", f"{tmp_dir}/t1", f"{tmp_dir}/table"])
+    _write(f"{tmp_dir}/t2/a.txt", [f"http://u/2\t{enc('zwei')}", f"http://u/2\t{enc('deux')}", f"http://u/3\t{enc('drei')}"])
+    jobs.main(["tableput", f"{tmp_dir}/t2", f"{tmp_dir}/table"])
+    got = {r.row_key: (r.text, r.size) for r in read_current(spark, f"{tmp_dir}/table").collect()}
+    assert got == {"http://u/1": ("one", 3), "http://u/2": ("deux", 4), "http://u/3": ("drei", 4)}

@@ -122,3 +122,10 @@ def test_fits_broadcast_checks_rows_and_bytes(spark):
     assert fits_broadcast(df, 10)
     assert not fits_broadcast(df, 9)
     assert not fits_broadcast(df, 10, max_bytes=5000)
+
+
+def test_upsert_rows(spark):
+    base = spark.createDataFrame([("k1", "a", 1), ("k2", "b", 2)], "row_key string, text string, size int")
+    rows = spark.createDataFrame([("k2", "B"), ("k3", "c")], "row_key string, text string")
+    got = {r.row_key: (r.text, r.size) for r in K.upsert_rows(base, rows).collect()}
+    assert got == {"k1": ("a", 1), "k2": ("B", 2), "k3": ("c", None)}
