@@ -11,12 +11,25 @@ DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
     """One aggregate over ``df``: at most ``max_rows`` rows and about ``max_bytes`` of data
-    (the length of each row as JSON, an over-estimate of its in-memory size for text)."""
-    r = df.agg(F.count(F.lit(1)).alias("n"),
-               F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b")).first()
+    (per row, the byte length of each value or of its text form, plus 8 bytes per column)."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
     return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
 
 
+def _row_bytes(df: DataFrame):
+    from pyspark.sql import types as T
+
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        v = c if isinstance(f.dataType, (T.StringType, T.BinaryType)) else c.cast("string")
+        parts.append(F.coalesce(F.octet_length(v), F.lit(0)) + F.lit(8))
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return total
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast only after measuring it (rows and bytes, one cheap job over a
     dimension-sized input).  Above the bound the side stays a normal relation and the planner

@@ -129,3 +129,11 @@ def test_upsert_rows(spark):
     rows = spark.createDataFrame([("k2", "B"), ("k3", "c")], "row_key string, text string")
     got = {r.row_key: (r.text, r.size) for r in K.upsert_rows(base, rows).collect()}
     assert got == {"k1": ("a", 1), "k2": ("B", 2), "k3": ("c", None)}
+
+
+def test_fits_broadcast_any_column_type(spark):
+    from quarry.operators.joins import fits_broadcast
+
+    df = spark.createDataFrame([(bytearray(b"ab"), [1, 2], {"k": 1.0})], "b binary, a array<int>, m map<string,double>")
+    assert fits_broadcast(df, 1)
+    assert not fits_broadcast(df, 1, max_bytes=10)
