@@ -121,3 +121,18 @@ def test_robots_rule_kinds_and_skipped_lines(spark):
     r = df.select(R.compile_rules("robots").alias("r"), R.skipped_rule_lines("robots").alias("s")).first()
     assert [(x.kind, x.literal) for x in r.r] == [("exact", "/a"), ("contains", "b"), ("suffix", "c"), ("exact", "d")]
     assert r.s == 1
+
+
+def test_empty_disallow_matches_only_empty_path(spark):
+    # D12: "Disallow: " compiles to an empty pattern, which fully matches only the empty path
+    df = spark.createDataFrame([("Disallow: ", ""), ("Disallow: ", "/x")], "robots string, path string")
+    got = [r.d for r in df.select(R.is_disallowed(R.compile_rules("robots"), F.col("path")).alias("d")).collect()]
+    assert got == [True, False]
+
+
+def test_lenient_base64(spark):
+    # Junk characters in base64 text are skipped, as the reference's decoder does
+    from quarry.functions.codec import from_base64_text, utf8_lenient
+
+    got = one(spark, utf8_lenient(from_base64_text("x")), "aGVs*bG8=")
+    assert got == "hello"
