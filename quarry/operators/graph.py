@@ -179,12 +179,18 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
     e = edges.select(F.col("src").cast("long"), F.col("dst").cast("long"))
 
     w, deg, hot, parts = _weighted_edges(e, multi, salts, hot_fraction, partitions, rows_per_partition)
-    # node rows carry their flags (has out-links, hot source) so iterations need no extra join
+    # Node rows carry their flags (has out-links, hot source) and in_w = sum of the weights of
+    # their in-edges.  Every node with out-links sends each step (its rank, or 0, plus L/N),
+    # so the L/N part of what a node receives is (L/N) * in_w: static, computed once.
+    in_w = w.groupBy("dst").agg(F.sum("w").alias("in_w")).withColumnRenamed("dst", "id")
     nodes = (graph_nodes(e)
              .join(deg.select(F.col("src").alias("id"), F.lit(True).alias("has_out")), "id", "left")
              .join(F.broadcast(hot.select(F.col("src").alias("id"), "hot")), "id", "left")
+             .join(in_w, "id", "left")
              .select("id", F.coalesce("has_out", F.lit(False)).alias("has_out"),
-                     F.coalesce("hot", F.lit(False)).alias("hot")))
+                     F.coalesce("hot", F.lit(False)).alias("hot"),
+                     F.col("in_w").isNotNull().alias("has_in"),
+                     F.coalesce("in_w", F.lit(0.0)).alias("in_w")))
     nodes = _checkpointed(nodes, parts, "id")
     counts = nodes.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("has_out")).alias("d")).first()
     n_dangling = int(counts["d"])
@@ -199,29 +205,25 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
 
     for _ in range(iterations):
         share = F.lit(leaked / N)
-        if multi:
-            cur = ranks.select("id", "has_out", "hot", (F.col("pr") + share).alias("cur"))
-        else:  # every node passes on its rank (0 once it has none) plus L/N
-            cur = (nodes.join(ranks.select("id", "pr"), "id", "left")
-                   .select("id", "has_out", "hot", (F.coalesce("pr", F.lit(0.0)) + share).alias("cur")))
-        sent = (cur.filter("has_out")
-                .select(F.col("id").alias("src"), "cur",
+        # senders with a rank row pass it on; the L/N part is added per receiver via in_w
+        sent = (ranks.filter("has_out")
+                .select(F.col("id").alias("src"), "pr",
                         F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
                                   .otherwise(F.array(F.lit(0)))).alias("salt")))
         contrib = (w.join(sent, ["src", "salt"])
-                   .groupBy("dst").agg(F.sum(F.col("w") * F.col("cur")).alias("s"))
+                   .groupBy("dst").agg(F.sum(F.col("w") * F.col("pr")).alias("s"))
                    .withColumnRenamed("dst", "id"))
         # nodes, ranks and contrib are all hash-partitioned on the node id: no shuffle here
         j = nodes.join(contrib, "id", "left")
         if multi:  # rows that existed stay (their structure reaches the reducer), new targets join
             j = j.join(ranks.select("id", F.lit(True).alias("had")), "id", "left")
-            j = j.filter(F.col("had").isNotNull() | F.col("s").isNotNull())
+            j = j.filter(F.col("had").isNotNull() | F.col("has_in"))
         else:      # only nodes that received something keep a rank
-            j = j.filter(F.col("s").isNotNull())
-        nxt = j.select("id", "has_out", "hot",
-                       (F.lit(base) + F.lit(damping) * F.coalesce("s", F.lit(0.0))).alias("pr"))
+            j = j.filter(F.col("has_in"))
+        received = F.coalesce("s", F.lit(0.0)) + share * F.col("in_w")
+        nxt = j.select("id", "has_out", "hot", (F.lit(base) + F.lit(damping) * received).alias("pr"))
         new_leaked = 0.0
-        if redistribute:  # sum of cur over dangling senders, from the checkpoint alone (no join)
+        if redistribute:  # sum of cur = pr + L/N over dangling senders, from the checkpoint alone
             row = ranks.filter(~F.col("has_out")).agg(F.sum("pr").alias("s"), F.count(F.lit(1)).alias("n")).first()
             senders = row["n"] if multi else n_dangling
             new_leaked = float(row["s"] or 0.0) + senders * leaked / N
