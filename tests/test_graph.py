@@ -61,3 +61,11 @@ def test_parse_edge_lines(spark):
     assert got == [(1, 2)]
     got = sorted(tuple(r) for r in G.parse_edge_lines(lines, "startswith").collect())
     assert got == [(1, 2)]  # '4 # x' is not a number either way
+
+
+@pytest.mark.parametrize("variant,dangling", [("multi", "redistribute"), ("set", "redistribute")])
+def test_pagerank_persisted_steps(edges, variant, dangling):
+    res = G.pagerank(edges, iterations=3, n_nodes=5, variant=variant, dangling=dangling, checkpoint_every=2)
+    got = {r["id"]: r["pr"] for r in res.ranks.collect()}
+    for k, v in GOLDEN[(variant, dangling, 3)].items():
+        assert got[k] == pytest.approx(v, abs=1e-8)
