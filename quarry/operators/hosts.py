@@ -19,11 +19,6 @@ FIRST_LETTER, LAST_LETTER = "a", "z"
 SEO_PARTITIONS = 35
 
 
-def with_host(urls: DataFrame, url_col: str = "url") -> DataFrame:
-    """Adds ``host`` (strict parse, F6); malformed URLs get NULL."""
-    return urls.withColumn("host", strict_host(url_col))
-
-
 def host_counts(urls: DataFrame, url_col: str = "url") -> DataFrame:
     """A5: hits per host; malformed URLs skipped (P5) -> (host, hits)."""
     h = urls.select(strict_host(url_col).alias("host")).filter(F.col("host").isNotNull())
