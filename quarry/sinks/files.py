@@ -55,7 +55,7 @@ def write_fixed_records(df: DataFrame, col: str, out_dir: str, record_bytes: int
                     raise ValueError(f"record of {bad[0]} bytes, expected {record_bytes}")
                 count[0] += len(recs)
                 yield b"".join(bytes(b) for b in recs)
-        n = write_atomic(path + ".bin", chunks())
+        n = write_atomic(path + ".bin", chunks(), skip_empty=True)
         return count[0], n
 
     return _per_partition(df.select(col), out_dir, "part", write)
@@ -76,8 +76,9 @@ def write_indexed_chunks(df: DataFrame, text_col: str, out_dir: str, level: int
                     c = zlib.compress(("" if t is None else t).encode("utf-8"), level)
                     sizes.append(len(c))
                     yield c
-        n = write_atomic(path + ".z", chunks())
-        write_atomic(path + ".z" + IDX_SUFFIX, [np.asarray(sizes, dtype=SIZE_DTYPE).tobytes()])
+        n = write_atomic(path + ".z", chunks(), skip_empty=True)
+        if sizes:  # the index is written last: an archive without its index is never read
+            write_atomic(path + ".z" + IDX_SUFFIX, [np.asarray(sizes, dtype=SIZE_DTYPE).tobytes()])
         return len(sizes), n
 
     return _per_partition(df.select(text_col), out_dir, "part", write)
@@ -104,9 +105,9 @@ def write_docstream(df: DataFrame, out_dir: str, url_col: str = "url", body_col:
                                           d.get(text_col) if text_col else None)
 
         if compress:
-            data = gzip.compress(b"".join(messages()))
-            return count[0], write_atomic(path + ".pb.gz", [data])
-        return count[0], write_atomic(path + ".pb", messages())
+            raw = b"".join(messages())
+            return count[0], write_atomic(path + ".pb.gz", [gzip.compress(raw)] if raw else [], skip_empty=True)
+        return count[0], write_atomic(path + ".pb", messages(), skip_empty=True)
 
     return _per_partition(df.select(*cols), out_dir, "part", write)
 

@@ -56,16 +56,25 @@ def list_files(path: str, suffix: str | None = None, exclude_suffix: str | None
     return sorted(out)
 
 
-def write_atomic(path: str, data_chunks) -> int:
-    """Write bytes to ``path`` through a temporary name and a rename (a retried task overwrites)."""
+def write_atomic(path: str, data_chunks, skip_empty: bool = False) -> int:
+    """Write bytes to ``path`` through a temporary name and a rename (a retried task overwrites).
+
+    With ``skip_empty`` no file is created when ``data_chunks`` yields nothing."""
     import uuid
 
+    it = iter(data_chunks)
+    first = next(it, None)
+    if first is None and skip_empty:
+        return 0
     fs, p = resolve(path)
     fs.create_dir(posixpath.dirname(p), recursive=True)
     tmp = posixpath.join(posixpath.dirname(p), f"_tmp-{uuid.uuid4().hex}-{posixpath.basename(p)}")
     n = 0
     with fs.open_output_stream(tmp, compression=None) as f:
-        for c in data_chunks:
+        for c in ([first] if first is not None else []):
+            f.write(c)
+            n += len(c)
+        for c in it:
             f.write(c)
             n += len(c)
     fs.move(tmp, p)

@@ -53,7 +53,7 @@ def test_indexed_chunks_with_bad_chunk(spark, tmp_dir):
 def test_indexed_chunks_writer_round_trip(spark, tmp_dir):
     df = spark.createDataFrame([(f"doc {i} ü",) for i in range(50)], "text string").repartition(3)
     res = S.write_indexed_chunks(df, "text", tmp_dir)
-    assert res["rows"] == 50 and res["files"] == 3
+    assert res["rows"] == 50 and res["files"] == 3  # one task result per partition
     back = read_indexed_chunks(spark, tmp_dir, bytes_per_split=64)
     assert sorted(r.text for r in back.collect()) == sorted(f"doc {i} ü" for i in range(50))
 
