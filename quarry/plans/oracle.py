@@ -217,7 +217,8 @@ SELECT 'doc://' || doc_id AS row_key,
 FROM documents WHERE lang <> 'es'"""
 ORACLE["kv_lines"] = ORACLE["top_query_per_host"]
 ORACLE["edge_lines"] = ORACLE["edges_distinct"]
-ORACLE["fixed_width_weather"] = ORACLE["hottest_year_per_station_day"]
+ORACLE["fixed_width_weather"] = f"""WITH {_READINGS}
+SELECT station::INTEGER AS station, day, month, year, max_c, key, value FROM hot"""  # INT in the record layout
 
 ORACLE["term_frequency_sized"] = r"""
 SELECT term, count(*)::BIGINT AS term_count
