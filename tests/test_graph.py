@@ -69,3 +69,43 @@ def test_pagerank_persisted_steps(edges, variant, dangling):
     got = {r["id"]: r["pr"] for r in res.ranks.collect()}
     for k, v in GOLDEN[(variant, dangling, 3)].items():
         assert got[k] == pytest.approx(v, abs=1e-8)
+
+
+def test_iteration_plan_reads_edges_in_place(spark):
+    """The edge table is partitioned once; an iteration must not shuffle it again."""
+    import contextlib
+    import io
+    import re
+
+    from quarry.plans import derived
+
+    from .conftest import SF001
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the shuffle-join plan
+    captured = []
+    orig = G._checkpointed
+
+    def capture(df, parts, *keys):
+        captured.append((df, parts, keys))
+        return orig(df, parts, *keys)
+
+    G._checkpointed = capture
+    try:
+        G.pagerank(derived.edges(spark, SF001), iterations=2, variant="set")
+        df, parts, keys = captured[-1]
+        buf = io.StringIO()
+        with G._static_plan(spark, parts), contextlib.redirect_stdout(buf):
+            df.repartition(parts, *keys).explain()
+    finally:
+        G._checkpointed = orig
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    lines = [re.sub(r"#\d+L?", "", x) for x in buf.getvalue().splitlines()]
+    scans = [i for i, x in enumerate(lines) if "Scan ExistingRDD" in x]
+    edge = [i for i in scans if "[src,salt,dst,w]" in lines[i]]
+    assert edge, buf.getvalue()
+    # the line above a scan is its parent operator: never an exchange for edges, nodes or ranks
+    for i in scans:
+        parent = lines[i - 1]
+        assert "Exchange" not in parent or "[src,hot" in lines[i], buf.getvalue()
+    assert sum("Exchange hashpartitioning" in x for x in lines) == 2  # sent rows + contributions
