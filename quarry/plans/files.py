@@ -29,6 +29,13 @@ DOC_URL_PREFIX = "doc://"
 NO_TEXT_LANG = "es"                      # these documents are stored without text (P6)
 
 
+def _writers(spark: SparkSession) -> int:
+    """Files written in parallel when staging a layout (one per task slot)."""
+    from quarry.operators.graph import _parallelism
+
+    return _parallelism(spark)
+
+
 def fixed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as fixed-length binary records -> (vec_id, embedding)."""
     out = scratch_path(spark, "fixed-records")
@@ -43,7 +50,8 @@ def fixed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def indexed_chunks_doc_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5 + A3: documents as zlib chunks with an int32 index, read back, document frequency."""
     out = scratch_path(spark, "indexed-chunks")
-    sinks.write_indexed_chunks(table(spark, sf_dir, "documents").select("text"), "text", out)
+    docs = table(spark, sf_dir, "documents").select("text")
+    sinks.write_indexed_chunks(docs.repartition(_writers(spark)), "text", out)  # one archive per writer
     chunks = read_indexed_chunks(spark, out, bytes_per_split=256 * 1024)
     return text_ops.doc_frequency(chunks.filter(F.col("error").isNull()))
 
@@ -54,7 +62,7 @@ def _docstream(spark, sf_dir, compress=True):
     msgs = d.select(F.concat(F.lit(DOC_URL_PREFIX), F.col("doc_id").cast("string")).alias("url"),
                     F.col("lang").alias("body"),
                     F.when(F.col("lang") != NO_TEXT_LANG, F.col("text")).alias("text"))
-    sinks.write_docstream(msgs, out, compress=compress)
+    sinks.write_docstream(msgs.repartition(_writers(spark)), out, compress=compress)  # one stream per writer
     return read_docstream(spark, out)
 
 
@@ -71,7 +79,7 @@ def bulk_sorted_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.operators.keyed import first_per_key
 
     base = scratch_path(spark, "bulk")
-    docs = _docstream(spark, sf_dir, compress=False).repartition(8)
+    docs = _docstream(spark, sf_dir, compress=False)  # one partition per stream file
     lines = docs.filter(F.col("text").isNotNull()).select(sinks.url_base64_line("url", "text").alias("value"))
     lines.write.mode("overwrite").text(base + "/lines")
     parsed = first_per_key(text_src.parse_url_base64(spark.read.text(base + "/lines")), "url", "text")
