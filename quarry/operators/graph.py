@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.joins import skew_safe_join
-from quarry.session import checkpoint_dir
+from quarry.session import checkpoint_dir, parallelism
 
 # Fixed values of the reference's PageRank: damping factor and iteration count.
 DAMPING = 0.85
@@ -141,7 +141,7 @@ def _weighted_edges(edges: DataFrame, multi: bool, salts: int, hot_fraction: flo
     # fresh attribute ids: the checkpoint carries the ids of ``m``, which it is joined back to
     degf = deg.select(*[F.col(c).alias(c) for c in deg.columns])
     total = int(degf.agg(F.sum("n_rows").alias("t")).first()["t"] or 0)
-    parts = partitions or max(_parallelism(edges.sparkSession), -(-total // rows_per_partition))
+    parts = partitions or max(parallelism(edges.sparkSession), -(-total // rows_per_partition))
     hot = (degf.filter(F.col("n_rows") > F.lit(total * hot_fraction))
            .select(F.col("src").alias("src"), F.lit(True).alias("hot"))).checkpoint()  # <= 1/hot_fraction rows
     hot_b = F.broadcast(hot)
@@ -156,12 +156,6 @@ def _weighted_edges(edges: DataFrame, multi: bool, salts: int, hot_fraction: flo
     return _checkpointed(w, parts, "src", "salt"), deg, hot, parts
 
 
-def _parallelism(spark) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect: no driver-side context
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
 
 def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DAMPING,
              n_nodes: float | None = None, variant: str = "set", dangling: str = "redistribute",

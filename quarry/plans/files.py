@@ -14,7 +14,7 @@ from quarry.operators import hosts as host_ops
 from quarry.operators import text as text_ops
 from quarry.operators import weather as weather_ops
 from quarry.plans import derived
-from quarry.session import scratch_path
+from quarry.session import parallelism, scratch_path
 from quarry.sinks import files as sinks
 from quarry.sources import text as text_src
 from quarry.sources.docstream import read_docstream
@@ -31,9 +31,7 @@ NO_TEXT_LANG = "es"                      # these documents are stored without te
 
 def _writers(spark: SparkSession) -> int:
     """Files written in parallel when staging a layout (one per task slot)."""
-    from quarry.operators.graph import _parallelism
-
-    return _parallelism(spark)
+    return parallelism(spark)
 
 
 def fixed_records(spark: SparkSession, sf_dir: str) -> DataFrame:

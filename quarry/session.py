@@ -70,6 +70,12 @@ def _context(spark: SparkSession):
         return None
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Task slots of the application (shuffle partitions when there is no driver-side context)."""
+    sc = _context(spark)
+    return sc.defaultParallelism if sc is not None else int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
