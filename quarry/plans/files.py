@@ -101,7 +101,8 @@ def edge_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = derived.edges(spark, sf_dir)
     header = spark.createDataFrame([("# Directed graph: supplier -> part",), ("# FromNodeId\tToNodeId",)], "value string")
     body = e.select(F.concat_ws("\t", F.col("src").cast("string"), F.col("dst").cast("string")).alias("value"))
-    header.unionByName(body).write.mode("overwrite").option("compression", "gzip").text(out)
+    header.unionByName(body.repartition(_writers(spark))) \
+        .write.mode("overwrite").option("compression", "gzip").text(out)  # one gzip part per writer
     lines = text_src.read_lines(spark, out, resplit=8)
     return graph_ops.edges_distinct(graph_ops.parse_edge_lines(lines, "startswith"))
 
@@ -113,6 +114,6 @@ def fixed_width_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "gsod")
     w = derived.weather(spark, sf_dir)
     w.select(gsod_line("station", "year", "month", "day", "max_f", "max_f").alias("value")) \
-        .write.mode("overwrite").text(out)
+        .repartition(_writers(spark)).write.mode("overwrite").text(out)
     readings = text_src.parse_weather_lines(spark.read.text(out))
     return weather_ops.hottest_year(readings, "max_c")
