@@ -228,11 +228,10 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
                    .withColumnRenamed("dst", "id"))
         # nodes, ranks and contrib are all hash-partitioned on the node id: no shuffle here
         j = nodes.join(contrib, "id", "left")
-        if multi:  # rows that existed stay (their structure reaches the reducer), new targets join
-            j = j.join(ranks.select("id", F.lit(True).alias("had")), "id", "left")
-            j = j.filter(F.col("had").isNotNull() | F.col("has_in"))
-        else:      # only nodes that received something keep a rank
+        if not multi:  # only nodes that received something keep a rank
             j = j.filter(F.col("has_in"))
+        # multi: rows that existed stay and every target joins; the seeded rows are the sources,
+        # and every node is a source or a target, so after any step every node has a row
         received = F.coalesce("s", F.lit(0.0)) + share * F.col("in_w")
         nxt = j.select("id", "has_out", "hot", (F.lit(base) + F.lit(damping) * received).alias("pr"))
         new_leaked = 0.0
