@@ -212,7 +212,8 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
     base = (1.0 - damping) / N
 
     start = nodes.filter("has_out") if multi else nodes
-    ranks = _checkpointed(start.select("id", "has_out", "hot", F.lit(1.0 / N).alias("pr")), parts, "id")
+    # a projection of the node checkpoint: same partitioning, nothing to write
+    ranks = start.select("id", "has_out", "hot", F.lit(1.0 / N).alias("pr"))
     leaked = 0.0
 
     transient = None  # the persisted (not checkpointed) rank vector currently cached
