@@ -2,20 +2,25 @@
 
 Plan shape per iteration (both variants):
 
-* the weighted edge table ``(src, dst, w)`` -- ``w`` is the share of the
-  source's rank that one edge carries -- is built once, hash-partitioned on
-  ``src`` and checkpointed into the shared checkpoint folder;
-* the rank vector is kept hash-partitioned on ``id`` with the same number of
-  partitions, so ``edges JOIN ranks ON src = id`` shuffles neither side;
+* the weighted edge table ``(src, salt, dst, w)`` -- ``w`` is the share of
+  the source's rank that one edge carries -- is built once, hash-partitioned
+  on ``(src, salt)`` and checkpointed into the shared checkpoint folder; a
+  source holding a large share of the edges is spread over several salts;
+* the rank rows of sources are sent to the edges' partitioning (one row per
+  source, copied once per salt for the few hot ones); the edge table itself is
+  scanned in place, never shuffled again;
 * contributions are summed per ``dst`` with a partial aggregate (a node with
   a third of all in-links costs one row per map partition in the shuffle),
-  which leaves the result hash-partitioned on the node id for the next step;
+  which leaves the result hash-partitioned on the node id, like the node and
+  rank tables, so the next rank vector is built without another shuffle;
+* the redistributed share ``L/N`` reaches a node as ``L/N * in_w`` with the
+  static in-edge weight ``in_w``, so only nodes holding a rank are sent;
 * the new rank vector is checkpointed (reliable, not local), which cuts the
   lineage and survives executor loss; the dangling mass is a one-row
   aggregate over the checkpoint, handed to the next step as a literal.
 
-Only the rank vector (one row per node) moves each iteration; the edges are
-read once.
+Per iteration only rank-sized rows and partially aggregated contributions
+move; the edges are read once and stay where they are.
 """
 
 from __future__ import annotations
