@@ -229,3 +229,9 @@ GROUP BY term
 ORACLE["document_size_check"] = """
 SELECT count(*)::BIGINT AS documents, count(*) FILTER (WHERE NOT n_chars BETWEEN 9216 AND 10240)::BIGINT AS out_of_range
 FROM documents"""
+
+ORACLE["robots_rule_counts"] = f"""WITH {_ROBOTS},
+lines AS (SELECT host, unnest(string_split(robots, chr(10))) AS line FROM one)
+SELECT host, count(*) FILTER (WHERE starts_with(line, 'Disallow: '))::BIGINT AS rules,
+       count(*) FILTER (WHERE line <> '' AND NOT starts_with(line, 'Disallow: '))::BIGINT AS skipped
+FROM lines GROUP BY host"""

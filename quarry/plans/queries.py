@@ -261,3 +261,12 @@ def q_document_size_check(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("n_chars")
     return d.agg(F.count(F.lit(1)).alias("documents"),
                  F.count_if(~F.col("n_chars").between(lo, hi)).alias("out_of_range"))
+
+
+@register("robots_rule_counts")
+def q_robots_rule_counts(spark, sf_dir):
+    """F22 + D12: per host with robots, the compiled rules and the skipped (non-rule) lines."""
+    from pyspark.sql import functions as F
+
+    r = robots_ops.site_rules(derived.sites(spark, sf_dir))
+    return r.select("host", F.size("rules").cast("long").alias("rules"), F.col("skipped_lines").cast("long").alias("skipped"))
