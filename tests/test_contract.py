@@ -27,3 +27,17 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF001)
     assert r["ok"], r
+
+
+def test_no_row_caps_except_the_top_k_report():
+    """Queries run over whole tables: a LIMIT appears only where it is the feature (top-k)."""
+    import pathlib
+    import re
+
+    for name, sql in E.oracle_sql().items():
+        if re.search(r"\bLIMIT\b", sql, re.I):
+            assert name == "pagerank_top_k", name
+    root = pathlib.Path(__file__).resolve().parents[1] / "quarry"
+    limits = [(p.name, line.strip()) for p in root.rglob("*.py") for line in p.read_text().splitlines()
+              if ".limit(" in line]
+    assert limits == [("graph.py", 'return ranks.orderBy(F.desc("pr"), F.asc("id")).limit(k)')], limits
