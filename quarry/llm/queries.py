@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from quarry.llm.decontam import op8_decontamination
 from quarry.llm.simhash import op7_simhash
+from quarry.llm.toxicity import op6_toxicity
 
 REGISTRY = {
+    "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
+    "op8_decontamination": op8_decontamination,
 }
 
 ORACLE: dict[str, str] = {}
