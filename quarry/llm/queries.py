@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quarry.llm.decontam import op8_decontamination
+from quarry.llm.pii import op10_pii
 from quarry.llm.simhash import op7_simhash
 from quarry.llm.toxicity import op6_toxicity
 
@@ -10,6 +11,7 @@ REGISTRY = {
     "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
+    "op10_pii": op10_pii,
 }
 
 ORACLE: dict[str, str] = {}
