@@ -6,19 +6,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.llm import bpe, decontam, pii, simhash, toxicity
 from quarry.llm.common import staged, table
-from quarry.llm.simhash import MAX_BITS, SHINGLE_WORDS, keep_one_per_group
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the severity model rejects go; it is fitted on labelled rows of ``documents``."""
+    return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays, the one with the smallest id."""
-    return keep_one_per_group(docs, shingle=SHINGLE_WORDS, max_bits=MAX_BITS)
+    return simhash.keep_one_per_group(docs, shingle=simhash.SHINGLE_WORDS, max_bits=simhash.MAX_BITS)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by its kind; every document stays."""
+    return pii.redact(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of the kept texts, their number and digests (of the ids and of the bytes they decode to)."""
+    import public_tokenizers
+
+    path = public_tokenizers.path(bpe.RANK_FILE)
+    coded = bpe.encode(docs, path, public_tokenizers.PATTERN).select("doc_id", "lang", "source", "ids")
+    return bpe.with_digests(bpe.decode(coded, path)).drop("decoded")
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxic),
     ("simhash near-dedup", near_duplicates),
+    ("benchmark decontamination", benchmark),
+    ("pii redaction", personal),
+    ("byte-level bpe", tokens),
 ]
 
 # Hashing words, boosted trees and merges have no SQL form; tests hold run() against brute force.

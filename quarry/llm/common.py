@@ -54,3 +54,34 @@ def pages_of(batch_iter, *names):
         for lo in range(0, batch.num_rows, 512):
             part = batch.slice(lo, 512)
             yield [part.column(n).to_pylist() for n in names]
+
+
+def appended(df: DataFrame, col: str, added: list[tuple[str, str]], setup) -> DataFrame:
+    """``df`` with the ``added`` (name, type) columns, computed in tasks from column ``col``.
+
+    ``setup()`` runs once a task and returns a function from an Arrow array (a few hundred
+    rows) to one Arrow array for each added column.  Rows and other columns pass through
+    under neutral names, so any input names do; an added name replaces an input column of it.
+    """
+    from pyspark.sql import types as T
+
+    names = df.columns
+    made = [f"_c{i}" for i in range(len(names))]
+    src = df.toDF(*made)
+    extra = [f"_a{i}" for i in range(len(added))]
+    types = T.StructType.fromDDL(", ".join(f"{e} {kind}" for e, (_, kind) in zip(extra, added)))
+    at = made[names.index(col)]
+
+    def run(batches):
+        import pyarrow as pa
+
+        of = setup()
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                yield pa.RecordBatch.from_arrays([*part.columns, *of(part.column(at))], names=[*made, *extra])
+
+    out = map_arrow(src, run, T.StructType(list(src.schema.fields) + list(types.fields)))
+    new = {n for n, _ in added}
+    return out.select(*[F.col(m).alias(n) for m, n in zip(made, names) if n not in new],
+                      *[F.col(e).alias(n) for e, (n, _) in zip(extra, added)])

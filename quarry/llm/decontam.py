@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import map_arrow, pages_of, pick, table
+from quarry.llm.common import appended, map_arrow, pages_of, pick, table
 
 SHINGLE_WORDS = 5
 MIN_SIMILARITY = 0.8
@@ -227,21 +227,15 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = SHINGLE_WORDS,
                min_similarity: float = MIN_SIMILARITY, radius: int = RADIUS,
                items_at_a_time: int = ITEMS_AT_A_TIME) -> DataFrame:
     """Rows of ``docs`` that hold no benchmark item, all columns as they are (one pass per item block)."""
-    from pyspark.sql import types as T
-
     names = docs.columns
-    made = [f"_c{i}" for i in range(len(names))]
-    text = made[names.index("text")]
-    out = docs.toDF(*made)
-    schema = T.StructType(out.schema.fields)
+    out = docs.toDF(*[f"_d{i}" for i in range(len(names))])
     for block in item_blocks(benchmark, items_at_a_time):
-        def run(batches, block=block):
+        def setup(block=block):
             items = Items(block, size, min_similarity, radius)
-            for batch in batches:
-                keep = [not items.found_in(t) for (texts,) in pages_of([batch], text) for t in texts]
-                yield batch.filter(pa.array(keep, pa.bool_()))
+            return lambda texts: [pa.array([not items.found_in(t) for t in texts.to_pylist()], pa.bool_())]
 
-        out = map_arrow(out, run, schema)
+        out = (appended(out, f"_d{names.index('text')}", [("_clean", "boolean")], setup)
+               .filter("_clean").drop("_clean"))
     return out.toDF(*names)
 
 

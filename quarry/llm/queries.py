@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from quarry.llm.bpe import op2_bpe
 from quarry.llm.decontam import op8_decontamination
 from quarry.llm.pii import op10_pii
 from quarry.llm.simhash import op7_simhash
 from quarry.llm.toxicity import op6_toxicity
 
 REGISTRY = {
+    "op2_bpe": op2_bpe,
     "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import hash_order, map_arrow, pages_of, pick, staged, table
+from quarry.llm.common import appended, hash_order, map_arrow, pages_of, pick, staged, table
 
 ROWS_PER_CLASS = 3000  # the model is fitted on at most so many labelled rows of each class
 MAX_FEATURES = 20_000
@@ -177,44 +177,33 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = ROWS_PER_CLASS) -
 
 
 def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with severity (expected grade, 0 to 3), p_toxic and is_toxic added; every row and column stays.
+    """``docs`` with severity (expected grade, 0 to 3), p_toxic and is_toxic added; every row stays.
 
     Null and empty texts have no features and so the severity of the thresholds alone.
     """
-    from pyspark.sql import types as T
+    return (appended(docs, text_col, [("severity", "double"), ("p_toxic", "double")], _scorer(model))
+            .withColumn("is_toxic", F.col("p_toxic") >= REJECT_AT))
 
-    names = docs.columns
-    made = [f"_c{i}" for i in range(len(names))]
-    src = docs.toDF(*made)
-    at = made[names.index(text_col)]
-    schema = T.StructType(list(src.schema.fields) + [T.StructField("severity", T.DoubleType()),
-                                                     T.StructField("p_toxic", T.DoubleType())])
 
-    def run(batches):
+def _scorer(model: OrdinalModel):
+    def setup():
         ex = Extractor(model.columns)
-        for batch in batches:
-            severity, p = [], []
-            for (texts,) in pages_of([batch], at):
-                for t in texts:
-                    above = model.above(ex.counts(t)[0])
-                    severity.append(float(above.sum()))
-                    p.append(float(above[0]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(severity, pa.float64()), pa.array(p, pa.float64())],
-                                             names=[*made, "severity", "p_toxic"])
 
-    out = map_arrow(src, run, schema)
-    return out.select(*[F.col(m).alias(n) for m, n in zip(made, names) if n not in ("severity", "p_toxic", "is_toxic")],
-                      "severity", "p_toxic", (F.col("p_toxic") >= REJECT_AT).alias("is_toxic"))
+        def of(texts):
+            above = np.array([model.above(ex.counts(t)[0]) for t in texts.to_pylist()]).reshape(len(texts), -1)
+            return [pa.array(above.sum(axis=1)), pa.array(above[:, 0])]
+
+        return of
+
+    return setup
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, per_class: int = ROWS_PER_CLASS) -> DataFrame:
-    """Rows of ``docs`` that the model doesn't reject, with the columns of ``docs``."""
-    model = train(docs, labels, per_class)
-    mark = "_toxic_mark"
-    scored = score(docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("text").alias(mark)), model, mark)
-    if {"severity", "p_toxic", "is_toxic"} & set(docs.columns):
-        raise ValueError("rename the columns severity, p_toxic and is_toxic of the input first")
-    return scored.filter(~F.col("is_toxic")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Rows of ``docs`` that the model doesn't reject, with the columns of ``docs`` as they are."""
+    names = docs.columns
+    plain = docs.toDF(*[f"_d{i}" for i in range(len(names))])
+    scored = score(plain, train(docs, labels, per_class), f"_d{names.index('text')}")
+    return scored.filter(~F.col("is_toxic")).select(*[F.col(f"_d{i}").alias(n) for i, n in enumerate(names)])
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
