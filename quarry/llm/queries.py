@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+from quarry.llm.ann import ORACLE_OP4, op4_ann
 from quarry.llm.bpe import op2_bpe
 from quarry.llm.decontam import op8_decontamination
+from quarry.llm.html_extract import op1_html
 from quarry.llm.pii import op10_pii
 from quarry.llm.simhash import op7_simhash
 from quarry.llm.toxicity import op6_toxicity
 
 REGISTRY = {
+    "op1_html": op1_html,
     "op2_bpe": op2_bpe,
+    "op4_ann": op4_ann,
     "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
     "op10_pii": op10_pii,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_ann": ORACLE_OP4,
+}
