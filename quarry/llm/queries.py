@@ -8,12 +8,14 @@ from quarry.llm.decontam import op8_decontamination
 from quarry.llm.html_extract import op1_html
 from quarry.llm.pii import op10_pii
 from quarry.llm.simhash import op7_simhash
+from quarry.llm.substring import op5_substring
 from quarry.llm.toxicity import op6_toxicity
 
 REGISTRY = {
     "op1_html": op1_html,
     "op2_bpe": op2_bpe,
     "op4_ann": op4_ann,
+    "op5_substring": op5_substring,
     "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
