@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from quarry.llm.ann import ORACLE_OP4, op4_ann
 from quarry.llm.bpe import op2_bpe
+from quarry.llm.chat import ORACLE_OP3, op3_chat
 from quarry.llm.decontam import op8_decontamination
 from quarry.llm.html_extract import op1_html
+from quarry.llm.langid import op9_langid
 from quarry.llm.pii import op10_pii
 from quarry.llm.simhash import op7_simhash
 from quarry.llm.substring import op5_substring
@@ -14,14 +16,17 @@ from quarry.llm.toxicity import op6_toxicity
 REGISTRY = {
     "op1_html": op1_html,
     "op2_bpe": op2_bpe,
+    "op3_chat": op3_chat,
     "op4_ann": op4_ann,
     "op5_substring": op5_substring,
     "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
+    "op9_langid": op9_langid,
     "op10_pii": op10_pii,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_chat": ORACLE_OP3,
     "op4_ann": ORACLE_OP4,
 }
