@@ -1,0 +1,76 @@
+"""op8: item-sized windows against brute force; the block index against all fingerprints."""
+
+import random
+
+from quarry.llm import decontam as D
+
+from ..conftest import SF001
+
+
+def brute(docs, items, size=5, least=0.8):
+    out = {}
+    for i, t in docs:
+        words = D.words_of(t)
+        for k, s in items:
+            own = D.words_of(s)
+            if not own or not words:
+                continue
+            n = min(size, len(own))
+            if len(words) < n:
+                continue
+            target = D.shingle_weights(own, size)
+            best = max(D.weighted_similarity(D.shingle_weights(words[a:a + len(own)], size), target)
+                       for a in range(max(1, len(words) - len(own) + 1)))
+            if best >= least:
+                out[(i, k)] = round(best, 9)
+    return out
+
+
+def test_block_index_finds_all_within_the_radius():
+    random.seed(1)
+    prints = [random.getrandbits(64) for _ in range(400)]
+    index = D.BlockIndex(prints, radius=24)
+    for _ in range(200):
+        p = random.choice(prints)
+        for b in random.sample(range(64), random.randint(0, 30)):
+            p ^= 1 << b
+        assert index.within(p) == [i for i, q in enumerate(prints) if (p ^ q).bit_count() <= 24]
+
+
+def test_query_matches_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()]
+    got = {(r.doc_id, r.item_id): r.similarity for r in D.op8_decontamination(spark, SF001).collect()}
+    assert got == brute(docs, items) and got
+
+
+def test_edited_and_odd_passages(spark):
+    random.seed(3)
+    word = lambda: "".join(random.choice("abcdefgh") for _ in range(6))
+    items = [(k, " ".join(word() for _ in range(random.randint(3, 60)))) for k in range(20)]
+    items += [(20, None), (21, ""), (22, "a b"), (22, "a b"), (23, "x x x x x x x x x x x x")]
+    docs = [(900, None), (901, ""), (902, "...!!"), (903, "a b"), (904, "q a b z"), (905, "x " * 30_000), (906, "a")]
+    for i in range(60):
+        words = items[i % 20][1].split()
+        for _ in range(random.randint(0, 2)):
+            words[random.randrange(len(words))] = word()
+        docs.append((i, " ".join([word() for _ in range(i % 7)] + words + [word() for _ in range(i % 5)]).upper() + "!"))
+        docs.append((100 + i, items[i % 20][1][: 40 * (i % 9)]))
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "'x' as item_id", "1 as _clean")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    expect = brute(docs, items)
+    for at_a_time in (1000, 4):  # one pass and several
+        got = {(r.id, r.item_id): round(r.similarity, 9) for r in D.contaminated(df, bench, items_at_a_time=at_a_time).collect()}
+        assert got == expect
+        kept = D.keep_clean(df, bench, items_at_a_time=at_a_time)
+        assert kept.columns == df.columns
+        assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in docs if i not in {a for a, _ in expect})
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert D.contaminated(docs, none).collect() == []
+    assert D.keep_clean(docs, none).count() == 1
+    bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    assert D.contaminated(docs.limit(0), bench).collect() == []
