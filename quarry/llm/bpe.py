@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
 
 import numpy as np
@@ -132,37 +133,46 @@ def fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class WordIds(dict):
-    """Ids of distinct words as int32 bytes, remembered for a bounded number of words."""
+    """Ids of distinct words as int32 bytes; the words met since before last time ``limit`` was reached are remembered."""
 
     def __init__(self, ranks: dict[bytes, int], limit: int = CACHE_WORDS):
         super().__init__()
-        self.ranks, self.limit = ranks, limit
+        self.ranks, self.limit, self.older = ranks, limit, {}
 
     def __missing__(self, word: str) -> bytes:
+        out = self.older.get(word)
+        if out is None:
+            coded = word.encode("utf-8", "replace")
+            ids = (fold if len(coded) <= 64 else fold_long)(coded, self.ranks)
+            out = np.array(ids, np.int32).tobytes()
+            if len(coded) > 64:
+                return out
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
-        coded = word.encode("utf-8", "replace")
-        ids = (fold if len(coded) <= 64 else fold_long)(coded, self.ranks)
-        out = np.array(ids, np.int32).tobytes()
-        if len(coded) <= 64:
-            self[word] = out
+        self[word] = out
         return out
 
 
+# kept by a Python worker from task to task, by rank file
+REMEMBERED: dict[str, WordIds] = {}
+
+
 def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """``docs`` with ``out_col``, array<int>: the ids of the whole text (null: of the empty one), no special tokens.
 
-    Each match of ``pattern`` is merged separately.  Every distinct word of a task is folded
-    once while it is remembered; a match longer than 64 bytes is folded by a heap.
+    Each match of ``pattern`` is merged separately.  Every distinct word is folded once by a
+    worker while it is remembered; a match longer than 64 bytes is folded by a heap.
     ``rank_path`` is read where the query is planned and sent to the tasks.
     """
     ranks = read_ranks(rank_path)
+    key = hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest()
 
     def setup():
         import regex
 
         find = regex.compile(pattern).findall
-        known = WordIds(ranks)
+        known = REMEMBERED.setdefault(key, WordIds(ranks))
 
         def of(texts):
             coded = [b"".join(map(known.__getitem__, find(t))) if t else b"" for t in texts.to_pylist()]
