@@ -12,7 +12,7 @@ from quarry.llm.common import appended, map_arrow, pages_of, pick, staged, table
 RUN = 4  # consecutive sentences in a span,
 ENOUGH_WORDS = 30  # fewer (two at least) where they reach so many words,
 MIN_WORDS = 16  # more where it takes them to reach so many
-LONG = 12  # a sentence of more words is parted after each word whose hash is divisible by EVERY
+LONG = 12  # a sentence of more words is parted after each word whose hash is divisible by EVERY, or 4 * LONG words
 EVERY = 8
 
 # Sentences end at . ! ? , ; : and line breaks; other ASCII punctuation and blanks only part words.
@@ -55,7 +55,7 @@ def _parted(parts: list[bytes], starts: list[int], words: list[list[bytes]]):
             at = here + len(w)
             if i == lo:
                 new_starts.append(start + (here if lo else 0))
-            if i + 1 == len(own) or xxh64_intdigest(w) % EVERY == 0:
+            if i + 1 == len(own) or xxh64_intdigest(w) % EVERY == 0 or i + 1 - lo == 4 * LONG:
                 new_words.append(own[lo:i + 1])
                 lo = i + 1
     return np.array(new_starts), np.array([len(w) for w in new_words]), new_words
