@@ -31,8 +31,10 @@ def distinct_lower_terms(text) -> Column:
 
 
 def lines(text) -> Column:
-    """Split a text into lines the way a text-file reader does."""
-    return F.split(_col(text), LINE_BREAK)
+    """Split a text into lines the way a text-file reader does: a break ends a line, so one at
+    the end of the text opens no further line, and an empty text has none."""
+    parts = F.split(_col(text), LINE_BREAK)
+    return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
 
 
 def split_ws_java(line) -> Column:
@@ -57,6 +59,12 @@ def utf16_length(s) -> Column:
     return (F.octet_length(F.encode(_col(s), "UTF-16BE")) / 2).cast("int")
 
 
+def padded(value, width: int, fill: str = "0") -> Column:
+    """The value as text, filled on the left up to ``width``; longer values stay whole."""
+    s = _col(value).cast("string")
+    return F.concat(F.repeat(F.lit(fill), F.greatest(F.lit(width) - F.length(s), F.lit(0))), s)
+
+
 def first_field_rest(line) -> tuple[Column, Column]:
     """first whitespace-separated field, and the remaining fields joined by one space."""
     parts = F.split(F.trim(_col(line)), r"\s+")

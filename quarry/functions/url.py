@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The strict parser accepts these schemes only; a URL is trimmed
-# of control characters and spaces first; user-info and port are not host.
-STRICT_HOST = r"(?i)^[\x00-\x20]*(?:https?|ftp)://(?:[^/?#]*@)?([^/?#:@]*)"
+# The strict parser trims control characters and blanks at both ends, accepts these
+# schemes only, reads the authority after "//" (user-info and port are not host, a port is a
+# number or empty, a bracketed host is an IPv6 address) and finds an empty host without one.
+OUTER_BLANKS = r"^[\x00-\x20]+|[\x00-\x20]+$"
+STRICT_HOST = (r"(?is)^(?:url:)?(?:https?|ftp):"
+               r"(?://(?:[^/?#]*@)?(\[[0-9a-f:.]+(?:%[^\]/?#]*)?\]|[^/?#:\[]*)(?::\+?[0-9]{0,9})?(?:[/?#].*)?|[^/].*|/[^/].*|/)?$")
 SCHEME_SEP = "://"
 
 
@@ -16,8 +19,8 @@ def _col(c) -> Column:
 
 
 def strict_host(url) -> Column:
-    """host of a well-formed URL, NULL when the URL is malformed (P5)."""
-    u = _col(url)
+    """host of a well-formed URL (empty where it names none), NULL when the URL is malformed (P5)."""
+    u = F.regexp_replace(_col(url), OUTER_BLANKS, "")
     return F.when(u.rlike(STRICT_HOST), F.regexp_extract(u, STRICT_HOST, 1))
 
 

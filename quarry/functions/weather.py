@@ -25,15 +25,26 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def field(line, name: str) -> Column:
-    start, length = FIELDS[name]
+def layout(station_width: int) -> dict[str, tuple[int, int]]:
+    """The field table with a station field of another width; later fields move along."""
+    by = station_width - FIELDS["station"][1]
+    return {n: (start + (by if start > 1 else 0), station_width if n == "station" else width)
+            for n, (start, width) in FIELDS.items()}
+
+
+def field(line, name: str, fields: dict = FIELDS) -> Column:
+    start, length = fields[name]
     return F.trim(F.substring(_col(line), start, length))
 
 
-def parse_gsod(line) -> list[Column]:
-    """S12 + F15: station, year, month, day as INT; max/min as Celsius FLOAT (NULL when unparsable, D18)."""
-    ints = [field(line, n).try_cast("int").alias(n) for n in ("station", "year", "month", "day")]
-    temps = [to_celsius(field(line, n).try_cast("float")).alias(n.replace("_f", "_c")) for n in ("max_f", "min_f")]
+def parse_gsod(line, fields: dict = FIELDS) -> list[Column]:
+    """S12 + F15: station, year, month, day as INT (a wide station as BIGINT); max/min as Celsius FLOAT
+    (NULL when unparsable, D18)."""
+    wide = fields["station"][1] > 9
+    ints = [field(line, n, fields).try_cast("bigint" if wide and n == "station" else "int").alias(n)
+            for n in ("station", "year", "month", "day")]
+    temps = [to_celsius(field(line, n, fields).try_cast("float")).alias(n.replace("_f", "_c"))
+             for n in ("max_f", "min_f")]
     return ints + temps
 
 
@@ -62,9 +73,19 @@ def day_month(date_col) -> Column:
     return F.date_format(_col(date_col), "dd.MM")
 
 
-def gsod_line(station, year, month, day, max_f, min_f) -> Column:
-    """Inverse of :func:`parse_gsod` (used to stage fixed-width files): fields at their offsets."""
-    return F.format_string(
-        "%06d%8s%04d%02d%02d%80s%6.1f%2s%6.1f%22s",
-        _col(station), F.lit(""), _col(year), _col(month), _col(day), F.lit(""),
-        _col(max_f).cast("double"), F.lit(""), _col(min_f).cast("double"), F.lit(""))
+def gsod_line(station, year, month, day, max_f, min_f, fields: dict = FIELDS) -> Column:
+    """Inverse of :func:`parse_gsod` (used to stage fixed-width files): fields at their offsets.
+
+    A value wider than its field fails the job instead of moving the later fields.
+    """
+    texts = {"station": (station, "0"), "year": (year, "0"), "month": (month, "0"), "day": (day, "0"),
+             "max_f": (_col(max_f).cast("decimal(20,1)"), " "), "min_f": (_col(min_f).cast("decimal(20,1)"), " ")}
+    pieces, at = [], 1
+    for name, (start, width) in sorted(fields.items(), key=lambda kv: kv[1]):
+        value, fill = texts[name]
+        text = _col(value).cast("string")
+        fits = F.when(F.length(text) > width, F.raise_error(F.concat(F.lit(f"{name} does not fit {width} characters: "), text)))
+        pieces += [F.lit(" " * (start - at)), fits.otherwise(F.lpad(text, width, fill))]
+        at = start + width
+    tail = LINE_WIDTH + fields["station"][1] - FIELDS["station"][1] + 1 - at
+    return F.concat(*pieces, F.lit(" " * max(tail, 0)))

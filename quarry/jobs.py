@@ -150,9 +150,9 @@ def tableput(spark, inp, table_dir):
 def docs2tsv(spark, inp, out):
     """S10 + K11: document streams -> ``url<TAB>base64(text)`` for documents with text."""
     from quarry.sinks.files import url_base64_line
-    from quarry.sources.docstream import read_docstream
+    from quarry.sources.docstream import parts_for, read_docstream
 
-    docs = read_docstream(spark, inp).filter(F.col("text").isNotNull())
+    docs = read_docstream(spark, inp, parts_for(spark, inp)).filter(F.col("text").isNotNull())
     docs.select(url_base64_line("url", "text").alias("value")).write.mode("overwrite").text(out)
 
 

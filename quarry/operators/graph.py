@@ -2,10 +2,11 @@
 
 Plan shape per iteration (both variants):
 
-* the weighted edge table ``(src, salt, dst, w)`` -- ``w`` is the share of
-  the source's rank that one edge carries -- is built once, hash-partitioned
-  on ``(src, salt)`` and checkpointed into the shared checkpoint folder; a
-  source holding a large share of the edges is spread over several salts;
+* the input is read once; the weighted edge table ``(src, salt, dst, w)`` --
+  ``w`` is the share of the source's rank that one edge carries -- is built
+  from it, hash-partitioned on ``(src, salt)`` and checkpointed into the shared
+  checkpoint folder; a source with more edges than a partition should hold is
+  spread over as many salts as they fill;
 * the rank rows of sources are sent to the edges' partitioning (one row per
   source, copied once per salt for the few hot ones); the edge table itself is
   scanned in place, never shuffled again;
@@ -25,14 +26,13 @@ move; the edges are read once and stay where they are.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.joins import skew_safe_join
-from quarry.session import checkpoint_dir, parallelism
+from quarry.session import checkpoint_dir, parallelism, scratch_path
 
 # Fixed values of the reference's PageRank: damping factor and iteration count.
 DAMPING = 0.85
@@ -44,15 +44,26 @@ def parse_edge_lines(lines: DataFrame, comment_rule: str = "startswith", line_co
     """S13 + P3: ``src<TAB>dst`` lines -> (src, dst) BIGINT; comments dropped.
 
     ``comment_rule='startswith'`` drops lines beginning with ``#`` (chained-job form);
-    ``'contains'`` drops any line containing ``#`` (RDD form).  Unparsable lines are dropped.
+    ``'contains'`` drops any line containing ``#`` (RDD form).  Unparsable lines are dropped
+    (count them with :func:`edge_line_counts`).
     """
+    return _edge_fields(lines, comment_rule, line_col).filter("not comment and ok").select("src", "dst")
+
+
+def edge_line_counts(lines: DataFrame, comment_rule: str = "startswith", line_col: str = "value") -> DataFrame:
+    """One row (lines, comment_lines, rejected_lines) for :func:`parse_edge_lines`."""
+    return _edge_fields(lines, comment_rule, line_col).agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if(F.col("comment")).alias("comment_lines"),
+        F.count_if(~F.col("comment") & ~F.col("ok")).alias("rejected_lines"))
+
+
+def _edge_fields(lines: DataFrame, comment_rule: str, line_col: str) -> DataFrame:
     v = F.col(line_col)
-    keep = ~v.startswith("#") if comment_rule == "startswith" else ~v.contains("#")
+    comment = v.startswith("#") if comment_rule == "startswith" else v.contains("#")
     parts = F.split(v, r"\t")
-    return (lines.filter(keep)
-            .select(F.trim(parts[0]).try_cast("long").alias("src"),
-                    F.trim(F.try_element_at(parts, F.lit(2))).try_cast("long").alias("dst"))
-            .filter(F.col("src").isNotNull() & F.col("dst").isNotNull()))
+    out = lines.select(comment.alias("comment"), F.trim(parts[0]).try_cast("long").alias("src"),
+                       F.trim(F.try_element_at(parts, F.lit(2))).try_cast("long").alias("dst"))
+    return out.withColumn("ok", F.col("src").isNotNull() & F.col("dst").isNotNull())
 
 
 def edges_distinct(edges: DataFrame) -> DataFrame:
@@ -60,15 +71,21 @@ def edges_distinct(edges: DataFrame) -> DataFrame:
     return edges.select("src", "dst").distinct()
 
 
+def _ends(edges: DataFrame) -> DataFrame:
+    """(id, out): both ends of every edge in one pass, and whether a node has out-links (partial aggregate)."""
+    both = F.array(F.struct(F.col("src").alias("id"), F.lit(True).alias("out")),
+                   F.struct(F.col("dst").alias("id"), F.lit(False).alias("out")))
+    return edges.select(F.explode(both).alias("e")).select("e.*").groupBy("id").agg(F.max("out").alias("out"))
+
+
 def graph_nodes(edges: DataFrame) -> DataFrame:
     """Every node that appears as a source or a target -> (id)."""
-    return edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id"))).distinct()
+    return _ends(edges).select("id")
 
 
 def dangling_nodes(edges: DataFrame) -> DataFrame:
     """A14 (structure): nodes without out-links -> (id)."""
-    sources = edges.select(F.col("src").alias("id")).distinct()  # partial-aggregated: a hot source is one row
-    return graph_nodes(edges).join(sources, "id", "left_anti")
+    return _ends(edges).filter(~F.col("out")).select("id")
 
 
 def adjacency(edges: DataFrame) -> DataFrame:
@@ -89,29 +106,26 @@ class PageRankResult:
     n_nodes: float
 
 
-@contextmanager
-def _static_plan(spark, parts: int | None = None):
-    """Run a checkpoint with adaptive execution off (and every exchange on ``parts``
-    partitions), so the written RDD keeps its hash partitioning: an adaptive plan reports
-    unknown partitioning and later joins would re-shuffle the checkpoint.  Skew inside the
-    iteration is handled by salting instead."""
-    keys = ["spark.sql.adaptive.enabled"] + (["spark.sql.shuffle.partitions"] if parts else [])
-    old = {k: spark.conf.get(k) for k in keys}
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    if parts:
-        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
+KEPT_SETTINGS = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.autoBroadcastJoinThreshold",
+                 "spark.sql.files.maxPartitionBytes")
+
+
+def _own_session(spark):
+    """A session for the iteration's plans: adaptive execution off, so that a written RDD keeps its
+    hash partitioning (an adaptive plan reports an unknown one and later joins would shuffle the
+    checkpoint).  The caller's session, and queries on its other threads, keep their settings."""
+    own = spark.newSession()
+    for k in KEPT_SETTINGS:
+        if (v := spark.conf.get(k, None)) is not None:
+            own.conf.set(k, v)
+    own.conf.set("spark.sql.adaptive.enabled", "false")
+    return own
 
 
 def _checkpointed(df: DataFrame, parts: int, *keys: str) -> DataFrame:
     """Reliable checkpoint, hash-partitioned on ``keys`` (the partitioning is kept by the
     checkpoint, so later joins on ``keys`` need no exchange on this side)."""
-    with _static_plan(df.sparkSession, parts):
-        return df.repartition(parts, *keys).checkpoint()
+    return df.repartition(parts, *keys).checkpoint()
 
 
 def _persisted(df: DataFrame, parts: int, *keys: str) -> DataFrame:
@@ -119,53 +133,60 @@ def _persisted(df: DataFrame, parts: int, *keys: str) -> DataFrame:
     Lost blocks are recomputed from the lineage back to the last checkpoint."""
     from pyspark import StorageLevel
 
-    with _static_plan(df.sparkSession, parts):
-        out = df.repartition(parts, *keys).persist(StorageLevel.MEMORY_AND_DISK)
-        out.count()
+    out = df.repartition(parts, *keys).persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
     return out
 
 
-def _weighted_edges(edges: DataFrame, multi: bool, salts: int, hot_fraction: float,
-                    partitions: int | None, rows_per_partition: int):
+def _weighted_edges(edges: DataFrame, multi: bool, partitions: int | None, rows_per_partition: int):
     """-> (w, deg, hot, parts): salted weighted edges (src, salt, dst, w) hash-partitioned on
     (src, salt) into ``parts`` partitions and checkpointed; out-degrees (src, outdeg, n_rows);
-    the hot sources (src, hot) holding more than ``hot_fraction`` of the edge rows.
+    the hot sources (src, salts), those of more than ``rows_per_partition`` rows.
     ``parts`` is ``partitions`` or sized from the edge count (``rows_per_partition`` each,
     at least the cluster's parallelism).
 
-    ``w`` = multiplicity / out-degree (multi) or 1 / distinct out-degree (set).  The
-    rows of a hot source are spread over ``salts`` buckets by a hash of ``dst``;
-    the same salt places them in the edge layout and joins them to their degree
-    (the degree row of a hot source is copied once per salt).
+    The input is evaluated once: its edges are grouped and written to the shared folder,
+    and everything else starts from that table, in a session of its own.
+
+    ``w`` = multiplicity / out-degree (multi) or 1 / distinct out-degree (set).  A hot source
+    is dealt by a hash of ``dst`` into as many salts as its rows fill partitions, whatever
+    the cluster's size; its degree row is copied once per salt.  There are fewer hot sources
+    than ``parts``, so their list may be broadcast.
     """
+    spark = edges.sparkSession
     if multi:
-        m = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("mult"))
+        grouped = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("mult"))
     else:
-        m = edges.select("src", "dst").distinct().withColumn("mult", F.lit(1.0))
+        grouped = edges.select("src", "dst").distinct().withColumn("mult", F.lit(1.0))
+    path = scratch_path(spark, "edges")
+    grouped.write.parquet(path)
+    own = _own_session(spark)
+    m = own.read.schema(grouped.schema).parquet(path)
+    total = m.count()
+    parts = partitions or max(parallelism(spark), -(-total // rows_per_partition))
+    own.conf.set("spark.sql.shuffle.partitions", str(parts))
     deg = m.groupBy("src").agg(F.sum("mult").alias("outdeg"), F.count(F.lit(1)).alias("n_rows")).checkpoint()
     # fresh attribute ids: the checkpoint carries the ids of ``m``, which it is joined back to
     degf = deg.select(*[F.col(c).alias(c) for c in deg.columns])
-    total = int(degf.agg(F.sum("n_rows").alias("t")).first()["t"] or 0)
-    parts = partitions or max(parallelism(edges.sparkSession), -(-total // rows_per_partition))
-    hot = (degf.filter(F.col("n_rows") > F.lit(total * hot_fraction))
-           .select(F.col("src").alias("src"), F.lit(True).alias("hot"))).checkpoint()  # <= 1/hot_fraction rows
+    hot = (degf.filter(F.col("n_rows") > rows_per_partition)
+           .select(F.col("src").alias("src"), F.ceil(F.col("n_rows") / rows_per_partition).cast("int").alias("salts"))
+           .checkpoint())
     hot_b = F.broadcast(hot)
     ms = (m.join(hot_b, "src", "left")
-          .withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("dst"), F.lit(salts)))
-                      .otherwise(F.lit(0)).cast("int")))
-    ds = (degf.join(hot_b, "src", "left")
-          .withColumn("salt", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                        .otherwise(F.array(F.lit(0))))))
+          .withColumn("salt", F.pmod(F.xxhash64("dst"), F.coalesce("salts", F.lit(1))).cast("int")))
+    ds = degf.join(hot_b, "src", "left").withColumn("salt", F.explode(_salts(F.coalesce("salts", F.lit(1)))))
     w = (ms.join(ds.select("src", "salt", "outdeg"), ["src", "salt"])
          .select("src", "salt", "dst", (F.col("mult") / F.col("outdeg")).alias("w")))
     return _checkpointed(w, parts, "src", "salt"), deg, hot, parts
 
 
+def _salts(n):
+    return F.sequence(F.lit(0), n - 1)
+
 
 def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DAMPING,
              n_nodes: float | None = None, variant: str = "set", dangling: str = "redistribute",
-             digits: int | None = None, salts: int = 32, hot_fraction: float = 0.001,
-             partitions: int | None = None, rows_per_partition: int = 4_000_000,
+             digits: int | None = None, partitions: int | None = None, rows_per_partition: int = 4_000_000,
              checkpoint_every: int = 1) -> PageRankResult:
     """PageRank with the dangling mass added back after damping (undamped, as the reference does).
 
@@ -178,10 +199,9 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
 
     ``n_nodes`` defaults to the number of distinct nodes.  Scores are
     ``pr + L/N`` of the last step, optionally rounded to ``digits``.
-    Sources holding more than ``hot_fraction`` of the edges (at most
-    ``1/hot_fraction`` of them) are split over ``salts`` partitions.  The
-    iteration runs on ``partitions`` hash partitions, by default one per
-    ``rows_per_partition`` edge rows (at least the cluster's parallelism).
+    The iteration runs on ``partitions`` hash partitions, by default one per
+    ``rows_per_partition`` edge rows (at least the cluster's parallelism); a source
+    of more edges than that is split over as many partitions as they fill.
     Every ``checkpoint_every``-th rank vector (and the last) is a reliable
     checkpoint; the ones between are persisted, so a lost executor costs at
     most that many iterations of recomputation and the shared store sees
@@ -195,17 +215,17 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
     redistribute = dangling == "redistribute"
     e = edges.select(F.col("src").cast("long"), F.col("dst").cast("long"))
 
-    w, deg, hot, parts = _weighted_edges(e, multi, salts, hot_fraction, partitions, rows_per_partition)
-    # Node rows carry their flags (has out-links, hot source) and in_w = sum of the weights of
-    # their in-edges.  Every node with out-links sends each step (its rank, or 0, plus L/N),
-    # so the L/N part of what a node receives is (L/N) * in_w: static, computed once.
-    in_w = w.groupBy("dst").agg(F.sum("w").alias("in_w")).withColumnRenamed("dst", "id")
-    nodes = (graph_nodes(e)
-             .join(deg.select(F.col("src").alias("id"), F.lit(True).alias("has_out")), "id", "left")
-             .join(F.broadcast(hot.select(F.col("src").alias("id"), "hot")), "id", "left")
-             .join(in_w, "id", "left")
+    w, deg, hot, parts = _weighted_edges(e, multi, partitions, rows_per_partition)
+    # Node rows carry their flags (has out-links, parts of a hot source) and in_w = sum of the
+    # weights of their in-edges.  Every node with out-links sends each step (its rank, or 0, plus
+    # L/N), so the L/N part of what a node receives is (L/N) * in_w: static, computed once.  Every
+    # node is a source or a target, so the two sides together are all nodes.
+    in_w = w.groupBy("dst").agg(F.sum("w").alias("in_w")).select(F.col("dst").alias("id"), "in_w")
+    out = deg.select(F.col("src").alias("id"), F.lit(True).alias("has_out"))
+    nodes = (in_w.join(out, "id", "full_outer")
+             .join(F.broadcast(hot.select(F.col("src").alias("id"), "salts")), "id", "left")
              .select("id", F.coalesce("has_out", F.lit(False)).alias("has_out"),
-                     F.coalesce("hot", F.lit(False)).alias("hot"),
+                     F.coalesce("salts", F.lit(1)).alias("salts"),
                      F.col("in_w").isNotNull().alias("has_in"),
                      F.coalesce("in_w", F.lit(0.0)).alias("in_w")))
     nodes = _checkpointed(nodes, parts, "id")
@@ -218,7 +238,7 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
 
     start = nodes.filter("has_out") if multi else nodes
     # a projection of the node checkpoint: same partitioning, nothing to write
-    ranks = start.select("id", "has_out", "hot", F.lit(1.0 / N).alias("pr"))
+    ranks = start.select("id", "has_out", "salts", F.lit(1.0 / N).alias("pr"))
     leaked = 0.0
 
     transient = None  # the persisted (not checkpointed) rank vector currently cached
@@ -226,9 +246,7 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
         share = F.lit(leaked / N)
         # senders with a rank row pass it on; the L/N part is added per receiver via in_w
         sent = (ranks.filter("has_out")
-                .select(F.col("id").alias("src"), "pr",
-                        F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                  .otherwise(F.array(F.lit(0)))).alias("salt")))
+                .select(F.col("id").alias("src"), "pr", F.explode(_salts(F.col("salts"))).alias("salt")))
         contrib = (w.join(sent, ["src", "salt"])
                    .groupBy("dst").agg(F.sum(F.col("w") * F.col("pr")).alias("s"))
                    .withColumnRenamed("dst", "id"))
@@ -239,7 +257,7 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
         # multi: rows that existed stay and every target joins; the seeded rows are the sources,
         # and every node is a source or a target, so after any step every node has a row
         received = F.coalesce("s", F.lit(0.0)) + share * F.col("in_w")
-        nxt = j.select("id", "has_out", "hot", (F.lit(base) + F.lit(damping) * received).alias("pr"))
+        nxt = j.select("id", "has_out", "salts", (F.lit(base) + F.lit(damping) * received).alias("pr"))
         new_leaked = 0.0
         if redistribute:  # sum of cur = pr + L/N over dangling senders, from the checkpoint alone
             row = ranks.filter(~F.col("has_out")).agg(F.sum("pr").alias("s"), F.count(F.lit(1)).alias("n")).first()

@@ -91,3 +91,8 @@ def first_char_bucket(host_col: str = "host", n: int = SEO_PARTITIONS):
 def range_sorted_by_host(df: DataFrame, n: int = SEO_PARTITIONS, host_col: str = "host") -> DataFrame:
     """O4 intent + O3: part files that, concatenated, are ordered by host (sampled range bounds)."""
     return df.repartitionByRange(n, host_col).sortWithinPartitions(host_col)
+
+
+def letter_range_parts(df: DataFrame, n: int = SEO_PARTITIONS, host_col: str = "host") -> DataFrame:
+    """O4 as written: the rows of bucket ``b`` in partition ``b`` of ``n``, sorted by host."""
+    return df.repartitionById(n, first_char_bucket(host_col, n)).sortWithinPartitions(host_col)

@@ -1,76 +1,40 @@
-"""Join helpers: size-checked broadcast and salting of hot keys."""
+"""Joins of a large side with many rows a key to a side with one row a key."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+ROWS_PER_PARTITION = 4_000_000  # a key with more rows is spread where the planner can't split it
 
-DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
+def salts_per_key(big: DataFrame, key: str, rows_per_partition: int) -> DataFrame:
+    """(key, _salts): keys of more than ``rows_per_partition`` rows and the parts each is dealt into.
 
-def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    """One aggregate over ``df``: at most ``max_rows`` rows and about ``max_bytes`` of data
-    (per row, the byte length of each value or of its text form, plus 8 bytes per column)."""
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
-    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
-
-
-def _row_bytes(df: DataFrame):
-    from pyspark.sql import types as T
-
-    parts = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        v = c if isinstance(f.dataType, (T.StringType, T.BinaryType)) else c.cast("string")
-        parts.append(F.coalesce(F.octet_length(v), F.lit(0)) + F.lit(8))
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    return total
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Mark ``df`` for broadcast only after measuring it (rows and bytes, one cheap job over a
-    dimension-sized input).  Above the bound the side stays a normal relation and the planner
-    uses a shuffle join (with AQE skew splitting)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
-
-
-def hot_keys(big: DataFrame, key: str, hot_fraction: float) -> DataFrame:
-    """Keys holding more than ``hot_fraction`` of ``big``'s rows -> (key).
-
-    At most ``1 / hot_fraction`` keys can qualify, so the result has a proven
-    size bound and may be broadcast.  Counting is a partial aggregate.
+    Each such key fills a partition of its own, so there are fewer of them than
+    ``rows / rows_per_partition``; counting is an aggregate with a map-side part.
     """
-    per_key = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = per_key.agg(F.sum("_n").alias("_total"))  # same aggregate, its exchange is reused
-    return (per_key.crossJoin(F.broadcast(total))
-            .filter(F.col("_n") > F.col("_total") * F.lit(hot_fraction))
-            .select(key))
+    n = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_partition)
+    return n.select(key, F.ceil(F.col("_n") / rows_per_partition).cast("int").alias("_salts"))
 
 
-def skew_safe_join(big: DataFrame, small: DataFrame, key: str, how: str = "left",
-                   salts: int = 32, hot_fraction: float = 0.01,
-                   max_broadcast_rows: int | None = 2_000_000) -> DataFrame:
+def skew_safe_join(big: DataFrame, small: DataFrame, key: str, how: str = "left", salted: bool | None = None,
+                   rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
     """Equi-join ``big`` (many rows per key) to ``small`` (one row per key).
 
-    1. ``small`` within ``max_broadcast_rows`` and 64 MiB (measured): broadcast hash join,
-       no shuffle of ``big`` at all.
-    2. Otherwise a shuffle join in which only the hot keys are split: rows of
-       ``big`` whose key is hot get a salt from a row hash, and the matching
-       ``small`` rows are copied once per salt.  Cold keys keep salt 0, so the
-       small side grows by at most ``salts / hot_fraction`` rows.
+    With adaptive execution the plain join is enough: the planner sees the size of each side
+    when it is shuffled, broadcasts a small one and splits a key that fills a partition, and
+    nothing is read twice to measure it.  Where that is off (or ``salted``), rows of keys with
+    more than ``rows_per_partition`` rows get a salt and the matching ``small`` rows are copied
+    once per salt; other keys keep salt 0.
     """
-    if max_broadcast_rows is not None and fits_broadcast(small, max_broadcast_rows):
-        return big.join(F.broadcast(small), key, how)
-    hot = F.broadcast(hot_keys(big, key, hot_fraction).withColumn("_hot", F.lit(True)))
+    conf = big.sparkSession.conf
+    adaptive = all(conf.get(k, "true") == "true" for k in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"))
+    if salted is False or (salted is None and adaptive):
+        return big.join(small, key, how)
+    hot = salts_per_key(big, key, rows_per_partition)
     b = (big.join(hot, key, "left")
-         .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
-                     .otherwise(F.lit(0)).cast("int"))
-         .drop("_hot"))
+         .withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts"))
     s = (small.join(hot, key, "left")
-         .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                       .otherwise(F.array(F.lit(0)))))
-         .drop("_hot"))
+         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts"))
     return b.join(s, [key, "_salt"], how).drop("_salt")

@@ -28,12 +28,22 @@ def merge_cells(base: DataFrame, changes: DataFrame, column: str, key_col: str =
     """K3 + K4: apply (key, op, value) to one column of a keyed table.
 
     ``put`` sets the cell (creating the row when the key is new), ``delete``
-    clears it; keys without a change keep their row.  ``changes`` must hold
-    one row per key (see :func:`latest_change`).  One full outer sort-merge
-    join on a unique key: no skew is possible.
+    clears it and never creates a row; keys without a change keep their row.
+    Several changes for one key: the latest by ``ts`` counts if ``changes`` has
+    that column, without it the job fails.  One full outer sort-merge join on a
+    key that is unique on both sides: no skew is possible.
     """
-    ch = changes.select(F.col(key_col), F.col("op").alias("_op"), F.col("value").alias("_new"))
-    j = base.join(ch, key_col, "full_outer")
+    if "ts" in changes.columns:
+        one = latest_change(changes, key_col)
+    else:
+        one = (changes.groupBy(key_col)
+               .agg(F.count(F.lit(1)).alias("_n"), F.first("op").alias("op"), F.first("value").alias("value")))
+        one = one.select(key_col, F.when(F.col("_n") > 1, F.raise_error(F.concat(
+            F.lit("several changes without ts for key "), F.col(key_col).cast("string"))))
+            .otherwise(F.col("op")).alias("op"), "value")
+    ch = one.select(F.col(key_col), F.col("op").alias("_op"), F.col("value").alias("_new"))
+    j = (base.withColumn("_there", F.lit(True)).join(ch, key_col, "full_outer")
+         .filter(F.col("_there") | (F.col("_op") == PUT)))
     new = (F.when(F.col("_op") == PUT, F.col("_new"))
            .when(F.col("_op") == DELETE, F.lit(None))
            .otherwise(F.col(column)))
@@ -51,10 +61,13 @@ def first_per_key(df: DataFrame, key_col: str, value_col: str, order_col: str |
 
 
 def upsert_rows(base: DataFrame, rows: DataFrame, key_col: str = "row_key") -> DataFrame:
-    """K3 for whole rows: put every non-NULL cell of ``rows`` (one row per key), keep the
-    other cells, insert new keys.  Columns missing from ``rows`` are kept as they are."""
+    """K3 for whole rows: put every non-NULL cell of ``rows``, keep the other cells, insert
+    new keys.  Columns missing from ``rows`` are kept as they are.  Several rows for one key
+    fail the job: nothing says which counts."""
     new_cols = [c for c in rows.columns if c != key_col]
-    r = rows.select(key_col, *[F.col(c).alias(f"_new_{c}") for c in new_cols])
+    r = rows.groupBy(key_col).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(f"_new_{c}") for c in new_cols])
+    guard = F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("several rows for key "), F.col(key_col).cast("string"))))
+    r = r.select(guard.otherwise(F.col(key_col)).alias(key_col), *[f"_new_{c}" for c in new_cols])
     j = base.join(r, key_col, "full_outer")
     out = []
     for c in base.columns:

@@ -49,7 +49,7 @@ def usable_stations(stations: DataFrame) -> DataFrame:
     largest row.
     """
     ok = stations.filter((F.col("usaf") != UNKNOWN_STATION) & (F.col("lat") != "") & (F.col("lon") != ""))
-    typed = ok.select(F.col("usaf").try_cast("int").alias("station"),
+    typed = ok.select(F.col("usaf").try_cast("bigint").alias("station"),
                       F.struct(F.col("lat").try_cast("double").alias("lat"),
                                F.col("lon").try_cast("double").alias("lon"),
                                F.col("name")).alias("info"),
@@ -58,26 +58,18 @@ def usable_stations(stations: DataFrame) -> DataFrame:
     return one.select("station", "info.lat", "info.lon", "info.name")
 
 
-def station_labels(hottest: DataFrame, stations: DataFrame, max_broadcast_rows: int = 5_000_000,
-                   **join_opts) -> DataFrame:
-    """J1 + K9: label line ``lat, lon, name (value)`` for results whose station is known.
-
-    Stations are broadcast after a size check; beyond it, a shuffle join that
-    salts stations holding a large share of the results (``skew_safe_join``).
-    """
+def station_labels(hottest: DataFrame, stations: DataFrame, **join_opts) -> DataFrame:
+    """J1 + K9: label line ``lat, lon, name (value)`` for results whose station is known (``skew_safe_join``)."""
     st = usable_stations(stations)
-    j = skew_safe_join(hottest.select("station", "key", "value"), st, "station", "inner",
-                       max_broadcast_rows=max_broadcast_rows, **join_opts)
+    j = skew_safe_join(hottest.select("station", "key", "value"), st, "station", "inner", **join_opts)
     return j.select("station", "key",
                     F.format_string(LABEL_FORMAT, "lat", "lon", "name", "value").alias("label"))
 
 
-def stations_missing(hottest: DataFrame, stations: DataFrame, max_broadcast_rows: int = 5_000_000,
-                     **join_opts) -> DataFrame:
+def stations_missing(hottest: DataFrame, stations: DataFrame, **join_opts) -> DataFrame:
     """Results whose station has no usable row -> (station, key)."""
     st = usable_stations(stations).select("station")
-    return skew_safe_join(hottest.select("station", "key"), st, "station", "left_anti",
-                          max_broadcast_rows=max_broadcast_rows, **join_opts)
+    return skew_safe_join(hottest.select("station", "key"), st, "station", "left_anti", **join_opts)
 
 
 def on_this_day(hottest: DataFrame, day: int, month: int) -> DataFrame:
@@ -95,5 +87,5 @@ def parse_result_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
 
     key, rest = first_field_rest(line_col)
     return (lines.select(key.alias("key"), rest.alias("value"))
-            .select(F.split("key", ":")[0].try_cast("int").alias("station"), "key", "value")
+            .select(F.split("key", ":")[0].try_cast("bigint").alias("station"), "key", "value")
             .filter(F.col("station").isNotNull()))

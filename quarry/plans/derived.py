@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.text import padded
 from quarry.sources.tables import table
 
 # Fixed values for the derived inputs.
@@ -70,7 +71,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     return s.select(
-        F.lpad(F.col("s_suppkey").cast("string"), 6, "0").alias("usaf"),
+        padded("s_suppkey", 6).alias("usaf"),
         F.when(F.col("s_acctbal") < 0, F.lit("")).otherwise(F.col("s_acctbal").cast("string")).alias("lat"),
         (F.col("s_nationkey") * 7 - 90).cast("string").alias("lon"),
         F.col("s_name").alias("name"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import codec
+from quarry.functions.weather import layout
 from quarry.operators import graph as graph_ops
 from quarry.operators import hosts as host_ops
 from quarry.operators import text as text_ops
@@ -24,8 +25,8 @@ from quarry.sources.tables import table
 
 EMBEDDING_DIM = 64
 RECORD_BYTES = 8 + 4 * EMBEDDING_DIM     # big-endian id + little-endian float32 values
-SPLIT_BYTES = 64 * 1024                  # small splits so several ranges per file are exercised
 DOC_URL_PREFIX = "doc://"
+STATION_FIELDS = layout(19)              # wide enough for any BIGINT id
 NO_TEXT_LANG = "es"                      # these documents are stored without text (P6)
 
 
@@ -40,7 +41,7 @@ def fixed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     rec = emb.select(F.concat(codec.long_be_bytes("vec_id"), codec.float32_le_bytes("embedding")).alias("record"))
     sinks.write_fixed_records(rec, "record", out, RECORD_BYTES)
-    back = read_fixed_records(spark, out, RECORD_BYTES, SPLIT_BYTES)
+    back = read_fixed_records(spark, out, RECORD_BYTES)
     return back.select(codec.be_long("record").alias("vec_id"),
                        codec.le_float32_array(F.substring("record", 9, 4 * EMBEDDING_DIM)).alias("embedding"))
 
@@ -61,13 +62,14 @@ def _docstream(spark, sf_dir, compress=True):
                     F.col("lang").alias("body"),
                     F.when(F.col("lang") != NO_TEXT_LANG, F.col("text")).alias("text"))
     sinks.write_docstream(msgs.repartition(_writers(spark)), out, compress=compress)  # one stream per writer
-    return read_docstream(spark, out)
+    return read_docstream(spark, out, resplit=_writers(spark))
 
 
 def proto_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S10 (gzip): document messages read back -> (url, body, n_chars) for messages with text."""
-    docs = _docstream(spark, sf_dir).filter(F.col("text").isNotNull())
-    return docs.select("url", "body", F.length("text").cast("long").alias("n_chars"))
+    """S10 (gzip): document messages read back -> (url, body, n_chars, text_md5), nulls for messages without text."""
+    docs = _docstream(spark, sf_dir)
+    return docs.select("url", "body", F.length("text").cast("long").alias("n_chars"),
+                       F.md5(F.encode("text", "UTF-8")).alias("text_md5"))
 
 
 def bulk_sorted_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +93,7 @@ def kv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2 + S3 + K1: the click log as gzip ``query<TAB>url`` lines, re-split, best query per host."""
     out = scratch_path(spark, "clicks")
     sinks.write_tsv(derived.clicks(spark, sf_dir), out, "query", "url", compression="gzip")
-    lines = text_src.read_lines(spark, out, resplit=8)
+    lines = text_src.read_lines(spark, out, resplit=_writers(spark))
     return host_ops.top_query_per_host(text_src.split_kv(lines, "query", "url"))
 
 
@@ -103,7 +105,7 @@ def edge_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = e.select(F.concat_ws("\t", F.col("src").cast("string"), F.col("dst").cast("string")).alias("value"))
     header.unionByName(body.repartition(_writers(spark))) \
         .write.mode("overwrite").option("compression", "gzip").text(out)  # one gzip part per writer
-    lines = text_src.read_lines(spark, out, resplit=8)
+    lines = text_src.read_lines(spark, out, resplit=_writers(spark))
     return graph_ops.edges_distinct(graph_ops.parse_edge_lines(lines, "startswith"))
 
 
@@ -113,7 +115,7 @@ def fixed_width_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = scratch_path(spark, "gsod")
     w = derived.weather(spark, sf_dir)
-    w.select(gsod_line("station", "year", "month", "day", "max_f", "max_f").alias("value")) \
-        .repartition(_writers(spark)).write.mode("overwrite").text(out)
-    readings = text_src.parse_weather_lines(spark.read.text(out))
+    w.select(gsod_line("station", "year", "month", "day", "max_f", "max_f", STATION_FIELDS).alias("value")) \
+        .write.mode("overwrite").text(out)
+    readings = text_src.parse_weather_lines(spark.read.text(out), fields=STATION_FIELDS)
     return weather_ops.hottest_year(readings, "max_c")

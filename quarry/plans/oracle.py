@@ -26,7 +26,8 @@ GROUP BY word
 """
 
 ORACLE["word_count_ws"] = r"""
-WITH l AS (SELECT unnest(regexp_split_to_array(text, '\r\n|\n|\r')) AS line FROM conversations),
+WITH a AS (SELECT regexp_split_to_array(text, '\r\n|\n|\r') AS parts FROM conversations WHERE text IS NOT NULL),
+     l AS (SELECT unnest(CASE WHEN parts[-1] = '' THEN parts[1:len(parts) - 1] ELSE parts END) AS line FROM a),
      w AS (SELECT CASE WHEN line = '' THEN ['']
                        WHEN regexp_full_match(line, '\s+') THEN []::VARCHAR[]
                        ELSE regexp_split_to_array(regexp_replace(line, '\s+$', ''), '\s') END AS words
@@ -34,11 +35,13 @@ WITH l AS (SELECT unnest(regexp_split_to_array(text, '\r\n|\n|\r')) AS line FROM
 SELECT word, count(*)::BIGINT AS cnt FROM (SELECT unnest(words) AS word FROM w) GROUP BY word
 """
 
-# strict URL host (F6); RE2 lacks the leading control-character trim, the tables have none
-_HOST = r"'(?i)^(?:https?|ftp)://(?:[^/?#]*@)?([^/?#:@]*)'"
+# strict URL host
+_HOST = (r"'(?is)^(?:url:)?(?:https?|ftp):(?://(?:[^/?#]*@)?(\[[0-9a-f:.]+(?:%[^\]/?#]*)?\]|[^/?#:\[]*)"
+         r"(?::\+?[0-9]{0,9})?(?:[/?#].*)?|[^/].*|/[^/].*|/)?$'")
+_TRIM = r"regexp_replace(url, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"
+_HOST_OF = f"CASE WHEN regexp_matches({_TRIM}, {_HOST}) THEN regexp_extract({_TRIM}, {_HOST}, 1) END"
 _HOSTS = f"""
-hosts AS (SELECT CASE WHEN regexp_matches(url, {_HOST}) THEN regexp_extract(url, {_HOST}, 1) END AS host
-          FROM pages),
+hosts AS (SELECT {_HOST_OF} AS host FROM pages),
 counts AS (SELECT host, count(*)::BIGINT AS hits FROM hosts WHERE host IS NOT NULL GROUP BY host)
 """
 
@@ -51,7 +54,7 @@ ORACLE["host_counts_tagged"] = f"WITH {_HOSTS} SELECT 'H:' || host AS key, hits:
 
 ORACLE["malformed_url_count"] = f"""
 WITH u AS (SELECT url FROM pages UNION ALL SELECT substr(url, 8) FROM pages),
-h AS (SELECT CASE WHEN regexp_matches(url, {_HOST}) THEN regexp_extract(url, {_HOST}, 1) END AS host FROM u)
+h AS (SELECT {_HOST_OF} AS host FROM u)
 SELECT count(*)::BIGINT AS urls, count(*) FILTER (WHERE host IS NULL)::BIGINT AS malformed_urls,
        count(DISTINCT host)::BIGINT AS hosts FROM h
 """
@@ -60,7 +63,7 @@ _CLICKS = f"""
 n AS (SELECT count(*) AS n FROM pages),
 clicks AS (SELECT e.event_type AS query, p.url FROM events e CROSS JOIN n JOIN pages p ON p.page_id = e.event_id % n.n),
 pairs AS (SELECT host, query, count(*)::BIGINT AS clicks
-          FROM (SELECT CASE WHEN regexp_matches(url, {_HOST}) THEN regexp_extract(url, {_HOST}, 1) END AS host, query
+          FROM (SELECT {_HOST_OF} AS host, query
                 FROM clicks) WHERE host IS NOT NULL GROUP BY host, query),
 best AS (SELECT host, query, clicks FROM
            (SELECT *, row_number() OVER (PARTITION BY host ORDER BY clicks DESC, query) AS rn FROM pairs)
@@ -89,10 +92,10 @@ hot AS (SELECT station, day, month, year, max_c,
                printf('%d:%02d.%02d', station, day, month) AS key, printf('%.1fC (%d)', max_c, year) AS value
         FROM (SELECT *, row_number() OVER (PARTITION BY station, day, month ORDER BY max_c DESC, year) AS rn FROM v)
         WHERE rn = 1),
-st AS (SELECT lpad(s_suppkey::VARCHAR, 6, '0') AS usaf,
+st AS (SELECT lpad(s_suppkey::VARCHAR, greatest(6, length(s_suppkey::VARCHAR))::INTEGER, '0') AS usaf,
               CASE WHEN s_acctbal < 0 THEN '' ELSE s_acctbal::VARCHAR END AS lat,
               (s_nationkey * 7 - 90)::VARCHAR AS lon, s_name AS name FROM supplier),
-ust AS (SELECT usaf::INTEGER AS station, lat::DOUBLE AS lat, lon::DOUBLE AS lon, name FROM st
+ust AS (SELECT usaf::BIGINT AS station, lat::DOUBLE AS lat, lon::DOUBLE AS lon, name FROM st
         WHERE usaf <> '999999' AND lat <> '' AND lon <> '')
 """
 
@@ -209,7 +212,9 @@ ORACLE["pagerank_top_k"] = _pagerank_sql("set", "redistribute", 3, "ORDER BY pr
 ORACLE["fixed_records"] = "SELECT vec_id, embedding FROM embeddings"
 ORACLE["indexed_chunks_doc_frequency"] = ORACLE["doc_frequency"]
 ORACLE["proto_docs"] = """
-SELECT 'doc://' || doc_id AS url, lang AS body, length(text)::BIGINT AS n_chars FROM documents WHERE lang <> 'es'"""
+SELECT 'doc://' || doc_id AS url, lang AS body,
+       CASE WHEN lang <> 'es' THEN length(text) END::BIGINT AS n_chars, CASE WHEN lang <> 'es' THEN md5(text) END AS text_md5
+FROM documents"""
 ORACLE["bulk_sorted_load"] = r"""
 SELECT 'doc://' || doc_id AS row_key,
        (length(text) + length(regexp_replace(text, '[^\x{10000}-\x{10FFFF}]', '', 'g')))::INTEGER AS size,
@@ -218,7 +223,7 @@ FROM documents WHERE lang <> 'es'"""
 ORACLE["kv_lines"] = ORACLE["top_query_per_host"]
 ORACLE["edge_lines"] = ORACLE["edges_distinct"]
 ORACLE["fixed_width_weather"] = f"""WITH {_READINGS}
-SELECT station::INTEGER AS station, day, month, year, max_c, key, value FROM hot"""  # INT in the record layout
+SELECT station, day, month, year, max_c, key, value FROM hot"""
 
 ORACLE["term_frequency_sized"] = r"""
 SELECT term, count(*)::BIGINT AS term_count
@@ -235,3 +240,37 @@ lines AS (SELECT host, unnest(string_split(robots, chr(10))) AS line FROM one)
 SELECT host, count(*) FILTER (WHERE starts_with(line, 'Disallow: '))::BIGINT AS rules,
        count(*) FILTER (WHERE line <> '' AND NOT starts_with(line, 'Disallow: '))::BIGINT AS skipped
 FROM lines GROUP BY host"""
+
+ORACLE["keyed_changes"] = """
+WITH pg AS (SELECT DISTINCT md5(url) AS row_key, url FROM pages),
+b AS (SELECT row_key, url, CASE WHEN substr(row_key, 2, 1) < '6' THEN 'Y' END AS disabled FROM pg
+      WHERE substr(row_key, 3, 1) < 'c'),
+c AS (SELECT row_key, CASE WHEN substr(row_key, 5, 1) < '4' THEN 'two' WHEN substr(row_key, 4, 1) < '8' THEN 'one' END AS v
+      FROM pg)
+SELECT c.row_key, b.url, c.v AS disabled FROM c LEFT JOIN b USING (row_key)
+WHERE b.row_key IS NOT NULL OR c.v IS NOT NULL"""
+ORACLE["weather_rejected_lines"] = """
+SELECT count(*)::BIGINT AS lines, count(*) FILTER (WHERE l_returnflag = 'R')::BIGINT AS rejected_lines FROM lineitem"""
+ORACLE["url_base64_bad_lines"] = """
+SELECT count(*)::BIGINT AS lines, count(*) FILTER (WHERE doc_id % 5 < 3)::BIGINT AS bad_lines FROM documents"""
+ORACLE["station_file_labels"] = ORACLE["station_label_join"]
+ORACLE["small_files_word_count"] = ORACLE["word_count"]
+ORACLE["point_read"] = """
+SELECT DISTINCT md5(url) AS row_key, url FROM pages WHERE md5(url) = (SELECT min(md5(url)) FROM pages)"""
+ORACLE["rank_state_lines"] = """
+WITH s AS (SELECT o_orderkey AS id, (o_custkey % 1000) / 8.0::DOUBLE AS pr,
+                  CASE WHEN o_custkey % 7 = 0 THEN '' ELSE o_custkey || ',' || (o_custkey + 1) END AS t FROM orders)
+SELECT id, pr, CASE WHEN t = '' THEN 0 ELSE 2 END::INTEGER AS targets, id || ',' || pr || chr(9) || t AS line FROM s"""
+ORACLE["ordered_output"] = """
+SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey)::BIGINT AS place FROM customer"""
+ORACLE["record_base64_lines"] = ORACLE["fixed_records"]
+ORACLE["rank_tuple_lines"] = """
+SELECT '(' || ((c_custkey % 1000) / 8.0::DOUBLE) || ',' || c_custkey || ')' AS line, count(*) OVER ()::DOUBLE AS lines
+FROM customer"""
+ORACLE["secondary_sorted"] = """
+SELECT l_orderkey, l_linenumber,
+       row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber)::BIGINT AS place
+FROM lineitem"""
+ORACLE["host_range_parts"] = f"""WITH b AS ({ORACLE["host_bucket_sorted"]}) SELECT host, bucket, bucket AS part FROM b"""
+ORACLE["day_month"] = "SELECT o_orderkey, strftime(o_orderdate, '%d.%m') AS day FROM orders"
+ORACLE["pipe_word_count"] = ORACLE["word_count"]

@@ -158,9 +158,9 @@ def q_robots_reconciled(spark, sf_dir):
 
 @register("robots_reconciled_salted")
 def q_robots_reconciled_salted(spark, sf_dir):
-    """Same result with the broadcast disabled: exercises the hot-host salted shuffle join."""
+    """Same result by the salted join, with hosts of more than 100 pages spread."""
     return robots_ops.reconciled(derived.pages_table(spark, sf_dir), derived.sites(spark, sf_dir),
-                                 max_broadcast_rows=None, salts=4, hot_fraction=0.05)
+                                 salted=True, rows_per_partition=100)
 
 
 @register("keyed_upsert_delete")
@@ -270,3 +270,10 @@ def q_robots_rule_counts(spark, sf_dir):
 
     r = robots_ops.site_rules(derived.sites(spark, sf_dir))
     return r.select("host", F.size("rules").cast("long").alias("rules"), F.col("skipped_lines").cast("long").alias("skipped"))
+
+
+# ---------------------------------------------------------------- layouts, counters and files made visible
+from quarry.plans import more  # noqa: E402
+
+for _name in more.NAMES:
+    register(_name)(getattr(more, _name))

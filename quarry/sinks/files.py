@@ -21,11 +21,16 @@ _RESULT = "path string, rows long, bytes long"
 
 
 def _per_partition(df: DataFrame, out_dir: str, name: str, write_fn) -> dict:
-    """Run ``write_fn(batches, path) -> (rows, bytes)`` once per partition; return totals."""
+    """Run ``write_fn(batches, path) -> (rows, bytes)`` once per partition; return totals.
+
+    K10: files that an earlier write left under these names go first, as with ``mode("overwrite")``.
+    """
     from quarry.session import ensure_importable
+    from quarry.sources.fsutil import remove_files
 
     ensure_importable(df.sparkSession)
     out_dir = out_dir.rstrip("/")
+    remove_files(out_dir, f"{name}-")
 
     def run(batches):
         from pyspark import TaskContext
@@ -87,10 +92,18 @@ def write_indexed_chunks(df: DataFrame, text_col: str, out_dir: str, level: int
 def write_docstream(df: DataFrame, out_dir: str, url_col: str = "url", body_col: str | None = "body",
                     text_col: str | None = "text", compress: bool = False) -> dict:
     """Length-prefixed ``document`` messages, plain or gzip (input of S10)."""
-    import gzip
-
     from quarry.sources.fsutil import write_atomic
 
+    def gzipped(pieces):
+        """One gzip stream of the pieces, handed on as it grows; nothing for no piece."""
+        squeeze = None
+        for piece in pieces:
+            squeeze = squeeze or zlib.compressobj(wbits=31)
+            if out := squeeze.compress(piece):
+                yield out
+        if squeeze:
+            yield squeeze.flush()
+
     cols = [url_col] + [c for c in (body_col, text_col) if c]
 
     def write(batches, path):
@@ -104,10 +117,9 @@ def write_docstream(df: DataFrame, out_dir: str, url_col: str = "url", body_col:
                     yield encode_document(d[url_col], d.get(body_col) if body_col else None,
                                           d.get(text_col) if text_col else None)
 
-        if compress:
-            raw = b"".join(messages())
-            return count[0], write_atomic(path + ".pb.gz", [gzip.compress(raw)] if raw else [], skip_empty=True)
-        return count[0], write_atomic(path + ".pb", messages(), skip_empty=True)
+        n = write_atomic(path + (".pb.gz" if compress else ".pb"), gzipped(messages()) if compress else messages(),
+                         skip_empty=True)
+        return count[0], n
 
     return _per_partition(df.select(*cols), out_dir, "part", write)
 

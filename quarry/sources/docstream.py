@@ -4,7 +4,7 @@ Message: ``url`` (field 1, required), ``body`` (2, optional), ``text`` (3,
 optional), each a length-delimited UTF-8 string; every message is preceded
 by its size as a 4-byte native-order int.  A stream can only be walked from
 its start, so each file is one input partition (read incrementally, never
-as one value); callers re-split the rows with ``repartition`` (S3).
+as one value); ``resplit`` spreads the rows afterwards (S3).
 Registered as format ``quarry_docstream``.
 """
 
@@ -27,6 +27,8 @@ MAX_BATCH_BYTES = 32 * 1024 * 1024
 def _varint(buf: bytes, i: int) -> tuple[int, int]:
     shift = result = 0
     while True:
+        if i >= len(buf):
+            raise ValueError("message ends inside a number")
         b = buf[i]
         i += 1
         result |= (b & 0x7F) << shift
@@ -56,6 +58,8 @@ def decode_document(msg: bytes) -> tuple[str | None, str | None, str | None]:
         field, wire = key >> 3, key & 7
         if wire == LEN_DELIMITED:
             n, i = _varint(msg, i)
+            if i + n > len(msg):
+                raise ValueError("message ends inside a field")
             if field in vals:
                 vals[field] = msg[i:i + n].decode("utf-8")
             i += n
@@ -67,6 +71,8 @@ def decode_document(msg: bytes) -> tuple[str | None, str | None, str | None]:
             i += 4
         else:
             raise ValueError(f"unsupported wire type {wire}")
+    if i > len(msg):
+        raise ValueError("message ends inside a field")
     return vals[URL_FIELD], vals[BODY_FIELD], vals[TEXT_FIELD]
 
 
@@ -81,6 +87,22 @@ def encode_document(url: str, body: str | None = None, text: str | None = None)
     return LENGTH_PREFIX.pack(len(out)) + bytes(out)
 
 
+def _exactly(stream, n: int, path: str) -> bytes:
+    """The next ``n`` bytes; nothing at the end of the stream; an error in between (also for cut gzip data)."""
+    out = b""
+    while len(out) < n:
+        try:
+            more = stream.read(n - len(out))
+        except EOFError as exc:
+            raise ValueError(f"{path}: the compressed stream is cut") from exc
+        if not more:
+            if out:
+                raise ValueError(f"{path}: the stream ends after {len(out)} of {n} bytes")
+            return b""
+        out += more
+    return out
+
+
 @dataclass
 class StreamFile(InputPartition):
     path: str
@@ -119,11 +141,16 @@ class _Reader(DataSourceReader):
 
         try:
             while True:
-                head = stream.read(LENGTH_PREFIX.size)
-                if len(head) < LENGTH_PREFIX.size:
+                head = _exactly(stream, LENGTH_PREFIX.size, part.path)
+                if not head:
                     break
                 (size,) = LENGTH_PREFIX.unpack(head)
-                for c, v in zip(rows, decode_document(stream.read(size))):
+                if size < 0:
+                    raise ValueError(f"{part.path}: a message of {size} bytes")
+                msg = _exactly(stream, size, part.path) if size else b""
+                if len(msg) < size:
+                    raise ValueError(f"{part.path}: the stream ends before a message of {size} bytes")
+                for c, v in zip(rows, decode_document(msg)):
                     c.append(v)
                 buffered += size
                 if len(rows[0]) >= MAX_BATCH_ROWS or buffered >= MAX_BATCH_BYTES:
@@ -147,9 +174,21 @@ class DocStreamSource(DataSource):
         return _Reader(self.options)
 
 
-def read_docstream(spark, path: str):
+def read_docstream(spark, path: str, resplit: int | None = None):
+    """Documents under ``path``; ``resplit`` spreads the rows over so many partitions right after the
+    scan (S3), as a stream is one task whatever its length."""
     from quarry.session import ensure_importable
 
     ensure_importable(spark)
     spark.dataSource.register(DocStreamSource)
-    return spark.read.format("quarry_docstream").option("path", path).load()
+    docs = spark.read.format("quarry_docstream").option("path", path).load()
+    return docs.repartition(resplit) if resplit else docs
+
+
+def parts_for(spark, path: str, bytes_each: int = 64 * 1024 * 1024) -> int:
+    """Partitions for the streams under ``path``, by their size; gzip counts as four times its bytes."""
+    from quarry.session import parallelism
+    from quarry.sources.fsutil import list_files
+
+    total = sum(size * (4 if p.endswith(".gz") else 1) for p, size in list_files(path))
+    return max(parallelism(spark), -(-total // bytes_each))

@@ -56,6 +56,18 @@ def list_files(path: str, suffix: str | None = None, exclude_suffix: str | None
     return sorted(out)
 
 
+def remove_files(path: str, prefix: str) -> int:
+    """Delete the files of directory ``path`` whose names begin with ``prefix``; a missing directory has none."""
+    fs, p = resolve(path)
+    if fs.get_file_info(p).type != pafs.FileType.Directory:
+        return 0
+    gone = [i.path for i in fs.get_file_info(pafs.FileSelector(p, recursive=False))
+            if i.type == pafs.FileType.File and posixpath.basename(i.path).startswith(prefix)]
+    for g in gone:
+        fs.delete_file(g)
+    return len(gone)
+
+
 def write_atomic(path: str, data_chunks, skip_empty: bool = False) -> int:
     """Write bytes to ``path`` through a temporary name and a rename (a retried task overwrites).
 

@@ -3,9 +3,9 @@
 For every data file ``X`` a file ``X.idx`` lists the compressed size of each
 chunk.  The scan is planned by Spark, not on the driver: index files are read
 as rows, each is turned into chunk rows (numpy prefix sum = start offset),
-chunks are packed into ``bytes_per_split`` bins per file, the bins are
-shuffled across tasks, and every task reads its byte ranges and inflates
-them.  One row per chunk: (path, chunk_no, offset, text, error).
+chunks are packed into ``bytes_per_split`` bins numbered over all files, each
+bin goes to a partition of its own, and every task reads its byte range and
+inflates it.  One row per chunk: (path, chunk_no, offset, text, error).
 
 A chunk that does not inflate gives a row with ``error`` set and NULL text;
 the scan goes on (D13).  Offsets are start offsets in the file (D14).  Index
@@ -15,7 +15,7 @@ files are never read as data (D15).
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Index suffix, packing limit per split (64 MiB) and the size entry type.
@@ -25,6 +25,7 @@ SIZE_DTYPE = "<i4"
 
 CHUNK_SCHEMA = "path string, chunk_no int, offset long, size int, bin long"
 TEXT_SCHEMA = "path string, chunk_no int, offset long, text string, error string"
+INDEX_SLICE = 100_000   # index entries expanded at a time
 
 
 def _explode_index(bytes_per_split: int):
@@ -32,21 +33,21 @@ def _explode_index(bytes_per_split: int):
         import numpy as np
 
         for pdf in batches:
-            parts = []
-            for path, content in zip(pdf["path"], pdf["content"]):
-                sizes = np.frombuffer(bytes(content), dtype=SIZE_DTYPE).astype("int64")
-                ends = np.cumsum(sizes)
-                starts = ends - sizes
-                data_path = path[: -len(IDX_SUFFIX)]
-                parts.append(pd.DataFrame({
-                    "path": data_path,
-                    "chunk_no": np.arange(len(sizes), dtype="int32"),
-                    "offset": starts,
-                    "size": sizes.astype("int32"),
-                    "bin": starts // bytes_per_split,
-                }))
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
+            for path, content, first in zip(pdf["path"], pdf["content"], pdf["first_bin"]):
+                sizes = np.frombuffer(content, dtype=SIZE_DTYPE)
+                done = 0
+                for lo in range(0, len(sizes), INDEX_SLICE):
+                    own = sizes[lo:lo + INDEX_SLICE].astype("int64")
+                    ends = done + np.cumsum(own)
+                    starts = ends - own
+                    done = int(ends[-1])
+                    yield pd.DataFrame({
+                        "path": path[: -len(IDX_SUFFIX)],
+                        "chunk_no": np.arange(lo, lo + len(own), dtype="int32"),
+                        "offset": starts,
+                        "size": own.astype("int32"),
+                        "bin": first + starts // bytes_per_split,
+                    })
     return run
 
 
@@ -90,22 +91,44 @@ def _inflate_ranges(batches):
             yield pd.DataFrame(out)
 
 
+def _bins(spark: SparkSession, path: str, bytes_per_split: int) -> tuple[DataFrame, int]:
+    """(idx path, content, first_bin) of every archive, and the number of bins of all: the bins of
+    the first file by name are 0, 1, ..., those of the next go on from there.  One row per file."""
+    files = spark.read.format("binaryFile").load(path)
+    data = (files.filter(~F.col("path").endswith(IDX_SUFFIX))
+            .select(F.concat("path", F.lit(IDX_SUFFIX)).alias("path"),
+                    F.greatest(F.ceil(F.col("length") / bytes_per_split), F.lit(1)).alias("bins")))
+    order = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = data.select("path", (F.sum("bins").over(order) - F.col("bins")).alias("first_bin"))
+    idx = (spark.read.format("binaryFile").option("pathGlobFilter", "*" + IDX_SUFFIX).load(path)
+           .select("path", "content"))
+    n = data.agg(F.sum("bins").alias("n")).first()["n"]
+    return idx.join(first, "path", "left").withColumn("first_bin", F.coalesce("first_bin", F.lit(0))), int(n or 1)
+
+
 def chunk_index(spark: SparkSession, path: str, bytes_per_split: int = DEFAULT_BYTES_PER_SPLIT) -> DataFrame:
     """The chunk table (path, chunk_no, offset, size, bin) of every archive under ``path``."""
+    return _numbered_chunks(spark, path, bytes_per_split)[0]
+
+
+def _numbered_chunks(spark: SparkSession, path: str, bytes_per_split: int) -> tuple[DataFrame, int]:
     from quarry.session import ensure_importable
 
     ensure_importable(spark)
-    idx = (spark.read.format("binaryFile").option("pathGlobFilter", "*" + IDX_SUFFIX)
-           .load(path).select("path", "content"))
-    return idx.mapInPandas(_explode_index(bytes_per_split), CHUNK_SCHEMA)
+    idx, n = _bins(spark, path, bytes_per_split)
+    return idx.mapInPandas(_explode_index(bytes_per_split), CHUNK_SCHEMA), n
 
 
 def read_indexed_chunks(spark: SparkSession, path: str, bytes_per_split: int = DEFAULT_BYTES_PER_SPLIT,
                         partitions: int | None = None) -> DataFrame:
-    """Inflate every chunk of every archive under ``path`` (a directory of ``X`` + ``X.idx``)."""
-    chunks = chunk_index(spark, path, bytes_per_split)
-    cols = ["path", "bin"]
-    spread = chunks.repartition(partitions, *cols) if partitions else chunks.repartition(*cols)
+    """Inflate every chunk of every archive under ``path`` (a directory of ``X`` + ``X.idx``).
+
+    Bin ``k`` of all files goes to partition ``k`` (modulo ``partitions``, if given), so every
+    task reads one range of about ``bytes_per_split`` bytes, however few bytes the index rows
+    themselves take."""
+    chunks, n = _numbered_chunks(spark, path, bytes_per_split)
+    n = min(n, partitions or n)
+    spread = chunks.repartitionById(n, F.pmod(F.col("bin"), F.lit(n)).cast("int"))
     return spread.sortWithinPartitions("path", "offset").mapInPandas(_inflate_ranges, TEXT_SCHEMA)
 
 

@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame
 
 
 def pipe_lines(df: DataFrame, command: str, line_col: str = "value") -> DataFrame:
-    """Feed each partition's lines to ``command`` and return its output lines as ``value``."""
+    """Feed each partition's lines to ``command`` and return its output lines as ``value``.
+
+    A program that ends with another status than 0 fails the job."""
     spark = df.sparkSession
-    out = df.select(line_col).rdd.map(lambda r: r[0] if r[0] is not None else "").pipe(command)
+    out = df.select(line_col).rdd.map(lambda r: r[0] if r[0] is not None else "").pipe(command, checkCode=True)
     return spark.createDataFrame(out.map(lambda s: (s,)), "value string")
 
 

@@ -29,7 +29,7 @@ def edges(spark):
 @pytest.mark.parametrize("key", sorted(GOLDEN))
 def test_pagerank_golden(edges, key):
     variant, dangling, n = key
-    res = G.pagerank(edges, iterations=n, n_nodes=5, variant=variant, dangling=dangling, salts=3, hot_fraction=0.2)
+    res = G.pagerank(edges, iterations=n, n_nodes=5, variant=variant, dangling=dangling, rows_per_partition=1)
     got = {r["id"]: r["pr"] for r in res.ranks.collect()}
     assert set(got) == set(GOLDEN[key])
     for k, v in GOLDEN[key].items():
@@ -95,7 +95,7 @@ def test_iteration_plan_reads_edges_in_place(spark):
         G.pagerank(derived.edges(spark, SF001), iterations=2, variant="set")
         df, parts, keys = captured[-1]
         buf = io.StringIO()
-        with G._static_plan(spark, parts), contextlib.redirect_stdout(buf):
+        with contextlib.redirect_stdout(buf):
             df.repartition(parts, *keys).explain()
     finally:
         G._checkpointed = orig
@@ -107,5 +107,25 @@ def test_iteration_plan_reads_edges_in_place(spark):
     # the line above a scan is its parent operator: never an exchange for edges, nodes or ranks
     for i in scans:
         parent = lines[i - 1]
-        assert "Exchange" not in parent or "[src,hot" in lines[i], buf.getvalue()
+        assert "Exchange" not in parent or "[src,salts" in lines[i], buf.getvalue()
     assert sum("Exchange hashpartitioning" in x for x in lines) == 2  # sent rows + contributions
+
+
+def test_input_is_evaluated_once_and_the_session_is_left_alone(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(e):
+        seen.add(1)
+        return e
+
+    rows = spark.sparkContext.parallelize(EDGES, 3).map(count)
+    edges = spark.createDataFrame(rows, "src long, dst long")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    G.pagerank(edges, iterations=2, n_nodes=5, variant="multi").ranks.collect()
+    assert seen.value == len(EDGES)
+    assert before == {k: spark.conf.get(k) for k in before}
+
+
+def test_edge_line_counters(spark):
+    lines = spark.createDataFrame([("# c",), ("1\t2",), ("x\t2",), ("7",), ("",)], "value string")
+    assert tuple(G.edge_line_counts(lines).first()) == (5, 1, 3)

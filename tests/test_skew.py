@@ -23,9 +23,8 @@ def test_robots_with_a_host_holding_a_third_of_pages(spark):
     n = skewed.count()
     hot = skewed.filter(F.col("url").contains("hot.example.com")).count()
     assert hot > n / 4
-    plain = sorted(tuple(r) for r in RB.reconciled(skewed, sites).collect())
-    salted = sorted(tuple(r) for r in RB.reconciled(skewed, sites, max_broadcast_rows=None,
-                                                    salts=8, hot_fraction=0.1).collect())
+    plain = sorted(tuple(r) for r in RB.reconciled(skewed, sites, salted=False).collect())
+    salted = sorted(tuple(r) for r in RB.reconciled(skewed, sites, salted=True, rows_per_partition=20).collect())
     assert plain == salted and len(plain) == n
 
 
@@ -36,10 +35,16 @@ def test_pagerank_with_a_source_holding_a_third_of_edges(spark):
                        (F.col("l_partkey") + 50).alias("dst"))
     assert skewed.filter("src = 0").count() > e.count() / 4
     for variant in ("set", "multi"):
-        _, _, hot, _ = G._weighted_edges(skewed, variant == "multi", 16, 0.02, None, 4_000_000)
-        assert [r.src for r in hot.collect()] == [0]  # the salted path is really taken
-        unsalted = G.pagerank(skewed, iterations=3, variant=variant, hot_fraction=1.0).ranks
-        salted = G.pagerank(skewed, iterations=3, variant=variant, hot_fraction=0.02, salts=16).ranks
+        rows = 500
+        w, _, hot, parts = G._weighted_edges(skewed, variant == "multi", None, rows)
+        assert 0 in {r.src for r in hot.collect()}  # the salted path is really taken
+        sizes = [r["n"] for r in w.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+        total = sum(sizes)
+        assert parts >= total / rows and max(sizes) <= 8 * max(rows, total / parts)
+        largest = w.groupBy("src", "salt").count().agg(F.max("count")).first()[0]
+        assert largest <= 2 * rows  # a hot source's parts are of a partition's size
+        unsalted = G.pagerank(skewed, iterations=3, variant=variant).ranks
+        salted = G.pagerank(skewed, iterations=3, variant=variant, rows_per_partition=rows).ranks
         a = {r.id: r.pr for r in unsalted.collect()}
         b = {r.id: r.pr for r in salted.collect()}
         assert a.keys() == b.keys()
