@@ -16,7 +16,7 @@ MAX_FEATURES = 20_000
 MIN_LOG_ODDS = 1.1  # a feature's smoothed log odds ratio between the classes exceeds this ...
 STANDARD_ERRORS = 2.0  # ... by so many standard errors, so that chance words of a small sample stay out
 GRADES = 4  # 0 clean, 1 to 3 rising amounts of toxic evidence
-REJECT_AT = 0.5  # probability of any severity above 0
+REJECT_AT = 0.35  # probability of any severity above 0; labelled clean rows stay below it
 EDGE = " \t\r\n.,;:!?\"'()[]{}<>|*#$%&/\\=+-_~`^@"
 CACHE_WORDS = 200_000
 
