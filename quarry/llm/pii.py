@@ -28,6 +28,8 @@ WIDER = (
               r"(?:\x20?(?:[(\[{]dot[)\]}]|\.)\x20?[A-Za-z0-9-]{1,63}+){1,8}+"),
     ("phone", r"(?<![0-9+])\(?[0-9]{2,4}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{3,4}(?![0-9])"),
 )
+# What a text must hold for a pattern to match at all, tested before the pattern: base kinds, then WIDER.
+NEEDS = ("@", "digit", "digit", "+", "@", "at", "digit")
 CONTEXT_CHARS = 24
 CONTEXT = {  # words that speak for a kind when they stand just before a span
     "email": "mail|contact|write|kontakt|correo|courriel",
@@ -42,10 +44,11 @@ MIN_PRECISION = 0.98  # a kind's threshold keeps at least this share of right sp
 FEATURES = ("proposal", "kind", "digits", "chars", "seps", "brackets", "word_for", "word_against", "before", "after")
 
 
-def found(text: Column, pattern: str) -> Column:
+def found(text: Column, pattern: str, may: Column) -> Column:
     """array<struct<start, end, value>> of a pattern's matches, in code points, end exclusive.
 
-    The pieces between matches give the gaps; texts without a match are only tested.
+    The pieces between matches give the gaps; texts without a match are only tested, those
+    that can't hold one (``may``) not even that.
     """
     pieces = F.split(text, pattern, -1)
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -60,7 +63,7 @@ def found(text: Column, pattern: str) -> Column:
 
     gaps = F.zip_with(F.slice(F.transform(pieces, F.length), F.lit(1), F.size(values)), values,
                       lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
-    return F.when(text.rlike(pattern), F.aggregate(gaps, zero, step, lambda acc: acc["spans"])).otherwise(none)
+    return F.when(may & text.rlike(pattern), F.aggregate(gaps, zero, step, lambda acc: acc["spans"])).otherwise(none)
 
 
 def digits_of(value: Column) -> Column:
@@ -106,8 +109,12 @@ def named(kind: str):
 def with_proposals(docs: DataFrame, text: Column) -> DataFrame:
     """``docs`` with ``_text``, one array of matches a pattern (``_m0`` ...) and the valid base spans a kind."""
     out = docs.withColumn("_text", F.coalesce(text, F.lit("")))
+    t = F.col("_text")
+    out = out.withColumns({"_has_@": F.contains(t, F.lit("@")), "_has_+": F.contains(t, F.lit("+")),
+                           "_has_digit": t.rlike("[0-9]"),
+                           "_has_at": F.contains(t, F.lit("(at")) | F.contains(t, F.lit("[at")) | F.contains(t, F.lit("{at"))})
     patterns = [BASE[k] for k in KINDS] + [p for _, p in WIDER]
-    out = out.withColumns({f"_m{i}": found(F.col("_text"), p) for i, p in enumerate(patterns)})
+    out = out.withColumns({f"_m{i}": found(t, p, F.col(f"_has_{need}")) for i, (p, need) in enumerate(zip(patterns, NEEDS))})
     return out.withColumns({f"_{k}": F.filter(f"_m{i}", checked(k)) for i, k in enumerate(KINDS)})
 
 
