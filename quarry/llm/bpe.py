@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from quarry.llm.common import appended, pick, table
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 NO_RANK = 2**31 - 1
 BUCKETS = 2**16
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -82,25 +83,40 @@ def word_ids(words: DataFrame, ranks: dict[bytes, int], col: str = "word") -> Da
 
 # --- whole texts -------------------------------------------------------------------------------
 
-def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+class Merges:
+    """The ranks as a table of pairs of ids: (left << 32 | right) -> id of the merged piece."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.single = [ranks[bytes([c])] for c in range(256)]
+        self.pairs = {}
+        for piece, rank in ranks.items():
+            for i in range(1, len(piece)):
+                left, right = ranks.get(piece[:i]), ranks.get(piece[i:])
+                if left is not None and right is not None:
+                    self.pairs[left << 32 | right] = rank
+
+
+def fold(word: bytes, merges: Merges) -> list[int]:
     """Token ids of one word: the adjacent pair of lowest rank is merged (leftmost of equals) until none has a rank."""
-    whole = ranks.get(word)
+    whole = merges.ranks.get(word)
     if whole is not None:
         return [whole]
-    parts = [word[i:i + 1] for i in range(len(word))]
-    pairs = [ranks.get(a + b, NO_RANK) for a, b in zip(parts, parts[1:])]
+    single, get = merges.single, merges.pairs.get
+    parts = [single[c] for c in word]
+    pairs = [get(a << 32 | b, NO_RANK) for a, b in zip(parts, parts[1:])]
     while pairs:
         low = min(pairs)
         if low == NO_RANK:
             break
         i = pairs.index(low)
-        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        parts[i:i + 2] = (low,)
         del pairs[i]
         if i < len(pairs):
-            pairs[i] = ranks.get(parts[i] + parts[i + 1], NO_RANK)
+            pairs[i] = get(low << 32 | parts[i + 1], NO_RANK)
         if i:
-            pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], NO_RANK)
-    return [ranks[p] for p in parts]
+            pairs[i - 1] = get(parts[i - 1] << 32 | low, NO_RANK)
+    return parts
 
 
 def fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -137,14 +153,14 @@ class WordIds(dict):
 
     def __init__(self, ranks: dict[bytes, int], limit: int = CACHE_WORDS):
         super().__init__()
-        self.ranks, self.limit, self.older = ranks, limit, {}
+        self.merges, self.limit, self.older = Merges(ranks), limit, {}
 
     def __missing__(self, word: str) -> bytes:
         out = self.older.get(word)
         if out is None:
             coded = word.encode("utf-8", "replace")
-            ids = (fold if len(coded) <= 64 else fold_long)(coded, self.ranks)
-            out = np.array(ids, np.int32).tobytes()
+            ids = fold(coded, self.merges) if len(coded) <= 64 else fold_long(coded, self.merges.ranks)
+            out = array("i", ids).tobytes()
             if len(coded) > 64:
                 return out
         if len(self) >= self.limit:
@@ -172,7 +188,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text"
         import regex
 
         find = regex.compile(pattern).findall
-        known = REMEMBERED.setdefault(key, WordIds(ranks))
+        known = REMEMBERED[key] if key in REMEMBERED else REMEMBERED.setdefault(key, WordIds(ranks))
 
         def of(texts):
             coded = [b"".join(map(known.__getitem__, find(t))) if t else b"" for t in texts.to_pylist()]
