@@ -1,8 +1,8 @@
-"""Binary codecs (F10, F11, F13, F14): built-ins where Spark has them, Arrow-batched pandas UDFs otherwise."""
+"""Binary codecs (F10, F11, F13, F14): built-ins where Spark has them, Arrow UDFs over whole batches otherwise."""
 
-from __future__ import annotations
-
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,40 +32,48 @@ def utf8(s) -> Column:
     return F.encode(_col(s), "UTF-8")
 
 
-def from_utf8(b) -> Column:
-    """F11 decode."""
-    return F.decode(_col(b), "UTF-8")
-
-
 def be_long(b, start: int = 1) -> Column:
-    """8 big-endian bytes at ``start`` (1-based) as BIGINT (non-negative values)."""
-    return F.conv(F.hex(F.substring(_col(b), start, 8)), 16, 10).cast("long")
+    """8 big-endian bytes at ``start`` (1-based) as a signed BIGINT."""
+    return F.conv(F.hex(F.substring(_col(b), start, 8)), 16, -10).cast("long")
 
 
 def long_be_bytes(x) -> Column:
-    """BIGINT (non-negative) as 8 big-endian bytes."""
+    """BIGINT as 8 big-endian bytes (two's complement)."""
     return F.unhex(F.lpad(F.hex(_col(x).cast("long")), 16, "0"))
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def le_int32_array(b: pd.Series) -> pd.Series:
-    """bytes -> little-endian int32 values (vectorised per Arrow batch)."""
-    import numpy as np
-
-    return b.map(lambda x: None if x is None else np.frombuffer(bytes(x), dtype="<i4").tolist())
-
-
-@F.pandas_udf(T.ArrayType(T.FloatType()))
-def le_float32_array(b: pd.Series) -> pd.Series:
-    """Bytes -> little-endian float32 values."""
-    import numpy as np
-
-    return b.map(lambda x: None if x is None else np.frombuffer(bytes(x), dtype="<f4").tolist())
-
-
-@F.pandas_udf(T.BinaryType())
-def float32_le_bytes(a: pd.Series) -> pd.Series:
-    """Float array -> little-endian float32 bytes."""
-    import numpy as np
-
-    return a.map(lambda x: None if x is None else np.asarray(x, dtype="<f4").tobytes())
+def _numbers(b: pa.Array, dtype: str) -> pa.Array:
+    """Lists of fixed-width numbers over the buffer of a whole binary batch; a ragged value is an error."""
+    b = b.cast(pa.binary())
+    ends = np.frombuffer(b.buffers()[1], np.int32)[b.offset:b.offset + len(b) + 1]
+    width = np.dtype(dtype).itemsize
+    if (np.diff(ends) % width).any():
+        raise ValueError(f"binary values are not whole {dtype} numbers")
+    data = np.frombuffer(b.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+    lists = pa.ListArray.from_arrays(pa.array((ends - ends[0]) // width, pa.int32()), pa.array(data.view(dtype)))
+    return pc.if_else(b.is_valid(), lists, pa.scalar(None, lists.type)) if b.null_count else lists
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def le_int32_array(b: pa.Array) -> pa.Array:
+    """bytes -> little-endian int32 values, a batch at a time."""
+    return _numbers(b, "<i4")
+
+
+@F.arrow_udf(T.ArrayType(T.FloatType()))
+def le_float32_array(b: pa.Array) -> pa.Array:
+    """Bytes -> little-endian float32 values, a batch at a time."""
+    return _numbers(b, "<f4")
+
+
+@F.arrow_udf(T.BinaryType())
+def float32_le_bytes(a: pa.Array) -> pa.Array:
+    """Float array -> little-endian float32 bytes, a batch at a time."""
+    flat = a.flatten()
+    sizes = np.diff(a.offsets.to_numpy())
+    if a.null_count:
+        sizes = np.where(a.is_valid().to_numpy(zero_copy_only=False), sizes, 0)
+    ends = np.concatenate(([0], np.cumsum(sizes) * 4)).astype(np.int32)
+    data = flat.to_numpy(zero_copy_only=False).astype("<f4").tobytes()
+    out = pa.Array.from_buffers(pa.binary(), len(a), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data)])
+    return pc.if_else(a.is_valid(), out, pa.scalar(None, pa.binary())) if a.null_count else out

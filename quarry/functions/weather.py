@@ -50,7 +50,8 @@ def parse_gsod(line, fields: dict = FIELDS) -> list[Column]:
 
 def to_celsius(f) -> Column:
     """F16: ``(f - 32) * 5 / 9`` in single precision."""
-    return ((_col(f).cast("float") - F.lit(32).cast("float")) * F.lit(5).cast("float") / F.lit(9)).cast("float")
+    f = f if isinstance(f, Column) else F.col(f)
+    return ((f.cast("float") - F.lit(32).cast("float")) * F.lit(5).cast("float") / F.lit(9)).cast("float")
 
 
 def has_temp(c) -> Column:

@@ -9,12 +9,13 @@ or call the functions from a driver program.
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import checkpoint_dir, ensure_importable, get_session
+from quarry.session import checkpoint_dir, clear_scratch, ensure_importable, get_session
 
 
 def _session() -> SparkSession:
@@ -24,6 +25,18 @@ def _session() -> SparkSession:
     return spark
 
 
+def _counting(df, job, **counters):
+    """``df`` with named counters (A18), and a call that reports them on stderr after the job's write."""
+    from quarry.operators.quality import observed
+
+    counted, obs = observed(df, job, **counters)
+
+    def report():
+        print(f"{job}: {json.dumps(obs.get)}", file=sys.stderr)
+
+    return counted, report
+
+
 def wordcount(spark, inp, out, java_split=False):
     """A1/A2: text lines -> ``word<TAB>count``."""
     from quarry.operators.text import word_count, word_count_ws
@@ -51,11 +64,15 @@ def hostpercents(spark, inp, out, as_written=False):
     from quarry.operators.hosts import host_counts_tagged, host_percent
     from quarry.sinks.files import write_tsv
 
-    urls = spark.read.text(inp).withColumnRenamed("value", "url")
+    from quarry.functions.url import strict_host
+
+    urls, report = _counting(spark.read.text(inp).withColumnRenamed("value", "url"), "hostpercents", Urls=F.count(F.lit(1)),
+                             MalformedUrls=F.count_if(strict_host("url").isNull()))
     if as_written:
         write_tsv(host_counts_tagged(urls), out, "key", "value")
     else:
         write_tsv(host_percent(urls), out, "host", "percent")
+    report()
 
 
 def seo(spark, inp, out, min_clicks=0, as_written=False):
@@ -74,7 +91,13 @@ def weather(spark, inp, out, stations=None, day=None):
     from quarry.operators.weather import hottest_year, station_labels
     from quarry.sources.text import parse_weather_lines, read_stations
 
-    hot = hottest_year(parse_weather_lines(spark.read.text(inp)))
+    from quarry.functions.weather import has_temp, parse_gsod
+
+    date = [c.isNull() for c in parse_gsod("value")[:4]]
+    lines, report = _counting(spark.read.text(inp), "weather", Lines=F.count(F.lit(1)),
+                              RejectedLines=F.count_if(date[0] | date[1] | date[2] | date[3]),
+                              SkippedValues=F.count_if(~has_temp(parse_gsod("value")[4])))
+    hot = hottest_year(parse_weather_lines(lines))
     if day:
         d, m = (int(x) for x in day.split("."))
         hot = hot.filter((F.col("day") == d) & (F.col("month") == m))
@@ -83,6 +106,7 @@ def weather(spark, inp, out, stations=None, day=None):
             .write.mode("overwrite").text(out)
     else:
         hot.select(F.concat_ws("\t", "key", "value").alias("value")).write.mode("overwrite").text(out)
+    report()
 
 
 def fixstatus(spark, pages_dir, sites, out_dir):
@@ -121,20 +145,25 @@ def pagerank(spark, inp, out, iterations=20, variant="set", dangling="redistribu
 
 def _url_docs(spark, inp):
     """``url<TAB>base64(text)`` lines -> one row per url (row_key, text, size); a url seen
-    twice keeps its smallest text (A15, D6), so row keys stay unique."""
+    twice keeps its smallest text (A15, D6), so row keys stay unique.  Also a call that
+    reports how many lines were read and left out."""
     from quarry.functions.text import utf16_length
     from quarry.operators.keyed import first_per_key
-    from quarry.sources.text import parse_url_base64
+    from quarry.sources.text import parse_url_base64, url_base64_fields
 
-    docs = first_per_key(parse_url_base64(spark.read.text(inp)), "url", "text")
-    return docs.select(F.col("url").alias("row_key"), "text", utf16_length("text").alias("size"))
+    lines, report = _counting(spark.read.text(inp), "bulkload", Lines=F.count(F.lit(1)),
+                              BadInput=F.count_if(F.size(url_base64_fields("value")) != 2))
+    docs = first_per_key(parse_url_base64(lines), "url", "text")
+    return docs.select(F.col("url").alias("row_key"), "text", utf16_length("text").alias("size")), report
 
 
 def bulkload(spark, inp, table_dir):
     """S11 + K5: ``url<TAB>base64(text)`` lines -> a new keyed table version, range-sorted by key."""
     from quarry.sinks.files import write_version
 
-    write_version(_url_docs(spark, inp), table_dir)
+    docs, report = _url_docs(spark, inp)
+    write_version(docs, table_dir)
+    report()
 
 
 def tableput(spark, inp, table_dir):
@@ -144,7 +173,9 @@ def tableput(spark, inp, table_dir):
     from quarry.sinks.files import read_current, write_version
 
     base = read_current(spark, table_dir)
-    write_version(upsert_rows(base, _url_docs(spark, inp)), table_dir)
+    docs, report = _url_docs(spark, inp)
+    write_version(upsert_rows(base, docs), table_dir)
+    report()
 
 
 def docs2tsv(spark, inp, out):
@@ -208,7 +239,11 @@ def main(argv=None) -> int:
     job("records2base64", "inp", "out", record_bytes=(int, None))
 
     a = vars(ap.parse_args(argv))
-    JOBS[a.pop("job")](_session(), **a)
+    spark = _session()
+    try:
+        JOBS[a.pop("job")](spark, **a)
+    finally:
+        clear_scratch(spark)
     return 0
 
 

@@ -1,10 +1,11 @@
 """Hottest year per (station, calendar day) and its station labels.
 
 The reference finds the maximum by a secondary sort of every reading in a
-(station, day) group.  Here the argmax is an aggregate with a partial stage:
-``min(struct(-temp, year))`` per group gives the largest temperature and,
-among equal ones, the smallest year (D5) without sorting or collecting a group,
-so a station holding a third of all rows still shuffles one row per partition.
+(station, day) group.  Here the argmax is a hash aggregate with a partial stage:
+the maximum of one BIGINT that packs the reading and the year gives the largest
+temperature and, among equal ones, the smallest year (D5) without sorting or
+collecting a group, so a station holding a third of all rows still shuffles one
+row per partition.
 """
 
 from __future__ import annotations
@@ -17,20 +18,32 @@ from quarry.operators.joins import skew_safe_join
 
 # The station file's placeholder id, and the label line format.
 UNKNOWN_STATION = "999999"
+YEARS = 10_000  # years of four digits
 LABEL_FORMAT = "%.4f, %.4f, %s (%s)"
 
 
-def hottest_year(readings: DataFrame, temp_col: str = "max_c") -> DataFrame:
+def hottest_year(readings: DataFrame, temp_col: str = "max_c", tenths: bool = True) -> DataFrame:
     """Per (station, day, month) the hottest reading and its year.
 
+    Readings of the daily records (S12) are tenths of a degree Fahrenheit; such a reading and
+    its year fit one integer.  ``tenths=False`` takes Celsius values of any resolution and
+    compares (reading, year) pairs instead, which Spark can only do by sorting.
+
     ``readings`` has station, year, month, day and a Celsius ``temp_col``.
     -> (station, day, month, year, max_c, key, value) with key ``station:dd.MM``
     and value ``%.1fC (year)``.
     """
     valid = readings.filter(W.has_temp(temp_col))
-    best = (valid.groupBy("station", "day", "month")
-            .agg(F.min(F.struct((-F.col(temp_col)).alias("neg"), F.col("year"))).alias("b"))
-            .select("station", "day", "month", F.col("b.year").alias("year"), (-F.col("b.neg")).alias("max_c")))
+    if tenths:
+        packed = F.round(F.col(temp_col).cast("double") * 18 + 320).cast("bigint") * YEARS + (YEARS - 1 - F.col("year"))
+        best = valid.groupBy("station", "day", "month").agg(F.max(packed).alias("b"))
+        f = (F.floor(F.col("b") / YEARS) / F.lit(10.0)).cast("float")
+        best = best.select("station", "day", "month", (YEARS - 1 - F.pmod("b", F.lit(YEARS))).cast("int").alias("year"),
+                           W.to_celsius(f).alias("max_c"))
+    else:
+        best = (valid.groupBy("station", "day", "month")
+                .agg(F.min(F.struct((-F.col(temp_col)).alias("neg"), F.col("year"))).alias("b"))
+                .select("station", "day", "month", F.col("b.year").alias("year"), (-F.col("b.neg")).alias("max_c")))
     return best.select("*", W.station_day_key("station", "day", "month").alias("key"),
                        W.temp_value("max_c", "year").alias("value"))
 

@@ -17,6 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -96,7 +97,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared (HDFS/object store) folder")
     local = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(local)
@@ -108,7 +109,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what this application staged under :func:`scratch_path`; the number of paths.
+
+    Call it when no DataFrame built so far is needed any more (the jobs do at their end)."""
+    sc = _context(spark)
+    n = 0
+    while sc is not None and _SCRATCH:
+        path = sc._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True))
+    return n
 
 
 _SHIPPED: set[str] = set()

@@ -111,11 +111,10 @@ def write_docstream(df: DataFrame, out_dir: str, url_col: str = "url", body_col:
 
         def messages():
             for pdf in batches:
-                for row in pdf.itertuples(index=False):
-                    d = dict(zip(cols, row))
-                    count[0] += 1
-                    yield encode_document(d[url_col], d.get(body_col) if body_col else None,
-                                          d.get(text_col) if text_col else None)
+                none = [None] * len(pdf)
+                count[0] += len(pdf)
+                yield from map(encode_document, pdf[url_col], pdf[body_col] if body_col else none,
+                               pdf[text_col] if text_col else none)
 
         n = write_atomic(path + (".pb.gz" if compress else ".pb"), gzipped(messages()) if compress else messages(),
                          skip_empty=True)

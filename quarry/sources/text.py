@@ -45,7 +45,8 @@ def read_kv(spark: SparkSession, paths, key: str = "key", value: str = "value")
     return split_kv(spark.read.text(paths), key, value)
 
 
-def _fields(line_col: str):
+def url_base64_fields(line_col: str):
+    """The TAB-separated fields of a line, empty ones at its end left out."""
     return F.split(F.regexp_replace(F.col(line_col), "\t+$", ""), "\t")
 
 
@@ -53,14 +54,14 @@ def parse_url_base64(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """S11 + P4 + F10/F11: ``url<TAB>base64(text)`` -> (url, text); lines without exactly
     two fields are dropped (count them with :func:`bad_url_base64_lines`).  Empty fields at
     the end of a line don't count."""
-    parts = _fields(line_col)
+    parts = url_base64_fields(line_col)
     ok = lines.filter(F.size(parts) == 2)
     return ok.select(parts[0].alias("url"), utf8_lenient(from_base64_text(parts[1])).alias("text"))
 
 
 def bad_url_base64_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """A18 ``bad_input`` counter: one row (lines, bad_lines)."""
-    n = F.size(_fields(line_col))
+    n = F.size(url_base64_fields(line_col))
     return lines.agg(F.count(F.lit(1)).alias("lines"), F.count_if(n != 2).alias("bad_lines"))
 
 

@@ -33,6 +33,24 @@ def test_codecs(spark):
     assert df.select(C.from_base64_text(F.lit(r.t)).alias("x")).first().x == bytearray(b)
 
 
+def test_codecs_with_nulls_and_negative_numbers(spark):
+    data = [(1, [1.5, -2.0]), (-1, None), (-(2**63), []), (2**63 - 1, [0.25])]
+    df = spark.createDataFrame(data, "n long, a array<float>").coalesce(1)
+    out = df.select("n", C.be_long(C.long_be_bytes("n")).alias("n2"), C.float32_le_bytes("a").alias("b"))
+    out = out.select("n", "n2", C.le_float32_array("b").alias("a"), C.le_int32_array(F.lit(None).cast("binary")).alias("z"))
+    assert [(r.n2, r.a, r.z) for r in out.collect()] == [(n, a, None) for n, a in data]
+
+
+def test_hottest_year_of_any_resolution(spark):
+    data = [(1, 2000, 3, 9, 10.123), (1, 2001, 3, 9, 10.1239), (1, 1999, 3, 9, -3.0)]
+    df = spark.createDataFrame(data, "station int, year int, month int, day int, max_c double").withColumn(
+        "max_c", F.col("max_c").cast("float"))
+    assert WE.hottest_year(df, tenths=False).first().year == 2001
+    exact = df.withColumn("max_c", WE.W.to_celsius(F.lit(70.3).cast("float")))
+    r = WE.hottest_year(exact).first()
+    assert r.year == 1999 and r.max_c == exact.first().max_c and r.key == "1:09.03"
+
+
 def test_day_month_and_tuple_line(spark):
     df = spark.createDataFrame([("2024-03-09",)], "d string").select(F.to_date("d").alias("d"))
     assert df.select(day_month("d").alias("x")).first().x == "09.03"
@@ -65,3 +83,14 @@ def test_scale_conf():
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     small = scale_conf(1024, 2, 4)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_scratch_is_cleared(spark):
+    from quarry import session as SE
+
+    path = SE.scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    kept, SE._SCRATCH[:] = SE._SCRATCH[:-1], [path]
+    assert SE.clear_scratch(spark) == 1 and SE._SCRATCH == []
+    SE._SCRATCH[:] = kept
+    assert not os.path.exists(path.removeprefix("file:"))

@@ -22,7 +22,7 @@ def test_sized_terms_push_filter_and_prune_columns(spark):
 
 
 def test_aggregates_are_partial_before_the_shuffle(spark):
-    for name, fn in [("doc_frequency", "partial_count"), ("hottest_year_per_station_day", "partial_min"),
+    for name, fn in [("doc_frequency", "partial_count"), ("hottest_year_per_station_day", "partial_max"),
                      ("top_query_per_host", "partial_min"), ("host_counts", "partial_count")]:
         p = _plan(E.queries()[name](spark, SF001), "simple")
         assert fn in p, (name, p)
@@ -33,3 +33,27 @@ def test_share_of_total_reuses_the_per_host_shuffle(spark):
     df.collect()
     p = _plan(df, "simple")
     assert "ReusedExchange" in p and "Window" not in p
+
+
+def test_argmax_per_station_day_does_not_sort(spark):
+    assert "SortAggregate" not in _plan(E.queries()["hottest_year_per_station_day"](spark, SF001), "simple")
+
+
+def test_joins_start_no_job_while_they_are_planned(spark):
+    """Nothing is measured first: each input is read by the query alone."""
+    from quarry.operators import graph, robots, weather
+    from quarry.plans import derived
+
+    edges, pages, sites = derived.edges(spark, SF001), derived.pages_table(spark, SF001), derived.sites(spark, SF001)
+    hot, stations = weather.hottest_year(derived.readings_c(spark, SF001)), derived.stations(spark, SF001)
+    for name, build in (("adjacency", lambda: graph.adjacency(edges)), ("robots", lambda: robots.reconciled(pages, sites)),
+                        ("labels", lambda: weather.station_labels(hot, stations))):
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        build()
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}")) == 0, name
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_nodes_come_from_one_scan(spark):
+    for name in ("graph_nodes", "dangling_nodes"):
+        assert _plan(E.queries()[name](spark, SF001), "simple").count("FileScan") == 1, name
