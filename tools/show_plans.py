@@ -15,9 +15,9 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
 from quarry.operators import graph as G  # noqa: E402
 from quarry.plans import derived  # noqa: E402
+from quarry.plans.queries import REGISTRY  # noqa: E402
 from quarry.session import checkpoint_dir, get_session  # noqa: E402
 
 
@@ -40,7 +40,7 @@ def main():
     parts = [f"# Executed plans (generated by tools/show_plans.py at {os.path.basename(a.sf_dir)})\n",
              "Each plan is the final adaptive plan after running the query. Queries that read a "
              "checkpoint (PageRank) show the scan only; the iteration plan is at the end.\n"]
-    for name, q in E.queries().items():
+    for name, q in REGISTRY.items():
         df = q(spark, a.sf_dir)
         df.collect()
         parts.append(f"## {name}\n\n```\n{plan_text(df)}\n```\n")
@@ -58,10 +58,8 @@ def main():
     finally:
         G._checkpointed = orig
     df, n, keys = captured[-1]
-    with G._static_plan(spark):
-        it = df.repartition(n, *keys)
-        parts.append("## PageRank iteration (set variant, as checkpointed)\n\n"
-                     f"```\n{plan_text(it)}\n```\n")
+    parts.append("## PageRank iteration (set variant, as checkpointed)\n\n"
+                 f"```\n{plan_text(df.repartition(n, *keys))}\n```\n")
     with open(a.out, "w") as f:
         f.write("\n".join(parts))
     print("wrote", a.out)
