@@ -1,5 +1,7 @@
 """op7: fingerprints and groups against brute force."""
 
+import re
+
 import numpy as np
 import pytest
 import xxhash
@@ -7,13 +9,11 @@ from pyspark.sql import functions as F
 
 from quarry.llm import simhash as S
 
-from ..conftest import SF001, SF01
+from ..conftest import SF001
 
 
 def brute_fingerprint(text, size=3):
-    words = []
-    for w in (text or "").split(" "):
-        words += [x for x in __import__("re").findall(r"[^\x20\x09-\x0D]+", w)]
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     words = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in words]
     if not words:
         return 0
@@ -63,7 +63,7 @@ def test_query_matches_brute_force(spark):
                zip(sorted(got, key=lambda r: r.doc_id), sorted(docs, key=lambda d: d.doc_id)))
 
 
-def test_groups_with_close_fingerprints_in_small_leaves(spark, monkeypatch):
+def test_groups_with_close_fingerprints_in_small_leaves(spark):
     """Chains of one- and two-bit steps through many leaves are one group each."""
     rng = np.random.default_rng(3)
     points = rng.integers(0, 2**63, 300, dtype=np.uint64)
@@ -119,4 +119,3 @@ def test_odd_rows(spark):
 def test_empty_table(spark):
     assert S.near_duplicates(rows(spark, [])).collect() == []
     assert S.keep_one_per_group(rows(spark, [])).collect() == []
-    assert SF01
