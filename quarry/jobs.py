@@ -15,11 +15,13 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import checkpoint_dir, clear_scratch, ensure_importable, get_session
+from quarry.session import checkpoint_dir, clear_scratch, ensure_importable, get_session, scale_conf
 
 
-def _session() -> SparkSession:
-    spark = get_session()
+def _session(input_bytes: int | None = None, executors: int | None = None, cores: int | None = None) -> SparkSession:
+    """The job's session; with the input's size and the cluster's, its settings are sized for them."""
+    extra = scale_conf(input_bytes, executors, cores or 1) if input_bytes and executors else None
+    spark = get_session(extra=extra)
     ensure_importable(spark)
     checkpoint_dir(spark)
     return spark
@@ -209,6 +211,8 @@ def records2base64(spark, inp, out, record_bytes=None):
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="python -m quarry", description=__doc__.splitlines()[0])
+    for flag in ("--input-bytes", "--executors", "--cores"):
+        ap.add_argument(flag, type=int, help="sizes partitions, splits and skew limits (all three together)")
     sub = ap.add_subparsers(dest="job", required=True)
 
     def job(name, *pos, **opts):
@@ -239,7 +243,7 @@ def main(argv=None) -> int:
     job("records2base64", "inp", "out", record_bytes=(int, None))
 
     a = vars(ap.parse_args(argv))
-    spark = _session()
+    spark = _session(a.pop("input_bytes"), a.pop("executors"), a.pop("cores"))
     try:
         JOBS[a.pop("job")](spark, **a)
     finally:
