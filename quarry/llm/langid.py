@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from quarry.llm.common import appended, hash_order, map_arrow, pages_of, pick, staged, table
 from quarry.llm.html_extract import extract
 
-DOCS_PER_LANGUAGE = 500  # the text model is fitted on at most so many documents of each language
+DOCS_PER_LANGUAGE = 512  # the text model is fitted on at most so many documents of each language
+LOTS = 64
 BUCKETS = 2**15  # hashed letter triples
 SMOOTHING = 0.5
 EFFECTIVE_TRIPLES = 40  # a text counts as at most so many independent triples
@@ -53,12 +54,11 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_co
     from pyspark.sql import Window as W
 
     known = pick(docs, id=id_col, lang=lang_col).filter("id is not null and lang is not null")
-    # thinned by each language's size first (twice what is wanted stays), so that no task orders a language's every row
-    share = known.groupBy("lang").agg((F.lit(2.0 * per_language) / F.count(F.lit(1))).alias("share"))
-    lot = F.pmod(hash_order(F.col("id")), F.lit(1 << 30)) / float(1 << 30)
-    thinned = known.join(share, "lang").filter(lot < F.col("share"))
-    nth = F.row_number().over(W.partitionBy("lang").orderBy(hash_order(F.col("id")), "id"))
-    chosen = F.broadcast(thinned.withColumn("nth", nth).filter(F.col("nth") <= per_language).select("id", "lang"))
+    # an equal share from each of several lots of a language, so that no task orders a language's every row
+    lot = F.pmod(F.xxhash64(F.lit("lot"), "id"), F.lit(LOTS))
+    nth = F.row_number().over(W.partitionBy("lang", "lot").orderBy(hash_order(F.col("id")), "id"))
+    chosen = F.broadcast(known.withColumn("lot", lot).withColumn("nth", nth)
+                         .filter(F.col("nth") <= -(-per_language // LOTS)).select("id", "lang"))
     sample = pick(docs, id=id_col, text=text_col).join(chosen, "id").select("lang", "text")
 
     def count(batches):
