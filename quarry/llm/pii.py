@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,8 +41,36 @@ CONTEXT = {  # words that speak for a kind when they stand just before a span
 AGAINST = r"order|isbn|version|serial|invoice|\bref\b|\bid\b|\bno\b"
 ROUNDS = 30
 RATE = 0.3
-MIN_PRECISION = 0.98  # a kind's threshold keeps at least this share of right spans among those accepted
-FEATURES = ("proposal", "kind", "digits", "chars", "seps", "brackets", "word_for", "word_against", "before", "after")
+MIN_PRECISION = 0.98  # a pattern's threshold keeps at least this share of right spans among those accepted
+# Forms that the wide patterns are for, written from base spans: (proposal, kind of the base span, right, SQL of the
+# form over ``v``, the span's value).  Those that are not right are numbers in the shape of an address or a phone.
+DIGITS = "regexp_replace(v, '[^0-9]', '')"
+AREA, NEXT, LAST = (f"substring(right({DIGITS}, 10), 1, length(right({DIGITS}, 10)) - 7)",
+                    f"left(right({DIGITS}, 7), 3)", f"right({DIGITS}, 4)")
+MADE = (
+    (4, "email", 1, "concat(split_part(v, '@', 1), '@', replace(split_part(v, '@', 2), '.', ''))"),
+    (4, "email", 1, "concat(split_part(v, '@', 1), '@', substring_index(split_part(v, '@', 2), '.', 1))"),
+    (4, "email", 1, "translate(v, 'aeiou', '\u00e4\u00e9\u00ef\u00f6\u00fc')"),
+    (4, "phone", 0, f"concat('2@', {DIGITS})"),
+    (5, "email", 1, "concat(split_part(v, '@', 1), ' (at) ', replace(split_part(v, '@', 2), '.', ' (dot) '))"),
+    (5, "email", 1, "concat(split_part(v, '@', 1), '[at]', replace(split_part(v, '@', 2), '.', '[dot]'))"),
+    (5, "email", 1, "concat(split_part(v, '@', 1), ' (at) ', split_part(v, '@', 2))"),
+    (5, "ip", 0, "concat('me (at) ', v)"),
+    (6, "phone", 1, f"concat({AREA}, '-', {NEXT}, '-', {LAST})"),
+    (6, "phone", 1, f"concat('(', {AREA}, ') ', {NEXT}, '-', {LAST})"),
+    (6, "phone", 1, f"concat({AREA}, ' ', {NEXT}, ' ', {LAST})"),
+    (6, "phone", 0, f"concat(left({DIGITS}, 2), '.', substring({DIGITS}, 3, 3), '.', substring({DIGITS}, 6, 3))"),
+    (6, "phone", 0, f"concat(left({DIGITS}, 3), ' ', substring({DIGITS}, 4, 3), ' ', substring({DIGITS}, 7, 3))"),
+)
+DOUBTED = (4, 6)  # wide patterns that a word of AGAINST speaks against; the bracketed form of 5 speaks for itself
+# Texts whose base spans the forms are written from besides the corpus's own, so that a corpus without any has a model.
+SEEDS = ("Write to jane.doe@example.com or call +1 626 555 5759 today", "jane@mail.example.org, +44 20 7946 0958.",
+         "Our host 192.168.10.1 and j_doe42@mail7.example.co.uk; tel +49 30 1234567, thanks", "see (info@host2024.net) or +16265550199",
+         "info1999@srv12345.example.com: 42nd@web99.example.org, 10.0.0.1")
+SEED_WEIGHT = 100  # each counts as so many
+# An address whose letters are of an alphabet, some of them not ASCII: base spans hold only a part of it.
+ABROAD = r"^(?=.*[^\x00-\x7F])[\p{IsLatin}\p{IsGreek}\p{IsCyrillic}0-9._%+-]+@[\p{IsLatin}\p{IsGreek}\p{IsCyrillic}0-9.-]*[\p{L}0-9]$"
+FEATURES = ("proposal", "kind", "head", "last", "digits", "chars", "seps", "brackets", "word_for", "word_against", "before", "after")
 
 
 def found(text: Column, pattern: str, may: Column) -> Column:
@@ -137,13 +166,16 @@ def described(number: int, kind: str, text: Column, spans: Column) -> Column:
         return F.struct(
             s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("name"),
             F.lit(number).alias("proposal"), F.lit(KINDS.index(kind)).alias("kind"),
+            char_class(F.substring(value, F.lit(1), F.lit(1))).alias("head"),
+            char_class(F.substring(value, F.length(value), F.lit(1))).alias("last"),
             F.least(digits, F.lit(24)).alias("digits"),
             F.least(F.floor(F.length(value) / 4), F.lit(12)).cast("int").alias("chars"),
             F.least(F.length(F.regexp_replace(value, r"[^\x20.-]", "")), F.lit(5)).alias("seps"),
             value.rlike(r"[()\[\]{}]").cast("int").alias("brackets"),
             lead.rlike(CONTEXT[kind]).cast("int").alias("word_for"),
             lead.rlike(AGAINST).cast("int").alias("word_against"),
-            char_class(before).alias("before"), char_class(after).alias("after"))
+            char_class(before).alias("before"), char_class(after).alias("after"),
+            (value.rlike(ABROAD) if number == len(KINDS) else F.lit(False)).alias("abroad"))
 
     return F.transform(spans, one)
 
@@ -166,12 +198,12 @@ def overlaps(a: Column, b: Column) -> Column:
 
 
 @dataclass
-class Model:
-    """Boosted trees as (feature, cut, left, right) tuples with leaf values, and a score threshold a kind."""
+class Trees:
+    """Boosted trees as (feature, cut, left, right) tuples with leaf values, and a score threshold of each of their patterns."""
 
     bias: float
     trees: list
-    thresholds: dict[str, float]
+    thresholds: dict[int, float]
 
     def score(self, of) -> Column:
         """The trees' sum as a SQL expression over feature columns ``of(name)``."""
@@ -187,6 +219,24 @@ class Model:
         return total
 
 
+@dataclass
+class Model:
+    """Trees of the base patterns and of each wide one, so that none is fitted to another's proposals."""
+
+    parts: list[Trees]
+
+    def accepts(self, c: Column) -> Column:
+        good = F.lit(False)
+        for part in self.parts:
+            least = {n: t for n, t in part.thresholds.items() if t < math.inf}
+            if least:
+                bound = F.lit(None).cast("double")
+                for number, value in least.items():
+                    bound = F.when(c["proposal"] == number, value).otherwise(bound)
+                good = F.when(c["proposal"].isin(*least), part.score(lambda f: c[f]) >= bound).otherwise(good)
+        return good
+
+
 def boost(cells: list[dict], rounds: int = ROUNDS, rate: float = RATE, depth: int = 2) -> tuple[float, list]:
     """Gradient-boosted trees (logistic loss) on weighted feature cells: ``n`` spans of which ``right`` are right."""
     n = sum(c["n"] for c in cells)
@@ -214,6 +264,13 @@ def _leaf_of(node, cell) -> float:
     return node
 
 
+def _score(bias, trees, cell) -> float:
+    """The score, added up in the order of the SQL expression (``sum`` rounds otherwise), so that it equals a threshold."""
+    for t in trees:
+        bias += _leaf_of(t, cell)
+    return bias
+
+
 def _tree(cells, grad, hess, rows, depth, rate):
     """The tree with the best Newton gains; a plain number where no split gains."""
     g, h = sum(grad[i] for i in rows), sum(hess[i] for i in rows)
@@ -239,59 +296,122 @@ def _tree(cells, grad, hess, rows, depth, rate):
             _tree(cells, grad, hess, right, depth - 1, rate))
 
 
-def calibrated(cells: list[dict], bias: float, trees: list, min_precision: float = MIN_PRECISION) -> dict[str, float]:
-    """For each kind the lowest score at which the spans at or above it are right often enough (none: infinite)."""
+def calibrated(cells: list[dict], bias: float, trees: list, numbers, min_precision: float = MIN_PRECISION) -> dict[int, float]:
+    """For each pattern the lowest score at which its own spans at or above it are right often enough (none: infinite)."""
     out = {}
-    for k, kind in enumerate(KINDS):
-        own = sorted(((bias + sum(_leaf_of(t, c) for t in trees), c["n"], c["right"])
-                      for c in cells if c["kind"] == k), reverse=True)
+    for number in numbers:
+        own = sorted(((_score(bias, trees, c), c["n"], c["right"])
+                      for c in cells if c["proposal"] == number), reverse=True)
         n = right = 0
-        out[kind] = math.inf
+        out[number] = math.inf
         for at, (s, a, b) in enumerate(own):
             n, right = n + a, right + b
             if at + 1 < len(own) and own[at + 1][0] == s:
                 continue
             if (right + 1) / (n + 2) >= min_precision:
-                out[kind] = s
+                out[number] = s
     return out
 
 
+def label(c: Column) -> Column:
+    """1 right, 0 wrong, null unknown: what the text itself tells about a proposal.
+
+    A base pattern's proposal is right if it overlaps a base span of its kind: the checks
+    (Luhn, lengths, parts of an ip) tell how often its form and context hold the real thing.
+    A wide one is not wrong for missing the base rule, which it is there to widen: it is
+    wrong only where it overlaps a span of another kind, or, by ``DOUBTED``, where a word
+    speaks against it and none for it.
+    """
+    own = F.exists("_base", lambda b: overlaps(c, b) & (c["name"] == b["name"]))
+    other = F.exists("_base", lambda b: overlaps(c, b) & (c["name"] != b["name"]))
+    doubted = c["proposal"].isin(*DOUBTED) & (c["word_against"] == 1) & (c["word_for"] == 0)
+    wide = F.when(other | doubted, 0)
+    return F.when(own, 1).otherwise(F.when(c["proposal"] < len(KINDS), 0).otherwise(wide))
+
+
+def made() -> Column:
+    """The forms of ``MADE`` written from every valid base span, described in the span's own context."""
+    def written(number, kind, right, form):
+        of, pattern = WIDER[number - len(KINDS)]
+        value = re.sub(r"\bv\b", "s.value", form)
+        spans = F.filter(F.expr(f"transform(_{kind}, s -> struct(s.start as start, s.`end` as `end`, {value} as value))"),
+                         lambda s: s["value"].rlike(f"^(?:{pattern})$"))
+        return F.transform(described(number, of, F.col("_text"), spans),
+                           lambda c: F.struct(c.alias("c"), F.lit(right).alias("right"), F.lit(True).alias("made")))
+
+    return F.concat(*[written(*m) for m in MADE])
+
+
 def train(docs: DataFrame, text_col: str = "text") -> Model:
-    """Fit over every proposal of every text.
+    """Fit over every proposal of every text that ``label`` knows, and over the forms of ``MADE``.
 
-    A proposal counts as right if it overlaps a base span of its kind.  Spark counts the
-    proposals of each combination of features (an aggregate; the combinations are bounded by
-    the features' ranges, whatever the input); the trees are grown on those counts.
+    The forms are written from the base spans of the texts and of ``SEEDS``, a fixed number
+    a span.  A right one in a word's context that speaks against it (``DOUBTED``) counts as
+    wrong as well, and a number in the shape of a phone counts as wrong where no word speaks
+    for it.  So what is accepted does not depend on how many spans miss the base rule.
+
+    Spark counts the proposals of each combination of features (an aggregate; the combinations
+    are bounded by the features' ranges, whatever the input); the trees are grown on those counts.
     """
-    cand = with_candidates(docs.select(F.col(f"`{text_col}`").alias("t")), F.col("t")).filter("_any")
-    marked = F.transform("_cand", lambda c: F.struct(
-        c.alias("c"), F.exists("_base", lambda b: overlaps(c, b) & (c["name"] == b["name"])).cast("int").alias("right")))
-    cells = (cand.select(F.explode(marked).alias("x"))
-             .groupBy(*[F.col(f"x.c.{f}").alias(f) for f in FEATURES])
-             .agg(F.count(F.lit(1)).alias("n"), F.sum("x.right").alias("right"))
-             .orderBy(*FEATURES).collect())
-    cells = [c.asDict() for c in cells]
-    if not cells:
-        return Model(0.0, [], {k: math.inf for k in KINDS})
-    bias, trees = boost(cells)
-    return Model(bias, trees, calibrated(cells, bias, trees))
+    own = docs.select(F.col(f"`{text_col}`").cast("string").alias("t"), F.lit(False).alias("seed"))
+    seeds = docs.sparkSession.range(1, numPartitions=1).select(
+        F.explode(F.array(*map(F.lit, SEEDS))).alias("t"), F.lit(True).alias("seed"))
+    cand = with_candidates(own.unionByName(seeds), F.col("t")).filter("_any")
+    marked = F.filter(F.transform("_cand", lambda c: F.struct(
+        c.alias("c"), label(c).alias("right"), F.lit(False).alias("made"))), lambda x: x["right"].isNotNull())
+    natural = F.when(F.col("seed"), F.slice(marked, 1, 0)).otherwise(marked)
+    weight = F.when(F.col("seed"), SEED_WEIGHT).otherwise(1)
+    cells = (cand.select(F.explode(F.concat(natural, made())).alias("x"), weight.alias("w"))
+             .groupBy(*[F.col(f"x.c.{f}").alias(f) for f in FEATURES], F.col("x.made").alias("made"))
+             .agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("x.right")).alias("right"))
+             .orderBy(*FEATURES, "made").collect())
+    cells = merged([c.asDict() for c in cells])
+    parts = []
+    for numbers in (range(len(KINDS)), *([len(KINDS) + i] for i in range(len(WIDER)))):
+        own = [c for c in cells if c["proposal"] in numbers]
+        bias, trees = boost(own)
+        parts.append(Trees(bias, trees, calibrated(own, bias, trees, numbers)))
+    return Model(parts)
+
+
+def merged(cells: list[dict]) -> list[dict]:
+    """One cell a combination of features, with the wrong ones that made cells stand for in other contexts."""
+    out: dict[tuple, dict] = {}
+
+    def add(c, n, right, **context):
+        c = {f: c[f] for f in FEATURES} | context
+        at = out.setdefault(tuple(c.values()), c | {"n": 0, "right": 0})
+        at["n"] += n
+        at["right"] += right
+
+    for c in cells:
+        if not c["made"]:
+            add(c, c["n"], c["right"])
+            continue
+        wrong = c["n"] - c["right"]
+        if c["right"]:
+            add(c, c["right"], c["right"])
+            if c["proposal"] in DOUBTED:
+                add(c, c["right"], 0, word_for=0, word_against=1)
+        if wrong:
+            add(c, wrong, 0, word_for=0)
+    return list(out.values())
 
 
 def with_spans(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` (its columns as ``_c0`` ...) with ``_spans``: array of (rank of kind, start, end, kind), and the base arrays.
 
-    Every base span stays; a proposal that meets no base span joins where its score reaches its kind's threshold.
+    Every base span stays; a proposal that meets no base span joins where its score reaches its
+    pattern's threshold, and so does an address with letters that are not ASCII which holds
+    the base spans that it meets.
     """
     names = docs.columns
     out = with_candidates(docs.toDF(*[f"_c{i}" for i in range(len(names))]), F.col(f"_c{names.index(text_col)}"))
 
     def wanted(c):
-        good = F.lit(False)
-        score = model.score(lambda f: c[f])
-        for kind, least in model.thresholds.items():
-            if least < math.inf:
-                good = good | ((c["name"] == kind) & (score >= least))
-        return good & ~F.exists("_base", lambda b: overlaps(c, b))
+        inside = F.forall("_base", lambda b: ~overlaps(c, b) | ((c["name"] == b["name"]) & (c["start"] <= b["start"])
+                                                                & (c["end"] >= b["end"])))
+        return (~F.exists("_base", lambda b: overlaps(c, b)) | (c["abroad"] & inside)) & model.accepts(c)
 
     def ranked(s):
         rank = F.lit(len(KINDS))

@@ -103,3 +103,30 @@ def test_redaction(spark):
                            (4, "clean", "c", 5), (4, "clean", "c", 5), (99, "[PHONE]", "d", 7)], key=str)
     empty = spark.createDataFrame([], df.schema)
     assert P.redact(empty).collect() == []
+
+
+def spans_of(spark, data):
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    return {r._c0: [tuple(s)[1:] for s in r._spans] for r in P.with_spans(df, P.train(df)).select("_c0", "_spans").collect()}
+
+
+def test_wide_forms_are_taken_whatever_their_share(spark):
+    """A third of the addresses and phones, or all of them, are written in another form; numbers of other uses stay."""
+    for plain in (200, 0):
+        data = [(i, f"Please write to u{i}.name@host{i}.com or call +1 626 555 {1000 + i} soon") for i in range(plain)]
+        forms = ["anna.k (at) mail{} (dot) example (dot) com", "anna[at]mail{}.org", "anna@m\u00fcnchen{}.de", "anna@mailhost{}",
+                 "(626) 555-{}", "626-555-{}"]
+        texts, want = {}, {}
+        for i in range(102):
+            value = forms[i % 6].format(1000 + i)
+            texts[1000 + i] = f"Please {'write to' if i % 6 < 4 else 'call'} {value} soon"
+            at = texts[1000 + i].index(value)
+            want[1000 + i] = [(at, at + len(value), "email" if i % 6 < 4 else "phone")]
+        data += list(texts.items())
+        data += [(5000 + i, f"the order no 626-555-{1000 + i} is late") for i in range(100)]
+        data += [(6000 + i, f"a total of 12.345.{100 + i} units") for i in range(100)]
+        data += [(7000, "Write to j\u00fcrgen@web.de soon"), (7001, "meet me (at) 5.30 then")]
+        got = spans_of(spark, data)
+        assert {i: got[i] for i in want} == want
+        assert not any(got[i] for i in range(5000, 5100)) and not any(got[i] for i in range(6000, 6100))
+        assert (9, 22, "email") in got[7000] and got[7001] == []
