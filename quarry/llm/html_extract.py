@@ -18,7 +18,7 @@ RAW = frozenset("script style textarea title noscript template iframe xmp".split
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span
  strike strong sub sup time tt u var wbr label ruby rt rp""".split())
 SKIPPED = frozenset("""head script style noscript template iframe svg math canvas object embed audio video map nav
- footer aside form button select option textarea input fieldset dialog menu title""".split())
+ footer aside button select option textarea input fieldset dialog menu title""".split())
 CLOSED_BY_BLOCK = frozenset("""address article aside blockquote details div dl fieldset figcaption figure footer form
  h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul""".split())
 CLOSES = {  # an opening tag of the key ends an open element of the values, up to the nearest of its containers
@@ -37,6 +37,11 @@ BOILERPLATE = frozenset("""ad ads adbox advert adverts advertisement advertising
  toolbar tooltip skip complementary contentinfo search searchform""".split())
 HEADERLIKE = frozenset(("header", "topbar", "siteheader"))
 KEPT = frozenset("article main content post entry story body text".split())
+# Words after which the next one names what is elsewhere or missing, and those of parts that hold much text of their own.
+ABSENT = frozenset("has no with without for".split())
+STRONG = frozenset("comment comments disqus respond reply replies cookie cookies consent gdpr".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header".split())
+KEEP, DOUBT, DOUBT_STRONG, DROP = range(4)
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\x22']|\x22[^\x22]*\x22|'[^']*')*+)(>|\Z)|"
                    r"<(?=[a-zA-Z/])[^>]*(?:>|\Z)", re.S)
@@ -52,6 +57,8 @@ class Node:
     tag: str
     up: Node | None = None
     dropped: bool = False
+    doubt: int = KEEP
+    in_article: bool = False
     parts: list = field(default_factory=list)
     chars: int = 0
     tags: int = 0
@@ -69,25 +76,122 @@ def attributes(raw: str) -> dict[str, str]:
     return out
 
 
-def is_boilerplate(tag: str, raw: str, in_article: bool) -> bool:
-    """Elements that never hold an article's text, by name or by the words of their class, id and role."""
+def boilerplate(tag: str, raw: str, in_article: bool) -> int:
+    """DROP for elements that never hold an article's text, by name or as hidden ones; DOUBT for those that the words of
+    their class, id and role speak against, and for forms (see ``judge``)."""
     if tag in SKIPPED:
-        return True
+        return DROP
     if tag == "header":
-        return not in_article
+        return KEEP if in_article else DROP
+    doubt = DOUBT if tag == "form" else KEEP
     if tag in ("html", "body", "article", "main") or "=" not in raw and "hidden" not in raw:
-        return False
+        return doubt
     own = attributes(raw)
     if "hidden" in own or own.get("aria-hidden") == "true" or "display:none" in own.get("style", "").replace(" ", "").lower():
-        return True
+        return DROP
     for name in ("class", "id", "role"):
         for token in own.get(name, "").split():
             words = NAMES.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
+            words = [w for before, w in zip(["", *words], words) if before not in ABSENT]
             if not words or KEPT & set(words) and not BOILERPLATE & {words[0], words[-1]}:
                 continue
+            if STRONG & set(words):
+                return DOUBT_STRONG
             if BOILERPLATE & set(words) or (HEADERLIKE & set(words) and not in_article):
-                return True
-    return False
+                doubt = DOUBT
+    return doubt
+
+
+@dataclass(slots=True)
+class Held:
+    """What an element holds, links' texts apart: characters (``text``, without parts of strong doubt), characters of
+    links, characters outside doubted parts and headings (``sure``; ``sure_article``: in an article), landmarks."""
+
+    text: int = 0
+    links: int = 0
+    sure: int = 0
+    sure_article: int = 0
+    main: bool = False
+    article: bool = False
+    h1: bool = False
+
+
+def held(root: Node) -> dict[Node, Held]:
+    out: dict[Node, Held] = {}
+    for n in nodes_bottom_up(root):
+        h = out[n] = Held()
+        for p in n.parts:
+            if isinstance(p, str):
+                h.text += len(SPACE.sub("", p))
+                h.sure += len(SPACE.sub("", p))
+            elif not p.dropped:
+                c = out[p]
+                h.links += c.links
+                if p.doubt != DOUBT_STRONG:
+                    h.text += c.text
+                    h.main |= c.main or p.tag == "main" and c.text > 0
+                    h.article |= c.article or p.tag == "article" and c.text > 0
+                    h.h1 |= c.h1 or p.tag == "h1"
+                if p.doubt == KEEP:
+                    h.sure += c.sure
+                    h.sure_article += c.sure_article
+        if n.tag == "a":
+            h.links, h.text, h.sure, h.sure_article = h.links + h.text, 0, 0, 0
+        elif n.tag in HEADINGS:
+            h.sure = h.sure_article = 0
+        elif n.tag in ("article", "main") or n.in_article:
+            h.sure_article = h.sure
+    return out
+
+
+def judge(root: Node) -> None:
+    """Drop the doubted elements, but for those that hold the page's text.
+
+    Such are elements with most of the page's text (links and parts of strong doubt apart),
+    unless an article elsewhere has text, and with the page's only article, main or first
+    heading.  A part of strong doubt (readers' comments, cookie notices), or one of several
+    with a smaller share each, is only let through where nothing else has text.
+    """
+    of = held(root)
+    if not any(n.doubt for n in of):
+        return
+    total = of[root].text
+    for most in (None, DOUBT, DOUBT_STRONG):  # by the rules; then anything doubted; then anything
+        sure, article = of[root].sure, of[root].sure_article
+        h1 = any(n.tag == "h1" for n in reachable(root))
+        out, work = [], [root]
+        while work:
+            n = work.pop()
+            for p in n.parts:
+                if not isinstance(p, Node) or p.dropped:
+                    continue
+                if p.doubt:
+                    h = of[p]
+                    if most is None:
+                        dense = h.text >= h.links
+                        good = p.doubt == DOUBT and (
+                            dense and 2 * h.text > total and (p.in_article or not article)
+                            or not article and (h.main or h.article and (h.text > sure or not h1) or h.h1 and h.text > sure))
+                    else:
+                        good = p.doubt <= most and h.text >= h.links
+                    if not good:
+                        out.append(p)
+                        continue
+                    sure += h.sure
+                work.append(p)
+        if sure or most == DOUBT_STRONG:
+            break
+    for p in out:
+        p.dropped = True
+
+
+def reachable(root: Node):
+    """The elements outside dropped and doubted ones."""
+    work = [root]
+    while work:
+        n = work.pop()
+        yield n
+        work.extend(p for p in n.parts if isinstance(p, Node) and not p.dropped and not p.doubt)
 
 
 def parsed(page: str) -> Node:
@@ -142,7 +246,9 @@ def parsed(page: str) -> Node:
                     node = node.up
                 node = node.up
         child = Node(tag, node)
-        child.dropped = node.dropped or is_boilerplate(tag, m[3], depth_article > 0)
+        child.in_article = depth_article > 0
+        child.doubt = DROP if node.dropped else boilerplate(tag, m[3], child.in_article)
+        child.dropped = child.doubt == DROP
         node.parts.append(child)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -252,6 +358,7 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     root = parsed(page)
+    judge(root)
     measure(root)
     node = main_node(root)
     return " ".join(blocks(node)) if node is not None else ""

@@ -44,6 +44,26 @@ def test_known_pages(name):
     assert H.extract(PAGES[name]) == TEXT
 
 
+WRAPPED = [f"<body><div class='{c}'>{BODY}<div class='related'>{MENU}</div></div><div id='footer'>about us</div></body>"
+           for c in ("wy-grid-for-nav", "no-sidebar", "has-sidebar", "page-with-sidebar", "content-with-sidebar", "post popular",
+                     "popular", "widget")] + [
+    f"<body><form action='/x'><div class='search'>find <input></div><div>{BODY}</div><select><option>no</select></form></body>",
+    f"<body><div class='widget'><form><div class='popular'><article>{BODY}</article></div></form></div><div>one more line</div></body>",
+    f"<body><main><h1>A Title</h1><div class='popular'>{BODY.removeprefix('<h1>A Title</h1>')}</div></main></body>",
+    f"<body><div class='post popular'>{BODY}</div><div id='comments'><p>{'Far more words of a reader. ' * 30}</p></div></body>"]
+
+
+@pytest.mark.parametrize("page", WRAPPED)
+def test_wrappers_named_like_boilerplate(page):
+    assert H.extract(page) == TEXT
+
+
+def test_several_doubted_parts_and_many_levels():
+    parts = "".join(f"<div class='popular'><p>Part {i} has some words of its own.</p></div>" for i in range(3))
+    assert H.extract(f"<body>{parts}</body>").count("words") == 3
+    assert H.extract("<div class='popular'>" * 20_000 + "some text here") == "some text here"
+
+
 def test_blocks_and_white_space():
     page = "<article><h1> A\n\tB </h1>x<br>y<p>c&nbsp;d&#x27;e</p>tail <b>bold</b>er</article>"
     assert H.extract(page) == "A B x y c d'e tail bolder"
