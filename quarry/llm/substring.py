@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from quarry.llm.common import appended, map_arrow, pages_of, pick, staged, table
 
 RUN = 4  # consecutive sentences in a span,
-ENOUGH_WORDS = 30  # fewer (two at least) where they reach so many words,
+ENOUGH_WORDS = 16  # fewer (two at least) where they reach so many words,
 MIN_WORDS = 16  # more where it takes them to reach so many
-LONG = 12  # a sentence of more words is parted after each word whose hash is divisible by EVERY, or 4 * LONG words
-EVERY = 8
+LONG = 12  # a sentence of more words is parted after each word that has the least hash of EVERY words in a row
+EVERY = 8  # (the last of equal ones), so no piece is longer and 2 * EVERY - 1 words from a passage's edge all cuts are its own
 
 # Sentences end at . ! ? , ; : and line breaks; other ASCII punctuation and blanks only part words.
 ENDS = b".!?,;:\n\r"
@@ -26,7 +26,9 @@ def sentences(text: str | None) -> tuple[bytes, np.ndarray, np.ndarray, list[byt
     """(UTF-8 bytes, byte offset where each sentence starts, words of each, normal form of each).
 
     Only sentences with a word count; what stands between two belongs to the first.
-    Every boundary depends on its own place only, so a passage is cut alike wherever it stands.
+    Every boundary depends on the EVERY - 1 words before and after it only, and on whether the
+    sentence is longer than LONG.  So a passage is cut alike wherever it stands, but for 15
+    words at most at either edge: any passage of 50 words holds a span, whatever its words.
     """
     raw = (text or "").encode("utf-8", "replace")
     parts = raw.lower().translate(PARTED).split(b"\n")
@@ -43,6 +45,16 @@ def _parted(parts: list[bytes], starts: list[int], words: list[list[bytes]]):
     """The sentences with the long ones parted, again at places that depend on the words there only."""
     from xxhash import xxh64_intdigest
 
+    long = [own for own in words if len(own) > LONG]
+    h = np.fromiter((xxh64_intdigest(w) for own in long for w in own), np.uint64)
+    part = np.repeat(np.arange(len(long)), [len(own) for own in long])
+    windows = np.flatnonzero(part[:len(h) - EVERY + 1] == part[EVERY - 1:]) + EVERY - 1  # the last word of each
+    cut = np.zeros(len(h), bool)
+    least = windows
+    for back in range(1, EVERY):
+        least = np.where(h[windows - back] < h[least], windows - back, least)
+    cut[least] = True
+    cuts, seen = cut.tolist(), 0
     new_starts, new_words = [], []
     for part, start, own in zip(parts, starts, words):
         if len(own) <= LONG:
@@ -55,9 +67,10 @@ def _parted(parts: list[bytes], starts: list[int], words: list[list[bytes]]):
             at = here + len(w)
             if i == lo:
                 new_starts.append(start + (here if lo else 0))
-            if i + 1 == len(own) or xxh64_intdigest(w) % EVERY == 0 or i + 1 - lo == 4 * LONG:
+            if i + 1 == len(own) or cuts[seen + i]:
                 new_words.append(own[lo:i + 1])
                 lo = i + 1
+        seen += len(own)
     return np.array(new_starts), np.array([len(w) for w in new_words]), new_words
 
 

@@ -62,6 +62,22 @@ def test_planted_passages(spark):
         assert 0 < got[i].n_removed and len(got[i].text.split()) >= 60
 
 
+def test_every_passage_of_50_words_holds_a_span():
+    """Unpunctuated ones, hardly punctuated ones and such over few distinct words, each between two different neighbours."""
+    for seed in range(1500):
+        rng = random.Random(seed)
+        letters, marks = ("abcdefghijklmnop", "ab")[seed % 2], ("", "", ".", ",")[seed % 4]
+        size = 2 if seed % 6 == 1 else 7
+        def prose(n):
+            return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, size)))
+                            + (marks if rng.random() < 0.08 else "") for _ in range(n))
+
+        passage = prose(50)
+        a, b = (set(S.spans(*S.sentences(f"{prose(rng.randint(0, 40))} {passage} {prose(rng.randint(0, 40))}")[2:])[0].tolist())
+                for _ in range(2))
+        assert a & b, (seed, passage)
+
+
 def test_odd_rows(spark):
     line = "one two three four, five six seven eight. nine ten eleven twelve; thirteen fourteen fifteen sixteen! "
     data = [(2, line), (1, line * 3), (3, None), (4, ""), (5, "..,,!!"), (None, line), (6, "short, line."), (6, "short, line."),
