@@ -106,26 +106,26 @@ def spans(counts: np.ndarray, normal: list[bytes], run: int = RUN, enough: int =
 
 
 def span_rows(docs: DataFrame, run: int, enough: int, least: int) -> DataFrame:
-    """(hash, id, first, size, again): every span of every text; ``again``: seen before in the same text."""
+    """(hash, id, of, first, size, again): every span of every text (``of``: its hash); ``again``: seen before in the same text."""
     def each(batches):
-        for ids, texts in pages_of(batches, "id", "text"):
-            cols: list[list[np.ndarray]] = [[], [], [], [], []]
-            for i, t in zip(ids, texts):
+        for ids, of, texts in pages_of(batches, "id", "of", "text"):
+            cols: list[list[np.ndarray]] = [[], [], [], [], [], []]
+            for i, o, t in zip(ids, of, texts):
                 _, _, counts, normal = sentences(t)
                 h, first, size = spans(counts, normal, run, enough, least)
                 if not len(h):
                     continue
                 again = np.ones(len(h), bool)
                 again[np.unique(h, return_index=True)[1]] = False
-                for c, v in zip(cols, (h.view(np.int64), np.full(len(h), i), first.astype(np.int32),
+                for c, v in zip(cols, (h.view(np.int64), np.full(len(h), i), np.full(len(h), o), first.astype(np.int32),
                                        size.astype(np.int32), again)):
                     c.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(c), k) if c else pa.array([], k) for c, k in zip(cols, kinds)],
-                names=["hash", "id", "first", "size", "again"])
+                names=["hash", "id", "of", "first", "size", "again"])
 
-    return map_arrow(docs, each, "hash long, id long, first int, size int, again boolean")
+    return map_arrow(docs, each, "hash long, id long, of long, first int, size int, again boolean")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN,
@@ -135,22 +135,30 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A span repeats if its hash occurs twice anywhere; the occurrence in the document of
     smallest id (the first one in it) stays, sentences under any other are removed.  Null
     texts stay null, texts without a span stay as they are.  Rows without an id keep their
-    text; rows that repeat an id count as one document.
+    text; rows that repeat an id and its text count as one document, different texts under
+    one id as documents in the order of their hashes.
 
     The hashes are counted by an aggregate with a map-side part, so a span that many
     documents share sends one row a task; only hashes that repeat are joined back, from a
     written table, which lets adaptive execution split a hot one.
     """
     src = pick(docs, id=id_col, text=text_col).filter("id is not null")
-    every = span_rows(src.withColumn("id", F.col("id").cast("long")), run, enough, least)
-    repeated = staged(every.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("owner"))
+    src = src.select(F.col("id").cast("long").alias("id"), F.xxhash64("text").alias("of"), "text")
+    clash = not src.groupBy("id").agg(F.min("of").alias("a"), F.max("of").alias("b")).filter("a <> b").isEmpty()
+    of = F.xxhash64 if clash else lambda _: F.lit(0).cast("long")
+    # a least struct takes a sorting aggregate, so only where ids need it
+    owner, later = ((F.min(F.struct("id", "of")), "again or struct(id, of) > owner") if clash
+                    else (F.min("id"), "again or id > owner"))
+    every = span_rows(src.withColumn("of", of("text")), run, enough, least)
+    repeated = staged(every.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), owner.alias("owner"))
                       .filter("n > 1").select("hash", "owner"), "substring-repeated")
-    covered = (every.join(repeated, "hash").filter("again or id > owner")
-               .groupBy("id").agg(F.collect_list(F.struct("first", "size")).alias("_cover")))
+    covered = (every.join(repeated, "hash").filter(later)
+               .groupBy("id", "of").agg(F.collect_list(F.struct("first", "size")).alias("_cover")))
     names = docs.columns
     plain = docs.toDF(*[f"_d{i}" for i in range(len(names))])
     key, text = f"_d{names.index(id_col)}", f"_d{names.index(text_col)}"
-    joined = plain.join(covered.withColumnRenamed("id", "_id"), F.col(key) == F.col("_id"), "left").drop("_id")
+    joined = plain.join(covered.withColumnsRenamed({"id": "_id", "of": "_of"}),
+                        (F.col(key) == F.col("_id")) & (of(text) == F.col("_of")), "left").drop("_id", "_of")
     both = joined.withColumn("_in", F.struct(F.col(text).alias("text"), F.col("_cover").alias("cover"))).drop("_cover")
     cut = appended(both, "_in", [("_text", "string"), ("n_removed", "int")], _cutter)
     return cut.select(*[F.col("_text" if f"_d{i}" == text else f"_d{i}").alias(n) for i, n in enumerate(names)

@@ -91,3 +91,15 @@ def test_odd_rows(spark):
     assert of[1] == line.rstrip() and of[2] == "" and of[None] == line and of[3] is None and of[4] == "" and of[5] == "..,,!!"
     assert of[8] == "é, ü end." and of[6] == "short, line." and len(of[7]) < 80_000
     assert S.deduplicated(df.limit(0)).collect() == []
+
+
+def test_different_texts_under_one_id(spark):
+    line = "one two three four, five six seven eight. nine ten eleven twelve; thirteen fourteen fifteen sixteen! "
+    other = " ".join(f"w{i}{',' * (i % 4 == 3)}" for i in range(60))
+    data = [(1, line), (2, other + ". " + line), (2, line), (2, "short."), (3, other), (4, line[:-1] + " tail."), (4, other + " end.")]
+    out = S.deduplicated(spark.createDataFrame(data, "doc_id long, text string"))
+    got = sorted((r.doc_id, r.text.strip()) for r in out.collect())
+    assert got == sorted([(1, line.strip()), (2, other + "."), (2, ""), (2, "short."), (3, ""), (4, "tail."), (4, "end.")])
+    twice = [(7, "a b c. " + line), (7, "d e f. " + line)]
+    out = S.deduplicated(spark.createDataFrame(twice, "doc_id long, text string"))
+    assert sorted(r.n_removed for r in out.collect()) == [0, 4]
