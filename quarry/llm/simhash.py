@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import hash_order, map_arrow, pages_of, pick, slots, staged, table
+from quarry.llm.common import appended, hash_order, map_arrow, pages_of, pick, slots, staged, table
 from quarry.llm.components import min_labels
 
 SHINGLE_WORDS = 3
@@ -232,30 +232,70 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Repeated rows are returned as often as they come in.  An empty table gives an empty result.
     Copies collapse to one fingerprint before the search (an aggregate with a map-side part).
     """
+    return _near_duplicates(docs, id_col, text_col, shingle, max_bits, seed, leaf_rows)[0]
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+                     seed: int = SEED, leaf_rows: int = LEAF_ROWS) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``near_duplicates``, and (node, grp): the fingerprints that link."""
     fps = staged(fingerprints(docs, id_col, text_col, shingle, seed), "simhash-fp")
     distinct = staged(fps.groupBy("fp").agg(F.min("id").alias("label")), "simhash-distinct")
     found = fingerprint_groups(distinct, max_bits, leaf_rows)
     low = min_labels(found, distinct.select(F.col("fp").alias("node"), "label"))
     component = staged(distinct.join(low.select(F.col("node").alias("fp"), F.col("label").alias("low")), "fp", "left")
                        .select("fp", F.coalesce("low", "label").alias("component")), "simhash-component")
-    return fps.join(component, "fp").select("id", "fp", "component")
+    return fps.join(component, "fp").select("id", "fp", "component"), found
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` with the smallest id of each near-duplicate group; all columns stay.
 
-    Repeated rows of one id become one row.  Rows without an id stay, as nothing can name them.
+    Rows of one id become one row if their fingerprints link; others of one id are decided
+    each on its own.  Rows without an id stay, as nothing can name them.
     """
-    found = staged(near_duplicates(docs, id_col, text_col, **options), "simhash-found")
+    rows, groups = _near_duplicates(docs, id_col, text_col, **options)
+    found = staged(rows, "simhash-found")
+    key = F.col(f"`{id_col}`")
+    repeated = staged(found.filter("id is not null").groupBy("id")
+                      .agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1")
+                      .select(F.col("id").alias("_again"), (F.col("a") != F.col("b")).alias("_clash")), "simhash-again")
+    clash = repeated.filter("_clash").select("_again")
+    clashing = not clash.isEmpty()
+    plain = docs.join(clash, key == F.col("_again"), "left_anti") if clashing else docs
     gone = staged(found.filter("id <> component").select(F.col("id").alias("_gone")).distinct(), "simhash-gone")
-    again = staged(found.filter("id is not null").groupBy("id").count().filter("count > 1")
-                   .select(F.col("id").alias("_again")), "simhash-again")
-    kept = docs.join(gone, F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
-    if again.isEmpty():
+    kept = plain.join(gone, key == F.col("_gone"), "left_anti")
+    if repeated.isEmpty():
+        return kept
+    again = repeated.filter("not _clash").select("_again")
+    once = kept.join(again, key == F.col("_again"), "left_semi").dropDuplicates([id_col])
+    kept = kept.join(again, key == F.col("_again"), "left_anti").unionByName(once)
+    if not clashing:
         return kept
-    repeated = F.col(f"`{id_col}`") == F.col("_again")
-    once = kept.join(again, repeated, "left_semi").dropDuplicates([id_col])
-    return kept.join(again, repeated, "left_anti").unionByName(once)
+    several = _one_per_group_of_id(docs.join(clash, key == F.col("_again"), "left_semi"), found, clash, groups,
+                                   id_col, text_col, options)
+    return kept.unionByName(several)
+
+
+def _one_per_group_of_id(docs: DataFrame, found: DataFrame, clash: DataFrame, groups: DataFrame, id_col: str,
+                         text_col: str, options: dict) -> DataFrame:
+    """The rows to keep of ids with several fingerprints: of each id and component that it is the smallest id of, the
+    one with the least fingerprint.  A component is told by its least fingerprint."""
+    own = found.join(clash, F.col("id") == F.col("_again"), "left_semi").filter("id = component").select("id", "fp").distinct()
+    nodes = found.select(F.col("fp").alias("node"), F.col("fp").alias("label")).distinct()
+    roots = min_labels(groups, nodes).select(F.col("node").alias("fp"), F.col("label").alias("root"))
+    stay = staged(own.join(roots, "fp", "left").groupBy("id", F.coalesce("root", "fp").alias("root"))
+                  .agg(F.min("fp").alias("_stay")).select(F.col("id").alias("_owner"), "_stay"), "simhash-stay")
+    names = docs.columns
+    key, text = f"_d{names.index(id_col)}", f"_d{names.index(text_col)}"
+
+    def setup():
+        shingle, seed = options.get("shingle", SHINGLE_WORDS), options.get("seed", SEED)
+        return lambda column: [pa.array(np.array([fingerprint(t, shingle, seed) for t in column.to_pylist()],
+                                                 np.uint64).view(np.int64))]
+
+    with_fp = appended(docs.toDF(*[f"_d{i}" for i in range(len(names))]), text, [("_fp", "long")], setup)
+    kept = with_fp.join(stay, (F.col(key) == F.col("_owner")) & (F.col("_fp") == F.col("_stay")), "left_semi")
+    return kept.dropDuplicates([key, "_fp"]).drop("_fp").toDF(*names)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -119,3 +119,11 @@ def test_odd_rows(spark):
 def test_empty_table(spark):
     assert S.near_duplicates(rows(spark, [])).collect() == []
     assert S.keep_one_per_group(rows(spark, [])).collect() == []
+
+
+def test_different_texts_under_one_id(spark):
+    """Of clashing rows only those go that have a copy of a smaller id, or under their own."""
+    a, b, c, d = (" ".join(f"{k}{i}" for i in range(40)) for k in "abcd")
+    data = [(1, a), (5, a), (5, b), (5, b), (5, c), (6, c), (7, d), (7, d), (8, b)]
+    kept = S.keep_one_per_group(rows(spark, data))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(1, a), (5, b), (5, c), (7, d)])
