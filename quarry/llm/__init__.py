@@ -1 +1 @@
-"""Training-data operators (`op1` to `op10`); nothing else in the library imports this subpackage."""
+"""Training-data operators (`op1` to `op13`); nothing else in the library imports this subpackage."""

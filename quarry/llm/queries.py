@@ -6,7 +6,9 @@ from quarry.llm.ann import ORACLE_OP4, op4_ann
 from quarry.llm.bpe import op2_bpe
 from quarry.llm.chat import ORACLE_OP3, op3_chat
 from quarry.llm.decontam import op8_decontamination
+from quarry.llm.filter_audit import ORACLE_OP11, op11_filter_audit
 from quarry.llm.html_extract import op1_html
+from quarry.llm.importance import op13_importance
 from quarry.llm.langid import op9_langid
 from quarry.llm.pii import op10_pii
 from quarry.llm.simhash import op7_simhash
@@ -24,9 +26,12 @@ REGISTRY = {
     "op8_decontamination": op8_decontamination,
     "op9_langid": op9_langid,
     "op10_pii": op10_pii,
+    "op11_filter_audit": op11_filter_audit,
+    "op13_importance": op13_importance,
 }
 
 ORACLE: dict[str, str] = {
     "op3_chat": ORACLE_OP3,
     "op4_ann": ORACLE_OP4,
+    "op11_filter_audit": ORACLE_OP11,
 }
