@@ -13,6 +13,7 @@ from quarry.llm.langid import op9_langid
 from quarry.llm.pii import op10_pii
 from quarry.llm.simhash import op7_simhash
 from quarry.llm.substring import op5_substring
+from quarry.llm.suffix import op12_suffix_dedup
 from quarry.llm.toxicity import op6_toxicity
 
 REGISTRY = {
@@ -27,6 +28,7 @@ REGISTRY = {
     "op9_langid": op9_langid,
     "op10_pii": op10_pii,
     "op11_filter_audit": op11_filter_audit,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "op13_importance": op13_importance,
 }
 

@@ -1,0 +1,121 @@
+"""op12: every byte against a brute-force look at all strings of 200 bytes."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+
+from quarry.llm import suffix as S
+
+from ..conftest import SF001
+
+
+def brute(docs):
+    texts = [(t or "").encode() for _, t in docs]
+    n = S.LENGTH
+    seen = Counter(hash(t[s:s + n]) for t in texts for s in range(len(t) - n + 1))
+    out = []
+    for (i, _), t in zip(docs, texts):
+        gone = np.zeros(len(t) + 1, np.int64)
+        for s in range(len(t) - n + 1):
+            if seen[hash(t[s:s + n])] > 1:
+                gone[s] += 1
+                gone[s + n if s + n < len(gone) else -1] -= 1
+        cover = np.cumsum(gone)[:len(t)] > 0
+        kept = bytes(np.frombuffer(t, np.uint8)[~cover])
+        spans = int((np.diff(cover.astype(int), prepend=0) == 1).sum())
+        out.append((i, len(t), int(cover.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def got(spark, docs, tmp_dir, parts=5, extra=""):
+    import os
+
+    folder = os.path.join(tmp_dir, hashlib.sha1(str((docs, parts)).encode()).hexdigest())
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(parts).write.parquet(f"{folder}/documents.parquet")
+    return sorted((tuple(r) for r in S.op12_suffix_dedup(spark, folder).collect()), key=str)
+
+
+def spliced(rnd, letters, n_docs, longest):
+    """Texts made of pieces of earlier texts and new ones, cut anywhere."""
+    pool = []
+    docs = []
+    for i in range(n_docs):
+        parts = []
+        for _ in range(rnd.randint(0, 5)):
+            if pool and rnd.random() < 0.6:
+                p = rnd.choice(pool)
+                a = rnd.randint(0, len(p))
+                parts.append(p[a:a + rnd.choice([50, 150, 199, 200, 201, 230, 260, 330, 500, 2000])])
+            else:
+                parts.append("".join(rnd.choice(letters) for _ in range(rnd.randint(1, longest))))
+        t = "".join(parts)
+        pool.append(t)
+        docs.append((i, t))
+    return docs
+
+
+def test_spliced_texts(spark, tmp_dir):
+    rnd = random.Random(4)
+    docs = spliced(rnd, "abcdefghijklmnopqrstuvwxyz é漢", 150, 500)
+    assert got(spark, docs, tmp_dir) == brute(docs)
+
+
+def test_poor_alphabets_runs_and_periods(spark, tmp_dir):
+    rnd = random.Random(5)
+    docs = spliced(rnd, "ab", 60, 400) + spliced(rnd, "a", 20, 700)
+    docs += [(k, ("abc" * 300)[:200 + k] + "x" * k) for k in range(60)]
+    docs += [(k, "".join(rnd.choice(["lorem ipsum dolor ", "sit amet "]) for _ in range(rnd.randint(1, 60)))) for k in range(60)]
+    docs = [(i, t) for i, (_, t) in enumerate(docs)]
+    assert got(spark, docs, tmp_dir) == brute(docs)
+
+
+def test_near_copies(spark, tmp_dir):
+    rnd = random.Random(6)
+    base = "".join(rnd.choice("abcdefghij ") for _ in range(3000))
+    docs = []
+    for i in range(80):
+        t = list(base)
+        for _ in range(rnd.choice([0, 1, 3, 10, 25])):
+            t[rnd.randrange(len(t))] = rnd.choice("XYZ")
+        a = rnd.choice([0, 0, rnd.randint(0, 60), rnd.randint(0, 1500)])
+        docs.append((i, "".join(t)[a:a + rnd.choice([210, 700, 9999])]))
+    assert got(spark, docs, tmp_dir) == brute(docs)
+
+
+def test_nulls_empty_repeated_and_short(spark, tmp_dir):
+    rnd = random.Random(7)
+    text = "".join(rnd.choice("abcdefgh ") for _ in range(900))
+    docs = [(None, None), (1, ""), (1, ""), (2, text), (2, text), (None, text[:200]), (None, "z" + text[1:200]), (3, text[:199]),
+            (3, "q" * 199), (4, "q" * 199), (5, "q" * 200), (6, "w" * 201), (3, text[500:] + text[:300]), (7, "é" * 150)]
+    assert got(spark, docs, tmp_dir, 3) == brute(docs)
+
+
+def test_empty_table_and_clashing_names(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    rows, lost = S.repeated(none)
+    assert rows.collect() == [] and lost.collect() == []
+    t = "".join(random.Random(8).choice("abcdefgh ") for _ in range(400))
+    wide = spark.createDataFrame([(1, t, "x", 3, b"y"), (2, "!" + t, "x", 3, b"y"), (3, "n", "x", 1, b"")],
+                                 "doc_id long, text string, id string, shard int, digest binary")
+    rows, lost = S.repeated(wide)
+    assert rows.count() == 3 and {(r.id, bytes(r.kept)) for r in lost.collect()} == {(1, b""), (2, b"!")}
+
+
+def test_long_text_in_pieces():
+    rnd = random.Random(9)
+    text = bytes(rnd.choice(b"abcdefgh ") for _ in range(20_000)) + b"k" * 3000
+    whole = S.anchors(text)
+    S.PIECE, old = 1000, S.PIECE
+    try:
+        assert (S.anchors(text) == whole).all()
+    finally:
+        S.PIECE = old
+    assert np.diff(whole).max() <= S.WINDOW and whole[0] < S.WINDOW
+
+
+def test_query_matches_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
+    out = sorted((tuple(r) for r in S.op12_suffix_dedup(spark, SF001).collect()), key=str)
+    assert out == brute(docs) and sum(r[2] > 0 for r in out) > 5
