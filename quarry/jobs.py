@@ -116,16 +116,21 @@ def fixstatus(spark, pages_dir, sites, out_dir):
 
     ``pages_dir`` is a versioned table (row_key, url, disabled); ``sites`` a Parquet
     table (site, robots).  Writes the next version to ``out_dir`` and the change set
-    to ``out_dir/_changes``.
+    to ``out_dir/_changes``.  Where ``out_dir`` is the table itself, only the files that
+    hold a changed page are rewritten.
     """
     from quarry.operators.keyed import merge_cells
     from quarry.operators.robots import changes_as_cells, status_changes
-    from quarry.sinks.files import read_current, write_version
+    from quarry.sinks.keyed_table import change_version, read_current, write_version
 
     pages = read_current(spark, pages_dir)
     changes = status_changes(pages, spark.read.parquet(sites)).checkpoint()
     changes.write.mode("overwrite").parquet(out_dir.rstrip("/") + "/_changes")
-    write_version(merge_cells(pages, changes_as_cells(changes), "disabled"), out_dir)
+    cells = changes_as_cells(changes)
+    if out_dir.rstrip("/") == pages_dir.rstrip("/"):
+        change_version(spark, out_dir, cells, lambda rows, some: merge_cells(rows, some, "disabled"))
+    else:
+        write_version(merge_cells(pages, cells, "disabled"), out_dir)
 
 
 def pagerank(spark, inp, out, iterations=20, variant="set", dangling="redistribute", top=11,
@@ -172,11 +177,10 @@ def tableput(spark, inp, table_dir):
     """S11 + A15 + K3: put ``url<TAB>base64(text)`` documents into an existing keyed table
     (new keys inserted, existing rows updated) and publish the next version."""
     from quarry.operators.keyed import upsert_rows
-    from quarry.sinks.files import read_current, write_version
+    from quarry.sinks.keyed_table import change_version
 
-    base = read_current(spark, table_dir)
     docs, report = _url_docs(spark, inp)
-    write_version(upsert_rows(base, docs), table_dir)
+    change_version(spark, table_dir, docs, upsert_rows)
     report()
 
 

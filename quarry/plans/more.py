@@ -18,6 +18,7 @@ from quarry.plans import derived
 from quarry.plans.files import EMBEDDING_DIM, STATION_FIELDS
 from quarry.session import parallelism, scratch_path
 from quarry.sinks import files as sinks
+from quarry.sinks import keyed_table
 from quarry.sources import text as text_src
 from quarry.sources.tables import table
 from quarry.streaming.pipes import pipe_map_reduce
@@ -37,7 +38,40 @@ def keyed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit("one").alias("value"), F.lit(1).alias("ts"))
     second = pages.filter(digit(5) < "4").select("row_key", F.lit(keyed_ops.PUT).alias("op"),
                                                  F.lit("two").alias("value"), F.lit(2).alias("ts"))
-    return keyed_ops.merge_cells(base, first.unionByName(second).distinct(), "disabled")
+    out = scratch_path(spark, "keyed")
+    keyed_table.write_version(base, out, partitions=parallelism(spark))
+    keyed_table.change_version(spark, out, first.unionByName(second).distinct(),
+                               lambda rows, changes: keyed_ops.merge_cells(rows, changes, "disabled"))
+    return keyed_table.read_current(spark, out)
+
+
+def keyed_upsert_few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: documents of one source put into a loaded table of all documents, whole rows, then read back.
+
+    -> (row_key, n_chars, lang, in_range): ``in_range`` says that the manifest's range of the row's file holds its key.
+    """
+    out = scratch_path(spark, "upsert")
+    docs = table(spark, sf_dir, "documents").filter("doc_id is not null").select(
+        F.lpad(F.col("doc_id").cast("string"), 20, "0").alias("row_key"), "n_chars", "lang", "source")
+    docs = docs.dropDuplicates(["row_key"])
+    keyed_table.write_version(docs.select("row_key", "n_chars", "lang"), out, partitions=parallelism(spark))
+    some = docs.filter(F.col("source") == docs.agg(F.min("source")).first()[0])
+    rows = some.select("row_key", (-F.col("n_chars")).alias("n_chars"))
+    keyed_table.change_version(spark, out, rows, keyed_ops.upsert_rows)
+    files = keyed_table.manifest(spark, out)
+    inside = F.element_at(F.split("file", "/"), -1)
+    read = keyed_table.read_current(spark, out).select("*", F.col("_metadata.file_name").alias("name"))
+    ok = F.col("row_key").between(F.col("least"), F.col("greatest"))
+    return (read.join(files.select(inside.alias("name"), "least", "greatest"), "name")
+            .select("row_key", "n_chars", "lang", ok.alias("in_range")))
+
+
+def key_range_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows between two keys of a loaded page table."""
+    out = scratch_path(spark, "key-range")
+    pages = derived.pages_table(spark, sf_dir).select("row_key", "url").distinct()
+    keyed_table.write_version(pages, out, partitions=parallelism(spark))
+    return keyed_table.key_range(spark, out, "40", "9f")
 
 
 def weather_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,10 +125,10 @@ def small_files_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def point_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S7 + S9: the row with the smallest key of a loaded page table."""
     out = scratch_path(spark, "pages")
-    sinks.write_version(derived.pages_table(spark, sf_dir).select("row_key", "url").distinct(), out)
-    t = sinks.read_current(spark, out)
-    key = t.agg(F.min("row_key")).first()[0]
-    return keyed_ops.point_read(t, key)
+    pages = derived.pages_table(spark, sf_dir).select("row_key", "url").distinct()
+    keyed_table.write_version(pages, out, partitions=parallelism(spark))
+    key = keyed_table.manifest(spark, out).agg(F.min("least")).first()[0]
+    return keyed_table.point_lookup(spark, out, key)
 
 
 def rank_state_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,6 +221,6 @@ def pipe_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("key").alias("word"), F.col("value").cast("long").alias("cnt"))
 
 
-NAMES = ("keyed_changes", "weather_rejected_lines", "url_base64_bad_lines", "station_file_labels", "small_files_word_count",
+NAMES = ("keyed_changes", "keyed_upsert_few", "key_range_read", "weather_rejected_lines", "url_base64_bad_lines", "station_file_labels", "small_files_word_count",
          "point_read", "rank_state_lines", "ordered_output", "record_base64_lines", "rank_tuple_lines", "secondary_sorted",
          "host_range_parts", "day_month", "pipe_word_count")

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.sinks.keyed_table import read_current, write_version  # noqa: F401  (K3, K5)
 from quarry.sources.docstream import encode_document
 from quarry.sources.indexed_chunks import IDX_SUFFIX, SIZE_DTYPE
 
@@ -175,31 +176,3 @@ def write_scalar(spark, value: float, path: str) -> None:
 
 def read_scalar(spark, path: str) -> float:
     return float(spark.read.parquet(path).first()["value"])
-
-
-def write_version(df: DataFrame, table_dir: str, key_col: str = "row_key", partitions: int | None = None) -> str:
-    """K5 + K3: write the next version of a keyed table, range-partitioned and sorted by key.
-
-    Files go to ``table_dir/v-<uuid>`` and the version is published by
-    writing its name to ``table_dir/_CURRENT`` last, so readers see either
-    the old or the new version, never a half-written one.
-    """
-    import uuid
-
-    from quarry.sources.fsutil import write_atomic
-
-    version = f"v-{uuid.uuid4().hex[:12]}"
-    target = f"{table_dir.rstrip('/')}/{version}"
-    write_sorted(df, target, key_col, partitions=partitions)
-    write_atomic(f"{table_dir.rstrip('/')}/_CURRENT", [version.encode()])
-    return target
-
-
-def read_current(spark, table_dir: str) -> DataFrame:
-    """The published version of a keyed table written by :func:`write_version`."""
-    from quarry.sources.fsutil import resolve
-
-    fs, p = resolve(f"{table_dir.rstrip('/')}/_CURRENT")
-    with fs.open_input_stream(p, compression=None) as f:
-        version = f.read().decode().strip()
-    return spark.read.parquet(f"{table_dir.rstrip('/')}/{version}")
