@@ -99,7 +99,7 @@ def weather(spark, inp, out, stations=None, day=None):
     lines, report = _counting(spark.read.text(inp), "weather", Lines=F.count(F.lit(1)),
                               RejectedLines=F.count_if(date[0] | date[1] | date[2] | date[3]),
                               SkippedValues=F.count_if(~has_temp(parse_gsod("value")[4])))
-    hot = hottest_year(parse_weather_lines(lines))
+    hot = hottest_year(parse_weather_lines(lines), tenths=True)
     if day:
         d, m = (int(x) for x in day.split("."))
         hot = hot.filter((F.col("day") == d) & (F.col("month") == m))

@@ -21,8 +21,9 @@ SEO_PARTITIONS = 35
 
 def host_counts(urls: DataFrame, url_col: str = "url") -> DataFrame:
     """A5: hits per host; malformed URLs skipped (P5) -> (host, hits)."""
-    h = urls.select(strict_host(url_col).alias("host")).filter(F.col("host").isNotNull())
-    return h.groupBy("host").agg(F.count(F.lit(1)).alias("hits"))
+    # malformed URLs make one group of no counted host: a filter on hosts would match the pattern again
+    h = urls.select(strict_host(url_col).alias("host"))
+    return h.groupBy("host").agg(F.count("host").alias("hits")).filter("hits > 0")
 
 
 def host_percent(urls: DataFrame, url_col: str = "url", digits: int = 6) -> DataFrame:
@@ -61,8 +62,7 @@ def top_query_per_host(clicks: DataFrame, query_col: str = "query", url_col: str
     reference writes them, D4) reported as ``(host, '', min_clicks - 1)``.
     """
     pairs = (clicks.select(strict_host(url_col).alias("host"), F.col(query_col).alias("query"))
-             .filter(F.col("host").isNotNull())
-             .groupBy("host", "query").agg(F.count(F.lit(1)).alias("clicks")))
+             .groupBy("host", "query").agg(F.count("host").alias("clicks")).filter("clicks > 0"))
     # min over (-clicks, query) == largest count, then smallest query; partial-aggregated.
     best = (pairs.groupBy("host")
             .agg(F.min(F.struct((-F.col("clicks")).alias("neg"), F.col("query"))).alias("b"))

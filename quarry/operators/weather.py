@@ -19,15 +19,17 @@ from quarry.operators.joins import skew_safe_join
 # The station file's placeholder id, and the label line format.
 UNKNOWN_STATION = "999999"
 YEARS = 10_000  # years of four digits
+BETWEEN_TENTHS = 0.03  # more than single precision loses on a reading of the daily records
 LABEL_FORMAT = "%.4f, %.4f, %s (%s)"
 
 
-def hottest_year(readings: DataFrame, temp_col: str = "max_c", tenths: bool = True) -> DataFrame:
+def hottest_year(readings: DataFrame, temp_col: str = "max_c", tenths: bool = False) -> DataFrame:
     """Per (station, day, month) the hottest reading and its year.
 
-    Readings of the daily records (S12) are tenths of a degree Fahrenheit; such a reading and
-    its year fit one integer.  ``tenths=False`` takes Celsius values of any resolution and
-    compares (reading, year) pairs instead, which Spark can only do by sorting.
+    Any Celsius values are compared exactly, as (reading, year) pairs, which Spark can only do
+    by sorting.  ``tenths=True`` is for readings of the daily records (S12), tenths of a degree
+    Fahrenheit: such a reading and its year of four digits fit one integer, and nothing is
+    sorted; a reading between tenths or another year fails the job.
 
     ``readings`` has station, year, month, day and a Celsius ``temp_col``.
     -> (station, day, month, year, max_c, key, value) with key ``station:dd.MM``
@@ -35,7 +37,11 @@ def hottest_year(readings: DataFrame, temp_col: str = "max_c", tenths: bool = Tr
     """
     valid = readings.filter(W.has_temp(temp_col))
     if tenths:
-        packed = F.round(F.col(temp_col).cast("double") * 18 + 320).cast("bigint") * YEARS + (YEARS - 1 - F.col("year"))
+        exact = F.col(temp_col).cast("double") * 18 + 320
+        fits = (F.abs(exact - F.round(exact)) < BETWEEN_TENTHS) & F.col("year").between(0, YEARS - 1)
+        wrong = F.raise_error(F.concat(F.lit("no whole tenth of a degree Fahrenheit, or no year of four digits: "),
+                                       F.col(temp_col).cast("string"), F.lit(" in "), F.col("year").cast("string")))
+        packed = F.when(fits, F.round(exact).cast("bigint") * YEARS + (YEARS - 1 - F.col("year"))).otherwise(wrong.cast("bigint"))
         best = valid.groupBy("station", "day", "month").agg(F.max(packed).alias("b"))
         f = (F.floor(F.col("b") / YEARS) / F.lit(10.0)).cast("float")
         best = best.select("station", "day", "month", (YEARS - 1 - F.pmod("b", F.lit(YEARS))).cast("int").alias("year"),

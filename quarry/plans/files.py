@@ -46,12 +46,24 @@ def fixed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                        codec.le_float32_array(F.substring("record", 9, 4 * EMBEDDING_DIM)).alias("embedding"))
 
 
+def rewritten_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K10 + S4: embeddings written as records in many files, then those of odd ids over them in fewer,
+    read back -> (vec_id): nothing of the first write is left."""
+    out = scratch_path(spark, "rewritten")
+    rec = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.concat(codec.long_be_bytes("vec_id"), codec.float32_le_bytes("embedding")).alias("record"))
+    sinks.write_fixed_records(rec.repartition(4 * _writers(spark)), "record", out, RECORD_BYTES)
+    sinks.write_fixed_records(rec.filter("vec_id % 2 = 1").repartition(2), "record", out, RECORD_BYTES)
+    back = read_fixed_records(spark, out, RECORD_BYTES)
+    return back.select(codec.be_long("record").alias("vec_id"))
+
+
 def indexed_chunks_doc_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5 + A3: documents as zlib chunks with an int32 index, read back, document frequency."""
     out = scratch_path(spark, "indexed-chunks")
     docs = table(spark, sf_dir, "documents").select("text")
     sinks.write_indexed_chunks(docs.repartition(_writers(spark)), "text", out)  # one archive per writer
-    chunks = read_indexed_chunks(spark, out, bytes_per_split=256 * 1024)
+    chunks = read_indexed_chunks(spark, out)
     return text_ops.doc_frequency(chunks.filter(F.col("error").isNull()))
 
 
@@ -118,4 +130,4 @@ def fixed_width_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     w.select(gsod_line("station", "year", "month", "day", "max_f", "max_f", STATION_FIELDS).alias("value")) \
         .write.mode("overwrite").text(out)
     readings = text_src.parse_weather_lines(spark.read.text(out), fields=STATION_FIELDS)
-    return weather_ops.hottest_year(readings, "max_c")
+    return weather_ops.hottest_year(readings, "max_c", tenths=True)

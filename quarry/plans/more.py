@@ -24,6 +24,7 @@ from quarry.sources.tables import table
 from quarry.streaming.pipes import pipe_map_reduce
 
 SMALL_FILES = 64
+STATION_FIELDS_WIDTH = 1 << 20  # more than a line has
 # The mapper and reducer programs of the piped word count.
 WORD_MAPPER = """awk '{for (i = 1; i <= NF; i++) print $i "\\t1"}'"""
 SUM_REDUCER = """awk -F'\\t' '{if (NR > 1 && $1 != k) {print k "\\t" n; n = 0} k = $1; n += $2} END {if (NR) print k "\\t" n}'"""
@@ -79,7 +80,8 @@ def weather_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_quantity", "l_returnflag")
     line = gsod_line("l_suppkey", F.year("l_shipdate"), F.month("l_shipdate"), F.dayofmonth("l_shipdate"),
                      "l_quantity", "l_quantity", STATION_FIELDS)
-    lines = li.select(F.when(F.col("l_returnflag") == "R", F.substring(line, 1, 10)).otherwise(line).alias("value"))
+    width = F.when(F.col("l_returnflag") == "R", 10).otherwise(STATION_FIELDS_WIDTH)
+    lines = li.select(F.substring(line, F.lit(1), width).alias("value"))  # the line is built once
     return text_src.rejected_weather_lines(lines, fields=STATION_FIELDS)
 
 
@@ -107,7 +109,7 @@ def station_file_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
      .select(F.lit("-").alias("WBAN"), F.col("name").alias("STATION NAME"), F.col("lon").alias("LON"),
              F.col("usaf").alias("USAF"), F.col("lat").alias("LAT"))
      .write.option("header", True).csv(base + "/stations"))
-    hot = weather_ops.hottest_year(derived.readings_c(spark, sf_dir))
+    hot = weather_ops.hottest_year(derived.readings_c(spark, sf_dir), tenths=True)
     sinks.write_tsv(hot, base + "/results", "key", "value")
     results = weather_ops.parse_result_lines(text_src.read_lines(spark, base + "/results"))
     return weather_ops.station_labels(results, text_src.read_stations(spark, base + "/stations"))
@@ -215,9 +217,9 @@ def day_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipe_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A2 by a mapper and a reducer program."""
+    """A2 by a mapper, a combiner and a reducer program."""
     texts = table(spark, sf_dir, "conversations").filter("text is not null").select(F.col("text").alias("value"))
-    out = pipe_map_reduce(texts, WORD_MAPPER, SUM_REDUCER)
+    out = pipe_map_reduce(texts, WORD_MAPPER, SUM_REDUCER, combiner=SUM_REDUCER)
     return out.select(F.col("key").alias("word"), F.col("value").cast("long").alias("cnt"))
 
 

@@ -249,6 +249,7 @@ c AS (SELECT row_key, CASE WHEN substr(row_key, 5, 1) < '4' THEN 'two' WHEN subs
       FROM pg)
 SELECT c.row_key, b.url, c.v AS disabled FROM c LEFT JOIN b USING (row_key)
 WHERE b.row_key IS NOT NULL OR c.v IS NOT NULL"""
+ORACLE["rewritten_records"] = "SELECT vec_id FROM embeddings WHERE vec_id % 2 = 1"
 ORACLE["keyed_upsert_few"] = """
 SELECT lpad(doc_id::VARCHAR, 20, '0') AS row_key, lang, true AS in_range,
        CASE WHEN source = (SELECT min(source) FROM documents) THEN -n_chars ELSE n_chars END AS n_chars

@@ -113,7 +113,7 @@ ON_THIS_DAY = (9, 3)  # 9 March
 
 
 def _hottest(spark, sf_dir):
-    return weather_ops.hottest_year(derived.readings_c(spark, sf_dir))
+    return weather_ops.hottest_year(derived.readings_c(spark, sf_dir), tenths=True)
 
 
 @register("hottest_year_per_station_day")
@@ -233,7 +233,7 @@ def q_pagerank_top_k(spark, sf_dir):
 # ---------------------------------------------------------------- file layouts
 from quarry.plans import files as file_plans  # noqa: E402
 
-for _name in ("fixed_records", "indexed_chunks_doc_frequency", "proto_docs", "bulk_sorted_load",
+for _name in ("fixed_records", "rewritten_records", "indexed_chunks_doc_frequency", "proto_docs", "bulk_sorted_load",
               "kv_lines", "edge_lines", "fixed_width_weather"):
     register(_name)(getattr(file_plans, _name))
 

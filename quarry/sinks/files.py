@@ -1,127 +1,53 @@
 """Sinks (K1-K11) and writers for the custom layouts read by ``quarry.sources``.
 
-Binary layouts are written by the tasks themselves: every partition writes
-one file named after its partition id through a temporary name and a
-rename, so a retried or speculative task replaces its own output instead
-of adding a copy.
+Binary layouts are written through the formats that read them, in two phases: see
+``quarry.sinks.binary``.
 """
 
 from __future__ import annotations
 
-import zlib
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.sinks.keyed_table import read_current, write_version  # noqa: F401  (K3, K5)
-from quarry.sources.docstream import encode_document
-from quarry.sources.indexed_chunks import IDX_SUFFIX, SIZE_DTYPE
-
-_RESULT = "path string, rows long, bytes long"
-
-
-def _per_partition(df: DataFrame, out_dir: str, name: str, write_fn) -> dict:
-    """Run ``write_fn(batches, path) -> (rows, bytes)`` once per partition; return totals.
-
-    K10: files that an earlier write left under these names go first, as with ``mode("overwrite")``.
-    """
-    from quarry.session import ensure_importable
-    from quarry.sources.fsutil import remove_files
 
-    ensure_importable(df.sparkSession)
-    out_dir = out_dir.rstrip("/")
-    remove_files(out_dir, f"{name}-")
 
-    def run(batches):
-        from pyspark import TaskContext
+def _write_binary(df: DataFrame, register, fmt: str, out_dir: str, mode: str, **options) -> dict:
+    """Write through a registered format; the totals of the write (rows, bytes, files)."""
+    from quarry.session import scratch_path
+    from quarry.sinks.binary import written
 
-        pid = TaskContext.get().partitionId()
-        path = f"{out_dir}/{name}-{pid:05d}"
-        rows, nbytes = write_fn(batches, path)
-        yield pd.DataFrame({"path": [path], "rows": [rows], "bytes": [nbytes]})
+    register(df.sparkSession)
+    report = scratch_path(df.sparkSession, "written")
+    df.write.format(fmt).mode(mode).option("path", out_dir).option("report", report).options(**options).save()
+    return written(report)
 
-    r = df.mapInPandas(run, _RESULT).agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"),
-                                         F.count(F.lit(1)).alias("files")).first()
-    return r.asDict()
 
-
-def write_fixed_records(df: DataFrame, col: str, out_dir: str, record_bytes: int) -> dict:
+def write_fixed_records(df: DataFrame, col: str, out_dir: str, record_bytes: int, mode: str = "overwrite") -> dict:
     """Concatenate equal-length binary records, one file per partition (input of S4)."""
-    from quarry.sources.fsutil import write_atomic
-
-    def write(batches, path):
-        count = [0]
-
-        def chunks():
-            for pdf in batches:
-                recs = pdf[col].tolist()
-                bad = [len(b) for b in recs if len(b) != record_bytes]
-                if bad:
-                    raise ValueError(f"record of {bad[0]} bytes, expected {record_bytes}")
-                count[0] += len(recs)
-                yield b"".join(bytes(b) for b in recs)
-        n = write_atomic(path + ".bin", chunks(), skip_empty=True)
-        return count[0], n
+    from quarry.sources.fixed_records import register
 
-    return _per_partition(df.select(col), out_dir, "part", write)
+    return _write_binary(df.select(F.col(col).cast("binary").alias("record")), register, "quarry_fixed_records",
+                         out_dir, mode, record_bytes=str(record_bytes))
 
 
-def write_indexed_chunks(df: DataFrame, text_col: str, out_dir: str, level: int = 6) -> dict:
+def write_indexed_chunks(df: DataFrame, text_col: str, out_dir: str, level: int = 6, mode: str = "overwrite") -> dict:
     """One zlib chunk per row plus the int32 size index (input of S5)."""
-    import numpy as np
-
-    from quarry.sources.fsutil import write_atomic
-
-    def write(batches, path):
-        sizes = []
-
-        def chunks():
-            for pdf in batches:
-                for t in pdf[text_col]:
-                    c = zlib.compress(("" if t is None else t).encode("utf-8"), level)
-                    sizes.append(len(c))
-                    yield c
-        n = write_atomic(path + ".z", chunks(), skip_empty=True)
-        if sizes:  # the index is written last: an archive without its index is never read
-            write_atomic(path + ".z" + IDX_SUFFIX, [np.asarray(sizes, dtype=SIZE_DTYPE).tobytes()])
-        return len(sizes), n
+    from quarry.sources.indexed_chunks import register
 
-    return _per_partition(df.select(text_col), out_dir, "part", write)
+    return _write_binary(df.select(F.col(text_col).alias("text")), register, "quarry_indexed_chunks", out_dir, mode,
+                         level=str(level))
 
 
 def write_docstream(df: DataFrame, out_dir: str, url_col: str = "url", body_col: str | None = "body",
-                    text_col: str | None = "text", compress: bool = False) -> dict:
-    """Length-prefixed ``document`` messages, plain or gzip (input of S10)."""
-    from quarry.sources.fsutil import write_atomic
-
-    def gzipped(pieces):
-        """One gzip stream of the pieces, handed on as it grows; nothing for no piece."""
-        squeeze = None
-        for piece in pieces:
-            squeeze = squeeze or zlib.compressobj(wbits=31)
-            if out := squeeze.compress(piece):
-                yield out
-        if squeeze:
-            yield squeeze.flush()
-
-    cols = [url_col] + [c for c in (body_col, text_col) if c]
-
-    def write(batches, path):
-        count = [0]
-
-        def messages():
-            for pdf in batches:
-                none = [None] * len(pdf)
-                count[0] += len(pdf)
-                yield from map(encode_document, pdf[url_col], pdf[body_col] if body_col else none,
-                               pdf[text_col] if text_col else none)
-
-        n = write_atomic(path + (".pb.gz" if compress else ".pb"), gzipped(messages()) if compress else messages(),
-                         skip_empty=True)
-        return count[0], n
-
-    return _per_partition(df.select(*cols), out_dir, "part", write)
+                    text_col: str | None = "text", compress: bool = False, mode: str = "overwrite") -> dict:
+    """Length-prefixed ``document`` messages, plain (with an index of starts) or gzip (input of S10)."""
+    from quarry.sources.docstream import register
+
+    none = F.lit(None).cast("string")
+    cols = [(F.col(c) if c else none).alias(n) for c, n in ((url_col, "url"), (body_col, "body"), (text_col, "text"))]
+    return _write_binary(df.select(*cols), register, "quarry_docstream", out_dir, mode,
+                         compress="true" if compress else "false")
 
 
 # ---------------------------------------------------------------- text sinks

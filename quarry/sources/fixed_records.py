@@ -15,6 +15,8 @@ from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from quarry.sources.selection import Selection, options
+
 # The reference's default record size (one bitmap) and split size.
 DEFAULT_RECORD_BYTES = 537_654
 DEFAULT_SPLIT_BYTES = 128 * 1024 * 1024
@@ -29,13 +31,15 @@ class RecordRange(InputPartition):
     record_bytes: int
 
 
-def plan_ranges(files: list[tuple[str, int]], record_bytes: int, split_bytes: int) -> list[RecordRange]:
+def plan_ranges(files: list[tuple[str, int]], record_bytes: int, split_bytes: int,
+                wanted: Selection | None = None) -> list[RecordRange]:
+    """Ranges of whole records of about ``split_bytes``; of the ``wanted`` numbers only, if given."""
     per_split = max(1, split_bytes // record_bytes)
     out = []
     for path, size in files:
-        n = size // record_bytes
-        for first in range(0, n, per_split):
-            out.append(RecordRange(path, first, min(per_split, n - first), record_bytes))
+        for lo, hi in (wanted or Selection({})).runs(size // record_bytes):
+            for first in range(lo, hi, per_split):
+                out.append(RecordRange(path, first, min(per_split, hi - first), record_bytes))
     return out
 
 
@@ -44,11 +48,13 @@ class _Reader(DataSourceReader):
         self.path = options["path"]
         self.record_bytes = int(options.get("record_bytes", DEFAULT_RECORD_BYTES))
         self.split_bytes = int(options.get("split_bytes", DEFAULT_SPLIT_BYTES))
+        self.wanted = Selection(options)
 
     def partitions(self):
         from quarry.sources.fsutil import list_files
 
-        ranges = plan_ranges(list_files(self.path), self.record_bytes, self.split_bytes)
+        files = [(p, n) for p, n in list_files(self.path) if self.wanted.has_path(p)]
+        ranges = plan_ranges(files, self.record_bytes, self.split_bytes, self.wanted)
         return ranges or [RecordRange(self.path, 0, 0, self.record_bytes)]
 
     def read(self, part: RecordRange):
@@ -88,6 +94,11 @@ class FixedRecordsSource(DataSource):
     def reader(self, schema):
         return _Reader(self.options)
 
+    def writer(self, schema, overwrite):
+        from quarry.sinks.binary import FixedRecordsWriter
+
+        return FixedRecordsWriter(self.options, overwrite)
+
 
 def register(spark) -> None:
     from quarry.session import ensure_importable
@@ -97,7 +108,9 @@ def register(spark) -> None:
 
 
 def read_fixed_records(spark, path: str, record_bytes: int = DEFAULT_RECORD_BYTES,
-                       split_bytes: int = DEFAULT_SPLIT_BYTES):
+                       split_bytes: int = DEFAULT_SPLIT_BYTES, paths=None, records=None):
+    """Records of the files under ``path``; only those of ``paths`` (as in the ``path`` column) and of the
+    numbers ``records`` (a ``range`` or integers), if given: nothing else is read."""
     register(spark)
-    return (spark.read.format("quarry_fixed_records").option("path", path)
+    return (spark.read.format("quarry_fixed_records").option("path", path).options(**options(paths, records))
             .option("record_bytes", str(record_bytes)).option("split_bytes", str(split_bytes)).load())

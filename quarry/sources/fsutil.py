@@ -68,6 +68,33 @@ def remove_files(path: str, prefix: str) -> int:
     return len(gone)
 
 
+def is_file(path: str) -> bool:
+    fs, p = resolve(path)
+    return fs.get_file_info(p).type == pafs.FileType.File
+
+
+def list_folders(path: str, prefix: str) -> list[str]:
+    """Folders directly in ``path`` whose names begin with ``prefix``."""
+    fs, p = resolve(path)
+    if fs.get_file_info(p).type != pafs.FileType.Directory:
+        return []
+    return [uri(fs, i.path, path) for i in fs.get_file_info(pafs.FileSelector(p, recursive=False))
+            if i.type == pafs.FileType.Directory and posixpath.basename(i.path).startswith(prefix)]
+
+
+def remove_folder(path: str) -> None:
+    """Delete a folder and what it holds; a missing one is fine."""
+    fs, p = resolve(path)
+    if fs.get_file_info(p).type == pafs.FileType.Directory:
+        fs.delete_dir(p)
+
+
+def move_file(path: str, to: str) -> None:
+    """Rename within one file system."""
+    fs, p = resolve(path)
+    fs.move(p, resolve(to)[1])
+
+
 def write_atomic(path: str, data_chunks, skip_empty: bool = False) -> int:
     """Write bytes to ``path`` through a temporary name and a rename (a retried task overwrites).
 

@@ -94,3 +94,19 @@ def test_scratch_is_cleared(spark):
     assert SE.clear_scratch(spark) == 1 and SE._SCRATCH == []
     SE._SCRATCH[:] = kept
     assert not os.path.exists(path.removeprefix("file:"))
+
+
+def test_finer_readings_and_long_years_are_not_rounded(spark):
+    import pytest
+
+    to_c = lambda f: (f - 32) / 1.8
+    data = [(1, 2001, 3, 9, to_c(20.04)), (1, 2000, 3, 9, to_c(20.03)), (2, 12001, 1, 1, to_c(50.0))]
+    df = spark.createDataFrame(data, "station int, year int, month int, day int, max_c double")
+    got = {r.station: (r.year, r.max_c) for r in WE.hottest_year(df).collect()}
+    assert got == {1: (2001, to_c(20.04)), 2: (12001, to_c(50.0))}
+    for station in (1, 2):
+        with pytest.raises(Exception, match="no whole tenth"):
+            WE.hottest_year(df.filter(F.col("station") == station), tenths=True).collect()
+    whole = spark.createDataFrame([(1, 1990 + k, 1, 2, -999 + k / 10) for k in range(40)], "station int, year int, month int, day int, f double")
+    r = WE.hottest_year(whole.withColumn("max_c", WE.W.to_celsius(F.col("f").cast("float"))), tenths=True).first()
+    assert r.year == 2029

@@ -154,3 +154,10 @@ def test_small_files_follow_the_limit(spark, tmp_dir):
     many = T.read_small_files(spark, tmp_dir, 256 * 1024)
     assert few.count() == many.count() == 40
     assert few.rdd.getNumPartitions() < many.rdd.getNumPartitions() < 40
+
+
+def test_piped_lines_come_back_whole(spark):
+    odd = ["a\tb\tc", "", "\\N", "x'y\"z", " lead", "trail ", "\\n", "é漢", "$HOME"]
+    df = spark.createDataFrame([(x,) for x in odd] + [(None,)], "value string").coalesce(1)
+    assert [r.value for r in pipe_lines(df, "cat").collect()] == [*odd, ""]
+    assert [r.value for r in pipe_lines(df, """awk -F'\\t' '{print NF "|" $2}'""").collect()][0] == "3|b"

@@ -57,3 +57,14 @@ def test_joins_start_no_job_while_they_are_planned(spark):
 def test_nodes_come_from_one_scan(spark):
     for name in ("graph_nodes", "dangling_nodes"):
         assert _plan(E.queries()[name](spark, SF001), "simple").count("FileScan") == 1, name
+
+
+def test_pipes_run_without_python(spark):
+    p = _plan(E.queries()["pipe_word_count"](spark, SF001), "simple")
+    assert p.count("ScriptTransformationIOSchema") == 3 and "Python" not in p and "ExistingRDD" not in p
+
+
+def test_a_host_is_taken_by_one_pattern(spark):
+    for name in ("host_counts", "top_query_per_host"):
+        p = _plan(E.queries()[name](spark, SF001), "extended").split("== Physical Plan ==")[1]
+        assert "regexp_replace" not in p and "RLIKE" not in p and p.count("regexp_extract_all") == 1, name
