@@ -65,11 +65,21 @@ class _Block:
         self.size += n
 
     def row(self, shard: int, schema) -> pa.RecordBatch:
-        values = [shard, self.ids, self.parts, self.digests, self.upper, self.symbols, b" ".join(self.words),
-                  len(self.words), self.indptr.tobytes(), self.cols.tobytes(), self.counts.tobytes()]
+        # words in the order of their checksums: a dictionary bucket's words stand together
+        words = list(self.words)
+        order = np.argsort(_checksums(words), kind="stable")
+        place = np.empty(len(words), np.int32)
+        place[order] = np.arange(len(words), dtype=np.int32)
+        cols = place[np.frombuffer(self.cols, np.int32)]
+        values = [shard, self.ids, self.parts, self.digests, self.upper, self.symbols, b" ".join([words[i] for i in order]),
+                  len(words), self.indptr.tobytes(), cols.tobytes(), self.counts.tobytes()]
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
 
 
+def _checksums(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(crc32, words), np.uint64, len(words))
+
+
 def _blocks(shard_bytes: int):
     kinds = [("shard", pa.int64()), ("ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())),
              ("digests", pa.list_(pa.binary())), ("upper", pa.list_(pa.bool_())), ("symbols", pa.list_(pa.bool_())),
@@ -106,18 +116,15 @@ def _to_buckets(n: int):
     def run(batches):
         for batch in batches:
             for shard, blob in zip(*[c.to_pylist() for c in batch.columns]):
-                own: list[list[bytes]] = [[] for _ in range(n)]
-                at: list[list[int]] = [[] for _ in range(n)]
-                for i, word in enumerate(blob.split()):
-                    b = crc32(word) % n
-                    own[b].append(word)
-                    at[b].append(i)
-                some = [b for b in range(n) if own[b]]
+                words = blob.split()
+                bucket = (_checksums(words) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+                cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=n)).tolist() if words else [0]
+                own = list(zip(cuts[:-1], cuts[1:]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(some, pa.int32()), pa.array([shard] * len(some), pa.int64()),
-                     pa.array([b" ".join(own[b]) for b in some], pa.binary()),
-                     pa.array([np.array(at[b], np.int32).tobytes() for b in some], pa.binary())],
-                    names=["bucket", "shard", "words", "at"])
+                    [pa.array([bucket[lo] for lo, _ in own], pa.int32()), pa.array([shard] * len(own), pa.int64()),
+                     pa.array([lo for lo, _ in own], pa.int64()),
+                     pa.array([b" ".join(words[lo:hi]) for lo, hi in own], pa.binary())],
+                    names=["bucket", "shard", "start", "words"])
 
     return run
 
@@ -128,19 +135,19 @@ def _numbered(rows: pa.Table) -> pa.Table:
     bucket = rows["bucket"][0].as_py()
     number = {w: i for i, w in enumerate(sorted(set().union(*lists)))}
     ids = [(np.fromiter(map(number.__getitem__, ws), np.int64, len(ws)) + (bucket << 40)).tobytes() for ws in lists]
-    return pa.table([rows["shard"], rows["at"], pa.array(ids, pa.binary())], names=["shard", "at", "ids"])
+    return pa.table([rows["shard"], rows["start"], pa.array(ids, pa.binary())], names=["shard", "start", "ids"])
 
 
 def word_numbers(made: DataFrame) -> DataFrame:
-    """(shard, at, ids): the table-wide number of every word of every shard; one number a distinct word.
+    """(shard, start, ids): the table-wide numbers of a shard's words from ``start`` on; one number a distinct word.
 
     A bucket holds each word once a shard however often it occurs, so frequent words weigh
     no more than rare ones.
     """
     total = made.agg(F.coalesce(F.sum("n_vocabulary"), F.lit(0))).first()[0]
     n = max(slots(made.sparkSession), -(-total // BUCKET_WORDS))
-    sent = map_arrow(made.select("shard", "vocabulary"), _to_buckets(n), "bucket int, shard long, words binary, at binary")
-    return sent.groupBy("bucket").applyInArrow(_numbered, "shard long, at binary, ids binary")
+    sent = map_arrow(made.select("shard", "vocabulary"), _to_buckets(n), "bucket int, shard long, start long, words binary")
+    return sent.groupBy("bucket").applyInArrow(_numbered, "shard long, start long, ids binary")
 
 
 def _global(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -148,8 +155,8 @@ def _global(left: pa.Table, right: pa.Table) -> pa.Table:
     row = left.drop_columns(["n_vocabulary"])
     n = left["n_vocabulary"][0].as_py()
     own = np.zeros(n, np.int64)
-    for at, ids in zip(right["at"].to_pylist(), right["ids"].to_pylist()):
-        own[np.frombuffer(at, np.int32)] = np.frombuffer(ids, np.int64)
+    for start, ids in zip(right["start"].to_pylist(), right["ids"].to_pylist()):
+        own[start:start + len(ids) // 8] = np.frombuffer(ids, np.int64)
     cols = own[np.frombuffer(left["cols"][0].as_py(), np.int32)]
     return row.set_column(row.column_names.index("cols"), "cols", pa.array([cols.tobytes()], pa.binary()))
 

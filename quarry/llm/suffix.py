@@ -434,7 +434,9 @@ def _send_strings(ranges: int):
                 if hs:
                     h = np.frombuffer(b"".join(hs), U).reshape(-1, 2)
                     a, b, n, _ = _sorted_pairs(h[:, 0], h[:, 1])
-                    out += [(r, shard, np.stack([a[s], b[s], n[s].astype(U)], 1).tobytes()) for r, s in _split(a, ranges)]
+                    twice = 1 + (n > 1)  # a string that a shard holds more often goes twice
+                    out += [(r, shard, np.repeat(np.stack([a[s], b[s]], 1), twice[s], 0).tobytes())
+                            for r, s in _split(a, ranges)]
             if out:
                 yield _sent(out)
 
@@ -444,12 +446,12 @@ def _send_strings(ranges: int):
 def _repeated_strings(rows: pa.Table) -> pa.Table:
     """To each shard the hashes that it sent and that occur twice or more."""
     rows = rows.sort_by("shard")
-    parts = [np.frombuffer(b, U).reshape(-1, 3) for b in rows["rows"].to_pylist()]
+    parts = [np.frombuffer(b, U).reshape(-1, 2) for b in rows["rows"].to_pylist()]
     every = np.concatenate(parts)
-    _, _, _, back = _sorted_pairs(every[:, 0], every[:, 1])
-    again = np.bincount(back, every[:, 2].astype(np.float64))[back] > 1
+    _, _, n, back = _sorted_pairs(every[:, 0], every[:, 1])
+    again = n[back] > 1
     cuts = np.cumsum([0, *map(len, parts)])
-    return _answered(rows, [np.ascontiguousarray(p[again[lo:hi], :2]).tobytes()
+    return _answered(rows, [np.unique(p[again[lo:hi]], axis=0).tobytes()
                             for p, lo, hi in zip(parts, cuts[:-1], cuts[1:])])
 
 
