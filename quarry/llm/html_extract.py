@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -39,7 +40,17 @@ HEADERLIKE = frozenset(("header", "topbar", "siteheader"))
 KEPT = frozenset("article main content post entry story body text".split())
 # Words after which the next one names what is elsewhere or missing, and those of parts that hold much text of their own.
 ABSENT = frozenset("has no with without for".split())
-STRONG = frozenset("comment comments disqus respond reply replies cookie cookies consent gdpr".split())
+STRONG = frozenset("""comment comments commentlist commentbox commentform commentsection disqus respond reply replies guestbook
+ cookie cookies consent gdpr""".split())
+# Words that name readers' parts, or a section of an article's own (which begins with a heading).
+READERS = frozenset("discussion discussions review reviews responses feedback thread threads talkback".split())
+# Words of class attributes that sign and date a reader's text.
+SIGNED = frozenset("author byline username user avatar posted date datetime timestamp vcard commenter published".split())
+ITEMS = frozenset("li div article section tr dl".split())  # what readers' texts come in
+TEXT_TAGS = frozenset("p section article main blockquote pre figure figcaption details address".split())
+SENTENCE_END = frozenset(".!?…:;。！？\u0964\"'”»)")
+RIGHTS = re.compile(r"\s*(?:©|\(c\)|&copy;|&#169;|copyright\b|all rights reserved)", re.I)
+FEW_WORDS = 8  # text of fewer words that ends no sentence is kept beside the article only if it is dense
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header".split())
 KEEP, DOUBT, DOUBT_STRONG, DROP = range(4)
 
@@ -59,6 +70,9 @@ class Node:
     dropped: bool = False
     doubt: int = KEEP
     in_article: bool = False
+    readers: bool = False  # named like readers' parts, which an article's own section may be, too
+    signed: bool = False  # names, or holds, an author or a date
+    thread: bool = False  # holds several signed parts of one kind
     parts: list = field(default_factory=list)
     chars: int = 0
     tags: int = 0
@@ -84,7 +98,7 @@ def boilerplate(tag: str, raw: str, in_article: bool) -> int:
     if tag == "header":
         return KEEP if in_article else DROP
     doubt = DOUBT if tag == "form" else KEEP
-    if tag in ("html", "body", "article", "main") or "=" not in raw and "hidden" not in raw:
+    if tag in ("html", "body", "main") or "=" not in raw and "hidden" not in raw:
         return doubt
     own = attributes(raw)
     if "hidden" in own or own.get("aria-hidden") == "true" or "display:none" in own.get("style", "").replace(" ", "").lower():
@@ -97,6 +111,8 @@ def boilerplate(tag: str, raw: str, in_article: bool) -> int:
                 continue
             if STRONG & set(words):
                 return DOUBT_STRONG
+            if tag == "article":  # only readers' texts are told by the words of an article
+                continue
             if BOILERPLATE & set(words) or (HEADERLIKE & set(words) and not in_article):
                 doubt = DOUBT
     return doubt
@@ -194,16 +210,72 @@ def reachable(root: Node):
         work.extend(p for p in n.parts if isinstance(p, Node) and not p.dropped and not p.doubt)
 
 
+def named(raw: str, words: frozenset) -> bool:
+    """Does a word of the class or id attribute belong to ``words``."""
+    if "=" not in raw:
+        return False
+    own = attributes(raw)
+    return any(w in words for name in ("class", "id", "itemprop", "rel")
+               for w in NAMES.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", own.get(name, "")).lower()))
+
+
+class Open:
+    """The open elements of a page: a stack that knows where each tag is, so no search walks the depth."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []  # places of elements that are not inline
+        self.articles = 0
+
+    def push(self, node: Node) -> None:
+        at = len(self.nodes)
+        self.nodes.append(node)
+        self.places.setdefault(node.tag, []).append(at)
+        if node.tag not in INLINE:
+            self.blocks.append(at)
+        self.articles += node.tag in ("article", "main")
+
+    def cut(self, at: int) -> None:
+        """Close the element at this place and all in it."""
+        while len(self.nodes) > at:
+            node = self.nodes.pop()
+            self.places[node.tag].pop()
+            if node.tag not in INLINE:
+                self.blocks.pop()
+            self.articles -= node.tag in ("article", "main")
+
+    def last(self, tag: str) -> int:
+        """Place of the innermost open element of a tag, 0 for none."""
+        own = self.places.get(tag)
+        return own[-1] if own else 0
+
+    def ended_by(self, tag: str) -> int:
+        """Place of the outermost element that the opening tag ends, 0 for none."""
+        if tag not in CLOSES:  # a block ends a paragraph that only inline elements keep open
+            at = self.blocks[-1] if self.blocks else 0
+            return at if at and self.nodes[at].tag == "p" else 0
+        closing, until = CLOSES[tag]
+        limit = max(self.last(t) for t in (*until, "body"))
+        found = []
+        for t in closing:
+            own = self.places.get(t, ())
+            k = bisect_right(own, limit)
+            if k < len(own):
+                found.append(own[k])
+        return min(found, default=0)
+
+
 def parsed(page: str) -> Node:
     """The tree of a page, however its tags are nested; unclosed elements end with their container or the page."""
-    root = node = Node("html")
-    depth_article = 0
+    root = Node("html")
+    opened, has_body = Open(root), False
     at, end = 0, len(page)
     while at < end:
         m = TOKEN.search(page, at)
         stop = m.start() if m else end
         if stop > at:
-            node.parts.append(page[at:stop])
+            opened.nodes[-1].parts.append(page[at:stop])
         if not m:
             break
         at = m.end()
@@ -211,44 +283,28 @@ def parsed(page: str) -> Node:
         if not tag or (not m[4] and m.end() == end):  # a comment, a declaration, or a tag that the page's end cuts
             continue
         if m[1]:
-            walk = node
-            while walk is not root and walk.tag != tag:
-                walk = walk.up
-            if walk is not root:
-                while node is not walk:
-                    depth_article -= node.tag in ("article", "main")
-                    node = node.up
-                depth_article -= node.tag in ("article", "main")
-                node = node.up
+            if place := opened.last(tag):
+                opened.cut(place)
             continue
         if tag in ("html", "body"):
-            if tag == "body" and not any(isinstance(p, Node) and p.tag == "body" for p in root.parts):
-                while node is not root:
-                    node = node.up
-                depth_article = 0
+            if tag == "body" and not has_body:
+                has_body = True
+                opened.cut(1)
                 child = Node("body", root)
                 root.parts.append(child)
-                node = child
+                opened.push(child)
             continue
-        if tag in CLOSED_BY_BLOCK or tag in CLOSES:
-            closing, until = CLOSES.get(tag, ({"p"}, {"table", "td", "th", "button"}))
-            walk, last = node, None
-            while walk is not root and walk.tag not in until and walk.tag != "body":
-                if walk.tag in closing:
-                    last = walk
-                    if tag not in CLOSES:
-                        break
-                elif tag not in CLOSES and walk.tag not in INLINE:
-                    break
-                walk = walk.up
-            if last is not None:
-                while node is not last:
-                    node = node.up
-                node = node.up
+        if (tag in CLOSED_BY_BLOCK or tag in CLOSES) and (place := opened.ended_by(tag)):
+            opened.cut(place)
+        node = opened.nodes[-1]
         child = Node(tag, node)
-        child.in_article = depth_article > 0
+        child.in_article = opened.articles > 0
         child.doubt = DROP if node.dropped else boilerplate(tag, m[3], child.in_article)
         child.dropped = child.doubt == DROP
+        if not child.dropped:
+            child.signed = tag == "time" or named(m[3], SIGNED)
+            if child.doubt != DOUBT_STRONG and tag not in ("main", "p") and named(m[3], READERS):
+                child.doubt, child.readers = DOUBT_STRONG, True
         node.parts.append(child)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -256,11 +312,24 @@ def parsed(page: str) -> Node:
             continue
         if tag in VOID or m[3].rstrip().endswith("/") and tag in ("path", "circle", "rect", "use"):
             continue
-        depth_article += tag in ("article", "main")
-        node = child
+        opened.push(child)
     return root
 
 
+def threads(root: Node) -> None:
+    """Mark elements with several signed parts of one kind; sections of an article's own lose the doubt of their name."""
+    for n in nodes_bottom_up(root):
+        own = [p for p in n.parts if isinstance(p, Node) and not p.dropped]
+        kinds: dict[str, list[int]] = {}
+        for p in own:
+            n.signed |= p.signed
+            if p.tag in ITEMS:
+                kinds.setdefault(p.tag, []).append(p.signed)
+        n.thread = any(len(k) > 1 and 3 * sum(k) >= 2 * len(k) for k in kinds.values()) or any(p.thread for p in own)
+        if n.readers and not n.thread and own and own[0].tag in HEADINGS and n.in_article:
+            n.doubt = KEEP
+
+
 def nodes_bottom_up(root: Node) -> list[Node]:
     """Every kept element, children before their parents, without recursion."""
     out, work = [], [root]
@@ -290,11 +359,13 @@ def measure(root: Node) -> None:
 
 
 def main_node(root: Node) -> Node | None:
-    """The element whose children's densities have the largest sum, widened along its path to the body.
+    """The element to take the text from; what does not belong to it is dropped in it.
 
-    The threshold is the least density on that path.  An ancestor takes over while the
-    text that it adds comes in children that reach the threshold, and always where it
-    is the article that holds the element.
+    The element whose children's densities have the largest sum is in the text (of equal
+    ones the last in page order, inner before outer).  From it the text is widened along the
+    path to the body, or to the outermost article or main element on the path; each part
+    beside the path is judged on its own (``beside``), its threshold the least density on
+    the path.  Articles next to the outermost one belong to the text, too.
     """
     body = next((p for p in root.parts if isinstance(p, Node) and p.tag == "body"), root)
     nodes = [n for n in nodes_bottom_up(body) if n.chars and n.tag not in INLINE]
@@ -304,22 +375,95 @@ def main_node(root: Node) -> Node | None:
     for n in nodes:
         if n.density_sum >= best.density_sum:
             best = n
-    path = []
-    walk = best
-    while walk is not None and walk is not body.up:
-        path.append(walk)
-        walk = walk.up
+    path = [best]
+    while path[-1] is not body:
+        path.append(path[-1].up)
     threshold = min(n.density for n in path)
-    chosen = best
-    for n in path[1:]:
-        if n is body or n is root:
-            break
-        extra = [p for p in n.parts if isinstance(p, Node) and not p.dropped and p.chars and p not in path]
-        if n.tag in ("article", "main") or all(p.density >= threshold or p.tag in ("h1", "h2", "h3", "header")
-                                               for p in extra):
-            chosen = n
-    holder = [n for n in path if n.tag in ("article", "main")]
-    return holder[-1] if holder else chosen
+    top = len(path) - 1
+    holders = [k for k, n in enumerate(path) if n.tag in ("article", "main")]
+    if holders:
+        top = holders[-1]
+    own = set(path)
+    for n in path[:top + 1]:
+        text = False
+        for p in n.parts:  # readers' texts without a telling name come after the article's
+            if isinstance(p, Node) and text and p.thread and p not in own and p.tag not in ("article", "main", "table"):
+                p.dropped |= 2 * p.chars <= path[top].chars
+            text |= p in own if isinstance(p, Node) else bool(p.strip())
+            text |= isinstance(p, Node) and not p.dropped and p.chars > 0
+    if not holders:
+        for below, n in zip(path, path[1:]):
+            beside(n, below, threshold)
+        return body
+    holder = path[top]
+    if holder.tag == "article" and holder is not body:
+        around = holder.up
+        more = [p for p in around.parts if p is holder or isinstance(p, Node) and not p.dropped and p.tag == "article"
+                and p.chars and 2 * p.link_chars < p.chars]
+        if len(more) > 1:
+            return Node("div", around.up, parts=more)
+    return holder
+
+
+def beside(n: Node, below: Node, threshold: float) -> None:
+    """Drop the parts of ``n`` beside its child ``below`` that are no text of the article's.
+
+    An element stays if it is a heading, as dense as the path's least dense element, or text
+    rather than links: a text element, or one with a sentence.  Texts and inline elements that
+    stand directly in ``n`` are judged run by run.
+    """
+    run: list = []
+
+    def judged():
+        if not run:
+            return
+        text = "".join(p if isinstance(p, str) else plain(p) for p in run)
+        links = sum(p.chars if p.tag == "a" else p.link_chars for p in run if isinstance(p, Node))
+        chars = len(SPACE.sub("", text))
+        keep = 2 * links < chars and not RIGHTS.match(text) and says(text)
+        for p in run:
+            if isinstance(p, Node):
+                p.dropped |= not keep
+            elif not keep:
+                gone.add(id(p))
+        run.clear()
+
+    gone: set[int] = set()
+    for p in n.parts:
+        if isinstance(p, str) or p.tag in INLINE and p is not below:
+            if isinstance(p, str) or not p.dropped:
+                run.append(p)
+            continue
+        judged()
+        if p is below or p.dropped or not p.chars or p.tag in HEADINGS:
+            continue
+        text = plain(p)
+        keep = (2 * p.link_chars < p.chars and not (RIGHTS.match(text) and len(text.split()) < 4 * FEW_WORDS)
+                and (p.density >= threshold or p.tag in TEXT_TAGS or says(text)))
+        p.dropped = not keep
+    judged()
+    n.parts = [p for p in n.parts if not isinstance(p, str) or id(p) not in gone]
+
+
+def says(text: str) -> bool:
+    """Has a text a sentence, or words enough for one."""
+    text = text.strip()
+    words = text.split()
+    return len(words) >= FEW_WORDS or len(words) > 2 and text[-1] in SENTENCE_END
+
+
+def plain(node: Node) -> str:
+    """The raw text of an element's kept parts."""
+    out, work = [], [node]
+    while work:
+        x = work.pop()
+        if isinstance(x, str):
+            out.append(x)
+        elif not x.dropped or x is node:
+            if x.tag not in INLINE:
+                out.append(" ")
+            work.extend(reversed(x.parts))
+    return "".join(out)
 
 
 def blocks(node: Node) -> list[str]:
@@ -358,6 +502,7 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     root = parsed(page)
+    threads(root)
     judge(root)
     measure(root)
     node = main_node(root)

@@ -98,3 +98,75 @@ def test_odd_rows(spark):
     assert got.columns == ["page_id", "url", "html", "_a0", "text"]
     assert sorted(r.text for r in got.collect()) == ["", "", "", "some words"]
     assert H.main_text(df.limit(0)).collect() == []
+
+
+P = "A paragraph of some length that says a thing or two about what happened, and then goes on."
+
+
+def paragraphs(n):
+    return f"<p>{P}</p>" * n
+
+
+PARTED = {  # articles in several parts, and how many paragraphs they have
+    "two divs": (f"<body><div>{paragraphs(3)}</div><div>{paragraphs(2)}</div></body>", 5),
+    "links between": (f"<body><div><div>{paragraphs(3)}</div><div><a href=x>more</a> <a href=y>less</a></div>"
+                      f"<div>{paragraphs(2)}</div></div></body>", 5),
+    "uneven sections": (f"<body><section>{paragraphs(1)}</section><section>{paragraphs(4)}</section>"
+                        "<section><p>A paragraph of half.</p></section></body>", 6),
+    "lead": (f"<body><div>A paragraph as short lead.</div><div>{paragraphs(4)}</div></body>", 5),
+    "last paragraph": (f"<body><div>{paragraphs(4)}</div><p>A paragraph at last.</p></body>", 5),
+    "sibling articles": (f"<body><article>{paragraphs(4)}</article><article>{paragraphs(2)}</article></body>", 6),
+    "unnamed frame": (f"<body><div>Site name</div><div><a href=/>Home</a> | <a href=/a>About</a></div><div>{paragraphs(3)}</div>"
+                      "<div>Copyright 2020 more of us</div></body>", 3),
+}
+
+
+@pytest.mark.parametrize("name", PARTED)
+def test_all_parts_of_an_article_stay(name):
+    page, n = PARTED[name]
+    text = H.extract(page)
+    assert text.count("A paragraph") == n
+    assert not any(w in text for w in ("more", "Site", "Home", "|"))
+
+
+READER = "<p>I like readers' words a lot, and I write many of them here, more than the article has. Truly. And more of it.</p>"
+COMMENTS = {
+    "article": f"<article class='comment'>{READER}</article>",
+    "commentlist": f"<div class='commentlist'>{READER}</div>",
+    "reviews": f"<div class='user-reviews'>{READER}</div>",
+    "discussion": f"<div id='discussion'>{READER}</div>",
+    "signed parts": "<div>" + f"<div><span class='author'>Ann</span> <time>today</time>{READER}</div>" * 3 + "</div>",
+    "signed list": "<section><h3>What you say</h3><ol>" + f"<li><b class='user'>Ann</b>{READER}</li>" * 2 + "</ol></section>",
+}
+
+
+@pytest.mark.parametrize("name", COMMENTS)
+def test_readers_stay_out(name):
+    for page in (f"<body><main><h1>Title</h1>{paragraphs(5)}{COMMENTS[name]}</main></body>",
+                 f"<body><article>{paragraphs(5)}</article>{COMMENTS[name]}</body>",
+                 f"<body><div><div>{paragraphs(5)}</div>{COMMENTS[name]}</div></body>",
+                 f"<body><article>{paragraphs(5)}{COMMENTS[name]}</article></body>"):
+        text = H.extract(page)
+        assert "readers" not in text and text.count("A paragraph") == 5
+
+
+def test_an_articles_own_discussion_stays():
+    page = (f"<article><h1>T</h1><section id='methods'><h2>Methods</h2>{paragraphs(2)}</section>"
+            f"<section id='discussion'><h2>Discussion</h2>{paragraphs(2)}</section></article>")
+    assert H.extract(page).count("A paragraph") == 4
+
+
+def test_given_pages_without_article_tags(spark):
+    for r in spark.read.parquet(f"{SF01}/pages.parquet").collect():
+        assert H.extract(re.sub(r"(</?)article\b", r"\1div", r.html)) == H.extract(r.html)
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "</b>" * 100_000, "<b>" * 50_000 + "<p>x</p>" * 50_000,
+                                  "<li><ul>" + "<b>" * 30_000 + "<li>x</li>" * 30_000,
+                                  "<div>" * 8_000 + "<p>Some words of text.</p>" * 8_000, "<p>x" * 100_000])
+def test_time_is_linear(page):
+    import time
+
+    start = time.process_time()
+    H.extract(page)
+    assert time.process_time() - start < 6  # a walk over the depth for each tag takes minutes
