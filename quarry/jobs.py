@@ -134,7 +134,7 @@ def fixstatus(spark, pages_dir, sites, out_dir):
 
 
 def pagerank(spark, inp, out, iterations=20, variant="set", dangling="redistribute", top=11,
-             nodes=None, comment_rule=None, resplit=None, partitions=None, checkpoint_every=1):
+             nodes=None, comment_rule=None, resplit=None, partitions=None, checkpoint_every=1, state=None):
     """Edge list lines -> ranks (Parquet) and the best ``top`` as ``(PR,id)`` lines."""
     from quarry.operators.graph import pagerank as run, parse_edge_lines, ranked, top_k
     from quarry.sinks.files import tuple_line
@@ -144,7 +144,7 @@ def pagerank(spark, inp, out, iterations=20, variant="set", dangling="redistribu
     if resplit:
         lines = lines.repartition(resplit)
     res = run(parse_edge_lines(lines, rule), iterations=iterations, variant=variant, dangling=dangling,
-              n_nodes=nodes, partitions=partitions, checkpoint_every=checkpoint_every)
+              n_nodes=nodes, partitions=partitions, checkpoint_every=checkpoint_every, state=state)
     ranked(res.ranks).write.mode("overwrite").parquet(out.rstrip("/") + "/ranks")
     top_k(res.ranks, top).select(tuple_line("pr", "id").alias("value")).coalesce(1) \
         .write.mode("overwrite").text(out.rstrip("/") + "/top")
@@ -239,7 +239,7 @@ def main(argv=None) -> int:
     job("fixstatus", "pages_dir", "sites", "out_dir")
     job("pagerank", "inp", "out", iterations=(int, 20), variant=(str, "set"), dangling=(str, "redistribute"),
         top=(int, 11), nodes=(float, None), comment_rule=(str, None), resplit=(int, None),
-        partitions=(int, None), checkpoint_every=(int, 1))
+        partitions=(int, None), checkpoint_every=(int, 1), state=(str, None))
     job("bulkload", "inp", "table_dir")
     job("tableput", "inp", "table_dir")
     job("docs2tsv", "inp", "out")

@@ -187,7 +187,7 @@ def _salts(n):
 def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DAMPING,
              n_nodes: float | None = None, variant: str = "set", dangling: str = "redistribute",
              digits: int | None = None, partitions: int | None = None, rows_per_partition: int = 4_000_000,
-             checkpoint_every: int = 1) -> PageRankResult:
+             checkpoint_every: int = 1, state: str | None = None) -> PageRankResult:
     """PageRank with the dangling mass added back after damping (undamped, as the reference does).
 
     ``variant='multi'`` (X9, chained-job semantics): duplicate edges count;
@@ -208,6 +208,11 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
     1/``checkpoint_every`` of the writes.  The default (every iteration) was
     faster in local measurements; raise it where writes to the shared store
     dominate.
+
+    ``state``: a shared folder that keeps the rank vector of every checkpointed step, published
+    with its number and dangling mass in one atomic write.  A run that finds a step there goes
+    on after it (with the same edges; other parameters than the number of iterations must be
+    the same), so a driver that died costs the steps since then and the set-up.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
@@ -239,10 +244,20 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
     start = nodes.filter("has_out") if multi else nodes
     # a projection of the node checkpoint: same partitioning, nothing to write
     ranks = start.select("id", "has_out", "salts", F.lit(1.0 / N).alias("pr"))
-    leaked = 0.0
+    leaked, done = 0.0, 0
+    what = {"variant": variant, "dangling": dangling, "damping": damping, "n_nodes": N}
+    if state and (kept := kept_step(state)):
+        if kept["what"] != what:
+            raise ValueError(f"{state} keeps steps of another run: {kept['what']}, this one is {what}")
+        done, leaked = kept["step"], kept["leaked"]
+        if done > iterations:
+            raise ValueError(f"{state} is at step {done}, beyond {iterations}")
+        saved = nodes.sparkSession.read.parquet(f"{state.rstrip('/')}/step-{done}")
+        flags = nodes.select(*[F.col(c).alias(c) for c in ("id", "has_out", "salts")])
+        ranks = _checkpointed(flags.join(saved, "id").select("id", "has_out", "salts", "pr"), parts, "id")
 
     transient = None  # the persisted (not checkpointed) rank vector currently cached
-    for step in range(1, iterations + 1):
+    for step in range(done + 1, iterations + 1):
         share = F.lit(leaked / N)
         # senders with a rank row pass it on; the L/N part is added per receiver via in_w
         sent = (ranks.filter("has_out")
@@ -266,6 +281,8 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
         if step % max(checkpoint_every, 1) == 0 or step == iterations:
             ranks = _checkpointed(nxt, parts, "id")
             fresh = None
+            if state:
+                _keep_step(state, step, new_leaked, what, ranks)
         else:
             ranks = fresh = _persisted(nxt, parts, "id")
         if transient is not None:
@@ -279,6 +296,36 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
     return PageRankResult(ranks.select("id", score.alias("pr")), leaked, N)
 
 
+def kept_step(state: str) -> dict | None:
+    """The last step published in a state folder: ``step``, ``leaked``, ``what`` (the run's parameters)."""
+    import json
+
+    from quarry.sources.fsutil import is_file, resolve
+
+    current = f"{state.rstrip('/')}/_CURRENT"
+    if not is_file(current):
+        return None
+    fs, p = resolve(current)
+    with fs.open_input_stream(p, compression=None) as f:
+        return json.loads(f.read())
+
+
+def _keep_step(state: str, step: int, leaked: float, what: dict, ranks: DataFrame) -> None:
+    """Write a step's ranks, then publish it; the step before the one that it replaces goes."""
+    import json
+
+    from quarry.sources.fsutil import list_folders, remove_folder, write_atomic
+
+    base = state.rstrip("/")
+    before = kept_step(state)
+    ranks.select("id", "pr").write.mode("overwrite").parquet(f"{base}/step-{step}")
+    write_atomic(f"{base}/_CURRENT", [json.dumps({"step": step, "leaked": leaked, "what": what}).encode()])
+    live = {f"step-{step}", f"step-{before['step']}" if before else ""}
+    for folder in list_folders(base, "step-"):
+        if folder.rsplit("/", 1)[-1] not in live:
+            remove_folder(folder)
+
+
 def ranked(ranks: DataFrame) -> DataFrame:
     """O1 (D7): total order by rank descending (positive rank), ties by id."""
     return ranks.orderBy(F.desc("pr"), F.asc("id"))

@@ -5,7 +5,9 @@ robots row first.  Here each site's robots text is compiled once into an
 array of (kind, literal) rules, pages are joined to it on host (left outer:
 a host without robots allows everything), and ``exists`` over the array
 decides each page.  The join is a size-checked broadcast, or a shuffle join
-that splits hot hosts (``skew_safe_join``).
+that splits hot hosts (``skew_safe_join``).  Pages of hosts with very many rules are
+looked up instead: the beginnings and ends of a path, of the lengths that its
+host's rules have, are joined to the rules' literals.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from quarry.functions.url import lenient_host, lenient_path, row_key
 from quarry.operators.joins import skew_safe_join
 
 DISABLED = "Y"
+MANY_RULES = 1000  # a host with more is looked up by literals
 PUT, DELETE = "put", "delete"
 
 
@@ -35,14 +38,55 @@ def site_rules(sites: DataFrame, site_col: str = "site", robots_col: str = "robo
 
 
 def page_status(pages: DataFrame, sites: DataFrame, url_col: str = "url", disabled_col: str = "disabled",
-                **join_opts) -> DataFrame:
-    """Every page with its old and new state -> (row_key, url, was, dis)."""
+                many_rules: int | None = MANY_RULES, **join_opts) -> DataFrame:
+    """Every page with its old and new state -> (row_key, url, was, dis).
+
+    ``many_rules``: hosts with more rules go through ``literal_matches`` (None: no host does).
+    """
     p = pages.select(row_key(url_col).alias("row_key"), F.col(url_col).alias("url"),
                      F.col(disabled_col).isNotNull().alias("was"),
                      lenient_host(url_col).alias("host"), lenient_path(url_col).alias("path"))
     rules = site_rules(sites).select("host", "rules")
-    j = skew_safe_join(p, rules, "host", "left", **join_opts)
-    return j.select("row_key", "url", "was", R.is_disallowed("rules", "path").alias("dis"))
+    out = ("row_key", "url", "was")
+    if many_rules is None:
+        j = skew_safe_join(p, rules, "host", "left", **join_opts)
+        return j.select(*out, R.is_disallowed("rules", "path").alias("dis"))
+    many = F.size("rules") > many_rules
+    few = rules.select("host", F.when(~many, F.col("rules")).alias("rules"), many.alias("many"))
+    j = skew_safe_join(p, few, "host", "left", **join_opts).filter(~F.coalesce("many", F.lit(False)))
+    own = rules.filter(many)
+    return (j.select(*out, R.is_disallowed("rules", "path").alias("dis"))
+            .unionByName(_looked_up(p, own, join_opts).select(*out, "dis")))
+
+
+def _looked_up(pages: DataFrame, rules: DataFrame, join_opts: dict) -> DataFrame:
+    """Pages of the hosts in ``rules`` with ``dis``, without holding a page against all rules of its host."""
+    each = rules.select("host", F.explode("rules").alias("r")).select("host", "r.kind", "r.literal").distinct()
+    # a host's rules with a literal of a length are found by that length alone
+    lengths = each.filter(F.col("kind") != R.CONTAINS).groupBy("host").agg(
+        F.collect_set(F.struct("kind", F.length("literal").alias("n"))).alias("lengths"))
+    scanned = each.filter(F.col("kind") == R.CONTAINS).groupBy("host").agg(F.collect_set("literal").alias("inside"))
+    known = rules.select("host").join(lengths, "host", "left").join(scanned, "host", "left")
+    j = skew_safe_join(pages, known, "host", "inner", **join_opts)
+    hits = literal_matches(j.select("host", "path", "lengths").dropDuplicates(["host", "path"]), each)
+    inside = F.coalesce(F.exists("inside", lambda lit: F.col("path").contains(lit)), F.lit(False))
+    return (j.join(hits.withColumn("hit", F.lit(True)), ["host", "path"], "left")
+            .select("row_key", "url", "was", (inside | F.coalesce("hit", F.lit(False))).alias("dis")))
+
+
+def literal_matches(paths: DataFrame, rules: DataFrame) -> DataFrame:
+    """(host, path) that a prefix, exact or suffix rule of the host matches.
+
+    ``paths``: (host, path, lengths), ``lengths`` being the (kind, n) of the host's rules;
+    ``rules``: (host, kind, literal).  An equi-join on (host, kind, literal): a path meets one
+    key for every kind and length that its host has and that fits into it.
+    """
+    n, kind, path = F.col("l.n"), F.col("l.kind"), F.col("path")
+    key = F.when(kind == R.SUFFIX, F.substring(path, F.length(path) - n + 1, n)).otherwise(F.substring(path, F.lit(1), n))
+    keys = (paths.select("host", "path", F.explode("lengths").alias("l"))
+            .filter((n <= F.length(path)) & ((kind != R.EXACT) | (n == F.length(path))))
+            .select("host", "path", "l.kind", key.alias("literal")))
+    return keys.join(rules, ["host", "kind", "literal"], "left_semi").select("host", "path").distinct()
 
 
 def status_changes(pages: DataFrame, sites: DataFrame, **kw) -> DataFrame:

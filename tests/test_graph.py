@@ -129,3 +129,26 @@ def test_input_is_evaluated_once_and_the_session_is_left_alone(spark):
 def test_edge_line_counters(spark):
     lines = spark.createDataFrame([("# c",), ("1\t2",), ("x\t2",), ("7",), ("",)], "value string")
     assert tuple(G.edge_line_counts(lines).first()) == (5, 1, 3)
+
+
+@pytest.mark.parametrize("variant", ["set", "multi"])
+def test_a_stopped_run_goes_on(edges, tmp_path, variant):
+    state = str(tmp_path / "state")
+    golden = GOLDEN[(variant, "redistribute", 3)]
+    whole = {r["id"]: r["pr"] for r in G.pagerank(edges, iterations=7, n_nodes=5, variant=variant).ranks.collect()}
+    G.pagerank(edges, iterations=2, n_nodes=5, variant=variant, state=state)
+    assert G.kept_step(state)["step"] == 2
+    res = G.pagerank(edges, iterations=3, n_nodes=5, variant=variant, state=state)
+    got = {r["id"]: r["pr"] for r in res.ranks.collect()}
+    assert got == pytest.approx(golden, abs=1e-8) and res.leaked == pytest.approx(LEAKED[(variant, 3)], abs=1e-8)
+    # the driver dies between a step's ranks and their publication: the step is made again
+    (tmp_path / "state" / "step-4").mkdir()
+    on = {r["id"]: r["pr"] for r in G.pagerank(edges, iterations=7, n_nodes=5, variant=variant, state=state).ranks.collect()}
+    assert on == pytest.approx(whole, abs=1e-12) and G.kept_step(state)["step"] == 7
+    again = {r["id"]: r["pr"] for r in G.pagerank(edges, iterations=7, n_nodes=5, variant=variant, state=state).ranks.collect()}
+    assert again == pytest.approx(whole, abs=1e-12)
+    assert len([p for p in (tmp_path / "state").iterdir() if p.name.startswith("step-")]) == 2
+    with pytest.raises(ValueError, match="another run"):
+        G.pagerank(edges, iterations=8, n_nodes=6, variant=variant, state=state)
+    with pytest.raises(ValueError, match="beyond"):
+        G.pagerank(edges, iterations=5, n_nodes=5, variant=variant, state=state)
