@@ -130,15 +130,15 @@ class Items:
             at = at[self.known[pos] == hashes[at]]
         return at
 
-    def found_in(self, text: str | None) -> dict[int, float]:
-        """{item: best similarity} of items with an item-sized window of the text at the least similarity.
+    def found_in(self, text: str | None) -> list[tuple[int, float]]:
+        """(item id, best similarity), a pair for each item row with an item-sized window of the text at the least similarity.
 
         A window that reaches any similarity above zero shares a shingle with its item, so
         only windows over a shared shingle are fingerprinted; nothing else can qualify.
         """
         out: dict[int, float] = {}
         if not self.ids:
-            return out
+            return []
         words = words_of(text)
         each = word_hashes(words)
         for size in sorted({self.size, *self.short}):
@@ -152,7 +152,7 @@ class Items:
                       if min(self.lengths[k], self.size) == size}
             for n in sorted(wanted):
                 self._windows(words, hashes, at, n, size, out)
-        return {self.ids[k]: s for k, s in out.items()}
+        return [(self.ids[k], s) for k, s in out.items()]
 
     def _windows(self, words: list[bytes], hashes: np.ndarray, at: np.ndarray, n: int, size: int,
                  out: dict[int, float]) -> None:
@@ -215,7 +215,7 @@ def _finder(block, size, min_similarity, radius):
     def run(batches):
         items = Items(block, size, min_similarity, radius)
         for ids, texts in pages_of(batches, "id", "text"):
-            rows = [(i, k, s) for i, t in zip(ids, texts) for k, s in sorted(items.found_in(t).items(), key=str)]
+            rows = [(i, k, s) for i, t in zip(ids, texts) for k, s in sorted(items.found_in(t), key=str)]
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], kind) for j, kind in
                                               enumerate((pa.int64(), pa.int64(), pa.float64()))],
                                              names=["id", "item_id", "similarity"])

@@ -74,3 +74,14 @@ def test_empty_tables(spark):
     assert D.keep_clean(docs, none).count() == 1
     bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     assert D.contaminated(docs.limit(0), bench).collect() == []
+
+
+def test_items_of_one_id_give_a_row_each(spark):
+    one = " ".join(f"one{k}" for k in range(30))
+    two = " ".join(f"two{k}" for k in range(20))
+    items = spark.createDataFrame([(1, one), (1, two), (1, one), (None, two), (2, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(7, f"{one} and {two}"), (8, two)], "doc_id long, text string")
+    want = sorted([(7, 1), (7, 1), (7, 1), (7, None), (8, 1), (8, None)], key=str)
+    for size in (1, 2, 3, 20_000):
+        got = D.contaminated(docs, items, items_at_a_time=size).collect()
+        assert sorted(((r.id, r.item_id) for r in got), key=str) == want and {r.similarity for r in got} == {1.0}
