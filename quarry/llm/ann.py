@@ -21,11 +21,19 @@ INT8 = 127
 
 
 def quantised(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """int8 codes, scales, and the lengths of the vectors' rounded forms and of their rounding errors."""
-    scale = np.abs(vectors).max(axis=1) / INT8
-    codes = np.rint(vectors / scale[:, None])
-    rounded = codes * scale[:, None]
-    return codes.astype(np.int8), scale, np.linalg.norm(rounded, axis=1), np.linalg.norm(vectors - rounded, axis=1)
+    """int8 codes, scales, and the lengths of the vectors' rounded forms and of their rounding errors.
+
+    Vectors too small or too large for that in doubles get zero codes and an error without bound,
+    so all their pairs survive.
+    """
+    with np.errstate(all="ignore"):
+        scale = np.abs(vectors).max(axis=1) / INT8
+        codes = np.rint(vectors / scale[:, None])
+        rounded = codes * scale[:, None]
+        length, error = np.linalg.norm(rounded, axis=1), np.linalg.norm(vectors - rounded, axis=1)
+    lost = ~(np.isfinite(length) & np.isfinite(error) & (scale >= np.finfo(float).tiny))
+    codes[lost], scale[lost], length[lost], error[lost] = 0, 0.0, 0.0, np.inf
+    return codes.astype(np.int8), scale, length, error
 
 
 def exact_scores(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -52,12 +60,15 @@ def tile(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.n
     codes = cc.astype(wide).T
     for lo in range(0, len(queries), 128):
         hi = min(lo + 128, len(queries))
-        near = (qc[lo:hi].astype(wide) @ codes).astype(np.float64) * qs[lo:hi, None] * cs[None, :]
-        slack = qn[lo:hi, None] * ce[None, :] + qe[lo:hi, None] * (cn + ce)[None, :]
-        slack = slack * (1 + 1e-9) + np.abs(near) * 1e-12 + 1e-300
+        with np.errstate(all="ignore"):
+            near = (qc[lo:hi].astype(wide) @ codes).astype(np.float64) * qs[lo:hi, None] * cs[None, :]
+            slack = qn[lo:hi, None] * ce[None, :] + qe[lo:hi, None] * (cn + ce)[None, :]
+            slack = slack * (1 + 1e-9) + np.abs(near) * 1e-12 + 1e-300
+            low, high = near - slack, near + slack
         own = query_ids[lo:hi, None] == ids[None, :]
-        low = np.where(own, -np.inf, near - slack)
-        high = np.where(own, -np.inf, near + slack)
+        known = np.isfinite(low) & np.isfinite(high)  # a pair without bounds survives
+        low = np.where(own | ~known, -np.inf, low)
+        high = np.where(own, -np.inf, np.where(known, high, np.inf))
         k = min(top, len(ids))
         floor = np.partition(low, len(ids) - k, axis=1)[:, len(ids) - k]
         for r in range(hi - lo):

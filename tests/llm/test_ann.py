@@ -65,3 +65,13 @@ def test_repeated_rows_and_empty_table(spark):
     assert got == {(0, 1)}
     assert A.nearest(df.limit(0)).collect() == []
     assert A.nearest(spark.createDataFrame([(5, [1.0])], df.schema)).collect() == []  # no query
+
+
+def test_vectors_at_the_ends_of_the_doubles(spark):
+    rng = np.random.default_rng(4)
+    data = [(i, [float(x) for x in np.abs(rng.normal(size=6)) + 0.01]) for i in range(120)]
+    data += [(200 + i, [float(f * x) for x in data[i][1]]) for i, f in enumerate([1e200, 1e306, 1e-200, 1e-308, 5e-324, 1e155, 1e-320])]
+    data += [(300 + 20 * i, [f, 0.0, f, f, 0.0, f]) for i, f in enumerate([1e200, 1e-310, 5e-324, 1e308])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.id, r.score) for r in A.nearest(df, query_rows=4, candidate_rows=30).collect())
+    assert got == brute(data)
