@@ -15,8 +15,12 @@ from quarry.llm.components import min_labels
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 SEED = 42
-LEAF_ROWS = 4096  # distinct fingerprints a leaf should hold
-SAMPLE_ROWS = 20_000  # the tree is fitted on at most so many distinct fingerprints
+LEAVES = 16  # of the tree, while none holds more than LEAF_ROWS: more leaves mean more copies of a fingerprint
+LEAF_ROWS = 1 << 22  # distinct fingerprints of 8 bytes a leaf should hold at most, about 200 MB while it is searched
+LEAST_LEAF = 4096
+SAMPLE_ROWS = 20_000  # the tree is fitted on so many distinct fingerprints,
+SAMPLE_PER_LEAF = 64  # or on so many for each leaf
+SHORT_RUN = 64  # fingerprints with an equal part that are compared pair by pair
 HASHES_AT_A_TIME = 65_536
 
 
@@ -180,24 +184,56 @@ def _by_flips(points: np.ndarray, reach: int, forest: _Forest) -> None:
             forest.link(order[hit], order[at[hit]])
 
 
+def _by_parts(points: np.ndarray, reach: int, forest: _Forest) -> None:
+    """The same pairs by parts: of ``reach + 1`` parts of the bits, two such fingerprints share one.
+
+    Sorted by each part in turn, short runs of an equal part are compared pair by pair, a long
+    run as a leaf of its own, by rings or flips."""
+    cuts = np.linspace(0, 64, reach + 2).astype(int)
+    flips = sum(math.comb(64, n) for n in range(reach + 1))
+    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        part = (points >> np.uint64(lo)) & np.uint64((1 << (hi - lo)) - 1)
+        order = np.argsort(part, kind="stable")
+        part = part[order]
+        starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        size = np.diff(np.append(starts, len(part)))
+        short = np.repeat(size <= SHORT_RUN, size)
+        for step in range(1, int(size[size <= SHORT_RUN].max(initial=1))):
+            near = np.flatnonzero((part[step:] == part[:-step]) & short[step:])
+            a, b = order[near], order[near + step]
+            hit = _distance(points[a], points[b]) <= reach
+            forest.link(a[hit], b[hit])
+        for run in np.flatnonzero(size > SHORT_RUN).tolist():
+            own = order[starts[run]:starts[run] + size[run]]
+            inner = _Forest(len(own))
+            (_by_flips if len(own) > 40 * flips else _by_rings)(points[own], reach, inner)
+            forest.link(own, own[inner.roots()])
+
+
 def linked(points: np.ndarray, reach: int) -> np.ndarray:
     """Root position of each point's component at distance ``reach`` or less (exact at any size)."""
     forest = _Forest(len(points))
-    flips = sum(math.comb(64, n) for n in range(reach + 1))
     if len(points) > 1:
-        (_by_flips if len(points) > 40 * flips else _by_rings)(points, reach, forest)
+        _by_parts(points, reach, forest)
     return forest.roots()
 
 
-def fingerprint_groups(distinct: DataFrame, max_bits: int = MAX_BITS, leaf_rows: int = LEAF_ROWS,
+def leaf_size(n: int) -> int:
+    """Distinct fingerprints a leaf should hold, of ``n`` in all."""
+    return min(LEAF_ROWS, max(LEAST_LEAF, -(-n // LEAVES)))
+
+
+def fingerprint_groups(distinct: DataFrame, max_bits: int = MAX_BITS, leaf_rows: int | None = None,
                        sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """(node, grp): which distinct fingerprints (column ``fp``) link inside each leaf of the tree.
 
-    The tree is fitted on a bounded sample; every fingerprint is routed.  A leaf returns one
-    row per linked fingerprint, never pairs.
+    The tree is fitted on a sample of ``SAMPLE_PER_LEAF`` fingerprints a leaf (``sample_rows`` at
+    least); every fingerprint is routed.  A leaf returns one row per linked fingerprint, never pairs.
     """
     spark = distinct.sparkSession
     n = distinct.count()
+    leaf_rows = leaf_rows or leaf_size(n)
+    sample_rows = max(sample_rows, SAMPLE_PER_LEAF * -(-n // leaf_rows))
     sample = [r[0] for r in distinct.select("fp").orderBy(hash_order(F.col("fp")), "fp").limit(sample_rows).collect()]
     nodes = vantage_tree(np.array(sample, np.int64).view(np.uint64), -(-n // leaf_rows))
 
@@ -223,7 +259,7 @@ def fingerprint_groups(distinct: DataFrame, max_bits: int = MAX_BITS, leaf_rows:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, seed: int = SEED,
-                    leaf_rows: int = LEAF_ROWS) -> DataFrame:
+                    leaf_rows: int | None = None) -> DataFrame:
     """(id, fp, component): one row per input row; rows whose fingerprints differ in at most
     ``max_bits`` bits are linked, ``component`` is the smallest id reachable.
 
@@ -236,7 +272,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
-                     seed: int = SEED, leaf_rows: int = LEAF_ROWS) -> tuple[DataFrame, DataFrame]:
+                     seed: int = SEED, leaf_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """The rows of ``near_duplicates``, and (node, grp): the fingerprints that link."""
     fps = staged(fingerprints(docs, id_col, text_col, shingle, seed), "simhash-fp")
     distinct = staged(fps.groupBy("fp").agg(F.min("id").alias("label")), "simhash-distinct")

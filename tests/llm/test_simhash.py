@@ -127,3 +127,26 @@ def test_different_texts_under_one_id(spark):
     data = [(1, a), (5, a), (5, b), (5, b), (5, c), (6, c), (7, d), (7, d), (8, b)]
     kept = S.keep_one_per_group(rows(spark, data))
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(1, a), (5, b), (5, c), (7, d)])
+
+
+def test_search_by_parts_agrees_with_rings():
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2**63, 300, dtype=np.uint64)
+    base = np.concatenate((base, np.uint64(5) << np.uint64(40) | rng.integers(0, 2**9, 300, dtype=np.uint64)))  # long runs of equal parts
+    near = [base ^ (np.uint64(1) << rng.integers(0, 64, len(base)).astype(np.uint64)) for _ in range(3)]
+    points = rng.permutation(np.unique(np.concatenate((base, *near))))
+    for reach in (0, 1, 2, 3):
+        a, b = S._Forest(len(points)), S._Forest(len(points))
+        S._by_rings(points, reach, a)
+        S._by_parts(points, reach, b)
+        assert np.array_equal(a.roots(), b.roots())
+
+
+def test_few_copies_at_any_size():
+    rng = np.random.default_rng(8)
+    for n in (50_000, 800_000, 3_200_000):
+        points = rng.integers(0, 2**63, n, dtype=np.uint64)
+        nodes = S.vantage_tree(points[:S.SAMPLE_ROWS], -(-n // S.leaf_size(n)))
+        copies = sum(len(S.route(nodes, points[lo:lo + 200_000], S.MAX_BITS)[0]) for lo in range(0, min(n, 600_000), 200_000))
+        assert copies <= 2.6 * min(n, 600_000), (n, copies)
+    assert S.leaf_size(10**10) == S.LEAF_ROWS
