@@ -86,7 +86,7 @@ def write_version(df: DataFrame, table_dir: str, key_col: str = "row_key", parti
 
 def _read_files(spark: SparkSession, table_dir: str, version: str, files: list[str]) -> DataFrame:
     if not files:
-        return spark.read.parquet(f"{_base(table_dir)}/{version}").limit(0)
+        return spark.read.parquet(f"{_base(table_dir)}/{version}").filter(F.lit(False))
     return spark.read.parquet(*[f"{_base(table_dir)}/{f}" for f in files])
 
 
@@ -140,9 +140,10 @@ def change_version(spark: SparkSession, table_dir: str, changes: DataFrame,
 
     ensure_importable(spark)
     was = current_version(table_dir)
-    held = manifest(spark, table_dir, was).orderBy("least").limit(MAX_FILES + 1).collect()
-    if len(held) > MAX_FILES:
+    files_of = manifest(spark, table_dir, was)
+    if files_of.count() > MAX_FILES:
         raise ValueError(f"{table_dir}: more than {MAX_FILES} files; write a whole version with larger ones")
+    held = files_of.orderBy("least").collect()
     if not held:
         write_version(merge(read_current(spark, table_dir), changes), table_dir, key_col)
         return {"version": current_version(table_dir), "rewritten": 0, "kept": 0}
