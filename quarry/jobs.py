@@ -120,11 +120,12 @@ def fixstatus(spark, pages_dir, sites, out_dir):
     hold a changed page are rewritten.
     """
     from quarry.operators.keyed import merge_cells
-    from quarry.operators.robots import changes_as_cells, status_changes
+    from quarry.operators.robots import changes_as_cells, many_rules_in, status_changes
     from quarry.sinks.keyed_table import change_version, read_current, write_version
 
     pages = read_current(spark, pages_dir)
-    changes = status_changes(pages, spark.read.parquet(sites)).checkpoint()
+    site_rows = spark.read.parquet(sites)
+    changes = status_changes(pages, site_rows, many_rules=many_rules_in(site_rows)).checkpoint()
     changes.write.mode("overwrite").parquet(out_dir.rstrip("/") + "/_changes")
     cells = changes_as_cells(changes)
     if out_dir.rstrip("/") == pages_dir.rstrip("/"):

@@ -38,10 +38,11 @@ def site_rules(sites: DataFrame, site_col: str = "site", robots_col: str = "robo
 
 
 def page_status(pages: DataFrame, sites: DataFrame, url_col: str = "url", disabled_col: str = "disabled",
-                many_rules: int | None = MANY_RULES, **join_opts) -> DataFrame:
+                many_rules: int | None = None, **join_opts) -> DataFrame:
     """Every page with its old and new state -> (row_key, url, was, dis).
 
-    ``many_rules``: hosts with more rules go through ``literal_matches`` (None: no host does).
+    ``many_rules``: hosts with more rules go through ``literal_matches`` (None: no host does;
+    ``many_rules_in`` tells by the sites whether one needs it).  That reads the pages twice.
     """
     p = pages.select(row_key(url_col).alias("row_key"), F.col(url_col).alias("url"),
                      F.col(disabled_col).isNotNull().alias("was"),
@@ -59,6 +60,11 @@ def page_status(pages: DataFrame, sites: DataFrame, url_col: str = "url", disabl
             .unionByName(_looked_up(p, own, join_opts).select(*out, "dis")))
 
 
+def many_rules_in(sites: DataFrame) -> int | None:
+    """``MANY_RULES`` if a host has more rules, else None (one pass over the sites)."""
+    return None if site_rules(sites).filter(F.size("rules") > MANY_RULES).isEmpty() else MANY_RULES
+
+
 def _looked_up(pages: DataFrame, rules: DataFrame, join_opts: dict) -> DataFrame:
     """Pages of the hosts in ``rules`` with ``dis``, without holding a page against all rules of its host."""
     each = rules.select("host", F.explode("rules").alias("r")).select("host", "r.kind", "r.literal").distinct()

@@ -151,6 +151,7 @@ FROM st WHERE dis <> was"""
 ORACLE["robots_reconciled"] = f"WITH {_ROBOTS} SELECT row_key, url, CASE WHEN dis THEN 'Y' END AS disabled FROM st"
 ORACLE["robots_reconciled_salted"] = ORACLE["robots_reconciled"]
 ORACLE["keyed_upsert_delete"] = ORACLE["robots_reconciled"]
+ORACLE["robots_reconciled_lookup"] = ORACLE["robots_reconciled"]
 ORACLE["first_per_key"] = r"""
 SELECT split_part(regexp_replace(url, '^.*?://', ''), '/', 1) AS host, arg_min(url, page_id) AS url
 FROM pages GROUP BY 1"""

@@ -163,6 +163,12 @@ def q_robots_reconciled_salted(spark, sf_dir):
                                  salted=True, rows_per_partition=100)
 
 
+@register("robots_reconciled_lookup")
+def q_robots_reconciled_lookup(spark, sf_dir):
+    """Same result with every host's rules looked up by their literals."""
+    return robots_ops.reconciled(derived.pages_table(spark, sf_dir), derived.sites(spark, sf_dir), many_rules=0)
+
+
 @register("keyed_upsert_delete")
 def q_keyed_upsert_delete(spark, sf_dir):
     base = derived.pages_table(spark, sf_dir)

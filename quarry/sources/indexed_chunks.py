@@ -25,6 +25,7 @@ from quarry.sources.selection import Selection, options
 # Index suffix, packing limit per split (64 MiB) and the size entry type.
 IDX_SUFFIX = ".idx"
 DEFAULT_BYTES_PER_SPLIT = 64 * 1024 * 1024
+LEAST_SPLIT = 1024 * 1024  # ranges are not cut below this to give every task slot one
 SIZE_DTYPE = "<i4"
 
 TEXT_SCHEMA = "path string, chunk_no int, offset long, text string, error string"
@@ -62,6 +63,7 @@ class _Reader(DataSourceReader):
         self.path = options["path"]
         self.bytes_per_split = int(options.get("bytes_per_split", DEFAULT_BYTES_PER_SPLIT))
         self.at_most = int(options.get("partitions", 0))
+        self.slots = int(options.get("slots", 0))
         self.wanted = Selection(options)
 
     def partitions(self):
@@ -69,9 +71,11 @@ class _Reader(DataSourceReader):
 
         files = dict(list_files(self.path))
         archives = sorted((p, n) for p, n in files.items() if p + IDX_SUFFIX in files and self.wanted.has_path(p))
-        split = self.bytes_per_split
+        split, total = self.bytes_per_split, sum(n for _, n in archives)
+        if self.slots:
+            split = min(split, max(LEAST_SPLIT, -(-total // self.slots)))
         if self.at_most:
-            split = max(split, -(-sum(n for _, n in archives) // self.at_most))
+            split = max(split, -(-total // self.at_most))
         return plan_ranges(archives, split) or [Ranges([])]
 
     def read(self, part: Ranges):
@@ -158,12 +162,15 @@ def read_indexed_chunks(spark: SparkSession, path: str, bytes_per_split: int = D
                         partitions: int | None = None, paths=None, chunks=None) -> DataFrame:
     """Every chunk of every archive under ``path`` (a directory of ``X`` + ``X.idx``), inflated.
 
+    Ranges are smaller than ``bytes_per_split`` where there are task slots for more of them.
     ``partitions``: no more ranges than about so many, whatever their size.  Only the archives
     ``paths`` (as in the ``path`` column) and the chunk numbers ``chunks`` (a ``range`` or
     integers), if given: of the other chunks no byte is read."""
+    from quarry.session import parallelism
+
     register(spark)
     r = spark.read.format("quarry_indexed_chunks").option("path", path).option("bytes_per_split", str(bytes_per_split))
-    r = r.options(**options(paths, chunks))
+    r = r.options(**options(paths, chunks)).option("slots", str(parallelism(spark)))
     return (r.option("partitions", str(partitions)) if partitions else r).load()
 
 

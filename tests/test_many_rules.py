@@ -39,7 +39,8 @@ def test_many_rules_and_pages_of_one_host(spark):
            .when(F.col("id") % 4 == 1, F.concat(F.lit("http://big/q"), i))
            .when(F.col("id") % 4 == 2, F.concat(F.lit("http://big/z-"), i)).otherwise(F.concat(F.lit("http://big/free"), i)))
     pages = spark.range(n).select("id", url.alias("url"), F.lit(None).cast("string").alias("disabled"))
-    got = {r.url for r in RB.page_status(pages, sites).filter("dis").collect()}
+    assert RB.many_rules_in(sites) == RB.MANY_RULES and RB.many_rules_in(sites.limit(0)) is None
+    got = {r.url for r in RB.page_status(pages, sites, many_rules=RB.many_rules_in(sites)).filter("dis").collect()}
     want = {f"http://big/p{k}/x" for k in range(n) if k % 4 == 0 and k % 3 == 0}
     want |= {f"http://big/q{k}" for k in range(n) if k % 4 == 1 and k % 3 == 1}
     want |= {f"http://big/z-{k}" for k in range(n) if k % 4 == 2 and k % 3 == 2}
