@@ -61,7 +61,13 @@ MADE = (
     (6, "phone", 1, f"concat({AREA}, ' ', {NEXT}, ' ', {LAST})"),
     (6, "phone", 0, f"concat(left({DIGITS}, 2), '.', substring({DIGITS}, 3, 3), '.', substring({DIGITS}, 6, 3))"),
     (6, "phone", 0, f"concat(left({DIGITS}, 3), ' ', substring({DIGITS}, 4, 3), ' ', substring({DIGITS}, 7, 3))"),
+    (6, "phone", 0, f"concat('20', left({DIGITS}, 2), ' ', {NEXT}, ' ', {LAST})"),
+    (6, "phone", 0, f"concat('19', left({DIGITS}, 2), '-', {NEXT}, '-', {LAST})"),
+    (6, "phone", 0, f"concat('20', left({DIGITS}, 2), ' ', {NEXT}, ' ', substring({DIGITS}, 3, 3))"),
+    (6, "phone", 0, f"concat('19', left({DIGITS}, 2), '.', {NEXT}, '.', substring({DIGITS}, 3, 3))"),
 )
+YEAR, NO_DOT = 5, 0  # values of ``shape``: a phone's first group is a year, an address has no dot behind its sign
+DOTLESS = 4  # the wide pattern that takes addresses without a dot: a word has to speak for those (``git@server``)
 DOUBTED = (4, 6)  # wide patterns that a word of AGAINST speaks against; the bracketed form of 5 speaks for itself
 # Texts whose base spans the forms are written from besides the corpus's own, so that a corpus without any has a model.
 SEEDS = ("Write to jane.doe@example.com or call +1 626 555 5759 today", "jane@mail.example.org, +44 20 7946 0958.",
@@ -70,7 +76,9 @@ SEEDS = ("Write to jane.doe@example.com or call +1 626 555 5759 today", "jane@ma
 SEED_WEIGHT = 100  # each counts as so many
 # An address whose letters are of an alphabet, some of them not ASCII: base spans hold only a part of it.
 ABROAD = r"^(?=.*[^\x00-\x7F])[\p{IsLatin}\p{IsGreek}\p{IsCyrillic}0-9._%+-]+@[\p{IsLatin}\p{IsGreek}\p{IsCyrillic}0-9.-]*[\p{L}0-9]$"
-FEATURES = ("proposal", "kind", "head", "last", "digits", "chars", "seps", "brackets", "word_for", "word_against", "before", "after")
+FEATURES = ("proposal", "kind", "head", "last", "digits", "chars", "seps", "brackets", "shape", "word_for", "word_against",
+            "before", "after")
+MOST_DIGITS = {"email": 3, "ip": 12, "card": 24, "phone": 16}  # larger counts of digits are one value
 
 
 def found(text: Column, pattern: str, may: Column) -> Column:
@@ -153,6 +161,18 @@ def char_class(c: Column) -> Column:
             .when(c.rlike("^[0-9]"), 3).otherwise(4))
 
 
+def shape(kind: str, value: Column) -> Column:
+    """Of a phone: the digits of its first group, ``YEAR`` for 1900 to 2099.  Of an address: dots behind its sign."""
+    if kind == "phone":
+        first = F.regexp_extract(value, "[0-9]+", 0)
+        return F.when(first.rlike("^(?:19|20)[0-9]{2}$"), YEAR).otherwise(F.least(F.length(first), F.lit(4)))
+    if kind == "email":
+        domain = F.substring_index(value, "@", -1)
+        dots = F.length(F.regexp_replace(domain, r"[^.]", ""))
+        return F.when(F.contains(value, F.lit("@")), F.least(dots, F.lit(2))).otherwise(1)
+    return F.lit(0)
+
+
 def described(number: int, kind: str, text: Column, spans: Column) -> Column:
     """Spans of one pattern with their features, all small integers; none tells whether the base checks hold."""
     def one(s):
@@ -168,10 +188,11 @@ def described(number: int, kind: str, text: Column, spans: Column) -> Column:
             F.lit(number).alias("proposal"), F.lit(KINDS.index(kind)).alias("kind"),
             char_class(F.substring(value, F.lit(1), F.lit(1))).alias("head"),
             char_class(F.substring(value, F.length(value), F.lit(1))).alias("last"),
-            F.least(digits, F.lit(24)).alias("digits"),
-            F.least(F.floor(F.length(value) / 4), F.lit(12)).cast("int").alias("chars"),
-            F.least(F.length(F.regexp_replace(value, r"[^\x20.-]", "")), F.lit(5)).alias("seps"),
+            F.least(digits, F.lit(MOST_DIGITS[kind])).alias("digits"),
+            F.least(F.floor(F.length(value) / 8), F.lit(4)).cast("int").alias("chars"),
+            F.least(F.length(F.regexp_replace(value, r"[^\x20.-]", "")), F.lit(3)).alias("seps"),
             value.rlike(r"[()\[\]{}]").cast("int").alias("brackets"),
+            shape(kind, value).alias("shape"),
             lead.rlike(CONTEXT[kind]).cast("int").alias("word_for"),
             lead.rlike(AGAINST).cast("int").alias("word_against"),
             char_class(before).alias("before"), char_class(after).alias("after"),
@@ -319,13 +340,15 @@ def label(c: Column) -> Column:
     A base pattern's proposal is right if it overlaps a base span of its kind: the checks
     (Luhn, lengths, parts of an ip) tell how often its form and context hold the real thing.
     A wide one is not wrong for missing the base rule, which it is there to widen: it is
-    wrong only where it overlaps a span of another kind, or, by ``DOUBTED``, where a word
-    speaks against it and none for it.
+    wrong only where it overlaps a span of another kind, where a year leads it, or where no
+    word speaks for it and one against it (``DOUBTED``) or it has no dot (``DOTLESS``).
     """
     own = F.exists("_base", lambda b: overlaps(c, b) & (c["name"] == b["name"]))
     other = F.exists("_base", lambda b: overlaps(c, b) & (c["name"] != b["name"]))
     doubted = c["proposal"].isin(*DOUBTED) & (c["word_against"] == 1) & (c["word_for"] == 0)
-    wide = F.when(other | doubted, 0)
+    dotless = (c["proposal"] == DOTLESS) & (c["shape"] == NO_DOT) & (c["word_for"] == 0)
+    dated = (c["name"] == "phone") & (c["shape"] == YEAR)
+    wide = F.when(other | doubted | dotless | dated, 0)
     return F.when(own, 1).otherwise(F.when(c["proposal"] < len(KINDS), 0).otherwise(wide))
 
 
@@ -343,15 +366,18 @@ def made() -> Column:
 
 
 def train(docs: DataFrame, text_col: str = "text") -> Model:
-    """Fit over every proposal of every text that ``label`` knows, and over the forms of ``MADE``.
-
-    The forms are written from the base spans of the texts and of ``SEEDS``, a fixed number
-    a span.  A right one in a word's context that speaks against it (``DOUBTED``) counts as
-    wrong as well, and a number in the shape of a phone counts as wrong where no word speaks
-    for it.  So what is accepted does not depend on how many spans miss the base rule.
-
-    Spark counts the proposals of each combination of features (an aggregate; the combinations
-    are bounded by the features' ranges, whatever the input); the trees are grown on those counts.
+    """Fit on the proposals that ``label`` knows of one half of the texts, and calibrate on those of the other half.
+
+    Both halves, dealt by a hash of the text (so copies stay together), also hold the forms of
+    ``MADE``, written from the base spans of their texts and of ``SEEDS``, a fixed number a
+    span.  A right one in a word's context that speaks against it (``DOUBTED``) counts as
+    wrong as well, an address without a dot is right only where a word speaks for it, and a
+    number in the shape of a phone counts as wrong where no word speaks for it, or anywhere
+    if a year leads it.  So what is accepted does not depend on how many spans miss the base rule.
+
+    Spark counts the proposals of each combination of features (an aggregate); the trees are
+    grown on those counts.  The combinations are bounded by the features' ranges, whatever
+    the input: below half a million a pattern if each occurred, some hundreds in the given tables.
     """
     own = docs.select(F.col(f"`{text_col}`").cast("string").alias("t"), F.lit(False).alias("seed"))
     seeds = docs.sparkSession.range(1, numPartitions=1).select(
@@ -361,16 +387,17 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
         c.alias("c"), label(c).alias("right"), F.lit(False).alias("made"))), lambda x: x["right"].isNotNull())
     natural = F.when(F.col("seed"), F.slice(marked, 1, 0)).otherwise(marked)
     weight = F.when(F.col("seed"), SEED_WEIGHT).otherwise(1)
-    cells = (cand.select(F.explode(F.concat(natural, made())).alias("x"), weight.alias("w"))
-             .groupBy(*[F.col(f"x.c.{f}").alias(f) for f in FEATURES], F.col("x.made").alias("made"))
+    half = F.when(F.col("seed"), 2).otherwise(F.pmod(F.xxhash64(F.lit("half"), "t"), F.lit(2))).cast("int")
+    cells = (cand.select(F.explode(F.concat(natural, made())).alias("x"), weight.alias("w"), half.alias("half"))
+             .groupBy(*[F.col(f"x.c.{f}").alias(f) for f in FEATURES], F.col("x.made").alias("made"), "half")
              .agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("x.right")).alias("right"))
-             .orderBy(*FEATURES, "made").collect())
-    cells = merged([c.asDict() for c in cells])
+             .orderBy(*FEATURES, "made", "half").collect())
+    cells = [c.asDict() for c in cells]
+    fitted, held = (merged([c for c in cells if c["half"] in (h, 2)]) for h in (0, 1))
     parts = []
     for numbers in (range(len(KINDS)), *([len(KINDS) + i] for i in range(len(WIDER)))):
-        own = [c for c in cells if c["proposal"] in numbers]
-        bias, trees = boost(own)
-        parts.append(Trees(bias, trees, calibrated(own, bias, trees, numbers)))
+        bias, trees = boost([c for c in fitted if c["proposal"] in numbers])
+        parts.append(Trees(bias, trees, calibrated(held, bias, trees, numbers)))
     return Model(parts)
 
 
@@ -389,12 +416,18 @@ def merged(cells: list[dict]) -> list[dict]:
             add(c, c["n"], c["right"])
             continue
         wrong = c["n"] - c["right"]
-        if c["right"]:
+        if c["right"] and c["proposal"] == DOTLESS and c["shape"] == NO_DOT:
+            for against in (0, 1):
+                add(c, c["right"], c["right"], word_for=1, word_against=against)
+                add(c, c["right"], 0, word_for=0, word_against=against)
+        elif c["right"]:
             add(c, c["right"], c["right"])
             if c["proposal"] in DOUBTED:
                 add(c, c["right"], 0, word_for=0, word_against=1)
         if wrong:
             add(c, wrong, 0, word_for=0)
+            if c["kind"] == KINDS.index("phone") and c["shape"] == YEAR:
+                add(c, wrong, 0, word_for=1)
     return list(out.values())
 
 

@@ -130,3 +130,38 @@ def test_wide_forms_are_taken_whatever_their_share(spark):
         assert {i: got[i] for i in want} == want
         assert not any(got[i] for i in range(5000, 5100)) and not any(got[i] for i in range(6000, 6100))
         assert (9, 22, "email") in got[7000] and got[7001] == []
+
+
+def test_years_codes_and_names_of_machines_stay(spark):
+    """Prose, tables and code: numbers that a year leads, machines' names behind an at sign; by themselves and beside real ones."""
+    clean = ["In 1998 123 4567 units were sold", "lot 2024-123-4567 was shipped", "2024 100 200", "| 2019 | 2024 100 2000 | 1987.300.400 |",
+             "git clone git@server and go on", "a@b", "push to git@server:repo.git", "x = a@b.T", "see table 1999 555 1234 below",
+             "@property def f(self): return m@n", "sizes 12.345.678 and 3.141 592 653"]
+    taken = {"Please write to anna.k (at) mail (dot) example (dot) org soon": "email", "contact anna@mailhost now": "email",
+             "call (626) 555-1234 today": "phone", "phone: 626 555 1234": "phone"}
+    for plain in (0, 300):
+        data = [(i, f"Please write to u{i}.name@host{i}.com or call +1 626 555 {1000 + i} soon") for i in range(plain)]
+        data += [(5000 + i, t) for i, t in enumerate(clean * 10)] + [(9000 + i, t) for i, t in enumerate(taken)]
+        got = spans_of(spark, data)
+        base = {5000 + i for i, t in enumerate(clean * 10) if any(brute(t).values())}
+        assert [data_t for i, data_t in data if 5000 <= i < 9000 and i not in base and got[i]] == []
+        assert [[k for _, _, k in got[9000 + i]] for i in range(len(taken))] == [[k] for k in taken.values()]
+
+
+def test_wide_patterns_precision_and_recall(spark):
+    """On texts of its own making with known truth: each wide pattern finds its forms and leaves its lookalikes."""
+    random.seed(21)
+    pick = random.choice
+    right = [lambda: f"Contact us: {pick('abcd')}na.k{random.randrange(99)} (at) mail{random.randrange(99)} (dot) com for more",
+             lambda: f"mail anna{random.randrange(999)}@büro{random.randrange(99)}.de today",
+             lambda: f"You can call ({random.randrange(200, 999)}) {random.randrange(200, 999)}-{random.randrange(1000, 9999)} now",
+             lambda: f"tel {random.randrange(200, 999)}-{random.randrange(200, 999)}-{random.randrange(1000, 9999)}, thanks"]
+    wrong = [lambda: f"the year {random.randrange(1900, 2100)} {random.randrange(100, 999)} {random.randrange(1000, 9999)} was good",
+             lambda: f"part {random.randrange(1900, 2100)}-{random.randrange(100, 999)}-{random.randrange(100, 9999)} of the lot",
+             lambda: f"run root@node{random.randrange(99)} first", lambda: f"v = w{random.randrange(9)}@k + 1",
+             lambda: f"order no {random.randrange(200, 999)}-{random.randrange(200, 999)}-{random.randrange(1000, 9999)}"]
+    data = [(i, right[i % 4]()) for i in range(200)] + [(1000 + i, wrong[i % 5]()) for i in range(200)]
+    got = spans_of(spark, data)
+    hit = sum(bool(got[i]) for i in range(200))
+    false = sum(bool(got[1000 + i]) for i in range(200))
+    assert hit >= 196 and hit / (hit + false) >= 0.98
