@@ -52,3 +52,55 @@ def test_long_text_empty_table_and_no_labels(spark):
     docs = spark.createDataFrame([(1, None, "x"), (None, "en", "y")], "doc_id long, lang string, text string")
     bare = L.train(docs)
     assert bare.languages == [] and L.identified(none, bare).first().lang is None
+
+
+def brute_fusion(rows, m):
+    """(id, url) -> (lang, p) by plain sums over all pages."""
+    import math
+    import re
+    from collections import defaultdict
+
+    n, seen = len(m.languages), []
+    sums = {k: defaultdict(lambda: [0.0] * n + [0]) for k in ("host", "name", "suffix", "declared", "all")}
+    for i, url, html in rows:
+        ll = [float(x) for x in m.log_likelihood(L.extract(html))]
+        w = [math.exp(x - max(ll)) for x in ll]
+        post = [x / sum(w) for x in w]
+        found = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", url or "")
+        host = found[1].lower() if found else ""
+        tail = host.split(".")
+        name = ".".join(tail[-2:]) if len(tail) > 1 and tail[-1] and tail[-2] else ""
+        said = L.DECLARED.search(html or "")
+        keys = {"host": host, "name": name, "suffix": tail[-1], "declared": said[1].lower() if said else "", "all": ""}
+        seen.append(((i, url), ll, post, keys))
+        for k, v in keys.items():
+            for j in range(n):
+                sums[k][v][j] += post[j]
+            sums[k][v][n] += 1
+    out = []
+    for key, ll, post, keys in seen:
+        own, name, suffix, said, every = (sums[k][keys[k]] for k in ("host", "name", "suffix", "declared", "all"))
+        fused = []
+        for j in range(n):
+            p = (every[j] + 1) / (every[n] + n)
+            p = (suffix[j] + L.SUFFIX_WEIGHT * p) / (suffix[n] + L.SUFFIX_WEIGHT)
+            p = (name[j] + L.DOMAIN_WEIGHT * p) / (name[n] + L.DOMAIN_WEIGHT)
+            p = (max(own[j] - post[j], 0.0) + L.HOST_WEIGHT * p) / (own[n] - 1 + L.HOST_WEIGHT)
+            how = math.log((said[j] + 1) / (every[j] + n) * (every[n] + n) / (said[n] + 1)) if keys["declared"] else 0.0
+            fused.append(ll[j] + how + math.log(p))
+        best = max(fused)
+        out.append((key, m.languages[fused.index(best)], 1 / sum(math.exp(x - best) for x in fused)))
+    return out
+
+
+def test_fusion_matches_plain_sums(spark):
+    m = model(spark)
+    hosts = ["a.example.de", "b.example.de", "example.com", "x.y.com", "B.example.DE:80", "u@z.org"]
+    rows = [(i, f"http://{hosts[i * i % 6]}/{i}", f"<html lang={'de' if i % 3 else 'en'}><p>{(EN, DE, '')[i % 7 % 3]}</p></html>")
+            for i in range(60)]
+    rows += [(100, None, None), (101, "", ""), (102, "mailto:x", "<p>das haus</p>"), (103, "http://a.example.de/", None), (5, None, EN)]
+    rows += rows[:4]
+    got = sorted(((str((r.id, r.url)), r.lang, r.p) for r in L.identified(pages(spark, rows), m).collect()))
+    want = sorted((str(k), lang, p) for k, lang, p in brute_fusion(rows, m))
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert max(abs(g[2] - w[2]) for g, w in zip(got, want)) < 1e-9

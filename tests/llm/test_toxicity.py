@@ -79,3 +79,48 @@ def test_no_labels_and_empty_table(spark):
     none = labels.limit(0)
     assert T.keep_clean(docs, none).count() == 20
     assert T.score(docs.limit(0), T.train(docs, labels)).collect() == []
+
+
+def test_query_matches_plain_scoring(spark):
+    """Chosen features and every document's severity against plain counting over the whole table."""
+    import math
+
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    labels = spark.read.parquet(f"{SF01}/labels.parquet")
+    model = T.train(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+
+    def words(text):
+        return [w for w in (t.strip(T.EDGE) for t in (text or "").lower().split()) if w]
+
+    def features(text):
+        count = {}
+        for w in words(text):
+            for f in [f"w:{w}"] + [f"{n}:{w[:n]}" for n in (4, 5) if len(w) >= n]:
+                count[f] = count.get(f, 0) + 1
+        return count
+
+    own = {i: features(t) for i, t in texts.items()}
+    grades = {}
+    for r in labels.select("doc_id", "toxic").collect():
+        if r.doc_id is not None and r.toxic in (0, 1):
+            grades[r.doc_id] = max(grades.get(r.doc_id, 0), r.toxic)
+    sizes = [sum(1 for i, g in grades.items() if g == k and i in own) for k in (0, 1)]
+    assert max(sizes) <= T.ROWS_PER_CLASS  # the bounded sample is all labelled rows here
+    held = {}
+    for i, g in grades.items():
+        for f in own.get(i, ()):
+            held.setdefault(f, [0, 0])[g] += 1
+    chosen = set()
+    for f, (clean, bad) in held.items():
+        a, b = bad + 0.5, clean + 0.5
+        a0, b0 = sizes[1] + 1 - a, sizes[0] + 1 - b
+        odds = math.log(a / a0) - math.log(b / b0)
+        if abs(odds) - T.STANDARD_ERRORS * math.sqrt(1 / a + 1 / b + 1 / a0 + 1 / b0) >= T.MIN_LOG_ODDS:
+            chosen.add(f)
+    assert chosen == set(model.columns)
+    for r in T.score(docs.select("doc_id", "text"), model).collect():
+        eta = sum(float(model.weights[model.columns[f]]) * math.log1p(n) for f, n in own[r.doc_id].items() if f in model.columns)
+        above = [1 / (1 + math.exp(min(500, max(-500, t - eta)))) for t in model.thresholds]
+        assert abs(r.severity - sum(above)) < 1e-9 and abs(r.p_toxic - above[0]) < 1e-9
+        assert r.is_toxic == (r.p_toxic >= T.REJECT_AT)
