@@ -30,17 +30,18 @@ def merge_cells(base: DataFrame, changes: DataFrame, column: str, key_col: str =
     ``put`` sets the cell (creating the row when the key is new), ``delete``
     clears it and never creates a row; keys without a change keep their row.
     Several changes for one key: the latest by ``ts`` counts if ``changes`` has
-    that column, without it the job fails.  One full outer sort-merge join on a
-    key that is unique on both sides: no skew is possible.
+    that column; without it equal ones count once, and the job fails if they differ.
+    One full outer sort-merge join; the changes are one row a key there, and every
+    row of a key that ``base`` repeats gets its change.
     """
     if "ts" in changes.columns:
         one = latest_change(changes, key_col)
     else:
-        one = (changes.groupBy(key_col)
-               .agg(F.count(F.lit(1)).alias("_n"), F.first("op").alias("op"), F.first("value").alias("value")))
-        one = one.select(key_col, F.when(F.col("_n") > 1, F.raise_error(F.concat(
+        cell = F.struct("op", "value")
+        one = changes.groupBy(key_col).agg(F.min(cell).alias("c"), F.max(cell).alias("_other"))
+        one = one.select(key_col, F.when(F.col("c") != F.col("_other"), F.raise_error(F.concat(
             F.lit("several changes without ts for key "), F.col(key_col).cast("string"))))
-            .otherwise(F.col("op")).alias("op"), "value")
+            .otherwise(F.col("c.op")).alias("op"), "c.value")
     ch = one.select(F.col(key_col), F.col("op").alias("_op"), F.col("value").alias("_new"))
     j = (base.withColumn("_there", F.lit(True)).join(ch, key_col, "full_outer")
          .filter(F.col("_there") | (F.col("_op") == PUT)))

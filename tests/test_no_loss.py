@@ -86,6 +86,30 @@ def test_cell_deletes_and_repeated_changes(spark):
     assert "several rows" in failing(K.upsert_rows(base, rows))
 
 
+def test_equal_changes_of_a_repeated_key_count_once(spark):
+    base = spark.createDataFrame([("k1", "a", "x"), ("k1", "a", "x"), ("k2", "b", None), ("k3", "c", "y"), (None, None, None)],
+                                 "row_key string, url string, c string")
+    ch = spark.createDataFrame([("k1", "delete", None)] * 2 + [("k2", "put", "Y")] * 3 + [("k9", "put", "Y")] * 2,
+                               "row_key string, op string, value string")
+    want = [("k1", "a", None), ("k1", "a", None), ("k2", "b", "Y"), ("k3", "c", "y"), ("k9", None, "Y"), (None, None, None)]
+    assert sorted(map(tuple, K.merge_cells(base, ch, "c").collect()), key=str) == sorted(want, key=str)
+    for other in (("k1", "delete", "Z"), ("k1", "put", None), ("k2", "put", None), ("k2", "put", "Z")):
+        differing = ch.unionByName(spark.createDataFrame([other], ch.schema))
+        assert "several changes" in failing(K.merge_cells(base, differing, "c"))
+
+
+def test_pages_that_come_twice_are_reconciled(spark, tmp_dir):
+    from quarry.plans.queries import REGISTRY
+
+    urls = [f"http://site{i % 7}.org/{part}/{i}.html" for i in range(60) for part in ("en", "fr", "x")]
+    pages = [(n, u, "") for n, u in enumerate(urls + urls[::2] + urls[::4])] + [(None, None, None)] * 2
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(tmp_dir + "/pages.parquet")
+    got, want, changes = ([tuple(r) for r in REGISTRY[q](spark, tmp_dir).collect()]
+                          for q in ("keyed_upsert_delete", "robots_reconciled", "robots_status_changes"))
+    assert sorted(got, key=str) == sorted(want, key=str) and len(got) == len(pages)
+    assert len(changes) > len(set(changes))
+
+
 def test_smaller_rewrite_leaves_no_old_file(spark, tmp_dir):
     big = spark.createDataFrame([(bytearray([i] * 4),) for i in range(8)], "r binary").repartition(4)
     S.write_fixed_records(big, "r", tmp_dir + "/o", 4)
