@@ -33,12 +33,15 @@ def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the kept texts, their number and digests (of the ids and of the bytes they decode to)."""
+    """Token ids of the kept texts, their number and digests (of the ids and of the bytes they decode to).
+
+    The ids are staged: encoding and decoding in one Spark stage would hold two Python workers a task slot.
+    """
     import public_tokenizers
 
     path = public_tokenizers.path(bpe.RANK_FILE)
     coded = bpe.encode(docs, path, public_tokenizers.PATTERN).select("doc_id", "lang", "source", "ids")
-    return bpe.with_digests(bpe.decode(coded, path)).drop("decoded")
+    return bpe.with_digests(bpe.decode(staged(coded, "token-ids"), path)).drop("decoded")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +34,26 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def giving_back(made):
+    """The same batches; after each the process hands freed memory back to the system.
+
+    Spark keeps its Python workers from stage to stage, and with them what their allocators hold.
+    """
+    import pyarrow as pa
+
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc; other C libraries have none
+    for batch in made:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+        if trim:
+            trim(0)
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package importable in the Python workers."""
+    """``mapInArrow`` with this package importable in the Python workers, which keep no freed memory."""
     ensure_importable(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(lambda batches: giving_back(fn(batches)), schema)
 
 
 def slots(spark: SparkSession) -> int:

@@ -79,6 +79,38 @@ def test_token_stage_and_run(spark, stages):
     assert {r.doc_id: r.ids_sha256 for r in got.collect()} == {i: r.ids_sha256 for i, r in rows[5].items()}
 
 
+def test_a_task_of_the_token_stage_holds_one_python_worker(stages, spark):
+    _, frames = stages
+    out = C.tokens(spark, frames[4], SF001)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and out.columns == frames[5].columns
+
+
+def test_workers_give_freed_memory_back():
+    import numpy as np
+    import pyarrow as pa
+
+    from quarry.llm.common import giving_back
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096 / 1e6
+
+    held = []
+
+    def each():
+        for i in range(3):
+            some = [np.ones(256) for _ in range(60_000)]  # 120 MB, too small a piece each to be mapped alone
+            held.append(some[-1])  # stays: the heap can't shrink from its end
+            del some
+            yield pa.record_batch({"i": pa.array([i])})
+
+    before, seen = resident(), []
+    for batch in giving_back(each()):
+        seen.append(batch.column(0)[0].as_py())
+    assert seen == [0, 1, 2] and resident() - before < 60
+
+
 def test_every_dealt_operator_is_registered():
     names = set(E.queries())
     assert "pipeline" in names
