@@ -9,13 +9,13 @@ the rest is an aggregate over at most 2**5 outcomes a part.
 
 from __future__ import annotations
 
-from array import array
-from collections import Counter
+from hashlib import sha256
 from itertools import permutations
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,50 +34,63 @@ BLOCK = ("shard long, ids array<long>, parts array<string>, digests array<binary
          "symbols array<boolean>, vocabulary binary, n_vocabulary long, indptr binary, cols binary, counts binary")
 
 
-class _Block:
-    """One CSR block while it is filled; words are numbered in the order met."""
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Words of binary values, none of them null: how many each has, all words by their place in a list, that list."""
+    lists = pc.ascii_split_whitespace(texts.cast(pa.large_binary()).view(pa.large_string()))  # blanks are 09-0D and 20
+    pieces = lists.flatten().view(pa.large_binary())
+    full = pc.greater(pc.binary_length(pieces), 0)  # blanks at the ends of a text leave empty pieces
+    ends = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+    bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
+    coded = pieces.filter(full).dictionary_encode()
+    return np.diff(ends[bounds]), coded.indices.to_numpy(), coded.dictionary.to_pylist()
 
-    def __init__(self):
-        class Numbers(dict):
-            def __missing__(self, word):
-                self[word] = n = len(self)
-                return n
 
-        self.words = Numbers()
-        self.ids, self.parts, self.digests, self.upper, self.symbols = [], [], [], [], []
-        self.indptr, self.cols, self.counts = array("q", [0]), array("i"), array("i")
-        self.size = 0
+def _checksums(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(crc32, words), np.uint64, len(words))
 
-    def add(self, doc, part, text: bytes):
-        from hashlib import sha256
 
-        row = Counter(text.split())  # bytes.split: blanks are 09-0D and 20
-        self.cols.extend(map(self.words.__getitem__, row))
-        self.counts.extend(row.values())
-        self.indptr.append(len(self.cols))
-        n = len(text)
-        points = n if text.isascii() else len(text.translate(None, CONTINUED))
-        self.ids.append(doc)
-        self.parts.append(part)
-        self.digests.append(sha256(text).digest())
-        self.upper.append(100 * (n - len(text.translate(None, UPPER))) > MAX_UPPER * points)
-        self.symbols.append(len(text.translate(None, SYMBOLS)) < n)
-        self.size += n
-
-    def row(self, shard: int, schema) -> pa.RecordBatch:
-        # words in the order of their checksums: a dictionary bucket's words stand together
-        words = list(self.words)
-        order = np.argsort(_checksums(words), kind="stable")
-        place = np.empty(len(words), np.int32)
-        place[order] = np.arange(len(words), dtype=np.int32)
-        cols = place[np.frombuffer(self.cols, np.int32)]
-        values = [shard, self.ids, self.parts, self.digests, self.upper, self.symbols, b" ".join([words[i] for i in order]),
-                  len(words), self.indptr.tobytes(), cols.tobytes(), self.counts.tobytes()]
-        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
+def _order(words: list[bytes]) -> np.ndarray:
+    """Places of distinct words in the order of their checksums, those of equal ones in the order of their bytes."""
+    sums = _checksums(words)
+    order = np.argsort(sums, kind="stable")
+    after = np.flatnonzero(sums[order][1:] == sums[order][:-1])
+    tied = np.union1d(after, after + 1)
+    order[tied] = sorted(order[tied].tolist(), key=lambda i: (sums[i], words[i]))
+    return order
 
 
-def _checksums(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(crc32, words), np.uint64, len(words))
+def _places(order: np.ndarray) -> np.ndarray:
+    """Where each entry stands in ``order``."""
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return place
+
+
+def _block(shard: int, rows: list[pa.RecordBatch], schema: pa.Schema) -> pa.RecordBatch:
+    """One CSR block over its own words; they and the columns of each row stand in the order of ``_order``.
+
+    That is the order of the table-wide numbers too: a dictionary bucket's words stand together.
+    """
+    ids, parts = ([v for r in rows for v in r.column(c).to_pylist()] for c in (0, 1))
+    texts = pa.concat_arrays([r.column(2).cast(pa.large_binary()).fill_null(b"") for r in rows])
+    sizes, codes, words = _words(texts)
+    order = _order(words)
+    keys = np.repeat(np.arange(len(ids)) << 32, sizes) | _places(order)[codes]
+    keys.sort()
+    firsts = np.flatnonzero(np.diff(keys, prepend=-1))
+    cells = keys[firsts]
+    indptr = np.searchsorted(cells, np.arange(len(ids) + 1) << 32)
+    counts = np.diff(firsts, append=len(keys))
+    digests, upper, symbols = [], [], []
+    for text in texts.to_pylist():
+        n = len(text)
+        points = n if text.isascii() else len(text.translate(None, CONTINUED))
+        digests.append(sha256(text).digest())
+        upper.append(100 * (n - len(text.translate(None, UPPER))) > MAX_UPPER * points)
+        symbols.append(len(text.translate(None, SYMBOLS)) < n)
+    values = [shard, ids, parts, digests, upper, symbols, b" ".join([words[i] for i in order.tolist()]), len(words),
+              indptr.astype(np.int64).tobytes(), cells.astype(np.int32).tobytes(), counts.astype(np.int32).tobytes()]
+    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
 
 
 def _blocks(shard_bytes: int):
@@ -89,16 +102,21 @@ def _blocks(shard_bytes: int):
 
     def run(batches):
         first = TaskContext.get().partitionId() << 32
-        block, made = _Block(), 0
+        rows, size, made = [], 0, 0
         for batch in batches:
-            ids, parts, texts = batch.columns
-            for i in range(batch.num_rows):
-                block.add(ids[i].as_py(), parts[i].as_py(), texts[i].as_py() or b"")
-                if block.size >= shard_bytes:
-                    yield block.row(first + made, schema)
-                    block, made = _Block(), made + 1
-        if block.ids:
-            yield block.row(first + made, schema)
+            ends = np.cumsum(pc.binary_length(batch.column(2)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            lo, done = 0, 0
+            while lo < batch.num_rows:
+                # a block ends with the text that fills it
+                hi = min(int(np.searchsorted(ends, done + shard_bytes - size)) + 1, batch.num_rows)
+                rows.append(batch.slice(lo, hi - lo))
+                size += int(ends[hi - 1]) - done
+                lo, done = hi, int(ends[hi - 1])
+                if size >= shard_bytes:
+                    yield _block(first + made, rows, schema)
+                    rows, size, made = [], 0, made + 1
+        if rows:
+            yield _block(first + made, rows, schema)
 
     return run
 
@@ -130,12 +148,11 @@ def _to_buckets(n: int):
 
 
 def _numbered(rows: pa.Table) -> pa.Table:
-    """Numbers for the distinct words of one bucket, in the order of their bytes, sent back to each shard."""
-    lists = [w.split() for w in rows["words"].to_pylist()]
-    bucket = rows["bucket"][0].as_py()
-    number = {w: i for i, w in enumerate(sorted(set().union(*lists)))}
-    ids = [(np.fromiter(map(number.__getitem__, ws), np.int64, len(ws)) + (bucket << 40)).tobytes() for ws in lists]
-    return pa.table([rows["shard"], rows["start"], pa.array(ids, pa.binary())], names=["shard", "start", "ids"])
+    """Numbers for the distinct words of one bucket, in the order of ``_order``, sent back to each shard."""
+    sizes, codes, words = _words(rows["words"].cast(pa.large_binary()).combine_chunks())
+    ids = (_places(_order(words)) + (rows["bucket"][0].as_py() << 40))[codes]
+    each = [own.tobytes() for own in np.split(ids, np.cumsum(sizes)[:-1])]
+    return pa.table([rows["shard"], rows["start"], pa.array(each, pa.binary())], names=["shard", "start", "ids"])
 
 
 def word_numbers(made: DataFrame) -> DataFrame:
@@ -192,11 +209,13 @@ def _rows(batches):
                                     (("indptr", np.int64), ("cols", np.int64), ("counts", np.int32)))
             sums = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
             n = len(indptr) - 1
-            # a row's columns may come in any order: count each once
-            order = np.lexsort((cols, np.repeat(np.arange(n), np.diff(indptr))))
-            new = np.ones(len(cols), np.int64)
-            new[1:] = cols[order][1:] != cols[order][:-1]
-            new[indptr[:-1][indptr[:-1] < len(cols)]] = 1
+            # a row's columns may come in any order: count each once, in rows out of order after sorting
+            row = np.repeat(np.arange(n), np.diff(indptr))
+            inside = row[1:] == row[:-1]
+            if (inside & (cols[1:] <= cols[:-1])).any():
+                cols = cols[np.lexsort((cols, row))]
+            new = np.ones(len(cols), bool)
+            new[1:] = ~inside | (cols[1:] != cols[:-1])
             seen = np.concatenate([[0], np.cumsum(new)])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(get["ids"], pa.int64()), pa.array(get["parts"], pa.string()), pa.array(get["digests"], pa.binary()),

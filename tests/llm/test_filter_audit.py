@@ -4,8 +4,10 @@ import random
 import re
 from collections import Counter
 from itertools import permutations
+from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 
 from quarry.llm import filter_audit as A
 
@@ -110,3 +112,34 @@ def test_all_texts_empty(spark):
     got = A.audit(spark.createDataFrame(docs, "doc_id long, text string, source string"),
                   spark.createDataFrame(lab, "doc_id long, quality int, toxic int"))
     assert sorted(tuple(r) for r in got.select(*COLS).collect()) == brute(docs, lab)
+
+
+def test_columns_ascend_in_every_row(spark):
+    """Distinct words are counted without sorting: shards' rows stand in the order of the table-wide numbers."""
+    docs = [(k, t, p) for k, (_, t, p) in enumerate(odd_docs(7, 60))] + [(99, "plumless a buckeroo plumless", "s")]
+    d = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(3)
+    made = A.matrix(d, shard_bytes=900).collect()
+    assert sorted(i for r in made for i in r["ids"]) == sorted(k for k, _, _ in docs)
+    for r in made:
+        indptr, cols = np.frombuffer(r["indptr"], np.int64), np.frombuffer(r["cols"], np.int64)
+        assert all((np.diff(cols[lo:hi]) > 0).all() for lo, hi in zip(indptr[:-1], indptr[1:]))
+
+
+def test_words_of_odd_bytes_and_their_order():
+    rnd = random.Random(8)
+    texts = [b"", b" ", b"\n a  b\x0b\x0c\r\tb\x1cc ", b"\xff\xfe \x80", " x  y".encode(), b"plumless buckeroo"]
+    texts += [bytes(rnd.choice(b"ab \t\n\x00\x1f\x85\xa0#A") for _ in range(rnd.randint(0, 40))) for _ in range(200)]
+    sizes, codes, words = A._words(pa.array(texts, pa.binary()))
+    assert [words[c] for c in codes.tolist()] == [w for t in texts for w in t.split()]
+    assert sizes.tolist() == [len(t.split()) for t in texts] and len(set(words)) == len(words)
+    assert crc32(b"plumless") == crc32(b"buckeroo")  # equal checksums: by their bytes
+    assert [words[i] for i in A._order(words)] == sorted(words, key=lambda w: (crc32(w), w))
+    assert [a.tolist() if isinstance(a, np.ndarray) else a for a in A._words(pa.array([], pa.binary()))] == [[], [], []]
+
+
+def test_rows_out_of_order_count_each_column_once():
+    indptr, cols, counts = np.array([0, 4, 4, 6, 7]), np.array([5, 1 << 41, 5, 2, 1 << 41, 5, 5]), np.ones(7, np.int32)
+    block = {"ids": [1, 2, 3, 4], "parts": list("abcd"), "digests": [b""] * 4, "upper": [True] * 4, "symbols": [False] * 4,
+             "indptr": indptr.astype(np.int64).tobytes(), "cols": cols.astype(np.int64).tobytes(), "counts": counts.tobytes()}
+    (got,) = A._rows([pa.RecordBatch.from_pylist([block])])
+    assert (got["words"].to_pylist(), got["distinct"].to_pylist()) == ([4, 0, 2, 1], [3, 0, 2, 1])
